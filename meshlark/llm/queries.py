@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, quality
+from . import decontam, htmltext, linededup, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,17 +21,43 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", *names, (~quality.verdict("base")).alias("base_failed"), quality.verdict().alias("kept"), *more)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_pages(_table(spark, sf_dir, "pages"), dedup_min_bytes=0)
+    back = warc.read_archive(spark, path, payload="false", verify="true").where(F.col("record_type").isin("response", "revisit"))
+    return back.select(warc.page_number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_number("refers_to").alias("refers_to"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(_table(spark, sf_dir, "pages"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", decontam.items_digest().alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_warc": op2_warc,
     "op3_line_dedup": op3_line_dedup,
+    "op4_html_text": op4_html_text,
+    "op9_decontamination": op9_decontamination,
 }
 
 _WS = r"\x20\x09-\x0D"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _base32(hexed: str) -> str:
+    """SQL for base32 of 40 hex digits: five of them are four letters."""
+    five = [f"('0x' || substr({hexed}, {5 * k + 1}, 5))::BIGINT" for k in range(8)]
+    return " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (({x} >> {s}) & 31)::INT, 1)" for x in five for s in (15, 10, 5, 0))
+
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": rf"""
@@ -56,4 +82,21 @@ c AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY ke
 f AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.last AS drop FROM k LEFT JOIN c ON k.key = c.key)
 SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE drop) AS BIGINT) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT drop), '')) AS kept_sha256 FROM f GROUP BY doc_id""",
+    "op2_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+s AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS x, first FROM p)
+SELECT page_id, payload_bytes, {_base32('x')} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to FROM s""",
+    "op9_decontamination": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i+n-1], ' ') AS g FROM
+  (SELECT item_id, ws, least(13, len(ws)) AS n, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0)),
+dw AS (SELECT doc_id, i, n, array_to_string(ws[i:i+n-1], ' ') AS g FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(ws) >= n)),
+m AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.g = bw.g),
+h AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM (SELECT DISTINCT doc_id, i, n FROM m)) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id""",
 }
