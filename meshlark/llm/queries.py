@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, htmltext, linededup, neardup, quality, warc
+from . import _work, bpe, decontam, htmltext, linededup, neardup, quality, repair, shards, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,11 +46,30 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_5
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary), public_tokenizers.PATTERN)
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four arrivals of documents, compacted: every row of the last version, with the text's digest."""
+    table = shards.ShardedTable(spark, _work.scratch(spark, "shards"))
+    shards.arrive_in_batches(_table(spark, sf_dir, "documents"), table, 4, "doc_id")
+    table.compact()
+    table.vacuum()
+    return table.read().select("doc_id", "lang", "source", "n_chars", F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", decontam.items_digest().alias("items_sha256"), "contaminated")
 
 
+def op10_repair_tokens(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
+    import public_tokenizers
+
+    return repair.read_documents(spark, repair.write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary), end_id=2))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
@@ -58,7 +77,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html_text": op4_html_text,
     "op5_near_dedup": op5_near_dedup,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_sharding": op7_sharding,
+    "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
+    "op10_repair_tokens": op10_repair_tokens,
 }
 
 _WS = r"\x20\x09-\x0D"
@@ -122,4 +144,5 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l
 m AS (SELECT a, min(b) AS root FROM r GROUP BY a)
 SELECT d.doc_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_shingles, root AS component_id, d.doc_id = root AS kept
 FROM d LEFT JOIN c ON d.doc_id = c.doc_id JOIN m ON d.doc_id = m.a""",
+    "op7_sharding": "SELECT doc_id, lang, source, n_chars, sha256(text) AS text_sha256 FROM documents",
 }
