@@ -7,7 +7,7 @@ by length over the whole text and over its most toxic stretches, give the score.
 
 Counts are kept in tables of a fixed number of buckets, by hash of the word or word pair: the models' size is a
 parameter and does not grow with the data, so that they can be sent to every task. All rows count, none is sampled;
-only the last step, a regression of the label on three numbers, takes a bounded number of labelled rows.
+only the last step, a regression of the label on four numbers, takes a bounded number of labelled rows.
 """
 
 from __future__ import annotations
@@ -26,7 +26,11 @@ WORD_BITS, PAIR_BITS = 20, 22
 WORDS, PAIRS = 1 << WORD_BITS, 1 << PAIR_BITS
 CHUNK = 1 << 12
 #: Words to a stretch, for the features besides the whole text.
-STRETCHES = (3, 12)
+STRETCHES = (1, 4)
+TOP_WORDS = 3
+FEATURES = 2 + len(STRETCHES)
+#: What is taken off a continuation count. A rare word's one to three neighbours in a class say nothing of toxicity: they go to the shared counts in full.
+DISCOUNT = 3.0
 #: Labelled rows at most that the regression is fitted on.
 FIT_ROWS = 20_000
 THRESHOLD = 0.3
@@ -124,40 +128,42 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Arrays by bucket for both classes; ``ratios`` gives the log-likelihood difference of each word."""
+    """Arrays by bucket for both classes; ``word`` has the continuation level, mixed with the shared counts."""
 
     def __init__(self, shared: np.ndarray, classes: list[dict]):
         base = (shared + 1.0) / (shared.sum() + WORDS)
         self.word, self.back, self.per, self.pair = [], [], [], []
         for c in classes:
-            d, k = c["discount"], c["kinds"]
-            follows = c["before"]  # different words before each word
-            d1 = 0.75
-            rest = d1 * (follows > 0).sum() / max(k, 1)
-            low = np.maximum(follows - d1, 0) / max(k, 1) + (rest if k else 1.0) * base
-            n = c["n"]
-            self.word.append(low.astype(np.float32))
+            d, n, kinds = c["discount"], c["n"], c["before"]  # kinds: different words before each word
+            total = max(float(kinds.sum()), 1.0)
+            left = np.minimum(kinds, DISCOUNT).sum() / total if kinds.any() else 1.0
+            self.word.append((np.maximum(kinds - DISCOUNT, 0) / total + left * base).astype(np.float32))
             self.back.append(np.where(n > 0, d * c["after"] / np.maximum(n, 1), 1.0).astype(np.float32))
             self.per.append((1.0 / np.maximum(n, 1)).astype(np.float32))
             self.pair.append(c["pairs"].astype(np.float32))
+        self.low = np.log(self.word[1]) - np.log(self.word[0])
 
     def ratios(self, w: np.ndarray) -> np.ndarray:
+        """Log-likelihood differences of the words after those before them."""
         keys = pair_keys(w)
         v, p = keys >> WORD_BITS, pair_buckets(keys)
         logs = [np.log(self.pair[c][p] * self.per[c][v] + self.back[c][v] * self.word[c][w]) for c in (0, 1)]
         return logs[1] - logs[0]
 
-
-def features(r: np.ndarray) -> list[float]:
-    """Means of the differences: over the text, and over its highest stretch of each length."""
-    if not len(r):
-        return [0.0] * (1 + len(STRETCHES))
-    sums = np.concatenate([[0.0], np.cumsum(r, dtype=np.float64)])
-    out = [float(sums[-1] / len(r))]
-    for n in STRETCHES:
-        n = min(n, len(r))
-        out.append(float((sums[n:] - sums[:-n]).max() / n))
-    return out
+    def features(self, w: np.ndarray) -> list[float]:
+        """Mean difference over the text under the whole models; then, under their continuation level, which copies of a
+        document do not raise (they bring no new neighbours), over the highest stretch of each length and over the
+        TOP_WORDS different words of the highest."""
+        if not len(w):
+            return [0.0] * FEATURES
+        sums = np.concatenate([[0.0], np.cumsum(self.low[w], dtype=np.float64)])
+        out = [float(self.ratios(w).mean())]
+        for n in STRETCHES:
+            n = min(n, len(w))
+            out.append(float((sums[n:] - sums[:-n]).max() / n))
+        each = self.low[np.unique(w)]
+        top = np.partition(each, len(each) - TOP_WORDS)[-TOP_WORDS:] if len(each) > TOP_WORDS else each
+        return [*out, float(top.sum() / TOP_WORDS)]
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> Model:
@@ -184,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     # Pairs seen once keep less than their discount; only repeated pairs claim buckets of their own.
     by_pair = _arrays(pairs.where("n > 1").groupBy("toxic", bucket.alias("k")).agg(F.sum(F.col("n") - d).alias("x"), F.lit(0).cast("long").alias("y")), PAIRS)
     for c in (0, 1):
-        out.append({"discount": discount[c], "kinds": by_w[c][0].sum(), "before": by_w[c][0], "n": by_v[c][0], "after": by_v[c][1], "pairs": by_pair[c][0]})
+        out.append({"discount": discount[c], "before": by_w[c][0], "n": by_v[c][0], "after": by_v[c][1], "pairs": by_pair[c][0]})
     return Model(shared, out)
 
 
@@ -240,7 +246,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         known, own = _Buckets(), Model.__new__(Model)
         vars(own).update(sent.value)
         for b in batches:
-            f = [features(own.ratios(w)) if len(w := word_buckets(t.as_py(), known)) else features(w) for t in b.column(2)]
+            f = [own.features(word_buckets(t.as_py(), known)) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(f, pa.list_(pa.float64()))], names=["id", "fold", "f"])
 
     src = docs.select(col(id_col).alias("id"), fold(id_col).alias("fold"), col(text_col).cast("string").alias("text"))
@@ -248,7 +254,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     measured, _ = materialise(src.mapInArrow(measure, f"id {kind}, fold long, f array<double>"), "toxicity")
     marked = labels.where(col(label_col).isNotNull() & col(id_col).isNotNull() & (fold(id_col) == 3)).groupBy(col(id_col).alias("id")).agg(F.max(col(label_col).cast("int")).alias("toxic"))
     some = measured.where("fold = 3").join(marked, "id").select("f", "toxic", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(FIT_ROWS).collect()
-    x = np.array([r["f"] for r in some]).reshape(-1, 1 + len(STRETCHES))
+    x = np.array([r["f"] for r in some]).reshape(-1, FEATURES)
     w, mean, scale = fit(x, np.array([float(r["toxic"] > 0) for r in some]))
     z = F.lit(float(w[-1]))
     for k in range(len(mean)):
