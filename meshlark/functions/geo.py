@@ -394,7 +394,7 @@ def st_closest_point(g: Column, p: Column) -> Column:
     v = vertex(p)
     feet = F.flatten(F.transform(F.flatten(g["parts"]), lambda line: F.transform(_edges(line), lambda e: segment_foot(e["a"], e["b"], v["x"], v["y"]))))
     ranked = F.array_min(F.transform(feet, lambda f: F.struct(haversine(v["x"], v["y"], f["x"], f["y"]).alias("d"), f["x"].alias("x"), f["y"].alias("y"))))
-    return F.when(g["kind"].isin("MultiPoint", "LineString", "MultiLineString"), point(ranked["x"], ranked["y"]))
+    return F.when(v.isNotNull() & g["kind"].isin("MultiPoint", "LineString", "MultiLineString"), point(ranked["x"], ranked["y"]))
 
 
 def _geometry(row) -> dict | None:
