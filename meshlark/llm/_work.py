@@ -63,6 +63,11 @@ def col(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """df with columns named c0, c1, and so on: Python stages cannot read every name that Spark can."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+
+
 def small_side(df: DataFrame, rows: int, limit: int = 2_000_000) -> DataFrame:
     """Marks df, of so many narrow rows, for broadcast where it is within the limit; beyond, Spark shuffles."""
     return F.broadcast(df) if rows <= limit else df

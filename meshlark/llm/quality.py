@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._work import col
+from ._work import col, numbered
 
 #: Fixed values of the contract.
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -138,15 +138,14 @@ def ablation(book: DataFrame, policy: str | int = CURRENT, rules: tuple[Rule, ..
 
 def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", policy: str = CURRENT) -> DataFrame:
     """df without the rows that the policy rejects; all columns stay. Measures each row where it lies, without a join."""
-    mask = POLICIES[policy]
+    mask, at, plain = POLICIES[policy], df.columns.index(text_col), numbered(df)
 
     def kept(batches):
         for b in batches:
-            at = b.schema.get_field_index(text_col)
             rows = [measure(t.as_py()) for t in b.column(at)]
             yield b.filter(pa.array([not fails(r) & mask for r in rows], pa.bool_()))
 
-    return df.mapInArrow(kept, df.schema)
+    return plain.mapInArrow(kept, plain.schema).toDF(*df.columns)
 
 
 def fails(m: tuple[int, ...]) -> int:
