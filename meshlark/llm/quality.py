@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
-MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper_words"]
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper_words", "n_stutter_words"]
 _WEIGHTS = np.random.default_rng(7).integers(1, 2**63, WINDOW, dtype=np.uint64) | np.uint64(1)
 
 
@@ -63,6 +64,7 @@ def measure(text: str | None) -> tuple[int, ...]:
         len(lines) - len(set(lines)),
         repeat_words(words),
         sum(map(bytes.isupper, words)),
+        sum(map(eq, words, words[1:])),
     )
 
 
@@ -89,11 +91,12 @@ RULES = (
     Rule(3, "duplicate_lines", "2 * n_dup_lines > n_lines"),
     Rule(4, "word_length", "word_chars < 2 * n_words or word_chars > 20 * n_words"),
     Rule(5, "upper_case", "2 * n_upper_words > n_words"),
+    Rule(6, "stutter", "4 * n_stutter_words > n_words"),
 )
 BASE = 0b11
 #: Versioned policies: a document stays when it fails none of the policy's bits.
-POLICIES = {"base": BASE, "2026-01": BASE | 0b100, "2026-02": 0b111111}
-CURRENT = "2026-02"
+POLICIES = {"base": BASE, "2026-01": BASE | 0b100, "2026-02": 0b111111, "2026-03": 0b1111111}
+CURRENT = "2026-03"
 
 
 def ledger(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -150,6 +153,6 @@ def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pol
 
 def fails(m: tuple[int, ...]) -> int:
     """failed_bits of one row of MEASURES, as RULES has them."""
-    n_words, word_chars, n_symbols, n_lines, n_dup, n_repeat, n_upper = m
-    tests = (n_words < 10, 100 * n_repeat > 20 * n_words, 10 * n_symbols > n_words, 2 * n_dup > n_lines, word_chars < 2 * n_words or word_chars > 20 * n_words, 2 * n_upper > n_words)
+    n_words, word_chars, n_symbols, n_lines, n_dup, n_repeat, n_upper, n_stutter = m
+    tests = (n_words < 10, 100 * n_repeat > 20 * n_words, 10 * n_symbols > n_words, 2 * n_dup > n_lines, word_chars < 2 * n_words or word_chars > 20 * n_words, 2 * n_upper > n_words, 4 * n_stutter > n_words)
     return sum(1 << k for k, t in enumerate(tests) if t)

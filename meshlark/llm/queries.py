@@ -17,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality.ledger(_table(spark, sf_dir, "documents"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    more = ["n_lines", "n_upper_words", "failed_bits"]
+    more = ["n_lines", "n_upper_words", "n_stutter_words", "failed_bits"]
     return book.select("doc_id", *names, (~quality.verdict("base")).alias("base_failed"), quality.verdict().alias("kept"), *more)
 
 
@@ -104,11 +104,12 @@ lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup F
 m AS (SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
   CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(lines.n, 0) AS BIGINT) AS n_lines,
   CAST(coalesce(lines.dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(cover.n, 0) AS BIGINT) AS n_repeat_words,
-  CAST(len(list_filter(ws, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS BIGINT) AS n_upper_words
+  CAST(len(list_filter(ws, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS BIGINT) AS n_upper_words,
+  CAST(len(list_filter(list_zip(ws[2:], ws[:-2]), lambda x: x[1] = x[2])) AS BIGINT) AS n_stutter_words
   FROM d LEFT JOIN cover ON d.doc_id = cover.doc_id LEFT JOIN lines ON d.doc_id = lines.doc_id),
 b AS (SELECT *, CAST((n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT + 8 * (2 * n_dup_lines > n_lines)::INT
-  + 16 * (word_chars < 2 * n_words OR word_chars > 20 * n_words)::INT + 32 * (2 * n_upper_words > n_words)::INT AS BIGINT) AS failed_bits FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_bits & 3) <> 0 AS base_failed, failed_bits = 0 AS kept, n_lines, n_upper_words, failed_bits FROM b""",
+  + 16 * (word_chars < 2 * n_words OR word_chars > 20 * n_words)::INT + 32 * (2 * n_upper_words > n_words)::INT + 64 * (4 * n_stutter_words > n_words)::INT AS BIGINT) AS failed_bits FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_bits & 3) <> 0 AS base_failed, failed_bits = 0 AS kept, n_lines, n_upper_words, n_stutter_words, failed_bits FROM b""",
     "op3_line_dedup": rf"""
 WITH l AS (SELECT doc_id, generate_subscripts(a, 1) AS pos, unnest(a) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
 k AS (SELECT *, translate(regexp_replace(line, '^[{_WS}]+|[{_WS}]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
