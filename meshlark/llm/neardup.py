@@ -5,8 +5,9 @@ classes are banded; documents that share a band are candidates. A candidate pair
 batch by batch, and the pair is dropped once the posterior probability that its similarity reaches the
 threshold is below the chosen miss probability. Survivors are verified on their full shingle sets.
 
-No bucket is ever expanded into all its pairs. Each member is first tested with its buckets' smallest member;
-only members that are then still in different components are tested with each other.
+No bucket is ever expanded into all its pairs. Each member is first tested with its buckets' smallest member, then
+with those of its other buckets; only members that are then still in different components are compared with each
+other, block by block, without making rows of the pairs.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ WORDS, PERCENT = 4, 80
 BANDS, ROWS, BATCH = 32, 4, 32
 SIZE = BANDS * ROWS
 MISS = 1e-6
-#: Members of a bucket up to which its remaining pairs are formed directly.
-SMALL_BUCKET = 256
+#: Members to a block, where a bucket's remaining members are compared with each other.
+BLOCK = 256
 
 _rng = np.random.default_rng(20260101)
 _MUL = _rng.integers(1, 2**63, SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -122,15 +123,21 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """A key for each band of each signature, the band's number mixed in."""
+    s = sig.reshape(-1, BANDS, ROWS).astype(np.uint64)
+    key = np.broadcast_to(_BAND, s.shape[:2]).copy()
+    for r in range(ROWS):
+        key = _mix((key ^ s[:, :, r]) * _P)
+    return key.view(np.int64)
+
+
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        s = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u4").reshape(-1, BANDS, ROWS).astype(np.uint64)
-        key = np.broadcast_to(_BAND, s.shape[:2]).copy()
-        for r in range(ROWS):
-            key = _mix((key ^ s[:, :, r]) * _P)
+        key = band_keys(np.frombuffer(b"".join(b.column(1).to_pylist()), "<u4")).reshape(-1)
         reps = np.repeat(np.asarray(b.column(0)), BANDS)
         for k in range(0, len(reps), 1 << 17):
-            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)[k : k + (1 << 17)]), pa.array(reps[k : k + (1 << 17)])], names=["key", "rep"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[k : k + (1 << 17)]), pa.array(reps[k : k + (1 << 17)])], names=["key", "rep"])
 
 
 def _survive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,38 +221,84 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return out.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _rest(buckets: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs of a bucket's members that are still apart and that no leader has tested.
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, lo, hi, block, rep, root, n, sig, text) in order of key, lo, hi: links between members of block lo and
+    block hi of a bucket. A pair is compared in the first band that it shares only; pairs that found links have joined
+    by then are left out."""
+    hashes, need = _WordHashes(), least_matches()
+
+    def compare(key: int, lo: int, hi: int, rows: list[tuple]) -> list[tuple[int, int]]:
+        rows = list({r[1]: r for r in rows}.values())
+        sig = np.frombuffer(b"".join(r[4] for r in rows), "<u4").reshape(-1, SIZE)
+        bands = band_keys(sig)
+        band = int(np.flatnonzero((bands == key).all(axis=0))[0])
+        reps, roots, n, block = (np.array([r[k] for r in rows]) for k in (1, 2, 3, 0))
+        sets: dict[int, np.ndarray] = {}
+        parent = {int(r): int(r) for r in roots}
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        out = []
+        for i in np.flatnonzero(block == lo):
+            j = np.flatnonzero((block == hi) & (roots != roots[i]) & ((reps > reps[i]) | (lo != hi)))
+            j = j[100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i])]
+            j = j[~(bands[j, :band] == bands[i, :band]).any(axis=1)]
+            found = np.zeros(len(j), np.int64)
+            for k, least in enumerate(need):
+                part = slice(k * BATCH, (k + 1) * BATCH)
+                found += (sig[j, part] == sig[i, part]).sum(axis=1)
+                j, found = j[found >= least], found[found >= least]
+            for m in j.tolist():
+                x, y = find(int(roots[i])), find(int(roots[m]))
+                if x == y:
+                    continue
+                for k in (int(i), m):
+                    if k not in sets:
+                        sets[k] = shingles(rows[k][5], hashes)
+                if linked(sets[int(i)], sets[m]):
+                    parent[max(x, y)] = min(x, y)
+                    out.append((int(reps[i]), int(reps[m])))
+        return out
+
+    group, held = None, []
+
+    def done():
+        found = compare(*group, held)
+        return pa.RecordBatch.from_arrays([pa.array([min(f) for f in found], pa.int64()), pa.array([max(f) for f in found], pa.int64())], names=["a", "b"])
+
+    for b in batches:
+        for key, lo, hi, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if (key, lo, hi) != group:
+                if group is not None:
+                    yield done()
+                group, held = (key, lo, hi), []
+            held.append(tuple(row))
+    if group is not None:
+        yield done()
+
+
+def _rest(buckets: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between a bucket's members that are still apart and that no leader has tested; a table.
 
-    Buckets of up to SMALL_BUCKET such members give them directly. Members of larger ones go through an exact
-    prefix filter: of two sets with the wanted similarity, each has one of the other's shingles among its rarest.
+    A bucket's members are dealt to blocks of about BLOCK, and each two blocks meet in one group: a row goes to as
+    many groups as its bucket has blocks, and no pairs become rows but those that are linked.
     """
-    n = roots.count()
-    known = buckets.join(small_side(roots.select(F.col("node").alias("rep"), "root"), n), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
-    mixed = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi").select("key", "n")
-    members, path = materialise(known.join(mixed, "key"), "members")
-    few = members.where(F.col("n") <= SMALL_BUCKET)
-    x, y = few.select("key", F.col("rep").alias("a"), F.col("root").alias("ra")), few.select("key", F.col("rep").alias("b"), F.col("root").alias("rb"))
-    pairs = x.join(y, "key").where("a < b and ra <> rb").select("a", "b").distinct()
-    many = members.where(F.col("n") > SMALL_BUCKET).select("rep", "root").distinct()
-    n = many.count()
-    if n:
-        def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = _WordHashes()
-            for b in batches:
-                for rep, root, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    s = shingles(text, hashes).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([rep] * len(s), pa.int64()), pa.array([root] * len(s), pa.int64()), pa.array([len(s)] * len(s), pa.int64()), pa.array(s)], names=["rep", "root", "n", "h"])
-
-        rows = texts.join(small_side(many.withColumnRenamed("rep", "id"), n), "id").select("id", "root", "text").mapInArrow(explode, "rep long, root long, n long, h long")
-        rows, more = materialise(rows, "prefixes")
-        ranked = rows.join(rows.groupBy("h").agg(F.count(F.lit(1)).alias("df")), "h").groupBy("rep", "root", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("s"))
-        prefix = ranked.select("rep", "root", "n", F.explode(F.slice("s", F.lit(1), (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int"))).alias("t")).select("rep", "root", "n", F.col("t.h").alias("h"))
-        x = prefix.select("h", F.col("rep").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-        y = prefix.select("h", F.col("rep").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
-        near = f"a < b and ra <> rb and 100 * least(na, nb) >= {PERCENT} * greatest(na, nb)"
-        pairs = pairs.unionByName(x.join(y, "h").where(near).select("a", "b")).distinct()
-    return pairs
+    known = buckets.join(small_side(roots.select(F.col("node").alias("rep"), "root"), roots.count()), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
+    mixed = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("low < high").select("key", "blocks")
+    mixed, _ = materialise(mixed, "mixed")
+    members = known.join(small_side(mixed, mixed.count(), 1_000_000), "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    rows = members.select("key", "rep", "root", "block", other).select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "root")
+    rows, path = materialise(rows, "members")
+    n = rows.count()
+    full = texts.join(small_side(rows.withColumnRenamed("rep", "id"), n, 1_000_000), "id").withColumnRenamed("id", "rep").join(classes.select("rep", "n_shingles", "sig"), "rep")
+    full = full.select("key", "lo", "hi", "block", "rep", "root", "n_shingles", "sig", "text").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    out, _ = materialise(full.mapInArrow(_compare_blocks, "a long, b long").distinct(), "links")
+    remove(buckets.sparkSession, path)
+    return out
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,7 +312,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     src = df.select(col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(col(text_col).cast("string"), F.lit(""))).alias("text_hash"), col(text_col).cast("string").alias("text"))
     signed, signed_path = materialise(src.mapInArrow(_sign, "id long, text_hash long, n_shingles long, digest binary, sig binary"), "signed")
-    classes = signed.where("n_shingles > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig"))
+    classes = signed.where("n_shingles > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
     classes, _ = materialise(classes, "classes")
     reps, texts = classes.select("rep", "sig"), src.where("id is not null").select("id", "text")
 
@@ -274,7 +327,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tested = buckets.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     links = links.unionByName(_linked_pairs(_apart(tested, roots), reps, texts))
     roots = components(links)
-    links = links.unionByName(_linked_pairs(_rest(buckets.select("key", "rep"), roots, texts), reps, texts))
+    links = links.unionByName(_rest(buckets.select("key", "rep"), roots, classes, texts))
     roots = components(links)
 
     several = classes.where("n > 1").select("digest", "rep")
