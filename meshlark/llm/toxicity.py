@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._work import col, materialise
+from ._work import col, materialise, small_side
 
 WORD_BITS, PAIR_BITS = 20, 22
 WORDS, PAIRS = 1 << WORD_BITS, 1 << PAIR_BITS
@@ -175,8 +175,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
         shared[r["part"] * CHUNK : (r["part"] + 1) * CHUNK] = np.frombuffer(r["n"], "<i8")
 
     marked = labels.where(col(label_col).isNotNull() & col(id_col).isNotNull() & (fold(id_col) < 2)).groupBy(col(id_col).alias("id")).agg(F.max(col(label_col).cast("int")).alias("toxic"))
+    marked, _ = materialise(marked, "labels")
     own = docs.where(fold(id_col) < 2).select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
-    counted = own.join(marked, "id").select("text", "toxic").mapInArrow(_count_pairs, "toxic tinyint, pair long, n long")
+    counted = own.join(small_side(marked, marked.count()), "id").select("text", "toxic").mapInArrow(_count_pairs, "toxic tinyint, pair long, n long")
     pairs, _ = materialise(counted.groupBy("toxic", "pair").agg(F.sum("n").alias("n")), "pairs")
     v, w = F.shiftright("pair", WORD_BITS), F.col("pair").bitwiseAND(F.lit(WORDS - 1))
     out = []
