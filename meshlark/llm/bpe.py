@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,9 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._pieces import Pieces
-from ._work import col, open_fs, scratch
+from ._work import col, numbered, open_fs, scratch
 
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 8_000_000
 WORD_PARTS = 64
 
 
@@ -30,17 +32,26 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
-def _coder(data: bytes, pattern: str):
-    import tiktoken
+def word_coder(library: str, data: bytes, pattern: str):
+    """A function from the bytes of one match of the pattern to its ids. data: the vocabulary file of the library."""
+    if library == "tiktoken":
+        import tiktoken
 
-    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(data), special_tokens={})
+        return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(data), special_tokens={})._encode_single_piece
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_str(data.decode())
+    coder.encode_special_tokens = True
+    return lambda w: coder.encode(w.decode(), add_special_tokens=False).ids
 
 
 def pack(items: list[bytes]) -> bytes:
-    return np.array([len(items), *map(len, items)], "<u4").tobytes() + b"".join(items)
+    return zlib.compress(np.array([len(items), *map(len, items)], "<u4").tobytes() + b"".join(items), 1)
 
 
 def unpack(data: bytes) -> list[bytes]:
+    data = zlib.decompress(data)
     n = int(np.frombuffer(data, "<u4", 1)[0])
     at = 4 * (n + 1)
     ends = np.cumsum(np.frombuffer(data, "<u4", n, 4), dtype=np.int64) + at
@@ -59,9 +70,10 @@ def _in_blocks(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[tuple[
                 k, size = k + 1, 0
 
 
-def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """df with a column of token ids (array of int) for each whole text, as the tiktoken library would encode it
-    without special tokens.
+def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", library: str = "tiktoken", packed: str | None = None) -> DataFrame:
+    """df with a column of token ids for each whole text, as the library (tiktoken or tokenizers, with a file of its
+    own and byte-level BPE by this pattern) would encode it without special tokens. The ids are an array of int, or,
+    ``packed``, the bytes of an array of that numpy type.
 
     A null or empty text has no ids; repeated rows are encoded alike; all columns stay, one called ``ids_col`` is
     replaced. The vocabulary file is read on the driver and sent to the tasks; its size does not depend on the data.
@@ -101,7 +113,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
             yield dealt()
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(sent.value, pattern)
+        code = word_coder(library, sent.value, pattern)
         known: dict[bytes, bytes] = {}
         for b in batches:
             for block, words in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
@@ -110,8 +122,8 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
                     if w not in known:
                         if len(known) > 600_000:
                             known.clear()
-                        known[w] = np.array(coder._encode_single_piece(w), "<u4").tobytes()
-                found = pack([known[w] if w in known else np.array(coder._encode_single_piece(w), "<u4").tobytes() for w in words])
+                        known[w] = np.array(code(w), "<u4").tobytes()
+                found = pack([known[w] if w in known else np.array(code(w), "<u4").tobytes() for w in words])
                 yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([pack(words)], pa.binary()), pa.array([found], pa.binary())], names=["block", "words", "ids"])
 
     path = scratch(spark, "words")
@@ -120,12 +132,13 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
 
     names = [c for c in df.columns if c != ids_col]
     place = names.index(text_col)
-    schema = df.select(*map(col, names)).schema.add(ids_col, T.ArrayType(T.IntegerType()))
+    plain = numbered(df.select(*map(col, names)))
+    schema = T.StructType([*plain.schema.fields]).add("ids", T.BinaryType() if packed else T.ArrayType(T.IntegerType()))
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.parquet as pq
 
-        coder, split = _coder(sent.value, pattern), regex.compile(pattern).findall
+        code, split = word_coder(library, sent.value, pattern), regex.compile(pattern).findall
         fs, root = open_fs(path)
         known: dict[bytes, bytes] = {}
 
@@ -134,7 +147,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
             for w in split(piece):
                 w = w.encode()
                 if w not in known:
-                    known[w] = np.array(coder._encode_single_piece(w), "<u4").tobytes()
+                    known[w] = np.array(code(w), "<u4").tobytes()
                 out.append(known[w])
             return b"".join(out)
 
@@ -156,11 +169,14 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
             for s in range(0, rows.num_rows, 64):
                 part = rows.slice(s, 64)
                 found = [b"".join(pieces.of(t.as_py() or "")) for t in part.column(place)]
-                ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(found), "<i4"))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(ends), values)], names=[*names, ids_col])
+                if packed:
+                    ids_of = pa.array([np.frombuffer(x, "<u4").astype(packed).tobytes() for x in found], pa.binary())
+                else:
+                    ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
+                    ids_of = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4")))
+                yield pa.RecordBatch.from_arrays([*part.columns, ids_of], names=schema.names)
 
-    return df.select(*map(col, names)).mapInArrow(assemble, schema)
+    return plain.mapInArrow(assemble, schema).toDF(*names, ids_col)
 
 
 def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
@@ -174,6 +190,8 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str
         sent = spark.sparkContext.broadcast(f.read())
     names = [c for c in df.columns if c != bytes_col]
     place = names.index(ids_col)
+    plain = numbered(df.select(*map(col, names)))
+    schema = T.StructType([*plain.schema.fields]).add("decoded", T.BinaryType())
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = {i: w for w, i in read_ranks(sent.value).items()}
@@ -181,9 +199,9 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str
             for s in range(0, b.num_rows, 256):
                 part = b.slice(s, 256)
                 found = [None if x is None else b"".join(map(table.__getitem__, x)) for x in (x.as_py() for x in part.column(place))]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=[*names, bytes_col])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=schema.names)
 
-    return df.select(*map(col, names)).mapInArrow(look_up, df.select(*map(col, names)).schema.add(bytes_col, T.BinaryType()))
+    return plain.mapInArrow(look_up, schema).toDF(*names, bytes_col)
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

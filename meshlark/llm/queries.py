@@ -67,7 +67,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repair_tokens(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
     import public_tokenizers
 
-    return repair.read_documents(spark, repair.write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary), end_id=2))
+    return repair.read_documents(spark, repair.write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary), public_tokenizers.PATTERN, end_id=2))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
