@@ -5,13 +5,17 @@ labelled or not. So an expression that neither class has seen enough of is judge
 the comparison little. A document's words get log-likelihoods under both models; the differences, normalised
 by length over the whole text and over its most toxic stretches, give the score.
 
-Counts are kept in tables of a fixed number of buckets, by hash of the word or word pair: the models' size is a
-parameter and does not grow with the data, so that they can be sent to every task. All rows count, none is sampled;
-only the last step, a regression of the label on four numbers, takes a bounded number of labelled rows.
+Counts are kept by word and by word pair (64-bit hashes), as many as the corpus has, and never gathered in one place.
+Documents are numbered in blocks, whose files stay in the shared folder. Each block asks for its distinct pairs, and
+then for its distinct words, in parts by hash; a part sums what all blocks sent and answers each of them. All rows and
+pairs count, none is sampled; only the last step, a regression of the label on four numbers, takes a bounded number
+of labelled rows.
 """
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 import zlib
 from collections.abc import Iterator
 
@@ -20,11 +24,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._work import col, materialise, small_side
+from ._work import col, materialise, open_fs, scratch, small_side
 
-WORD_BITS, PAIR_BITS = 20, 22
-WORDS, PAIRS = 1 << WORD_BITS, 1 << PAIR_BITS
-CHUNK = 1 << 12
+#: Words to a block, and pairs or words asked for to a part: what a task holds. They set how work is cut, not results.
+BLOCK_WORDS, PART_KEYS = 1_000_000, 1_000_000
 #: Words to a stretch, for the features besides the whole text.
 STRETCHES = (1, 4)
 TOP_WORDS = 3
@@ -36,30 +39,37 @@ FIT_ROWS = 20_000
 THRESHOLD = 0.3
 
 _TABLE = bytes(c if 97 <= c <= 122 or c >= 128 or c == 39 else 32 for c in range(256))
+#: Counts of a word: in all texts, then by class as a word before another, of different words after it, and before it.
+WORD_COUNTS = 7
+_ASKED, _ANSWERED = "part int, block string, data binary", "block string, part int, data binary, totals array<double>"
 
 
-class _Buckets(dict):
+class _Index(dict):
+    """Words by number, in order of appearance; the start of a text is number 0."""
+
+    def __init__(self):
+        self[b""] = 0
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-        self[word] = h = zlib.crc32(word) & (WORDS - 1)
-        return h
+        self[word] = n = len(self)
+        return n
 
 
-def word_buckets(text: str | None, known: dict[bytes, int]) -> np.ndarray:
-    """The buckets of a text's words: runs of letters, in lower case."""
+def word_numbers(text: str | None, known: dict[bytes, int]) -> np.ndarray:
+    """The numbers of a text's words: runs of letters, in lower case."""
     words = (text or "").lower().encode().translate(_TABLE).split()
-    return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+    return np.fromiter(map(known.__getitem__, words), np.uint32, len(words))
 
 
-def pair_keys(w: np.ndarray) -> np.ndarray:
-    """A number for each word and the one before it; the first follows the start of the text."""
-    before = np.concatenate([[WORDS], w[:-1]]) if len(w) else w
-    return before << WORD_BITS | w
+def word_hash(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
 
-def pair_buckets(keys: np.ndarray) -> np.ndarray:
-    return ((keys >> WORD_BITS) * 2654435761 + (keys & WORDS - 1) * 40503) & PAIRS - 1
+def pair_hashes(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """64-bit hashes of pairs of word hashes, order being told apart."""
+    x = v * np.uint64(0x9E3779B97F4A7C15) + w
+    x = (x ^ x >> np.uint64(31)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return x ^ x >> np.uint64(29)
 
 
 def fold(id_col: str) -> Column:
@@ -67,150 +77,241 @@ def fold(id_col: str) -> Column:
     return F.pmod(F.crc32(F.coalesce(col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(4))
 
 
-def _sum_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word counts of a task, in chunks of the table."""
-    known, total = _Buckets(), np.zeros(WORDS, np.int64)
-    held: list[np.ndarray] = []
-    size = 0
-    for b in batches:
-        for t in b.column(0):
-            w = word_buckets(t.as_py(), known)
-            held.append(w)
-            size += len(w)
-            if size > WORDS:
-                total += np.bincount(np.concatenate(held), minlength=WORDS)
-                held, size = [], 0
-    if held:
-        total += np.bincount(np.concatenate(held), minlength=WORDS)
-    parts = [k for k in range(WORDS // CHUNK) if total[k * CHUNK : (k + 1) * CHUNK].any()]
-    yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([total[k * CHUNK : (k + 1) * CHUNK].astype("<i8").tobytes() for k in parts], pa.binary())], names=["part", "n"])
-
-
-def _add_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums the chunks of a part; rows come sorted by part."""
-    last, total = None, None
-    for b in batches:
-        for part, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            if part != last:
-                if last is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array([last], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "n"])
-                last, total = part, np.zeros(CHUNK, np.int64)
-            total += np.frombuffer(n, "<i8")
-    if last is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([last], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "n"])
+def _planes(a: np.ndarray) -> bytes:
+    """Bytes of numbers by significance, so that leading zeros lie together and compress."""
+    return np.ascontiguousarray(a.reshape(-1).view(np.uint8).reshape(-1, a.itemsize).T).tobytes()
+
+
+def _numbers(data: bytes, kind: str, columns: int = 1) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    a = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+    return a.reshape(-1, columns) if columns > 1 else a
+
+
+class Block:
+    """Documents of a block with their words by number, and its distinct pairs in order."""
+
+    def __init__(self, uri: str):
+        fs, path = open_fs(uri)
+        with fs.open_input_stream(path) as f:
+            self.ids, self.folds, self.toxic, self.sizes, words, self.hashes = pickle.loads(zlib.decompress(f.read()))
+        self.w = _numbers(words, "<u4").astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        v = np.concatenate([[0], self.w[:-1]]) if len(self.w) else self.w
+        v[self.starts[self.sizes > 0]] = 0
+        self.pairs, self.at = np.unique(v * len(self.hashes) + self.w, return_inverse=True)
+        self.v_of, self.w_of = np.divmod(self.pairs, len(self.hashes))
+        self.keys = pair_hashes(self.hashes[self.v_of], self.hashes[self.w_of])
+
+    def by_class(self) -> np.ndarray:
+        """Counts of the pairs in ordinary and in toxic documents of folds 0 and 1."""
+        label = np.array([-1 if t is None or f > 1 else int(t > 0) for t, f in zip(self.toxic, self.folds, strict=True)], np.int8)
+        label = np.repeat(label, self.sizes)
+        return np.column_stack([np.bincount(self.at[label == c], minlength=len(self.pairs)) for c in (0, 1)]).astype("<i8")
+
+
+def _by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of keys in order, and where each part, a range of them, begins."""
+    order = np.argsort(keys)
+    part = (keys[order] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    return order, np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+
+
+def _ask(block: str, keys: np.ndarray, counts: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    order, cuts = _by_part(keys, parts)
+    for p in range(parts):
+        own = order[cuts[p] : cuts[p + 1]]
+        if len(own):
+            gaps = np.diff(keys[own], prepend=np.uint64(0))
+            data = pickle.dumps((_planes(gaps), zlib.compress(_planes(counts[own]), 1)), 5)
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([block]), pa.array([data], pa.binary())], names=["part", "block", "data"])
+
+
+def _answer(columns: int, owners: bool, totals):
+    """Sums what blocks sent of a part's keys, and answers each block; ``owners``: a further column is 1 at one of the
+    blocks that have a key. Rows come in order of part. The first answer of a part has ``totals`` of its sums."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def close(part, blocks, keys, counts):
+            cuts = np.cumsum([0, *map(len, keys)])
+            found, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+            counts = np.concatenate(counts)
+            sums = np.column_stack([np.bincount(at, counts[:, k], len(found)) for k in range(columns)]).astype("<i8")
+            own = np.zeros(len(at), "<i8")
+            own[first] = 1
+            for k, b in enumerate(blocks):
+                x = sums[at[cuts[k] : cuts[k + 1]]]
+                if owners:
+                    x = np.column_stack([x, own[cuts[k] : cuts[k + 1]]])
+                said = totals(found, sums) if k == 0 else None
+                yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([part], pa.int32()), pa.array([zlib.compress(_planes(x), 1)], pa.binary()), pa.array([said], pa.list_(pa.float64()))], names=["block", "part", "data", "totals"])
+
+        last, held = None, ([], [], [])
+        for b in batches:
+            for part, block, data in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                if part != last and held[0]:
+                    yield from close(last, *held)
+                    held = ([], [], [])
+                last = part
+                gaps, counts = pickle.loads(data)
+                held[0].append(block)
+                held[1].append(np.cumsum(_numbers(gaps, "<u8"), dtype=np.uint64))
+                held[2].append(_numbers(zlib.decompress(counts), "<i8", columns))
+        if held[0]:
+            yield from close(last, *held)
+
+    return run
+
 
+def _pair_totals(found: np.ndarray, sums: np.ndarray) -> list[float]:
+    """Pairs seen once and twice, by class."""
+    return [float((sums[:, c] == n).sum()) for c in (0, 1) for n in (1, 2)]
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, pair, n), summed over stretches of about a million words."""
-    known = _Buckets()
-    held: dict[int, list] = {0: [], 1: []}
-    size = 0
 
-    def flush():
-        for label, keys in held.items():
-            if keys:
-                pair, n = np.unique(np.concatenate(keys), return_counts=True)
-                for s in range(0, len(pair), 1 << 17):
-                    p = pair[s : s + (1 << 17)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), label, np.int8)), pa.array(p), pa.array(n[s : s + (1 << 17)])], names=["toxic", "pair", "n"])
-                keys.clear()
+def _word_totals(found: np.ndarray, sums: np.ndarray) -> list[float]:
+    """Different words, and words; by class, continuation counts and what DISCOUNT takes of them."""
+    kinds = sums[:, 5:7]
+    return [float((found != word_hash(b"")).sum()), float(sums[:, 0].sum()), *map(float, kinds.sum(axis=0)), *map(float, np.minimum(kinds, DISCOUNT).sum(axis=0))]
 
+
+def _summed(answers: DataFrame, size: int) -> list[float]:
+    r = answers.where("totals is not null").agg(*[F.coalesce(F.sum(F.get("totals", F.lit(k))), F.lit(0.0)) for k in range(size)]).first()
+    return list(r)
+
+
+def _gathered(keys: np.ndarray, parts: int, rows: list[tuple[int, bytes]], columns: int) -> np.ndarray:
+    """A block's answers in order of its keys."""
+    out = np.zeros((len(keys), columns), np.int64)
+    order, cuts = _by_part(keys, parts)
+    for p, data in rows:
+        out[order[cuts[p] : cuts[p + 1]]] = _numbers(zlib.decompress(data), "<i8", columns)
+    return out
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, dict[int, list[tuple[int, bytes]]]]]:
+    """Block, and its answers by kind; rows (block, kind, part, data) come in order of block."""
+    last, held = None, {}
     for b in batches:
-        for t, label in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-            w = word_buckets(t.as_py(), known)
-            if len(w):
-                held[1 if label else 0].append(pair_keys(w))
-                size += len(w)
-                if size > 1 << 20:
-                    yield from flush()
-                    size = 0
-    yield from flush()
-
-
-class Model:
-    """Arrays by bucket for both classes; ``word`` has the continuation level, mixed with the shared counts."""
-
-    def __init__(self, shared: np.ndarray, classes: list[dict]):
-        base = (shared + 1.0) / (shared.sum() + WORDS)
-        self.word, self.back, self.per, self.pair = [], [], [], []
-        for c in classes:
-            d, n, kinds = c["discount"], c["n"], c["before"]  # kinds: different words before each word
-            total = max(float(kinds.sum()), 1.0)
-            left = np.minimum(kinds, DISCOUNT).sum() / total if kinds.any() else 1.0
-            self.word.append((np.maximum(kinds - DISCOUNT, 0) / total + left * base).astype(np.float32))
-            self.back.append(np.where(n > 0, d * c["after"] / np.maximum(n, 1), 1.0).astype(np.float32))
-            self.per.append((1.0 / np.maximum(n, 1)).astype(np.float32))
-            self.pair.append(c["pairs"].astype(np.float32))
-        self.low = np.log(self.word[1]) - np.log(self.word[0])
-
-    def ratios(self, w: np.ndarray) -> np.ndarray:
-        """Log-likelihood differences of the words after those before them."""
-        keys = pair_keys(w)
-        v, p = keys >> WORD_BITS, pair_buckets(keys)
-        logs = [np.log(self.pair[c][p] * self.per[c][v] + self.back[c][v] * self.word[c][w]) for c in (0, 1)]
-        return logs[1] - logs[0]
-
-    def features(self, w: np.ndarray) -> list[float]:
-        """Mean difference over the text under the whole models; then, under their continuation level, which copies of a
-        document do not raise (they bring no new neighbours), over the highest stretch of each length and over the
-        TOP_WORDS different words of the highest."""
-        if not len(w):
-            return [0.0] * FEATURES
-        sums = np.concatenate([[0.0], np.cumsum(self.low[w], dtype=np.float64)])
-        out = [float(self.ratios(w).mean())]
+        for block, kind, part, data in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+            if block != last:
+                if last is not None:
+                    yield last, held
+                last, held = block, {0: [], 1: []}
+            if data is not None:
+                held[kind].append((part, data))
+    if last is not None:
+        yield last, held
+
+
+def _features(block: Block, pair_n: np.ndarray, words: np.ndarray, discount: list[float], totals: list[float]) -> Iterator[list[float]]:
+    """Per document: mean difference over the text under the whole models; then, under their continuation level, which
+    copies of a document do not raise (they bring no new neighbours), over the highest stretch of each length and over
+    the TOP_WORDS different words of the highest."""
+    base = (words[:, 0] + 1.0) / (totals[1] + totals[0])
+    word, logs = [], []
+    for c in (0, 1):
+        kinds, n = words[:, 5 + c], words[:, 1 + c]
+        total = max(totals[2 + c], 1.0)
+        left = totals[4 + c] / total if totals[2 + c] else 1.0
+        word.append(np.maximum(kinds - DISCOUNT, 0) / total + left * base)
+        back = np.where(n > 0, discount[c] * words[:, 3 + c] / np.maximum(n, 1), 1.0)
+        seen = np.maximum(pair_n[:, c] - discount[c], 0) / np.maximum(n, 1)[block.v_of]
+        logs.append(np.log(seen + back[block.v_of] * word[c][block.w_of]))
+    ratios = np.concatenate([[0.0], np.cumsum((logs[1] - logs[0])[block.at])])
+    low = np.log(word[1]) - np.log(word[0])
+    for start, size in zip(block.starts.tolist(), block.sizes.tolist(), strict=True):
+        if not size:
+            yield [0.0] * FEATURES
+            continue
+        w = block.w[start : start + size]
+        sums = np.concatenate([[0.0], np.cumsum(low[w])])
+        out = [float((ratios[start + size] - ratios[start]) / size)]
         for n in STRETCHES:
-            n = min(n, len(w))
+            n = min(n, size)
             out.append(float((sums[n:] - sums[:-n]).max() / n))
-        each = self.low[np.unique(w)]
+        each = low[np.unique(w)]
         top = np.partition(each, len(each) - TOP_WORDS)[-TOP_WORDS:] if len(each) > TOP_WORDS else each
-        return [*out, float(top.sum() / TOP_WORDS)]
-
+        yield [*out, float(top.sum() / TOP_WORDS)]
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> Model:
-    """The models, from all texts and from the labels of folds 0 and 1."""
-    text = docs.select(col(text_col).cast("string").alias("text"))
-    chunks = text.mapInArrow(_sum_words, "part int, n binary").repartition("part").sortWithinPartitions("part").mapInArrow(_add_chunks, "part int, n binary")
-    shared = np.zeros(WORDS, np.int64)
-    for r in chunks.toLocalIterator():
-        shared[r["part"] * CHUNK : (r["part"] + 1) * CHUNK] = np.frombuffer(r["n"], "<i8")
 
-    marked = labels.where(col(label_col).isNotNull() & col(id_col).isNotNull() & (fold(id_col) < 2)).groupBy(col(id_col).alias("id")).agg(F.max(col(label_col).cast("int")).alias("toxic"))
+def measure(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """One row per document: id, fold, toxic (its label, if any, in folds 0, 1 and 3) and f, its features under the models of folds 0 and 1."""
+    spark = docs.sparkSession
+    block_words, part_keys = BLOCK_WORDS, PART_KEYS
+    marked = labels.where(col(label_col).isNotNull() & col(id_col).isNotNull() & (fold(id_col) != 2)).groupBy(col(id_col).alias("id")).agg(F.max(col(label_col).cast("int")).alias("toxic"))
     marked, _ = materialise(marked, "labels")
-    own = docs.where(fold(id_col) < 2).select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
-    counted = own.join(small_side(marked, marked.count()), "id").select("text", "toxic").mapInArrow(_count_pairs, "toxic tinyint, pair long, n long")
-    pairs, _ = materialise(counted.groupBy("toxic", "pair").agg(F.sum("n").alias("n")), "pairs")
-    v, w = F.shiftright("pair", WORD_BITS), F.col("pair").bitwiseAND(F.lit(WORDS - 1))
-    out = []
-    # Each of these has as many rows as the table has buckets, at most.
-    by_v = _arrays(pairs.groupBy("toxic", v.alias("k")).agg(F.sum("n").alias("x"), F.count(F.lit(1)).alias("y")), WORDS + 1)
-    by_w = _arrays(pairs.groupBy("toxic", w.alias("k")).agg(F.count(F.lit(1)).alias("x"), F.lit(0).cast("long").alias("y")), WORDS)
-    seen = {(r["toxic"], r["n"]): r["m"] for r in pairs.where("n <= 2").groupBy("toxic", "n").agg(F.count(F.lit(1)).alias("m")).collect()}
-    discount = [d if 0 < (d := seen.get((c, 1), 0) / max(1, seen.get((c, 1), 0) + 2 * seen.get((c, 2), 0))) < 1 else 0.75 for c in (0, 1)]
-    d = F.when(F.col("toxic") == 1, F.lit(discount[1])).otherwise(F.lit(discount[0]))
-    bucket = (v * 2654435761 + w * 40503).bitwiseAND(F.lit(PAIRS - 1))  # as pair_buckets has it
-    # Pairs seen once keep less than their discount; only repeated pairs claim buckets of their own.
-    by_pair = _arrays(pairs.where("n > 1").groupBy("toxic", bucket.alias("k")).agg(F.sum(F.col("n") - d).alias("x"), F.lit(0).cast("long").alias("y")), PAIRS)
-    for c in (0, 1):
-        out.append({"discount": discount[c], "before": by_w[c][0], "n": by_v[c][0], "after": by_v[c][1], "pairs": by_pair[c][0]})
-    return Model(shared, out)
-
-
-def _arrays(table: DataFrame, size: int) -> list[list[np.ndarray]]:
-    """Sums by (toxic, k) as arrays; at most ``size`` rows a class, gathered packed."""
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    src = docs.select(col(id_col).alias("id"), fold(id_col).alias("fold"), col(text_col).cast("string").alias("text"))
+    kind = src.schema["id"].dataType.simpleString()
+    src = src.join(small_side(marked, marked.count()), "id", "left").select("id", "fold", "toxic", "text")
+    root = scratch(spark, "blocks")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import uuid
+
+        def close():
+            ids, folds, toxic, words = zip(*held, strict=True)
+            sizes = np.array([len(w) for w in words], np.int64)
+            hashes = np.fromiter(map(word_hash, known), np.uint64, len(known))
+            data = pickle.dumps((pa.array([x.as_py() for x in ids], ids[0].type), folds, toxic, sizes, _planes(np.concatenate(words).astype("<u4")), hashes), 5)
+            uri = f"{root}/{uuid.uuid4().hex}"
+            fs, path = open_fs(uri)
+            fs.create_dir(path.rpartition("/")[0], recursive=True)
+            with fs.open_output_stream(path) as f:
+                f.write(zlib.compress(data, 1))
+            return pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([int(sizes.sum())]), pa.array([len(known)])], names=["block", "n_words", "n_known"])
+
+        known, held, size = _Index(), [], 0
         for b in batches:
-            c = [np.asarray(b.column(k)) for k in range(4)]
-            yield pa.RecordBatch.from_arrays([pa.array([c[0].astype("i1").tobytes()]), pa.array([c[1].astype("<i4").tobytes()]), pa.array([c[2].astype("<f4").tobytes()]), pa.array([c[3].astype("<f4").tobytes()])], names=["toxic", "k", "x", "y"])
-
-    out = [[np.zeros(size, np.float32) for _ in range(2)] for _ in range(2)]
-    rows = table.select(F.col("toxic").cast("int"), F.col("k").cast("long"), F.col("x").cast("double"), F.col("y").cast("double"))
-    for r in rows.mapInArrow(packed, "toxic binary, k binary, x binary, y binary").toLocalIterator():
-        t, k = np.frombuffer(r["toxic"], "i1"), np.frombuffer(r["k"], "<i4")
-        for c in (0, 1):
-            out[c][0][k[t == c]] = np.frombuffer(r["x"], "<f4")[t == c]
-            out[c][1][k[t == c]] = np.frombuffer(r["y"], "<f4")[t == c]
-    return out
+            for i, f, x, t in zip(b.column(0), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3), strict=True):
+                held.append((i, f, x, word_numbers(t.as_py(), known)))
+                size += len(held[-1][3]) + 1
+                if size > block_words:
+                    yield close()
+                    known, held, size = _Index(), [], 0
+        if held:
+            yield close()
+
+    blocks, _ = materialise(src.mapInArrow(cut, "block string, n_words long, n_known long"), "block-list")
+    n, n_words, n_known = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_known"), F.lit(0))).first()
+    n, pair_parts, word_parts = max(1, n), 1 + n_words // part_keys, 1 + n_known // part_keys
+
+    def ask_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for uri in b.column(0).to_pylist():
+                block = Block(uri)
+                yield from _ask(uri, block.keys, block.by_class(), pair_parts)
+
+    asked = blocks.select("block").repartition(n).mapInArrow(ask_pairs, _ASKED).repartition(pair_parts, "part").sortWithinPartitions("part", "block")
+    pairs, _ = materialise(asked.mapInArrow(_answer(2, True, _pair_totals), _ANSWERED), "pairs")
+    seen = _summed(pairs, 4)
+    discount = [d if 0 < (d := seen[2 * c] / max(1, seen[2 * c] + 2 * seen[2 * c + 1])) < 1 else 0.75 for c in (0, 1)]
+
+    def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for uri, held in _groups(batches):
+            block = Block(uri)
+            size, own = len(block.hashes), block.by_class()
+            got = _gathered(block.keys, pair_parts, held[0], 3)
+            count = lambda at, x: np.bincount(at, x, size)
+            new = [(got[:, 2] == 1) & (got[:, c] > 0) for c in (0, 1)]
+            columns = [np.bincount(block.w, minlength=size), *[count(block.v_of, own[:, c]) for c in (0, 1)], *[count(block.v_of, x) for x in new], *[count(block.w_of, x) for x in new]]
+            yield from _ask(uri, block.hashes, np.column_stack(columns).astype("<i8"), word_parts)
+
+    said = pairs.select("block", F.lit(0).alias("kind"), "part", "data")
+    asked = said.repartition(n, "block").sortWithinPartitions("block").mapInArrow(ask_words, _ASKED).repartition(word_parts, "part").sortWithinPartitions("part", "block")
+    words, _ = materialise(asked.mapInArrow(_answer(WORD_COUNTS, False, _word_totals), _ANSWERED), "words")
+    totals = _summed(words, 6)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for uri, held in _groups(batches):
+            block = Block(uri)
+            got = _gathered(block.keys, pair_parts, held[0], 3)
+            f = list(_features(block, got, _gathered(block.hashes, word_parts, held[1], WORD_COUNTS), discount, totals))
+            yield pa.RecordBatch.from_arrays([block.ids, pa.array(block.folds, pa.int64()), pa.array(block.toxic, pa.int32()), pa.array(f, pa.list_(pa.float64()))], names=["id", "fold", "toxic", "f"])
+
+    said = said.unionByName(words.select("block", F.lit(1).alias("kind"), "part", "data"))
+    said = said.unionByName(blocks.select("block", F.lit(1).alias("kind"), F.lit(0).alias("part"), F.lit(None).cast("binary").alias("data")))
+    weighed = said.repartition(n, "block").sortWithinPartitions("block").mapInArrow(weigh, f"id {kind}, fold long, toxic int, f array<double>")
+    return materialise(weighed, "toxicity")[0]
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -239,22 +340,8 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     that is labelled twice is toxic if either says so; documents that repeat count and are scored each. Without any
     labels all scores are one half. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    model = train(docs, labels, id_col, text_col, label_col)
-    sent = spark.sparkContext.broadcast(vars(model))
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own = _Buckets(), Model.__new__(Model)
-        vars(own).update(sent.value)
-        for b in batches:
-            f = [own.features(word_buckets(t.as_py(), known)) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(f, pa.list_(pa.float64()))], names=["id", "fold", "f"])
-
-    src = docs.select(col(id_col).alias("id"), fold(id_col).alias("fold"), col(text_col).cast("string").alias("text"))
-    kind = src.schema["id"].dataType.simpleString()
-    measured, _ = materialise(src.mapInArrow(measure, f"id {kind}, fold long, f array<double>"), "toxicity")
-    marked = labels.where(col(label_col).isNotNull() & col(id_col).isNotNull() & (fold(id_col) == 3)).groupBy(col(id_col).alias("id")).agg(F.max(col(label_col).cast("int")).alias("toxic"))
-    some = measured.where("fold = 3").join(marked, "id").select("f", "toxic", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(FIT_ROWS).collect()
+    measured = measure(docs, labels, id_col, text_col, label_col)
+    some = measured.where("fold = 3 and toxic is not null").select("f", "toxic", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(FIT_ROWS).collect()
     x = np.array([r["f"] for r in some]).reshape(-1, FEATURES)
     w, mean, scale = fit(x, np.array([float(r["toxic"] > 0) for r in some]))
     z = F.lit(float(w[-1]))
