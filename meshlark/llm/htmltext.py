@@ -9,16 +9,20 @@ on go in any case, as such text differs from page to page.
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._work import col, materialise, small_side
+from ._work import col
 
 #: Element names by kind.
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -35,6 +39,8 @@ STORY = frozenset("article story post entry content main".split())
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 OUT, BODY, MAIN = 0, 1, 2
+#: Bits at most that an alignment holds at once, and keys taken to a group to find where to split a host. They set how work is cut, not results.
+ROW_BITS, SAMPLES = 1 << 31, 20
 _TAG = re.compile(r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']+|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTR = re.compile(r"(?i)\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
@@ -134,11 +140,54 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     return out
 
 
+def _rows(a: list[str], b: list[str], keep: bool) -> list[int]:
+    """Rows of the lengths' table, all or the last only: a bit of b is 0 where the length grows."""
+    where: dict[str, int] = {}
+    for k, x in enumerate(b):
+        where[x] = where.get(x, 0) | 1 << k
+    v = full = (1 << len(b)) - 1
+    rows = [full]
+    for x in a:
+        u = v & where.get(x, 0)
+        v = (v + u | v - u) & full
+        if keep:
+            rows.append(v)
+    return rows if keep else [v]
+
+
+def _lengths(a: list[str], b: list[str]) -> list[int]:
+    """Lengths of longest common subsequences of a and each beginning of b."""
+    v = _rows(a, b, False)[0]
+    return list(accumulate((bit == "0" for bit in reversed(f"{v:0{len(b)}b}")), initial=0)) if b else [0]
+
+
+def _aligned(a: list[str], b: list[str]) -> list[int]:
+    """Positions in a of a longest common subsequence. Where all rows would take over ROW_BITS, a is halved and b cut
+    where the halves' lengths add up to most (Hirschberg), so that space is linear."""
+    if not a or not b:
+        return []
+    if len(a) * len(b) > ROW_BITS and len(a) > 1:
+        half = len(a) // 2
+        left, right = _lengths(a[:half], b), _lengths(a[:half - 1:-1], b[::-1])
+        cut = max(range(len(b) + 1), key=lambda j: left[j] + right[len(b) - j])
+        return [*_aligned(a[:half], b[:cut]), *(half + k for k in _aligned(a[half:], b[cut:]))]
+    rows = _rows(a, b, True)
+    found, i, j = [], len(a), len(b)
+    while i and j:
+        if rows[i] >> j - 1 & 1:
+            j -= 1
+        elif rows[i - 1] >> j - 1 & 1:
+            found.append(i - 1)
+            i, j = i - 1, j - 1
+        else:
+            i -= 1
+    return found[::-1]
+
+
 def common(a: list[str], b: list[str]) -> list[int]:
     """Positions in a of a longest common subsequence of a and b.
 
-    Bit-parallel over the lines that both have, once common ends are set aside. Where those are so many that the
-    rows would not fit (over 2^31 bits), a line's k-th occurrence is matched with the other's k-th only.
+    Bit-parallel over the lines that both have, once common ends are set aside.
     """
     lo, hi = 0, min(len(a), len(b))
     while lo < hi and a[lo] == b[lo]:
@@ -149,48 +198,8 @@ def common(a: list[str], b: list[str]) -> list[int]:
     mid_a, mid_b = range(lo, len(a) - tail), range(lo, len(b) - tail)
     both = set(a[lo : len(a) - tail]) & set(b[lo : len(b) - tail])
     ia, jb = [i for i in mid_a if a[i] in both], [j for j in mid_b if b[j] in both]
-    found: list[int] = []
-    if len(ia) * len(jb) > 1 << 31:
-        place = {}
-        seen: Counter[str] = Counter()
-        for j in jb:
-            place[b[j], seen[b[j]]] = j
-            seen[b[j]] += 1
-        from bisect import bisect_left
-
-        seen, tops, ends, back = Counter(), [], [], {}
-        for i in ia:
-            j = place.get((a[i], seen[a[i]]))
-            seen[a[i]] += 1
-            if j is not None:
-                k = bisect_left(tops, j)
-                tops[k:] = [j] if k == len(tops) else [j, *tops[k + 1 :]]
-                ends[k:] = [i] if k == len(ends) else [i, *ends[k + 1 :]]
-                back[i] = ends[k - 1] if k else None
-        i = ends[-1] if ends else None
-        while i is not None:
-            found.append(i)
-            i = back[i]
-    elif ia and jb:
-        where: dict[str, int] = {}
-        for k, j in enumerate(jb):
-            where[b[j]] = where.get(b[j], 0) | 1 << k
-        full = (1 << len(jb)) - 1
-        rows = [full]
-        for i in ia:
-            v = rows[-1]
-            u = v & where[a[i]]
-            rows.append((v + u | v - u) & full)
-        i, j = len(ia), len(jb)
-        while i and j:
-            if rows[i] >> j - 1 & 1:
-                j -= 1
-            elif rows[i - 1] >> j - 1 & 1:
-                found.append(ia[i - 1])
-                i, j = i - 1, j - 1
-            else:
-                i -= 1
-    return [*range(lo), *reversed(found), *range(len(a) - tail, len(a))]
+    found = _aligned([a[i] for i in ia], [b[j] for j in jb])
+    return [*range(lo), *(ia[k] for k in found), *range(len(a) - tail, len(a))]
 
 
 def main_text(page: list[tuple[int, str]], neighbour: list[tuple[int, str]] | None, copy_share: float = 0.8) -> str:
@@ -209,27 +218,6 @@ def main_text(page: list[tuple[int, str]], neighbour: list[tuple[int, str]] | No
     return "\n".join(t for k, (z, t) in enumerate(page) if z == want and (z == MAIN or k not in shared))
 
 
-def split_url(url: str | None) -> tuple[str, str]:
-    """Host and path; a URL without a scheme counts as a host and path all the same."""
-    rest = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*://|^//", "", url or "")
-    host, _, path = rest.partition("/")
-    return host.lower().rpartition("@")[2], "/" + re.split(r"[?#]", path, maxsplit=1)[0]
-
-
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for k in range(0, b.num_rows, 512):
-            part = b.slice(k, 512)
-            urls = part.column(1).to_pylist()
-            keys = [split_url(u) for u in urls]
-            found = [blocks(h.as_py()) for h in part.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array([x for x, _ in keys], pa.string()), pa.array([y for _, y in keys], pa.string()),
-                 pa.array([[z for z, _ in f] for f in found], pa.list_(pa.int8())), pa.array([[t for _, t in f] for f in found], pa.list_(pa.string()))],
-                names=["id", "url", "host", "path", "zones", "lines"],
-            )
-
-
 def _shared_start(a: str, b: str) -> int:
     n = 0
     for x, y in zip(a, b):
@@ -239,29 +227,120 @@ def _shared_start(a: str, b: str) -> int:
     return n
 
 
+def _plain(page: list[tuple[int, str]]) -> list[str]:
+    """The lines by which a page is a copy of another."""
+    return [t for z, t in page if z != OUT]
+
+
+def _key(path: str, page_id: int | None, seen: int) -> tuple:
+    """A page's place on its host, as Spark sorts it."""
+    return path, page_id is not None, page_id or 0, seen
+
+
+def _cut(splits: dict[str, list[tuple]], extra: dict[tuple, list[int]]):
+    """Blocks of pages, and the group each belongs to; pages that other groups need go there too, not as their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 512):
+                out = []
+                for i, u, host, path, h, html in zip(*(c.to_pylist() for c in b.slice(k, 512).columns), strict=True):
+                    found, part, more = blocks(html), 0, ()
+                    if host in splits:
+                        key = _key(path, i, h)
+                        part, more = bisect_right(splits[host], key), extra.get((host, key), ())
+                    row = (i, u, host, path, h, [z for z, _ in found], [t for _, t in found])
+                    out += [(*row, part, True), *((*row, p, False) for p in more)]
+                kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.string()), pa.int32(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["id", "url", "host", "path", "h", "zones", "lines", "part", "own"])
+
+    return run
+
+
+def _digests(splits: dict[str, list[tuple]]):
+    """Group and digest of the lines of each page."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 512):
+                i, _, host, path, h, html = (c.to_pylist() for c in b.slice(k, 512).columns)
+                part = [bisect_right(splits[x], _key(*key)) for x, key in zip(host, zip(path, i, h), strict=True)]
+                digest = [blake2b("\n".join(_plain(blocks(x))).encode("utf-8", "surrogatepass"), digest_size=16).digest() for x in html]
+                yield pa.RecordBatch.from_arrays([pa.array(host), pa.array(part, pa.int32()), pa.array(path), pa.array(i, pa.int64()), pa.array(h, pa.int64()), pa.array(digest, pa.binary())], names=["host", "part", "path", "id", "h", "digest"])
+
+    return run
+
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each group the first and last page, and the first and last that are no copies of those; rows come in order."""
+
+    def close(group, ends):
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((*group, pickle.dumps(ends)), (pa.string(), pa.int32(), pa.binary()), strict=True)], names=["host", "part", "ends"])
+
+    group, ends = None, None
+    for b in batches:
+        for host, part, path, i, h, digest in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            page = (_key(path, i, h), digest)
+            if (host, part) != group:
+                if group:
+                    yield close(group, ends)
+                group, ends = (host, part), [page, None, None, page]  # first, first other, last other, last
+                continue
+            if ends[1] is None and digest != ends[0][1]:
+                ends[1] = page
+            if digest != ends[3][1]:
+                ends[2] = ends[3]
+            ends[3] = page
+    if group:
+        yield close(group, ends)
+
+
+def _handed(ends: dict[str, dict[int, list]]) -> dict[tuple, list[int]]:
+    """By host and page the groups that need it: the nearest page before and after a group that is no copy of its first and last."""
+    out = defaultdict(list)
+    for host, groups in ends.items():
+        order = sorted(groups)
+        for at, part in enumerate(order):
+            for others, edge, near, far in ((order[:at][::-1], groups[part][0], 3, 2), (order[at + 1 :], groups[part][3], 0, 1)):
+                for x in others:
+                    page = next((p for p in (groups[x][near], groups[x][far]) if p and p[1] != edge[1]), None)
+                    if page:
+                        out[host, page[0]].append(part)
+                        break
+    return dict(out)
+
+
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come in order of group and path; at most three pages are held."""
+    """Rows come in order of group and path. Copies that follow each other are one run, of which the lines are held once;
+    a page's neighbour is the nearer of the pages next to its run."""
 
-    def pages():
+    def runs():
+        members, last, where = [], None, None
         for b in batches:
             for k in range(b.num_rows):
-                yield [c[k].as_py() for c in b.columns]
-
-    def done(prev, cur, nxt):
-        near = [p for p in (prev, nxt) if p is not None and p[2:4] == cur[2:4]]
-        near.sort(key=lambda p: -_shared_start(p[4], cur[4]))
-        text = main_text(cur[5], near[0][5] if near else None)
-        return cur[0], cur[1], text
+                i, u, host, part, path, zones, lines, own = (c[k].as_py() for c in b.columns)
+                page = list(zip(zones, lines, strict=True))
+                if members and (where != (host, part) or _plain(page) != last):
+                    yield where, members
+                    members = []
+                if members and page == members[-1][3]:
+                    page = members[-1][3]
+                where, last = (host, part), _plain(page)
+                members.append((i, u, path, page, own))
+        if members:
+            yield where, members
 
     def rows():
         prev = cur = None
-        for i, u, host, group, path, zones, lines in pages():
-            nxt = (i, u, host, group, path, list(zip(zones, lines, strict=True)))
+        for nxt in chain(runs(), [None]):
             if cur is not None:
-                yield done(prev, cur, nxt)
+                before = prev[1][-1] if prev and prev[0] == cur[0] else None
+                after = nxt[1][0] if nxt and nxt[0] == cur[0] else None
+                for i, u, path, page, own in cur[1]:
+                    if own:
+                        near = max((p for p in (before, after) if p), key=lambda p: _shared_start(p[2], path), default=None)
+                        yield i, u, main_text(page, near[3] if near else None)
             prev, cur = cur, nxt
-        if cur is not None:
-            yield done(prev, cur, None)
 
     held: list[tuple] = []
     size = 0
@@ -285,17 +364,30 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     A null or empty html gives an empty text; pages without a URL are one host with one path; repeated rows each
     get a row and count as copies of each other; other columns are not read. Hosts of over ``group_rows`` pages are
-    dealt by hash into groups of about that many, and a page's neighbour is sought in its group: no host, however
-    large, meets in one task, and only three pages are held at a time.
+    split into groups of about that many by ranges of path, id and content, and each group gets the nearest pages
+    beyond its ends: no host, however large, meets in one task, and texts do not depend on the split.
     """
     src = pages.select(col(id_col).cast("long").alias("id"), col(url_col).cast("string").alias("url"), col(html_col).cast("string").alias("html"))
-    host = F.lower(F.regexp_extract(F.regexp_replace(F.coalesce("url", F.lit("")), "^[a-zA-Z][a-zA-Z0-9+.-]*://|^//", ""), "^(?:[^/]*@)?([^/]*)", 1))
-    hosts = src.groupBy(host.alias("host")).agg(F.ceil(F.count(F.lit(1)) / group_rows).cast("int").alias("parts")).where("parts > 1")
-    hosts, _ = materialise(hosts, "large-hosts")
-    cut = src.mapInArrow(_cut, "id long, url string, host string, path string, zones array<tinyint>, lines array<string>")
-    dealt = cut.join(small_side(hosts, hosts.count()), "host", "left")
-    group = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("path", "id"), F.col("parts")).cast("int"))
-    order = dealt.withColumn("part", group).select("id", "url", "host", "part", "path", "zones", "lines")
-    order = order.repartition("host", "part").sortWithinPartitions("host", "part", "path", "id")
+    rest = F.regexp_replace(F.coalesce("url", F.lit("")), "^[a-zA-Z][a-zA-Z0-9+.-]*://|^//", "")
+    host = F.lower(F.regexp_extract(rest, "^(?:[^/]*@)?([^/]*)", 1))
+    path = F.concat(F.lit("/"), F.regexp_extract(rest, "^[^/]*/([^?#]*)", 1))
+    large = [r["host"] for r in src.groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group_rows).select("host").collect()]
+    src = src.select("id", "url", host.alias("host"), path.alias("path"), F.xxhash64("html").alias("h"), "html")
+    splits: dict[str, list[tuple]] = {}
+    extra: dict[tuple, list[int]] = {}
+    if large:
+        hot = src.where(F.col("host").isin(large))
+        sample = defaultdict(list)
+        for r in hot.where(F.pmod(F.xxhash64("path", "id", "h"), F.lit(max(1, group_rows // SAMPLES))) == 0).select("host", "path", "id", "h").collect():
+            sample[r["host"]].append(_key(*r[1:]))
+        each = min(SAMPLES, group_rows)
+        splits = {x: sorted(set(sorted(sample[x])[each::each])) for x in large}
+        placed = hot.mapInArrow(_digests(splits), "host string, part int, path string, id long, h long, digest binary")
+        ends = defaultdict(dict)
+        for r in placed.repartition("host", "part").sortWithinPartitions("host", "part", "path", "id", "h").mapInArrow(_ends, "host string, part int, ends binary").collect():
+            ends[r["host"]][r["part"]] = pickle.loads(r["ends"])
+        extra = _handed(ends)
+    cut = src.mapInArrow(_cut(splits, extra), "id long, url string, host string, path string, h long, zones array<tinyint>, lines array<string>, part int, own boolean")
+    order = cut.repartition("host", "part").sortWithinPartitions("host", "part", "path", "id", "h").select("id", "url", "host", "part", "path", "zones", "lines", "own")
     out = order.mapInArrow(_difference, "id long, url string, text string")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))

@@ -7,7 +7,7 @@ from collections import Counter
 
 import pytest
 
-from meshlark.llm import toxicity
+from meshlark.llm import htmltext, toxicity
 
 
 def test_toxicity_counts_are_exact(spark, monkeypatch):
@@ -54,3 +54,31 @@ def test_toxicity_counts_are_exact(spark, monkeypatch):
         assert [i for i, _ in got] == [i for i, _ in want]
         for (_, a), (_, b) in zip(got, want, strict=True):
             assert a == pytest.approx(b, abs=1e-9)
+
+
+def test_html_text_is_the_same_at_any_group_size(spark):
+    r = random.Random(2)
+    pages = []
+    for k in range(120):
+        section = f"s{k % 12}"
+        lines = ["Site", f"Section {section}", *(f"own {k} {j}" for j in range(3)), f"End of {section}"]
+        if k % 10 == 3:
+            section, lines = "t", ["copied one", "copied two", "copied three"]
+        pages.append((k, f"http://h.example/{section}/{r.randrange(1000)}", "".join(f"<p>{x}</p>" for x in lines)))
+    pages += [(200 + k, f"http://h.example/s5/x{k}", pages[5][2]) for k in range(30)] + [(None, None, None), (7, None, "<p>a")] * 3
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    whole = sorted(map(repr, htmltext.extract(frame).collect()))
+    assert not any("Section" in x for x in whole)
+    for group_rows in (40, 9, 2):
+        assert sorted(map(repr, htmltext.extract(frame, group_rows=group_rows).collect())) == whole
+
+
+def test_alignment_in_linear_space_is_longest(monkeypatch):
+    r = random.Random(4)
+    for _ in range(40):
+        a, b = ([r.choice("abcdefgh") for _ in range(r.randint(0, 60))] for _ in range(2))
+        monkeypatch.setattr(htmltext, "ROW_BITS", 1 << 31)
+        whole = htmltext.common(a, b)
+        monkeypatch.setattr(htmltext, "ROW_BITS", 30)
+        found, rest = htmltext.common(a, b), iter(b)
+        assert len(found) == len(whole) and found == sorted(set(found)) and all(any(x == y for y in rest) for x in (a[i] for i in found))
