@@ -2,7 +2,8 @@
 
 Pages are cut into blocks with a zone each. Within a host, pages are put in order of their URL path and
 aligned with a neighbour by longest common subsequence of lines; lines that both have are template and
-go. Lines inside a marked-up article are the page's own even where a copy of the article lies next
+go, in plain markup and in elements that only their names make look like the article. Lines inside a
+marked-up article are the page's own even where a copy of the article lies next
 door, so they are exempt; lines in elements whose markup names them as menus, footers, adverts and so
 on go in any case, as such text differs from page to page.
 """
@@ -33,20 +34,20 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kb
 #: Words in class, id and role that name an element as something other than the article.
 NOISE = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies copyright dialog disqus footer form header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted recommended related reply replies search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar widget widgets".split())
 NOTES = frozenset("comment comments reply replies".split())
-#: Words that name the element of the article where there is no article or main element.
+#: Words that mark an element as one that may be the article.
 STORY = frozenset("article story post entry content main".split())
 #: Open elements that a start tag ends.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
-OUT, BODY, MAIN = 0, 1, 2
+OUT, BODY, MAIN, GUESS = 0, 1, 2, 3
 #: Bits at most that an alignment holds at once, and keys taken to a group to find where to split a host. They set how work is cut, not results.
 ROW_BITS, SAMPLES = 1 << 31, 20
 _TAG = re.compile(r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']+|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTR = re.compile(r"(?i)\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
-def _traits(tag: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
-    """Whether an element is left out, and whether it is the article."""
+def _traits(tag: str, attrs: str, in_main: bool) -> tuple[bool, int]:
+    """Whether an element is left out, and its zone: MAIN is the article, GUESS may be by its names."""
     out, main, words = tag in DROPPED or tag == "header" and not in_main, tag in ("article", "main"), set()
     if attrs:
         for name, *values in _ATTR.findall(attrs):
@@ -59,15 +60,15 @@ def _traits(tag: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
             else:
                 out |= name == "hidden" or v == "true"
     if tag in ("html", "body", "main"):
-        return False, main
+        return False, MAIN if main else BODY
     noisy = words & (NOTES if tag == "article" else NOISE)
     if in_main and tag != "article":
         noisy -= {"header", "content"}
-    return out or bool(noisy), main or not noisy and bool(words & STORY)
+    return out or bool(noisy), MAIN if main else GUESS if not noisy and words & STORY else BODY
 
 
 def blocks(html: str | None) -> list[tuple[int, str]]:
-    """(zone, text) of each block with text, in page order: MAIN in the article, BODY in plain markup, OUT elsewhere."""
+    """(zone, text) of each block with text, in page order: MAIN in the article, GUESS in what names make look like it, BODY in plain markup, OUT elsewhere."""
     html = html or ""
     out: list[tuple[int, str]] = []
     stack: list[tuple[str, int, bool]] = []  # element, zone, whether inline
@@ -126,8 +127,8 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
                     pop_to(k)
         if tag in VOID or m[3].endswith("/") and not block:
             continue
-        left_out, main = _traits(tag, m[3], zone == MAIN)
-        here = OUT if left_out or zone == OUT else MAIN if main or zone == MAIN else BODY
+        left_out, kind = _traits(tag, m[3], zone in (MAIN, GUESS))
+        here = OUT if left_out or zone == OUT else MAIN if MAIN in (kind, zone) else GUESS if GUESS in (kind, zone) else BODY
         if here != zone:
             flush()
         if tag in RAW:
@@ -208,14 +209,12 @@ def main_text(page: list[tuple[int, str]], neighbour: list[tuple[int, str]] | No
     Lines shared with the neighbour go unless they lie in the article. A page that shares ``copy_share`` of its
     plain lines with its neighbour is a copy, of which sharing says nothing: its plain lines stay.
     """
-    zones = {z for z, _ in page}
-    want = MAIN if MAIN in zones else BODY
     lines = [t for _, t in page]
     shared = set(common(lines, [t for _, t in neighbour])) if neighbour else set()
-    plain = [k for k, (z, _) in enumerate(page) if z == BODY]
+    plain = [k for k, (z, _) in enumerate(page) if z in (BODY, GUESS)]
     if plain and len(shared.intersection(plain)) >= copy_share * len(plain):
         shared = set()
-    return "\n".join(t for k, (z, t) in enumerate(page) if z == want and (z == MAIN or k not in shared))
+    return "\n".join(t for k, (z, t) in enumerate(page) if z == MAIN or z != OUT and k not in shared)
 
 
 def _shared_start(a: str, b: str) -> int:

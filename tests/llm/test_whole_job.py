@@ -82,3 +82,11 @@ def test_alignment_in_linear_space_is_longest(monkeypatch):
         monkeypatch.setattr(htmltext, "ROW_BITS", 30)
         found, rest = htmltext.common(a, b), iter(b)
         assert len(found) == len(whole) and found == sorted(set(found)) and all(any(x == y for y in rest) for x in (a[i] for i in found))
+
+
+def test_html_lines_outside_an_article_are_decided_by_differencing(spark):
+    plain = "<h1 class='entry-title'>Title {0}</h1><div class='post-meta'>By us</div><p>Story {0}<p>More {0}<p>Site footer line"
+    mixed = "<div>Site name</div><p>Lead {0}</p><article><p>Shared words</p><p>Text {0}</p></article><p>After {0}</p>"
+    data = [(k, f"http://{h}.example/{k}", x.format(k)) for h, x in (("a", plain), ("b", mixed)) for k in (1, 2)]
+    out = [r["text"] for r in htmltext.extract(spark.createDataFrame(data, "page_id long, url string, html string")).orderBy("url").collect()]
+    assert out == [f"Title {k}\nStory {k}\nMore {k}" for k in (1, 2)] + [f"Lead {k}\nShared words\nText {k}\nAfter {k}" for k in (1, 2)]
