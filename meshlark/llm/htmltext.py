@@ -203,17 +203,15 @@ def common(a: list[str], b: list[str]) -> list[int]:
     return [*range(lo), *(ia[k] for k in found), *range(len(a) - tail, len(a))]
 
 
-def main_text(page: list[tuple[int, str]], neighbour: list[tuple[int, str]] | None, copy_share: float = 0.8) -> str:
+def main_text(page: list[tuple[int, str]], neighbour: list[tuple[int, str]] | None) -> str:
     """The page's own lines, one to a line.
 
-    Lines shared with the neighbour go unless they lie in the article. A page that shares ``copy_share`` of its
-    plain lines with its neighbour is a copy, of which sharing says nothing: its plain lines stay.
+    Lines shared with the neighbour go unless they lie in the article. Of a copy, a page with the same lines, sharing
+    says nothing: it takes nothing away.
     """
-    lines = [t for _, t in page]
-    shared = set(common(lines, [t for _, t in neighbour])) if neighbour else set()
-    plain = [k for k, (z, _) in enumerate(page) if z in (BODY, GUESS)]
-    if plain and len(shared.intersection(plain)) >= copy_share * len(plain):
-        shared = set()
+    if neighbour is not None and _plain(neighbour) == _plain(page):
+        neighbour = None
+    shared = set(common([t for _, t in page], [t for _, t in neighbour])) if neighbour else set()
     return "\n".join(t for k, (z, t) in enumerate(page) if z == MAIN or z != OUT and k not in shared)
 
 

@@ -90,3 +90,11 @@ def test_html_lines_outside_an_article_are_decided_by_differencing(spark):
     data = [(k, f"http://{h}.example/{k}", x.format(k)) for h, x in (("a", plain), ("b", mixed)) for k in (1, 2)]
     out = [r["text"] for r in htmltext.extract(spark.createDataFrame(data, "page_id long, url string, html string")).orderBy("url").collect()]
     assert out == [f"Title {k}\nStory {k}\nMore {k}" for k in (1, 2)] + [f"Lead {k}\nShared words\nText {k}\nAfter {k}" for k in (1, 2)]
+
+
+def test_html_template_goes_where_it_is_most_of_a_page(spark):
+    around = "".join(f"<p>Template line {k}" for k in range(5))
+    data = [(k, f"http://a.example/{k}", f"{around}<p>own {k // 2}<p>more {k // 2}{around}") for k in range(2, 8)]
+    data += [(k, f"http://b.example/{k}", "<p>one<p>two<p>three") for k in (8, 9)]
+    out = [r["text"] for r in htmltext.extract(spark.createDataFrame(data, "page_id long, url string, html string")).orderBy("page_id").collect()]
+    assert out == [f"own {k // 2}\nmore {k // 2}" for k in range(2, 8)] + ["one\ntwo\nthree"] * 2
