@@ -312,7 +312,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     src = df.select(col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(col(text_col).cast("string"), F.lit(""))).alias("text_hash"), col(text_col).cast("string").alias("text"))
     signed, signed_path = materialise(src.mapInArrow(_sign, "id long, text_hash long, n_shingles long, digest binary, sig binary"), "signed")
-    classes = signed.where("n_shingles > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
+    classes = signed.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")).where("rep is not null")
     classes, _ = materialise(classes, "classes")
     reps, texts = classes.select("rep", "sig"), src.where("id is not null").select("id", "text")
 

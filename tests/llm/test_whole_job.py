@@ -7,7 +7,8 @@ from collections import Counter
 
 import pytest
 
-from meshlark.llm import htmltext, toxicity
+import corpus_pipeline
+from meshlark.llm import htmltext, neardup, toxicity
 
 
 def test_toxicity_counts_are_exact(spark, monkeypatch):
@@ -98,3 +99,15 @@ def test_html_template_goes_where_it_is_most_of_a_page(spark):
     data += [(k, f"http://b.example/{k}", "<p>one<p>two<p>three") for k in (8, 9)]
     out = [r["text"] for r in htmltext.extract(spark.createDataFrame(data, "page_id long, url string, html string")).orderBy("page_id").collect()]
     assert out == [f"own {k // 2}\nmore {k // 2}" for k in range(2, 8)] + ["one\ntwo\nthree"] * 2
+
+
+def test_rows_without_an_id_or_with_a_repeated_one(spark, tmp_path):
+    text = "one two three four five six seven"
+    d = spark.createDataFrame([(4, text), (None, text), (5, "a quite different text of some words"), (None, "nobody else has this")], "doc_id long, text string")
+    found = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in neardup.near_duplicates(d).collect()}
+    assert found[4, 4] == (4, True) and found[None, 4] == (4, False) and found[None, 1] == (None, True)
+    item = "this very passage of thirteen words or more is in the benchmark set as an item"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    d = spark.createDataFrame([(None, item), (None, "clean"), (1, "also clean"), (1, item), (2, "clean too"), (3, None)], "doc_id long, text string")
+    left = corpus_pipeline.decontamination(spark, d, str(tmp_path)).collect()
+    assert sorted(map(repr, left)) == sorted(repr(r) for r in d.collect() if r["text"] != item)
