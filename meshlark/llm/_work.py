@@ -1,10 +1,11 @@
-"""Shared-folder tables, fresh column names and size-checked broadcasts."""
+"""Shared-folder tables and files, fresh column names and size-checked broadcasts."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
+from collections import OrderedDict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,15 +23,32 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/meshlark/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/meshlark/{label}-{uuid.uuid4().hex}"
+    """A new path in the application's own folder below the shared one."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+#: Spark's setting by which a query's shuffle files go when it ends; a table that has been written does not need them.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def materialise(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Writes df as Parquet in the shared folder; returns the table read back, and its path."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -42,8 +60,8 @@ def remove(spark: SparkSession, *paths: str) -> None:
 
 
 def cleanup(spark: SparkSession) -> None:
-    """Deletes all scratch tables under the shared folder, those of results not yet read included."""
-    remove(spark, f"{shared_root(spark)}/meshlark")
+    """Deletes the application's scratch tables, those of results not yet read included; other applications' stay."""
+    remove(spark, _own_folder(spark))
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -68,9 +86,19 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
 
 
-def small_side(df: DataFrame, rows: int, limit: int = 2_000_000) -> DataFrame:
-    """Marks df, of so many narrow rows, for broadcast where it is within the limit; beyond, Spark shuffles."""
-    return F.broadcast(df) if rows <= limit else df
+#: Bytes of rows that are sent to every task at most, and what a row of a broadcast table takes besides its values.
+SENT_BYTES, ROW_BYTES = 32 << 20, 48
+_WIDTH = {"boolean": 1, "tinyint": 1, "int": 4, "bigint": 8, "double": 8, "date": 4}
+
+
+def is_small(df: DataFrame, rows: int, text_bytes: int = 32) -> bool:
+    """Whether so many rows of df fit SENT_BYTES; a value without a fixed width counts ``text_bytes``."""
+    return rows * (ROW_BYTES + sum(_WIDTH.get(kind, text_bytes) for _, kind in df.dtypes)) <= SENT_BYTES
+
+
+def small_side(df: DataFrame, rows: int, text_bytes: int = 32) -> DataFrame:
+    """Marks df, of so many rows, for broadcast where these are small in bytes; beyond, Spark shuffles."""
+    return F.broadcast(df) if is_small(df, rows, text_bytes) else df
 
 
 def open_fs(uri: str):
@@ -78,3 +106,47 @@ def open_fs(uri: str):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("/") else os.path.abspath(uri))
+
+
+class FileWriter:
+    """Byte strings in a file of a task's own in a folder; a place is (file, start, length). The file is there after ``close``,
+    and only files whose places Spark has committed with the task's rows are ever read."""
+
+    def __init__(self, folder: str):
+        self.folder, self.name, self.at, self._out = folder, uuid.uuid4().hex, 0, None
+
+    def add(self, data: bytes) -> tuple[str, int, int]:
+        if self._out is None:
+            fs, root = open_fs(self.folder)
+            fs.create_dir(root, recursive=True)
+            self._out = fs.open_output_stream(f"{root}/{self.name}", compression=None)
+        self._out.write(data)
+        self.at += len(data)
+        return self.name, self.at - len(data), len(data)
+
+    def close(self) -> None:
+        if self._out is not None:
+            self._out.close()
+
+
+class FileReader:
+    """Reads places of a folder; the last used byte strings are held, up to so many bytes."""
+
+    def __init__(self, folder: str, held_bytes: int = 32 << 20):
+        self.fs, self.root = open_fs(folder)
+        self.room, self.held, self.files = held_bytes, OrderedDict(), OrderedDict()
+
+    def get(self, name: str, at: int, size: int) -> bytes:
+        if (name, at) in self.held:
+            self.held.move_to_end((name, at))
+            return self.held[name, at]
+        if name not in self.files:
+            if len(self.files) >= 64:
+                self.files.popitem(last=False)[1].close()
+            self.files[name] = self.fs.open_input_file(f"{self.root}/{name}")
+        self.files[name].seek(at)
+        self.held[name, at] = data = self.files[name].read(size)
+        self.room -= size
+        while self.room < 0 and len(self.held) > 1:
+            self.room += len(self.held.popitem(last=False)[1])
+        return data

@@ -7,11 +7,13 @@ threshold is below the chosen miss probability. Survivors are verified on their
 
 No bucket is ever expanded into all its pairs. Each member is first tested with its buckets' smallest member, then
 with those of its other buckets; only members that are then still in different components are compared with each
-other, block by block, without making rows of the pairs.
+other, block by block in one task each, by signatures and then by sets that are read from where they were written
+once, without making rows of the pairs.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from math import comb
 
@@ -21,14 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._work import col, materialise, remove, small_side
+from ._work import FileReader, FileWriter, col, is_small, materialise, remove, scratch, small_side
 
 WORDS, PERCENT = 4, 80
 BANDS, ROWS, BATCH = 32, 4, 32
 SIZE = BANDS * ROWS
 MISS = 1e-6
 #: Members to a block, where a bucket's remaining members are compared with each other.
-BLOCK = 256
+BLOCK = 4096
 
 _rng = np.random.default_rng(20260101)
 _MUL = _rng.integers(1, 2**63, SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -192,7 +194,11 @@ def _linked_pairs(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFr
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for all nodes of the links but the roots: alternating large and small stars, each round a table."""
+    """(node, root) for all nodes of the links but the roots: alternating large and small stars, each round a table.
+
+    Least neighbours are sent to the tasks where they are few. Elsewhere they are a table, so that Spark splits the
+    join at a centre which a large part of the nodes has.
+    """
     spark = links.sparkSession
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     edges, path = materialise(edges, "stars")
@@ -202,14 +208,23 @@ def components(links: DataFrame) -> DataFrame:
         if state[0] == 0 or state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
+        paths = [path]
+
+        def kept(df: DataFrame) -> DataFrame:
+            df, p = materialise(df, "stars")
+            paths.append(p)
+            return df
+
+        small = is_small(edges, 2 * state[0])
+        least = lambda df: F.broadcast(df) if small else kept(df)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = least(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        after, new = materialise(small, "stars")
-        remove(spark, path)
-        edges, path = after, new
+        large = large if small else kept(large)
+        low = least(large.groupBy("u").agg(F.min("v").alias("m")))
+        inner = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        edges, path = materialise(inner, "stars")
+        remove(spark, *paths)
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -221,83 +236,136 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return out.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, lo, hi, block, rep, root, n, sig, text) in order of key, lo, hi: links between members of block lo and
-    block hi of a bucket. A pair is compared in the first band that it shares only; pairs that found links have joined
-    by then are left out."""
-    hashes, need = _WordHashes(), least_matches()
-
-    def compare(key: int, lo: int, hi: int, rows: list[tuple]) -> list[tuple[int, int]]:
-        rows = list({r[1]: r for r in rows}.values())
-        sig = np.frombuffer(b"".join(r[4] for r in rows), "<u4").reshape(-1, SIZE)
-        bands = band_keys(sig)
-        band = int(np.flatnonzero((bands == key).all(axis=0))[0])
-        reps, roots, n, block = (np.array([r[k] for r in rows]) for k in (1, 2, 3, 0))
-        sets: dict[int, np.ndarray] = {}
-        parent = {int(r): int(r) for r in roots}
-
-        def find(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        out = []
-        for i in np.flatnonzero(block == lo):
-            j = np.flatnonzero((block == hi) & (roots != roots[i]) & ((reps > reps[i]) | (lo != hi)))
-            j = j[100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i])]
-            j = j[~(bands[j, :band] == bands[i, :band]).any(axis=1)]
-            found = np.zeros(len(j), np.int64)
-            for k, least in enumerate(need):
-                part = slice(k * BATCH, (k + 1) * BATCH)
-                found += (sig[j, part] == sig[i, part]).sum(axis=1)
-                j, found = j[found >= least], found[found >= least]
-            for m in j.tolist():
-                x, y = find(int(roots[i])), find(int(roots[m]))
-                if x == y:
-                    continue
-                for k in (int(i), m):
-                    if k not in sets:
-                        sets[k] = shingles(rows[k][5], hashes)
-                if linked(sets[int(i)], sets[m]):
-                    parent[max(x, y)] = min(x, y)
-                    out.append((int(reps[i]), int(reps[m])))
-        return out
-
-    group, held = None, []
-
-    def done():
-        found = compare(*group, held)
-        return pa.RecordBatch.from_arrays([pa.array([min(f) for f in found], pa.int64()), pa.array([max(f) for f in found], pa.int64())], names=["a", "b"])
-
-    for b in batches:
-        for key, lo, hi, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if (key, lo, hi) != group:
-                if group is not None:
-                    yield done()
-                group, held = (key, lo, hi), []
-            held.append(tuple(row))
-    if group is not None:
-        yield done()
+def linked_many(a: np.ndarray, others: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+    """``linked`` of a with each of the others, none of them empty."""
+    n = np.array([len(x) for x in others])
+    x = np.concatenate(others)
+    k = np.searchsorted(a, x)
+    k[k == len(a)] = 0
+    both = np.add.reduceat((a[k] == x).astype(np.int64), np.cumsum(n) - n)
+    return 100 * both >= percent * (len(a) + n - both)
+
+
+def _write_sets(folder: str):
+    """Writes each member's shingle set to a file of the task and returns its place with the signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, out = _WordHashes(), FileWriter(folder)
+        for b in batches:
+            name, at, size = zip(*(out.add(shingles(t.as_py(), hashes).tobytes()) for t in b.column(3)), strict=True) if b.num_rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(name, pa.string()), pa.array(at, pa.int64()), pa.array(size, pa.int64())], names=["rep", "n_shingles", "sig", "file", "at", "size"])
+        out.close()
+
+    return run
+
+
+def _pack_blocks(folder: str):
+    """Rows (key, block, blocks, rep, root, n_shingles, sig, file, at, size) in order of key and block: a row to each
+    block, its members in one byte string. That of a bucket's only block goes along, others are written to files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, group, held = FileWriter(folder), None, []
+
+        def done():
+            reps, roots, n, sigs, *places = zip(*dict.fromkeys(held), strict=True)
+            data = pickle.dumps((np.array(reps), np.array(roots), np.array(n), np.frombuffer(b"".join(sigs), "<u4").reshape(-1, SIZE), list(zip(*places, strict=True))), 5)
+            place = out.add(data) if group[2] > 1 else (None, None, None)
+            row = zip((*group, None if group[2] > 1 else data, *place), (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.int64(), pa.int64()), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in row], names=["key", "block", "blocks", "data", "file", "at", "size"])
+
+        for b in batches:
+            for key, block, blocks, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (key, block, blocks) != group:
+                    if held:
+                        yield done()
+                    group, held = (key, block, blocks), []
+                held.append(tuple(row))
+        if held:
+            yield done()
+        out.close()
+
+    return run
+
+
+def _compare_blocks(folder: str):
+    """Rows (key, lo, hi, block, data, file, at, size) in order of key, lo and hi: links between members of block lo and block hi
+    of a bucket. A pair is compared in the first band that it shares only. Full sets are read for pairs that signatures
+    do not rule out and that links found so far have not joined."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        need, read = least_matches(), FileReader(folder)
+
+        def compare(key: int, blocks: dict[int, bytes]) -> list[tuple[int, int]]:
+            sides = [pickle.loads(x) for _, x in sorted(blocks.items())]
+            reps, roots, n, sig = (np.concatenate([s[k] for s in sides]) for k in range(4))
+            places = [p for s in sides for p in s[4]]
+            other = np.arange(len(reps)) >= (len(sides[0][0]) if len(sides) > 1 else 0)
+            bands = band_keys(sig)
+            band = int(np.flatnonzero((bands == key).all(axis=0))[0])
+            size = lambda k: np.frombuffer(read.get(*places[k]), np.uint64)
+            out = []
+            for i in range(len(sides[0][0])):
+                j = np.flatnonzero(other & (roots != roots[i]) & ((reps > reps[i]) | (len(sides) > 1)) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])))
+                found = np.zeros(len(j), np.int64)
+                for k, least in enumerate(need):
+                    part = slice(k * BATCH, (k + 1) * BATCH)
+                    found += (sig[j, part] == sig[i, part]).sum(axis=1)
+                    j, found = j[found >= least], found[found >= least]
+                j = j[~(bands[j, :band] == bands[i, :band]).any(axis=1)]
+                for k in range(0, len(j), 64):
+                    some = j[k : k + 64]
+                    some = some[roots[some] != roots[i]]
+                    if not len(some):
+                        continue
+                    for m in some[linked_many(size(i), [size(m) for m in some.tolist()])].tolist():
+                        if roots[m] != roots[i]:
+                            roots[roots == roots[m]] = roots[i]
+                            out.append((int(reps[i]), int(reps[m])))
+            return out
+
+        group, held = None, {}
+
+        def done():
+            found = compare(group[0], held)
+            return pa.RecordBatch.from_arrays([pa.array([min(f) for f in found], pa.int64()), pa.array([max(f) for f in found], pa.int64())], names=["a", "b"])
+
+        for b in batches:
+            for key, lo, hi, block, data, *place in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (key, lo, hi) != group:
+                    if held:
+                        yield done()
+                    group, held = (key, lo, hi), {}
+                held[block] = data if data is not None else read.get(*place)
+        if held:
+            yield done()
+
+    return run
 
 
 def _rest(buckets: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between a bucket's members that are still apart and that no leader has tested; a table.
 
-    A bucket's members are dealt to blocks of about BLOCK, and each two blocks meet in one group: a row goes to as
-    many groups as its bucket has blocks, and no pairs become rows but those that are linked.
+    Each member's shingle set is written once. A bucket's members are dealt to blocks of about BLOCK; a block is one row,
+    and each two blocks of a bucket meet in one task by their places in the shared folder. So rows are as many as
+    members, plus one for each two blocks, and no pair becomes a row but those that are linked.
     """
+    spark = buckets.sparkSession
+    folder = scratch(spark, "sets")
     known = buckets.join(small_side(roots.select(F.col("node").alias("rep"), "root"), roots.count()), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
     mixed = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("low < high").select("key", "blocks")
-    mixed, _ = materialise(mixed, "mixed")
-    members = known.join(small_side(mixed, mixed.count(), 1_000_000), "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = members.select("key", "rep", "root", "block", other).select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "root")
-    rows, path = materialise(rows, "members")
-    n = rows.count()
-    full = texts.join(small_side(rows.withColumnRenamed("rep", "id"), n, 1_000_000), "id").withColumnRenamed("id", "rep").join(classes.select("rep", "n_shingles", "sig"), "rep")
-    full = full.select("key", "lo", "hi", "block", "rep", "root", "n_shingles", "sig", "text").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    out, _ = materialise(full.mapInArrow(_compare_blocks, "a long, b long").distinct(), "links")
-    remove(buckets.sparkSession, path)
+    mixed, mixed_path = materialise(mixed, "mixed")
+    members, path = materialise(known.join(small_side(mixed, mixed.count()), "key"), "members")
+    wanted, wanted_path = materialise(members.select("rep").distinct(), "wanted")
+    n = wanted.count()
+    full = texts.join(small_side(wanted.select(F.col("rep").alias("id")), n), "id", "left_semi").withColumnRenamed("id", "rep").join(classes.select("rep", "n_shingles", "sig"), "rep")
+    sets, sets_path = materialise(full.select("rep", "n_shingles", "sig", "text").mapInArrow(_write_sets(folder), "rep long, n_shingles long, sig binary, file string, at long, size long"), "set-places")
+    blocks = members.join(sets, "rep").select("key", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), "blocks", "rep", "root", "n_shingles", "sig", "file", "at", "size")
+    blocks = blocks.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_pack_blocks(folder), "key long, block int, blocks int, data binary, file string, at long, size long")
+    blocks, blocks_path = materialise(blocks, "blocks")
+    met = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "data", "file", "at", "size")
+    out, _ = materialise(met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_compare_blocks(folder), "a long, b long").distinct(), "links")
+    remove(spark, mixed_path, path, wanted_path, sets_path, blocks_path, folder)
     return out
 
 
@@ -318,7 +386,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     banded = reps.mapInArrow(lambda b: _bands(b), "key long, rep long")
     shared, shared_path = materialise(banded.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("key", "leader"), "buckets")
-    buckets, buckets_path = materialise(banded.join(small_side(shared, shared.count(), 1_000_000), "key").where("rep <> leader").select("key", "rep", "leader"), "bucket-members")
+    buckets, buckets_path = materialise(banded.join(small_side(shared, shared.count()), "key").where("rep <> leader").select("key", "rep", "leader"), "bucket-members")
 
     # Each member with its smallest leader; then with its other leaders, then with fellow members, where still apart.
     first = buckets.groupBy(F.col("rep").alias("b")).agg(F.min("leader").alias("a")).select("a", "b")
@@ -331,7 +399,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     roots = components(links)
 
     several = classes.where("n > 1").select("digest", "rep")
-    several = small_side(several, several.count(), 500_000)
+    several = small_side(several, several.count())
     moved = roots.withColumnRenamed("node", "rep")
     out = signed.select("id", "text_hash", "n_shingles", "digest").join(several, "digest", "left").withColumn("rep", F.coalesce("rep", "id"))
     out = out.join(small_side(moved, moved.count()), "rep", "left")

@@ -86,7 +86,7 @@ def write_pages(
     firsts, _ = materialise(firsts, "warc-repeats")
     rows = firsts.count()
     if rows:
-        src = src.join(small_side(firsts, rows, 500_000), "sha1", "left")
+        src = src.join(small_side(firsts, rows), "sha1", "left")
         long_enough = F.octet_length("payload") >= dedup_min_bytes
         src = src.withColumn("refers", F.when(long_enough & ~F.col("id").eqNullSafe(F.col("first")), F.col("first")))
     else:

@@ -147,6 +147,38 @@ def test_near_duplicates_in_chains_and_large_buckets(spark, monkeypatch):
     assert out == {k: find(k) for k in range(90)}
 
 
+def test_rows_stay_in_proportion_in_a_bucket_of_copies_below_the_threshold(spark, monkeypatch):
+    """Members of one large bucket that are no near duplicates: rows between stages grow with the members, not with their square."""
+    r = random.Random(6)
+    base = [f"w{k}" for k in range(200)]
+
+    def group(n):
+        out = []
+        for k in range(n):
+            cur = list(base)
+            for m in r.sample(range(200), 10):
+                cur[m] = f"n{k}x{m}"
+            out.append((k, " ".join(cur)))
+        return out
+
+    counted = []
+    monkeypatch.setattr(neardup, "BLOCK", 64)
+    plain = neardup.materialise
+
+    def counting(df, label):
+        out = plain(df, label)
+        counted[-1][label] = max(counted[-1].get(label, 0), out[0].count())
+        return out
+
+    monkeypatch.setattr(neardup, "materialise", counting)
+    for n in (300, 600):
+        counted.append({})
+        found = neardup.near_duplicates(spark.createDataFrame(group(n), "doc_id long, text string"))
+        assert found.where("kept").count() == n
+    for label, rows_of in counted[1].items():
+        assert rows_of <= 2.6 * max(counted[0][label], 100), label
+
+
 def test_components_and_bounds(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (9, 3), (20, 21), (30, 30)], "a long, b long")
     assert rows(neardup.components(links)) == [(2, 1), (21, 20), (3, 1), (9, 1)]
