@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._work import col, fresh, materialise, remove
+from ._work import col, fresh, materialise, remove, small_side
 
 #: The blanks that are stripped from a line, and the letters that are lower-cased.
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -26,39 +26,38 @@ def dedup_lines(
     min_docs: int = 3,
     counts: tuple[str, str] | None = ("n_lines", "n_dropped"),
 ) -> DataFrame:
-    """df with lines dropped that at least ``min_docs`` rows share, save in the row of the largest id.
+    """df with lines dropped that at least ``min_docs`` documents share, save in the row of the largest id.
 
     Lines are compared by ``line_key`` and 128 bits of hash; keys under ``min_chars`` code points always
-    stay. Each input row is a document: rows that repeat an id count each, and all rows with the largest
-    id keep the line. A null text counts as empty and comes back empty; a null id is smaller than any
-    other. All columns stay; ``counts`` names the columns for the numbers of lines before and dropped.
+    stay. Rows that repeat an id are one document, which counts once and, where its id is the largest, keeps
+    the line in each of its rows. A null text counts as empty and comes back empty; rows without an id are one
+    document whose id is smaller than any other; an empty table gives no rows. All columns stay; ``counts`` names
+    the columns for the numbers of lines before and dropped.
 
-    Plan: per row, hashes sorted in place mark each key's first line, so a count of rows by hash is a
-    plain map-side-combined sum. Hashes over the threshold are joined to the lines (narrow rows; a
-    frequent line is a skewed join that Spark splits), dropped positions are gathered by row, and the
-    text, which never leaves its row except for this last join, is put together from what remains.
+    Plan: hashes of lines become narrow rows; distinct (line, id) rows are dealt by all three, so that a frequent
+    line is many tasks' work, and are summed by line with map-side combining. Hashes over the threshold, a table,
+    are sent to the tasks where they are few; elsewhere they are joined, and Spark splits a frequent line. Dropped
+    positions are gathered by row, and the text, which never leaves its row except for this last join, is put
+    together from what remains.
     """
     row, lines, drops, mark = fresh(df, "line_row", "line_list", "line_drops", "line_id")
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
     row_key = F.xxhash64(text)
-    whole = df.select(col(id_col).alias("id"), row_key.alias("row"), F.split(text, "\n", -1).alias("lines"))
-    key = F.transform(F.col("lines"), line_key)
+    key = F.transform(F.split(text, "\n", -1), line_key)
     hashed = F.transform(
         key,
         lambda k, i: F.struct(F.xxhash64(k).alias("h1"), F.xxhash64(F.lit("line"), k).alias("h2"), i.alias("pos"), (F.length(k) >= min_chars).alias("long")),
     )
-    found = whole.select("id", "row", F.array_sort(F.filter(hashed, lambda x: x["long"])).alias("s")).where(F.size("s") > 0)
-    before = F.concat(F.array(F.lit(None).cast("struct<h1:bigint,h2:bigint,pos:int,long:boolean>")), F.slice("s", 1, F.size("s") - 1))
-    flagged = F.zip_with(
-        "s", before, lambda a, b: F.struct(a["h1"].alias("h1"), a["h2"].alias("h2"), a["pos"].alias("pos"), (~(a["h1"].eqNullSafe(b["h1"]) & a["h2"].eqNullSafe(b["h2"]))).alias("first"))
-    )
-    table, path = materialise(found.select("id", "row", F.inline(flagged)), "lines")
+    found = df.select(col(id_col).alias("id"), row_key.alias("row"), F.inline(F.filter(hashed, lambda x: x["long"]))).drop("long")
+    table, path = materialise(found, "lines")
 
-    common = table.where("first").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last")).where(F.col("n") >= min_docs).select("h1", "h2", "last")
-    lost = table.join(common, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("last")))
+    holders = table.select("h1", "h2", "id").distinct()
+    common = holders.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last")).where(F.col("n") >= min_docs).select("h1", "h2", "last")
+    common, common_path = materialise(common, "shared-lines")
+    lost = table.join(small_side(common, common.count()), ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("last")))
     gone = lost.groupBy(F.col("id").alias(mark), F.col("row").alias(row)).agg(F.array_distinct(F.collect_list("pos")).alias(drops))
     gone, _ = materialise(gone, "line-drops")
-    remove(df.sparkSession, path)
+    remove(df.sparkSession, path, common_path)
 
     joined = df.join(gone, col(id_col).eqNullSafe(F.col(mark)) & (row_key == F.col(row)), "left")
     split = joined.withColumn(lines, F.split(text, "\n", -1))
