@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._work import col, numbered
 
@@ -68,11 +69,18 @@ def measure(text: str | None) -> tuple[int, ...]:
     )
 
 
-def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        rows = [measure(t.as_py()) for t in b.column(1)]
-        cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * len(MEASURES)
-        yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["id", *MEASURES])
+def _measured(df: DataFrame, text_col: str) -> DataFrame:
+    """df with MEASURES behind its columns, in one pass without a shuffle; no column of df may have one of their names."""
+    at, names = df.columns.index(text_col), [*df.columns, *MEASURES]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [measure(t.as_py()) for t in b.column(at)]
+            cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * len(MEASURES)
+            yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=names)
+
+    schema = T.StructType([*df.schema.fields, *(T.StructField(m, T.LongType()) for m in MEASURES)])
+    return df.mapInArrow(run, schema)
 
 
 @dataclass(frozen=True)
@@ -106,12 +114,15 @@ def ledger(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     each get a row; an empty table gives an empty ledger. Other columns are not read.
     """
     src = df.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
-    kind = src.schema["id"].dataType.simpleString()
-    out = src.mapInArrow(_measure_batches, "id " + kind + "".join(f", {m} long" for m in MEASURES))
+    return _measured(src, "text").select(F.col("id").alias(id_col), *MEASURES, failed_bits(rules).alias("failed_bits"))
+
+
+def failed_bits(rules: tuple[Rule, ...] = RULES) -> Column:
+    """Every rule evaluated once over MEASURES, a bit each."""
     bits: Column = F.lit(0).cast("long")
     for r in rules:
         bits = bits + F.when(F.expr(r.fails), F.lit(1 << r.bit).cast("long")).otherwise(F.lit(0).cast("long"))
-    return out.withColumn("failed_bits", bits).withColumnRenamed("id", id_col)
+    return bits
 
 
 def verdict(policy: str | int = CURRENT) -> Column:
@@ -140,19 +151,12 @@ def ablation(book: DataFrame, policy: str | int = CURRENT, rules: tuple[Rule, ..
 
 
 def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", policy: str = CURRENT) -> DataFrame:
-    """df without the rows that the policy rejects; all columns stay. Measures each row where it lies, without a join."""
-    mask, at, plain = POLICIES[policy], df.columns.index(text_col), numbered(df)
+    """df without the rows whose ledger fails the policy; all columns stay.
 
-    def kept(batches):
-        for b in batches:
-            rows = [measure(t.as_py()) for t in b.column(at)]
-            yield b.filter(pa.array([not fails(r) & mask for r in rows], pa.bool_()))
-
-    return plain.mapInArrow(kept, plain.schema).toDF(*df.columns)
-
-
-def fails(m: tuple[int, ...]) -> int:
-    """failed_bits of one row of MEASURES, as RULES has them."""
-    n_words, word_chars, n_symbols, n_lines, n_dup, n_repeat, n_upper, n_stutter = m
-    tests = (n_words < 10, 100 * n_repeat > 20 * n_words, 10 * n_symbols > n_words, 2 * n_dup > n_lines, word_chars < 2 * n_words or word_chars > 20 * n_words, 2 * n_upper > n_words, 4 * n_stutter > n_words)
-    return sum(1 << k for k, t in enumerate(tests) if t)
+    The ledger's measurements and bits are taken beside each row, so that the verdict needs no join by an id that may be
+    null or repeated: each row goes by its own text. A null or empty text has no words and goes; an empty table stays empty;
+    ``id_col`` is not read, and columns may have the names of measurements.
+    """
+    plain = numbered(df)
+    book = _measured(plain, plain.columns[df.columns.index(text_col)]).withColumn("failed_bits", failed_bits())
+    return book.where(verdict(policy)).select(*plain.columns).toDF(*df.columns)
