@@ -1,189 +1,315 @@
 """Byte-level BPE over distinct words: each distinct pre-token of the corpus is encoded once.
 
-Texts are read in blocks. A block's distinct pre-tokens are dealt by hash to the tasks that encode them, a
-word once however many blocks have it, and come back as the block's own dictionary; a second reading of the
-block puts its documents together from that by position. Only dictionaries are shuffled, never texts or
-positions: that is the join of ids back to words, with the words of a block combined before it.
+Texts are cut into pre-tokens in blocks of rows. A block's file in the shared folder has its distinct words and, row by
+row, its positions: the word that stands at each. Words are dealt by hash to parts, as many as the session's shuffle
+partitions or as the number of words asks for. A part encodes each word once, however many blocks have it, and its
+answers are joined back to the blocks, where ids take the words' positions. Texts are read once and never shuffled.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import os
+import pickle
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._pieces import Pieces
-from ._work import col, numbered, open_fs, scratch
+from ._work import FileReader, FileWriter, col, materialise, numbered, scratch
 
-BLOCK_CHARS = 8_000_000
-WORD_PARTS = 64
+#: Bytes of text to a block, and words asked for to a part: what a task holds. They set how work is cut, not results.
+BLOCK_BYTES, PART_WORDS = 8_000_000, 500_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
-def word_coder(library: str, data: bytes, pattern: str):
-    """A function from the bytes of one match of the pattern to its ids. data: the vocabulary file of the library."""
+def word_coder(library: str, data: bytes, pattern: str) -> Callable[[list[bytes]], list[bytes]]:
+    """A function from matches of the pattern to their ids, as bytes of unsigned 32-bit numbers. data: the vocabulary file of the library."""
     if library == "tiktoken":
         import tiktoken
 
-        return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(data), special_tokens={})._encode_single_piece
+        code = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(data), special_tokens={})._encode_single_piece
+        return lambda words: [array("I", code(w)).tobytes() for w in words]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_str(data.decode())
-    coder.encode_special_tokens = True
-    return lambda w: coder.encode(w.decode(), add_special_tokens=False).ids
+
+    def code_all(words: list[bytes]) -> list[bytes]:
+        out = []
+        for k in range(0, len(words), 1024):
+            some = words[k : k + 1024]
+            found = coder.encode([w.decode() for w in some], is_pretokenized=True, add_special_tokens=False)
+            n = np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)) * 4
+            ids, ends = array("I", found.ids).tobytes(), np.cumsum(n)
+            out += [ids[a:b] for a, b in zip((ends - n).tolist(), ends.tolist(), strict=True)]
+        return out
+
+    return code_all
+
+
+def added_tokens(library: str, data: bytes) -> list[str]:
+    """Strings that the library takes out of a text before the pattern, whatever stands around them."""
+    found = json.loads(data).get("added_tokens", []) if library == "tokenizers" else []
+    if odd := [x["content"] for x in found if x.get("lstrip") or x.get("rstrip") or x.get("single_word")]:
+        raise ValueError(f"added tokens that depend on what stands around them are not supported: {odd}")
+    return sorted((x["content"] for x in found), key=len, reverse=True)
+
+
+def squeeze(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(data, asbytes=True)
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
 
 
 def pack(items: list[bytes]) -> bytes:
-    return zlib.compress(np.array([len(items), *map(len, items)], "<u4").tobytes() + b"".join(items), 1)
+    return squeeze(np.array([len(items), *map(len, items)], "<u4").tobytes() + b"".join(items))
 
 
-def unpack(data: bytes) -> list[bytes]:
-    data = zlib.decompress(data)
+def sizes_and_rest(data: bytes) -> tuple[np.ndarray, bytes]:
+    data = unsqueeze(data)
     n = int(np.frombuffer(data, "<u4", 1)[0])
-    at = 4 * (n + 1)
-    ends = np.cumsum(np.frombuffer(data, "<u4", n, 4), dtype=np.int64) + at
-    return [data[s:e] for s, e in zip([at, *ends[:-1].tolist()], ends.tolist(), strict=True)] if n else []
+    return np.frombuffer(data, "<u4", n, 4).astype(np.int64), data[4 * (n + 1) :]
 
 
-def _in_blocks(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[tuple[str, pa.RecordBatch]]:
-    """(block, rows): a block ends when its texts have BLOCK_CHARS bytes; rows come in slices."""
-    part, k, size = TaskContext.get().partitionId(), 0, 0
-    for b in batches:
-        for s in range(0, b.num_rows, 256):
-            rows = b.slice(s, 256)
-            yield f"{part}-{k}", rows
-            size += rows.column(place).nbytes
-            if size >= BLOCK_CHARS:
-                k, size = k + 1, 0
+def unpack(data: bytes) -> list[bytes]:
+    sizes, rest = sizes_and_rest(data)
+    ends = np.cumsum(sizes)
+    return [rest[s:e] for s, e in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+
+
+class _Numbers(dict):
+    """Words by number, in order of appearance."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def _dealt(words: list[bytes], parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words' numbers in order of their parts, and where each part begins."""
+    part = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(parts)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def _cut(folder: str, pattern: str, added: list[str], place: int, keep: list[int]):
+    """Writes blocks; a row to each: its place, and the number of its words."""
+    block_bytes = BLOCK_BYTES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        split, number, out = regex.compile(pattern).findall, _Numbers(), FileWriter(folder)
+        special = regex.compile("(" + "|".join(map(regex.escape, added)) + ")").split if added else None
+
+        def numbers(piece: str) -> tuple[int, ...]:
+            bare = piece[1:] if piece[:1] == " " else piece
+            if bare.isascii():  # letters, and letters before one of these marks, are matches by any such pattern
+                if bare.isalpha():
+                    return (number[piece],)
+                if bare[-1:] in (",", ".") and bare[:-1].isalpha():
+                    return number[piece[:-1]], number[bare[-1]]
+            return tuple([number[w] for w in split(piece)])
+
+        pieces = Pieces(numbers, 1 << 20)
+
+        def positions(text: str) -> np.ndarray:
+            if special and any(a in text for a in added):
+                found: list = []
+                for k, part in enumerate(special(text)):
+                    found += [(number[part],)] if k % 2 else pieces.of(part)
+            else:
+                found = pieces.of(text)
+            return np.fromiter(chain.from_iterable(found), np.uint32)
+
+        held: list[pa.RecordBatch] = []
+        places: list[np.ndarray] = []
+        size = 0
+
+        def close():
+            nonlocal held, places, size
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                for x in held:
+                    w.write_batch(x)
+            flat = np.concatenate(places)
+            planes = np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 4).T).tobytes()
+            words, rows = out.add(pack([w.encode() for w in number])), out.add(pickle.dumps((sink.getvalue().to_pybytes(), [len(p) for p in places], squeeze(planes)), 5))
+            row = pa.RecordBatch.from_arrays([pa.array([json.dumps([words, rows])]), pa.array([len(number)])], names=["block", "n_words"])
+            held, places, size = [], [], 0
+            number.clear()
+            pieces.clear()
+            return row
 
+        for b in batches:
+            first, kept = 0, b.select(keep) if keep else pa.RecordBatch.from_arrays([pa.nulls(b.num_rows, pa.bool_())], names=["none"])
+            for k in range(b.num_rows):
+                text = b.column(place)[k].as_py() or ""
+                places.append(positions(text))
+                size += len(text) + 64
+                if size >= block_bytes:
+                    held.append(kept.slice(first, k + 1 - first))
+                    first = k + 1
+                    yield close()
+            if first < b.num_rows:
+                held.append(kept.slice(first))
+        if places:
+            yield close()
+        out.close()
+
+    return run
+
+
+def _ask(folder: str, parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = FileReader(folder, 0)
+        for b in batches:
+            for block in b.column(0).to_pylist():
+                words = unpack(read.get(*json.loads(block)[0]))
+                order, cuts = _dealt(words, parts)
+                full = np.flatnonzero(np.diff(cuts)).tolist()
+                data = [pack([words[k] for k in order[cuts[p] : cuts[p + 1]].tolist()]) for p in full]
+                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([block] * len(full), pa.string()), pa.array(data, pa.binary())], names=["part", "block", "data"])
 
-def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", library: str = "tiktoken", packed: str | None = None) -> DataFrame:
-    """df with a column of token ids for each whole text, as the library (tiktoken or tokenizers, with a file of its
-    own and byte-level BPE by this pattern) would encode it without special tokens. The ids are an array of int, or,
-    ``packed``, the bytes of an array of that numpy type.
+    return run
 
-    A null or empty text has no ids; repeated rows are encoded alike; all columns stay, one called ``ids_col`` is
-    replaced. The vocabulary file is read on the driver and sent to the tasks; its size does not depend on the data.
 
-    The dictionaries are a table in the shared folder, in a folder for each block, written by Spark. If a reading of
-    df does not give the rows in the order of the first one, words missing from a dictionary are encoded on the spot,
-    so results never depend on that order.
-    """
-    import regex
+def _answer(library: str, sent, pattern: str):
+    """Rows (part, block, words) in order of part: the ids of each block's words. Within a part a word is encoded once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, known, last = word_coder(library, sent.value, pattern), {}, None
+        for b in batches:
+            for part, block, data in zip(*(b.column(k) for k in range(3)), strict=True):
+                if part.as_py() != last:
+                    known.clear()
+                    last = part.as_py()
+                words = unpack(data.as_py())
+                new = [w for w in words if w not in known]
+                known.update(zip(new, code(new), strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array([block.as_py()]), pa.array([last], pa.int32()), pa.array([pack([known[w] for w in words])], pa.binary())], names=["block", "part", "data"])
+
+    return run
+
+
+def _assemble(folder: str, parts: int, packed: str | None, names: list[str]):
+    """Rows (block, part, ids of words) in order of block: the block's rows with their ids by position."""
+
+    def rows(block: str, answers: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+        read = FileReader(folder, 0)
+        at_words, at_rows = json.loads(block)
+        order, cuts = _dealt(unpack(read.get(*at_words)), parts)
+        stream, n_places, planes = pickle.loads(read.get(*at_rows))
+        at = np.ascontiguousarray(np.frombuffer(unsqueeze(planes), np.uint8).reshape(4, -1).T).reshape(-1).view("<u4")
+        sizes, starts, flat, begin = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64), [], 0
+        for p, data in answers.items():
+            n, ids = sizes_and_rest(data)
+            own, n = order[cuts[p] : cuts[p + 1]], n // 4
+            sizes[own], starts[own] = n, begin + np.cumsum(n) - n
+            begin += int(n.sum())
+            flat.append(np.frombuffer(ids, "<u4"))
+        ids_of = np.concatenate(flat) if flat else np.zeros(0, "<u4")
+        kept = pa.ipc.open_stream(stream).read_all().combine_chunks()
+        columns = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in kept.columns] if names[:-1] else []
+        ends = np.cumsum(n_places)
+        first = 0
+        while first < len(ends):  # some rows at a time
+            done = int(ends[first - 1]) if first else 0
+            stop = max(first + 1, int(np.searchsorted(ends, done + (1 << 18), "right")))
+            some = at[done : int(ends[stop - 1])]
+            n = sizes[some]
+            all_ids = ids_of[np.repeat(starts[some] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            total = np.concatenate([[0], np.cumsum(n)])
+            cut = total[np.concatenate([[0], ends[first:stop] - done])]
+            if packed:
+                coded = pa.array([all_ids[a:b].astype(packed).tobytes() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], pa.binary())
+            else:
+                coded = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(all_ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*(c.slice(first, stop - first) for c in columns), coded], names=names)
+            first = stop
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, {}
+        for b in batches:
+            for block, part, data in zip(*(b.column(k) for k in range(3)), strict=True):
+                if block.as_py() != last:
+                    if last is not None:
+                        yield from rows(last, held)
+                    last, held = block.as_py(), {}
+                if data.is_valid:
+                    held[part.as_py()] = data.as_py()
+        if last is not None:
+            yield from rows(last, held)
+
+    return run
+
+
+def encode(
+    df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", library: str = "tiktoken", packed: str | None = None, keep: list[str] | None = None,
+) -> DataFrame:
+    """df with a column of token ids for each whole text, as the library (tiktoken or tokenizers, with a file of its
+    own and byte-level BPE by this pattern) would encode it by default, without special tokens that stand for no text.
+    The ids are an array of int, or, ``packed``, the bytes of an array of that numpy type.
 
+    A null or empty text has no ids; repeated rows are encoded alike; the columns of ``keep`` stay, all by default, one
+    called ``ids_col`` is replaced; an empty table gives no rows. A tokenizers file's added tokens are taken out of texts
+    whole, as the library does. A text of any length is one row of a block. The vocabulary file is read on the driver and
+    sent to the tasks; its size does not depend on the data. Blocks and their list stay in the shared folder for the result.
+    """
     spark = df.sparkSession
     with open(ranks_path, "rb") as f:
-        sent = spark.sparkContext.broadcast(f.read())
-
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = regex.compile(pattern).findall
-        words: set[str] = set()
-        pieces = Pieces(lambda p: words.update(split(p)) or 0)
-        last = None
-
-        def dealt():
-            parts: list[list[bytes]] = [[] for _ in range(WORD_PARTS)]
-            for w in sorted(w.encode() for w in words):
-                parts[int.from_bytes(hashlib.blake2s(w, digest_size=2).digest()) % WORD_PARTS].append(w)
-            full = [k for k, p in enumerate(parts) if p]
-            return pa.RecordBatch.from_arrays([pa.array([last] * len(full), pa.string()), pa.array(full, pa.int32()), pa.array([pack(parts[k]) for k in full], pa.binary())], names=["block", "part", "words"])
-
-        for block, rows in _in_blocks(batches, 0):
-            if block != last and last is not None:
-                yield dealt()
-                words.clear()
-                pieces.clear()
-            last = block
-            for t in rows.column(0):
-                pieces.of(t.as_py() or "")
-        if words:
-            yield dealt()
-
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = word_coder(library, sent.value, pattern)
-        known: dict[bytes, bytes] = {}
-        for b in batches:
-            for block, words in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
-                words = unpack(words)
-                for w in words:
-                    if w not in known:
-                        if len(known) > 600_000:
-                            known.clear()
-                        known[w] = np.array(code(w), "<u4").tobytes()
-                found = pack([known[w] if w in known else np.array(code(w), "<u4").tobytes() for w in words])
-                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([pack(words)], pa.binary()), pa.array([found], pa.binary())], names=["block", "words", "ids"])
-
-    path = scratch(spark, "words")
-    words = df.select(col(text_col).cast("string").alias("t")).mapInArrow(collect, "block string, part int, words binary").repartition("part")
-    words.mapInArrow(look_up, "block string, words binary, ids binary").repartition("block").write.partitionBy("block").parquet(path)
-
-    names = [c for c in df.columns if c != ids_col]
-    place = names.index(text_col)
-    plain = numbered(df.select(*map(col, names)))
-    schema = T.StructType([*plain.schema.fields]).add("ids", T.BinaryType() if packed else T.ArrayType(T.IntegerType()))
-
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.parquet as pq
-
-        code, split = word_coder(library, sent.value, pattern), regex.compile(pattern).findall
-        fs, root = open_fs(path)
-        known: dict[bytes, bytes] = {}
-
-        def ids(piece: str) -> bytes:
-            out = []
-            for w in split(piece):
-                w = w.encode()
-                if w not in known:
-                    known[w] = np.array(code(w), "<u4").tobytes()
-                out.append(known[w])
-            return b"".join(out)
-
-        pieces = Pieces(ids)
-        last = None
-        for block, rows in _in_blocks(batches, place):
-            if block != last:
-                known.clear()
-                pieces.clear()
-                last = block
-                from pyarrow.fs import FileSelector
-
-                for info in fs.get_file_info(FileSelector(f"{root}/block={block}", allow_not_found=True)):
-                    if info.path.endswith(".parquet"):
-                        with fs.open_input_file(info.path) as f:
-                            t = pq.ParquetFile(f).read(columns=["words", "ids"])
-                        for w, i in zip(t["words"].to_pylist(), t["ids"].to_pylist(), strict=True):
-                            known.update(zip(unpack(w), unpack(i), strict=True))
-            for s in range(0, rows.num_rows, 64):
-                part = rows.slice(s, 64)
-                found = [b"".join(pieces.of(t.as_py() or "")) for t in part.column(place)]
-                if packed:
-                    ids_of = pa.array([np.frombuffer(x, "<u4").astype(packed).tobytes() for x in found], pa.binary())
-                else:
-                    ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
-                    ids_of = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4")))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids_of], names=schema.names)
-
-    return plain.mapInArrow(assemble, schema).toDF(*names, ids_col)
+        data = f.read()
+    sent = spark.sparkContext.broadcast(data)
+    names = [c for c in (df.columns if keep is None else keep) if c != ids_col]
+    columns = names if text_col in names else [*names, text_col]
+    plain = numbered(df.select(*map(col, columns)))
+    fields, place = plain.schema.fields[: len(names)], columns.index(text_col)
+    schema = T.StructType([*fields]).add("ids", T.BinaryType() if packed else T.ArrayType(T.IntegerType()))
+    folder = scratch(spark, "words")
+    blocks, _ = materialise(plain.mapInArrow(_cut(folder, pattern, added_tokens(library, data), place, list(range(len(names)))), "block string, n_words long"), "word-blocks")
+    n_words = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + n_words // PART_WORDS)
+    asked = blocks.select("block").repartition("block").mapInArrow(_ask(folder, parts), "part int, block string, data binary")
+    answered = asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_answer(library, sent, pattern), "block string, part int, data binary")
+    said = answered.unionByName(blocks.select("block", F.lit(-1).alias("part"), F.lit(None).cast("binary").alias("data")))
+    coded = said.repartition("block").sortWithinPartitions("block").mapInArrow(_assemble(folder, parts, packed, schema.names), schema)
+    return coded.toDF(*names, ids_col)
+
+
+class TokenBytes:
+    """The token-byte table: what each id stands for."""
+
+    def __init__(self, data: bytes):
+        ranks = read_ranks(data)
+        self.table: list = [None] * (1 + max(ranks.values()))
+        for w, i in ranks.items():
+            self.table[i] = w
+
+    def join(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.table.__getitem__, ids))
 
 
 def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    """df with a column of the bytes that the ids stand for, from the token-byte table.
+    """df with a column of the bytes that the ids stand for, joined from the token-byte table.
 
     The table (as many entries as the vocabulary) is looked up in every task. A null array gives null, an empty one
-    no bytes, and an id outside the table is an error. All columns stay, one called ``bytes_col`` is replaced.
+    no bytes, and an id outside the table is an error; an empty table gives no rows. All columns stay, one called
+    ``bytes_col`` is replaced.
     """
     spark = df.sparkSession
     with open(ranks_path, "rb") as f:
@@ -194,11 +320,11 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str
     schema = T.StructType([*plain.schema.fields]).add("decoded", T.BinaryType())
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = {i: w for w, i in read_ranks(sent.value).items()}
+        table = TokenBytes(sent.value)
         for b in batches:
             for s in range(0, b.num_rows, 256):
                 part = b.slice(s, 256)
-                found = [None if x is None else b"".join(map(table.__getitem__, x)) for x in (x.as_py() for x in part.column(place))]
+                found = [None if x is None else table.join(x) for x in (x.as_py() for x in part.column(place))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=schema.names)
 
     return plain.mapInArrow(look_up, schema).toDF(*names, bytes_col)
@@ -207,27 +333,27 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_tokens, ids_sha256 (of the decimal ids joined by blanks), decoded_sha256 (of the decoded bytes).
 
-    The ids are encoded by ``encode`` and decoded from the token-byte table as ``decode`` does; both digests are taken
-    in one pass over the ids.
+    The ids are ``encode``'s, and the bytes are joined from the token-byte table as ``decode`` joins them; both digests
+    are taken in one pass over the ids. Null and empty texts, repeated rows, ids of any type and empty tables are handled
+    as ``encode`` says; other columns are not read.
     """
     spark = df.sparkSession
     with open(ranks_path, "rb") as f:
         sent = spark.sparkContext.broadcast(f.read())
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = {i: w for w, i in read_ranks(sent.value).items()}
-        written = {i: str(i) for i in table}
+        table = TokenBytes(sent.value)
+        written = [str(i) for i in range(len(table.table))]
         for b in batches:
             n, x, y = [], [], []
-            for s in range(0, b.num_rows, 64):
-                for ids in b.column(1).slice(s, 64):
-                    ids = ids.values.to_numpy().tolist()
-                    n.append(len(ids))
-                    x.append(hashlib.sha256(" ".join(map(written.__getitem__, ids)).encode()).hexdigest())
-                    y.append(hashlib.sha256(b"".join(map(table.__getitem__, ids))).hexdigest())
+            for ids in b.column(1):
+                ids = ids.values.to_numpy().tolist()
+                n.append(len(ids))
+                x.append(hashlib.sha256(" ".join(map(written.__getitem__, ids)).encode()).hexdigest())
+                y.append(hashlib.sha256(table.join(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(x, pa.string()), pa.array(y, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     src = df.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    coded = encode(src, ranks_path, pattern, "text", "ids").select("id", "ids")
+    coded = encode(src, ranks_path, pattern, keep=["id"])
     return coded.mapInArrow(digest, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

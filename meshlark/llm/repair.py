@@ -6,7 +6,7 @@ STEP-th symbol, by which any range of ids is decoded without the rest. Pairs nev
 of a document, so each document is a run of symbols of its own.
 
 File format, version 1, all numbers little-endian: the magic ``RPR1``; the length of the header as u32; the
-header as JSON with the byte place, length and type of each array; then the arrays.
+header as JSON with the byte place, length and type of each array (u3: three bytes a number); then the arrays.
 """
 
 from __future__ import annotations
@@ -27,48 +27,60 @@ from ._work import col, open_fs, scratch
 
 MAGIC = b"RPR1"
 STEP = 1024
-#: Ids to a file, most rounds of replacement, new symbols a round, and the fewest places that a pair must have.
-SHARD_IDS = 4 << 20
-ROUNDS, RULES_A_ROUND, LEAST = 4, 3800, 16
+#: Ids to a file, and the fewest places that a pair must have for a rule.
+SHARD_IDS, LEAST = 4 << 20, 16
+#: Buckets that rule out most rare pairs before pairs are sorted.
+_BITS = 22
 
 
-def compress(ids: np.ndarray, end_id: int, base: int, rounds: int = ROUNDS, rules_a_round: int = RULES_A_ROUND, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, rules): rules has a row (left, right) for each symbol from ``base`` on."""
-    s = ids.astype(np.int64)
+def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds: int | None = None, rules_a_round: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, rules): rules has a row (left, right) for each symbol from ``base`` on.
+
+    Goes on until no pair has ``least`` places that do not overlap, unless ``rounds`` or ``rules_a_round`` say less. In a
+    round pairs are ranked by their places; a pair is replaced where it outranks the pairs that overlap it, if those
+    places are enough. The most frequent pair is replaced everywhere, as in one step of Re-Pair, so each round has a rule.
+    """
+    s = ids.astype(np.uint32)
     rules = np.zeros((0, 2), np.int64)
-    for _ in range(rounds):
-        if len(s) < 2:
-            break
-        top = base + len(rules)
-        key = s[:-1] * (1 << 32) + s[1:]
-        inner = (s[:-1] != end_id) & (s[1:] != end_id)
-        found = np.sort(key[inner])
-        if not len(found):
-            break
-        edge = np.flatnonzero(np.diff(found, prepend=found[0] - 1))
+    while len(s) > 1 and rounds != 0:
+        rounds = None if rounds is None else rounds - 1
+        key = s[:-1].astype(np.uint64) << np.uint64(32) | s[1:]
+        free = (s[:-1] != end_id) & (s[1:] != end_id)
+        # in a run of one symbol every second place counts
+        again = np.flatnonzero(key[1:] == key[:-1]) + 1
+        if len(again):
+            run = np.flatnonzero(np.diff(again, prepend=-2) != 1)
+            nth = np.arange(len(again)) - np.repeat(run, np.diff(run, append=len(again)))
+            free[again[nth % 2 == 0]] = False
+        bucket = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _BITS)).astype(np.int64)
+        at = np.flatnonzero(free & (np.bincount(bucket[free], minlength=1 << _BITS) >= least)[bucket])
+        found = np.sort(key[at])
+        edge = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else at
         n = np.diff(edge, append=len(found))
-        pairs = found[edge]
-        often = np.flatnonzero(n >= least)
-        if not len(often):
+        pairs, n = found[edge][n >= least], n[n >= least]
+        if not len(pairs):
             break
-        often = often[np.lexsort((pairs[often], -n[often]))][:rules_a_round]
-        chosen = np.sort(pairs[often])
-        is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
-        is_left[chosen >> 32] = is_right[chosen & 0xFFFFFFFF] = True
-        at = np.flatnonzero(inner & is_left[s[:-1]] & is_right[s[1:]])
-        k = np.minimum(np.searchsorted(chosen, key[at]), len(chosen) - 1)
-        ok = chosen[k] == key[at]
-        at, k = at[ok], k[ok]
-        # of places that follow each other, every second one from the first
-        run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-        odd = (np.arange(len(at)) - np.repeat(run, np.diff(run, append=len(at)))) & 1
-        at, k = at[odd == 0], k[odd == 0]
-        s[at] = top + k
+        k = np.minimum(np.searchsorted(pairs, key[at]), len(pairs) - 1)
+        known = pairs[k] == key[at]
+        at, k = at[known], k[known]
+        rank = np.empty(len(pairs), np.int64)
+        rank[np.lexsort((pairs, -n))] = np.arange(len(pairs))
+        ranks = np.full(len(s) + 1, len(pairs), np.int64)  # of the places, with one more at either end
+        ranks[at + 1] = rank[k]
+        first = (ranks[at + 1] < ranks[at]) & (ranks[at + 1] < ranks[at + 2])
+        at, k = at[first], k[first]
+        n = np.bincount(k, minlength=len(pairs))
+        chosen = np.flatnonzero(n >= least)
+        chosen = np.sort(chosen[np.lexsort((chosen, -n[chosen]))][:rules_a_round])
+        new = np.full(len(pairs), -1, np.int64)
+        new[chosen] = np.arange(len(chosen))
+        at, k = at[new[k] >= 0], new[k[new[k] >= 0]]
+        s[at] = base + len(rules) + k
         keep = np.ones(len(s), bool)
         keep[at + 1] = False
         s = s[keep]
-        rules = np.concatenate([rules, np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1)])
-    return s, rules
+        rules = np.concatenate([rules, np.stack([pairs[chosen] >> np.uint64(32), pairs[chosen] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.int64)])
+    return s.astype(np.int64), rules
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
@@ -105,22 +117,29 @@ def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: in
     return out
 
 
-def write_file(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, end_id: int, vocabulary: int) -> bytes:
-    symbols, rules = compress(ids, end_id, vocabulary)
+def narrow(symbols: np.ndarray, above: int) -> np.ndarray:
+    """Numbers below ``above`` in two, three or four bytes each; of three bytes, as rows."""
+    if above <= 1 << 16:
+        return symbols.astype("<u2")
+    wide = symbols.astype("<u4")
+    return wide if above > 1 << 24 else np.ascontiguousarray(wide.view(np.uint8).reshape(-1, 4)[:, :3])
+
+
+def write_file(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, end_id: int, vocabulary: int, least: int = LEAST, rounds: int | None = None, rules_a_round: int | None = None) -> bytes:
+    symbols, rules = compress(ids, end_id, vocabulary, least, rounds, rules_a_round)
     lengths = expansion_lengths(rules, vocabulary)
     n = np.ones(len(symbols), np.int64)
     n[symbols >= vocabulary] = lengths[symbols[symbols >= vocabulary] - vocabulary]
     before = np.concatenate([[0], np.cumsum(n)])
     first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-    kind = "<u2" if vocabulary + len(rules) <= 1 << 16 else "<u4"
     arrays = {
-        "symbols": symbols.astype(kind), "rules": rules.astype("<u4"), "lengths": lengths.astype("<u4"), "sums": before[::STEP].astype("<u8"),
+        "symbols": narrow(symbols, vocabulary + len(rules)), "rules": rules.astype("<u4"), "lengths": lengths.astype("<u4"), "sums": before[::STEP].astype("<u8"),
         "doc_ids": np.array([i or 0 for i in doc_ids], "<i8"), "known": np.array([i is not None for i in doc_ids], "u1"), "first": first.astype("<u8"), "symbol": np.searchsorted(before, first).astype("<u8"),
     }
     head: dict = {"version": 1, "vocabulary": vocabulary, "end_id": end_id, "step": STEP, "arrays": {}}
     at = 0
     for k, a in arrays.items():
-        head["arrays"][k] = [at, a.nbytes, a.dtype.str]
+        head["arrays"][k] = [at, a.nbytes, "u3" if a.ndim == 2 and k == "symbols" else a.dtype.str]
         at += a.nbytes
     text = json.dumps(head).encode()
     return MAGIC + np.array([len(text)], "<u4").tobytes() + text + b"".join(a.tobytes() for a in arrays.values())
@@ -144,10 +163,13 @@ class Shard:
 
     def array(self, name: str, lo: int = 0, hi: int | None = None) -> np.ndarray:
         at, n, kind = self.head["arrays"][name]
-        w = np.dtype(kind).itemsize
+        w = 3 if kind == "u3" else np.dtype(kind).itemsize
         hi = n // w if hi is None else min(hi, n // w)
         self.f.seek(self.data + at + lo * w)
-        return np.frombuffer(self.f.read((hi - lo) * w), kind)
+        data = self.f.read((hi - lo) * w)
+        if kind != "u3":
+            return np.frombuffer(data, kind)
+        return np.pad(np.frombuffer(data, np.uint8).reshape(-1, 3), ((0, 0), (0, 1))).view("<u4").reshape(-1)
 
     @property
     def doc_ids(self) -> list[int | None]:
@@ -191,11 +213,13 @@ def range_buckets(df: DataFrame, id_col: str):
 
 def write_tokens(
     df: DataFrame, tokenizer_path: str, pattern: str, path: str | None = None, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, shard_ids: int = SHARD_IDS,
+    least: int = LEAST, rounds: int | None = None, rules_a_round: int | None = None,
 ) -> str:
     """Encodes every whole text, appends ``end_id``, and writes the ids in ascending order of id; returns the path.
 
     The tokenizer is a byte-level BPE file of the tokenizers library that splits texts by ``pattern``; each distinct
-    match of the corpus is encoded once (see ``bpe.encode``). A null or empty text is its end id alone; rows without
+    match of the corpus is encoded once (see ``bpe.encode``). In a file, pairs are replaced until none has ``least`` places;
+    ``rounds`` and ``rules_a_round`` may bound that. A null or empty text is its end id alone; rows without
     id come first; rows that repeat an id are in order of a hash of their texts; other columns are not read; an empty
     table makes no files.
 
@@ -222,7 +246,7 @@ def write_tokens(
 
         def shard():
             name = f"{uuid.uuid4().hex}.rpr"
-            data = write_file(ids, counts, np.frombuffer(b"".join(coded), kind), end_id, size)
+            data = write_file(ids, counts, np.frombuffer(b"".join(coded), kind), end_id, size, least, rounds, rules_a_round)
             with fs.open_output_stream(f"{root}/{name}", compression=None) as f:
                 f.write(data)
             row = [[part], [k], [name], [len(data)], [len(ids)], [sum(counts)]]
@@ -246,8 +270,9 @@ def write_tokens(
         if ids:
             yield shard()
 
-    src = df.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
-    coded = bpe.encode(src, tokenizer_path, pattern, library="tokenizers", packed=kind).select("id", "ids", F.xxhash64("text").alias("tie"))
+    text = F.coalesce(col(text_col).cast("string"), F.lit(""))
+    src = df.select(col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    coded = bpe.encode(src, tokenizer_path, pattern, library="tokenizers", packed=kind, keep=["id", "tie"])
     order = coded.withColumn("bucket", range_buckets(src, "id")("id")).repartition("bucket").sortWithinPartitions("bucket", "id", "tie").select("id", "ids", "bucket")
     order.mapInArrow(write, "part int, k int, name string, bytes long, n_docs long, n_ids long").write.parquet(f"{path}/_files")
     return path

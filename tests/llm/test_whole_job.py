@@ -111,3 +111,29 @@ def test_rows_without_an_id_or_with_a_repeated_one(spark, tmp_path):
     d = spark.createDataFrame([(None, item), (None, "clean"), (1, "also clean"), (1, item), (2, "clean too"), (3, None)], "doc_id long, text string")
     left = corpus_pipeline.decontamination(spark, d, str(tmp_path)).collect()
     assert sorted(map(repr, left)) == sorted(repr(r) for r in d.collect() if r["text"] != item)
+
+
+def test_repair_stops_only_when_no_pair_is_frequent():
+    """Any ids come back, and no pair is left with as many places as a rule needs; three-byte symbols are read by place."""
+    import io
+
+    import numpy as np
+
+    from meshlark.llm import repair
+
+    r = random.Random(8)
+    for alphabet, n in ((2, 400), (5, 3000), (30, 3000)):
+        ids = np.array([2 if r.random() < 0.02 else 3 + r.randrange(alphabet) for _ in range(n)] + [4] * 40 + [2])
+        symbols, rules = repair.compress(ids, 2, 50, least=4)
+        lengths = repair.expansion_lengths(rules, 50)
+        assert (repair.expand(symbols, rules, lengths, 50) == ids).all()
+        places, last = {}, {}
+        for k, pair in enumerate(zip(symbols[:-1].tolist(), symbols[1:].tolist(), strict=True)):
+            if 2 not in pair and last.get(pair) != k - 1:
+                places[pair] = places.get(pair, 0) + 1
+                last[pair] = k
+        assert max(places.values()) < 4
+    docs = [[70_000 + r.randrange(9) for _ in range(500)] + [2] for _ in range(8)]
+    data = repair.write_file(list(range(8)), [501] * 8, np.array([i for d in docs for i in d]), 2, 80_000)
+    shard = repair.Shard(io.BytesIO(data))
+    assert shard.head["arrays"]["symbols"][2] == "u3" and [shard.document(k).tolist() for k in range(8)] == docs and shard.ids(495, 1100).tolist() == [i for d in docs for i in d][495:1100]
