@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._pieces import Pieces
-from ._work import FileReader, FileWriter, col, materialise, numbered, scratch
+from ._work import FileReader, FileWriter, col, materialise, numbered, scratch, squeeze, unsqueeze
 
 #: Bytes of text to a block, and words asked for to a part: what a task holds. They set how work is cut, not results.
 BLOCK_BYTES, PART_WORDS = 8_000_000, 500_000
@@ -68,14 +68,6 @@ def added_tokens(library: str, data: bytes) -> list[str]:
     return sorted((x["content"] for x in found), key=len, reverse=True)
 
 
-def squeeze(data: bytes) -> bytes:
-    return len(data).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(data, asbytes=True)
-
-
-def unsqueeze(data: bytes) -> bytes:
-    return pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
-
-
 def pack(items: list[bytes]) -> bytes:
     return squeeze(np.array([len(items), *map(len, items)], "<u4").tobytes() + b"".join(items))
 

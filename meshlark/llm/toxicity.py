@@ -16,18 +16,20 @@ from __future__ import annotations
 
 import hashlib
 import pickle
-import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._work import col, materialise, open_fs, scratch, small_side
+from ._work import col, materialise, open_fs, remove, scratch, small_side, squeeze, unsqueeze
 
 #: Words to a block, and pairs or words asked for to a part: what a task holds. They set how work is cut, not results.
 BLOCK_WORDS, PART_KEYS = 1_000_000, 1_000_000
+#: Pairs are counted by ranges of their hash, one range after the other, so that requests for one of them are on disk at a time.
+ROUNDS = 3
 #: Words to a stretch, for the features besides the whole text.
 STRETCHES = (1, 4)
 TOP_WORDS = 3
@@ -94,8 +96,8 @@ class Block:
     def __init__(self, uri: str):
         fs, path = open_fs(uri)
         with fs.open_input_stream(path) as f:
-            self.ids, self.folds, self.toxic, self.sizes, words, self.hashes = pickle.loads(zlib.decompress(f.read()))
-        self.w = _numbers(words, "<u4").astype(np.int64)
+            self.ids, self.folds, self.toxic, self.sizes, words, self.hashes = pickle.loads(f.read())
+        self.w = _numbers(unsqueeze(words), "<u4").astype(np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         v = np.concatenate([[0], self.w[:-1]]) if len(self.w) else self.w
         v[self.starts[self.sizes > 0]] = 0
@@ -117,13 +119,13 @@ def _by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
 
 
-def _ask(block: str, keys: np.ndarray, counts: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+def _ask(block: str, keys: np.ndarray, counts: np.ndarray, parts: int, some: range | None = None) -> Iterator[pa.RecordBatch]:
     order, cuts = _by_part(keys, parts)
-    for p in range(parts):
+    for p in some or range(parts):
         own = order[cuts[p] : cuts[p + 1]]
         if len(own):
             gaps = np.diff(keys[own], prepend=np.uint64(0))
-            data = pickle.dumps((_planes(gaps), zlib.compress(_planes(counts[own]), 1)), 5)
+            data = pickle.dumps((squeeze(_planes(gaps)), squeeze(_planes(counts[own]))), 5)
             yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([block]), pa.array([data], pa.binary())], names=["part", "block", "data"])
 
 
@@ -144,7 +146,7 @@ def _answer(columns: int, owners: bool, totals):
                 if owners:
                     x = np.column_stack([x, own[cuts[k] : cuts[k + 1]]])
                 said = totals(found, sums) if k == 0 else None
-                yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([part], pa.int32()), pa.array([zlib.compress(_planes(x), 1)], pa.binary()), pa.array([said], pa.list_(pa.float64()))], names=["block", "part", "data", "totals"])
+                yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([part], pa.int32()), pa.array([squeeze(_planes(x))], pa.binary()), pa.array([said], pa.list_(pa.float64()))], names=["block", "part", "data", "totals"])
 
         last, held = None, ([], [], [])
         for b in batches:
@@ -155,8 +157,8 @@ def _answer(columns: int, owners: bool, totals):
                 last = part
                 gaps, counts = pickle.loads(data)
                 held[0].append(block)
-                held[1].append(np.cumsum(_numbers(gaps, "<u8"), dtype=np.uint64))
-                held[2].append(_numbers(zlib.decompress(counts), "<i8", columns))
+                held[1].append(np.cumsum(_numbers(unsqueeze(gaps), "<u8"), dtype=np.uint64))
+                held[2].append(_numbers(unsqueeze(counts), "<i8", columns))
         if held[0]:
             yield from close(last, *held)
 
@@ -184,7 +186,7 @@ def _gathered(keys: np.ndarray, parts: int, rows: list[tuple[int, bytes]], colum
     out = np.zeros((len(keys), columns), np.int64)
     order, cuts = _by_part(keys, parts)
     for p, data in rows:
-        out[order[cuts[p] : cuts[p + 1]]] = _numbers(zlib.decompress(data), "<i8", columns)
+        out[order[cuts[p] : cuts[p + 1]]] = _numbers(unsqueeze(data), "<i8", columns)
     return out
 
 
@@ -252,12 +254,12 @@ def measure(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
             ids, folds, toxic, words = zip(*held, strict=True)
             sizes = np.array([len(w) for w in words], np.int64)
             hashes = np.fromiter(map(word_hash, known), np.uint64, len(known))
-            data = pickle.dumps((pa.array([x.as_py() for x in ids], ids[0].type), folds, toxic, sizes, _planes(np.concatenate(words).astype("<u4")), hashes), 5)
+            data = pickle.dumps((pa.array([x.as_py() for x in ids], ids[0].type), folds, toxic, sizes, squeeze(_planes(np.concatenate(words).astype("<u4"))), hashes), 5)
             uri = f"{root}/{uuid.uuid4().hex}"
             fs, path = open_fs(uri)
             fs.create_dir(path.rpartition("/")[0], recursive=True)
             with fs.open_output_stream(path) as f:
-                f.write(zlib.compress(data, 1))
+                f.write(data)
             return pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([int(sizes.sum())]), pa.array([len(known)])], names=["block", "n_words", "n_known"])
 
         known, held, size = _Index(), [], 0
@@ -275,14 +277,24 @@ def measure(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     n, n_words, n_known = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_known"), F.lit(0))).first()
     n, pair_parts, word_parts = max(1, n), 1 + n_words // part_keys, 1 + n_known // part_keys
 
-    def ask_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for uri in b.column(0).to_pylist():
-                block = Block(uri)
-                yield from _ask(uri, block.keys, block.by_class(), pair_parts)
-
-    asked = blocks.select("block").repartition(n).mapInArrow(ask_pairs, _ASKED).repartition(pair_parts, "part").sortWithinPartitions("part", "block")
-    pairs, _ = materialise(asked.mapInArrow(_answer(2, True, _pair_totals), _ANSWERED), "pairs")
+    def ask_pairs(some: range):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for uri in b.column(0).to_pylist():
+                    block = Block(uri)
+                    yield from _ask(uri, block.keys, block.by_class(), pair_parts, some)
+
+        return run
+
+    rounds = min(ROUNDS, pair_parts)
+    tables, temporary = [], [root]
+    for k in range(rounds):
+        some = range(k * pair_parts // rounds, (k + 1) * pair_parts // rounds)
+        asked = blocks.select("block").repartition(n).mapInArrow(ask_pairs(some), _ASKED).repartition(len(some), "part").sortWithinPartitions("part", "block")
+        table, path = materialise(asked.mapInArrow(_answer(2, True, _pair_totals), _ANSWERED), "pairs")
+        tables.append(table)
+        temporary.append(path)
+    pairs = reduce(DataFrame.unionByName, tables)
     seen = _summed(pairs, 4)
     discount = [d if 0 < (d := seen[2 * c] / max(1, seen[2 * c] + 2 * seen[2 * c + 1])) < 1 else 0.75 for c in (0, 1)]
 
@@ -298,7 +310,8 @@ def measure(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
     said = pairs.select("block", F.lit(0).alias("kind"), "part", "data")
     asked = said.repartition(n, "block").sortWithinPartitions("block").mapInArrow(ask_words, _ASKED).repartition(word_parts, "part").sortWithinPartitions("part", "block")
-    words, _ = materialise(asked.mapInArrow(_answer(WORD_COUNTS, False, _word_totals), _ANSWERED), "words")
+    words, path = materialise(asked.mapInArrow(_answer(WORD_COUNTS, False, _word_totals), _ANSWERED), "words")
+    temporary.append(path)
     totals = _summed(words, 6)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,7 +324,9 @@ def measure(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     said = said.unionByName(words.select("block", F.lit(1).alias("kind"), "part", "data"))
     said = said.unionByName(blocks.select("block", F.lit(1).alias("kind"), F.lit(0).alias("part"), F.lit(None).cast("binary").alias("data")))
     weighed = said.repartition(n, "block").sortWithinPartitions("block").mapInArrow(weigh, f"id {kind}, fold long, toxic int, f array<double>")
-    return materialise(weighed, "toxicity")[0]
+    out = materialise(weighed, "toxicity")[0]
+    remove(spark, *temporary)
+    return out
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
