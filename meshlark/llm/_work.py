@@ -120,6 +120,28 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("/") else os.path.abspath(uri))
 
 
+def tidy(run):
+    """The function of batches, giving memory back to the system when its task ends: Python workers are used again, by
+    other operators too, and what one of them once held would else stay with them."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return tidied
+
+
 class FileWriter:
     """Byte strings in a file of a task's own in a folder; a place is (file, start, length). The file is there after ``close``,
     and only files whose places Spark has committed with the task's rows are ever read."""

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._pieces import Pieces
-from ._work import FileReader, FileWriter, col, materialise, numbered, scratch, squeeze, unsqueeze
+from ._work import FileReader, FileWriter, col, materialise, numbered, scratch, squeeze, tidy, unsqueeze
 
 #: Bytes of text to a block, and words asked for to a part: what a task holds. They set how work is cut, not results.
 BLOCK_BYTES, PART_WORDS = 8_000_000, 500_000
@@ -273,13 +273,13 @@ def encode(
     fields, place = plain.schema.fields[: len(names)], columns.index(text_col)
     schema = T.StructType([*fields]).add("ids", T.BinaryType() if packed else T.ArrayType(T.IntegerType()))
     folder = scratch(spark, "words")
-    blocks, _ = materialise(plain.mapInArrow(_cut(folder, pattern, added_tokens(library, data), place, list(range(len(names)))), "block string, n_words long"), "word-blocks")
+    blocks, _ = materialise(plain.mapInArrow(tidy(_cut(folder, pattern, added_tokens(library, data), place, list(range(len(names))))), "block string, n_words long"), "word-blocks")
     n_words = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + n_words // PART_WORDS)
-    asked = blocks.select("block").repartition("block").mapInArrow(_ask(folder, parts), "part int, block string, data binary")
-    answered = asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_answer(library, sent, pattern), "block string, part int, data binary")
+    asked = blocks.select("block").repartition("block").mapInArrow(tidy(_ask(folder, parts)), "part int, block string, data binary")
+    answered = asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(tidy(_answer(library, sent, pattern)), "block string, part int, data binary")
     said = answered.unionByName(blocks.select("block", F.lit(-1).alias("part"), F.lit(None).cast("binary").alias("data")))
-    coded = said.repartition("block").sortWithinPartitions("block").mapInArrow(_assemble(folder, parts, packed, schema.names), schema)
+    coded = said.repartition("block").sortWithinPartitions("block").mapInArrow(tidy(_assemble(folder, parts, packed, schema.names)), schema)
     return coded.toDF(*names, ids_col)
 
 
@@ -319,7 +319,7 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str
                 found = [None if x is None else table.join(x) for x in (x.as_py() for x in part.column(place))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=schema.names)
 
-    return plain.mapInArrow(look_up, schema).toDF(*names, bytes_col)
+    return plain.mapInArrow(tidy(look_up), schema).toDF(*names, bytes_col)
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -348,4 +348,4 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
     src = df.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
     coded = encode(src, ranks_path, pattern, keep=["id"])
-    return coded.mapInArrow(digest, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return coded.mapInArrow(tidy(digest), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._work import col, materialise
+from ._work import col, materialise, tidy
 
 #: Bytes that make words, after A-Z are lower-cased; all other bytes part words.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -100,7 +100,7 @@ def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
             yield from segment()
 
     src = df.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(build, INDEX)
+    return src.mapInArrow(tidy(build), INDEX)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

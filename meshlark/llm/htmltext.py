@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._work import col
+from ._work import col, tidy
 
 #: Element names by kind.
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -379,12 +379,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             sample[r["host"]].append(_key(*r[1:]))
         each = min(SAMPLES, group_rows)
         splits = {x: sorted(set(sorted(sample[x])[each::each])) for x in large}
-        placed = hot.mapInArrow(_digests(splits), "host string, part int, path string, id long, h long, digest binary")
+        placed = hot.mapInArrow(tidy(_digests(splits)), "host string, part int, path string, id long, h long, digest binary")
         ends = defaultdict(dict)
-        for r in placed.repartition("host", "part").sortWithinPartitions("host", "part", "path", "id", "h").mapInArrow(_ends, "host string, part int, ends binary").collect():
+        for r in placed.repartition("host", "part").sortWithinPartitions("host", "part", "path", "id", "h").mapInArrow(tidy(_ends), "host string, part int, ends binary").collect():
             ends[r["host"]][r["part"]] = pickle.loads(r["ends"])
         extra = _handed(ends)
-    cut = src.mapInArrow(_cut(splits, extra), "id long, url string, host string, path string, h long, zones array<tinyint>, lines array<string>, part int, own boolean")
+    cut = src.mapInArrow(tidy(_cut(splits, extra)), "id long, url string, host string, path string, h long, zones array<tinyint>, lines array<string>, part int, own boolean")
     order = cut.repartition("host", "part").sortWithinPartitions("host", "part", "path", "id", "h").select("id", "url", "host", "part", "path", "zones", "lines", "own")
-    out = order.mapInArrow(_difference, "id long, url string, text string")
+    out = order.mapInArrow(tidy(_difference), "id long, url string, text string")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._work import FileReader, FileWriter, col, is_small, materialise, remove, scratch, small_side
+from ._work import FileReader, FileWriter, col, is_small, materialise, remove, scratch, small_side, tidy
 
 WORDS, PERCENT = 4, 80
 BANDS, ROWS, BATCH = 32, 4, 32
@@ -43,7 +43,7 @@ class _WordHashes(dict):
     """64-bit hashes of words; forgets all when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
@@ -174,7 +174,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _linked_pairs(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     """Of the pairs (a, b) of representatives those that are linked; a table."""
     left, right = reps.select(F.col("rep").alias("a"), F.col("sig").alias("x")), reps.select(F.col("rep").alias("b"), F.col("sig").alias("y"))
-    live = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_survive, "a long, b long")
+    live = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(tidy(_survive), "a long, b long")
     live, path = materialise(live.distinct(), "survivors")
     n = live.count()
     spark = pairs.sparkSession
@@ -188,7 +188,7 @@ def _linked_pairs(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFr
     wanted = partner.unionByName(hub)
     rows = texts.join(small_side(wanted, 2 * n), "id").select("hub", "salt", F.col("id").alias("other"), "is_hub", "text")
     rows = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.desc("is_hub"))
-    out, _ = materialise(rows.mapInArrow(_verify, "a long, b long").distinct(), "links")
+    out, _ = materialise(rows.mapInArrow(tidy(_verify), "a long, b long").distinct(), "links")
     remove(spark, path)
     return out
 
@@ -358,13 +358,13 @@ def _rest(buckets: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataF
     wanted, wanted_path = materialise(members.select("rep").distinct(), "wanted")
     n = wanted.count()
     full = texts.join(small_side(wanted.select(F.col("rep").alias("id")), n), "id", "left_semi").withColumnRenamed("id", "rep").join(classes.select("rep", "n_shingles", "sig"), "rep")
-    sets, sets_path = materialise(full.select("rep", "n_shingles", "sig", "text").mapInArrow(_write_sets(folder), "rep long, n_shingles long, sig binary, file string, at long, size long"), "set-places")
+    sets, sets_path = materialise(full.select("rep", "n_shingles", "sig", "text").mapInArrow(tidy(_write_sets(folder)), "rep long, n_shingles long, sig binary, file string, at long, size long"), "set-places")
     blocks = members.join(sets, "rep").select("key", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), "blocks", "rep", "root", "n_shingles", "sig", "file", "at", "size")
-    blocks = blocks.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_pack_blocks(folder), "key long, block int, blocks int, data binary, file string, at long, size long")
+    blocks = blocks.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(tidy(_pack_blocks(folder)), "key long, block int, blocks int, data binary, file string, at long, size long")
     blocks, blocks_path = materialise(blocks, "blocks")
     met = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "data", "file", "at", "size")
-    out, _ = materialise(met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_compare_blocks(folder), "a long, b long").distinct(), "links")
+    out, _ = materialise(met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(tidy(_compare_blocks(folder)), "a long, b long").distinct(), "links")
     remove(spark, mixed_path, path, wanted_path, sets_path, blocks_path, folder)
     return out
 
@@ -379,12 +379,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     class but never name one (they stay if nobody else can name it). Other columns are not read.
     """
     src = df.select(col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(col(text_col).cast("string"), F.lit(""))).alias("text_hash"), col(text_col).cast("string").alias("text"))
-    signed, signed_path = materialise(src.mapInArrow(_sign, "id long, text_hash long, n_shingles long, digest binary, sig binary"), "signed")
+    signed, signed_path = materialise(src.mapInArrow(tidy(_sign), "id long, text_hash long, n_shingles long, digest binary, sig binary"), "signed")
     classes = signed.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")).where("rep is not null")
     classes, _ = materialise(classes, "classes")
     reps, texts = classes.select("rep", "sig"), src.where("id is not null").select("id", "text")
 
-    banded = reps.mapInArrow(lambda b: _bands(b), "key long, rep long")
+    banded = reps.mapInArrow(tidy(_bands), "key long, rep long")
     shared, shared_path = materialise(banded.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("key", "leader"), "buckets")
     buckets, buckets_path = materialise(banded.join(small_side(shared, shared.count()), "key").where("rep <> leader").select("key", "rep", "leader"), "bucket-members")
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._work import col, numbered
+from ._work import col, numbered, tidy
 
 #: Fixed values of the contract.
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -80,7 +80,7 @@ def _measured(df: DataFrame, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=names)
 
     schema = T.StructType([*df.schema.fields, *(T.StructField(m, T.LongType()) for m in MEASURES)])
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 @dataclass(frozen=True)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from ._work import col, open_fs, scratch
+from ._work import col, open_fs, scratch, tidy
 
 MAGIC = b"RPR1"
 STEP = 1024
@@ -274,7 +274,7 @@ def write_tokens(
     src = df.select(col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
     coded = bpe.encode(src, tokenizer_path, pattern, library="tokenizers", packed=kind, keep=["id", "tie"])
     order = coded.withColumn("bucket", range_buckets(src, "id")("id")).repartition("bucket").sortWithinPartitions("bucket", "id", "tie").select("id", "ids", "bucket")
-    order.mapInArrow(write, "part int, k int, name string, bytes long, n_docs long, n_ids long").write.parquet(f"{path}/_files")
+    order.mapInArrow(tidy(write), "part int, k int, name string, bytes long, n_docs long, n_ids long").write.parquet(f"{path}/_files")
     return path
 
 
@@ -302,4 +302,4 @@ def read_documents(spark, path: str) -> DataFrame:
 
     listed = files(spark, path).select("name", "start")
     n = max(1, min(listed.count(), 100_000))
-    return listed.repartition(n, "name").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return listed.repartition(n, "name").mapInArrow(tidy(read), "doc_id long, start long, n_tokens long, ids_crc32 long")

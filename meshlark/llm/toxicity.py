@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._work import col, materialise, open_fs, remove, scratch, small_side, squeeze, unsqueeze
+from ._work import col, materialise, open_fs, remove, scratch, small_side, squeeze, tidy, unsqueeze
 
 #: Words to a block, and pairs or words asked for to a part: what a task holds. They set how work is cut, not results.
 BLOCK_WORDS, PART_KEYS = 1_000_000, 1_000_000
@@ -273,7 +273,7 @@ def measure(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
         if held:
             yield close()
 
-    blocks, _ = materialise(src.mapInArrow(cut, "block string, n_words long, n_known long"), "block-list")
+    blocks, _ = materialise(src.mapInArrow(tidy(cut), "block string, n_words long, n_known long"), "block-list")
     n, n_words, n_known = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_known"), F.lit(0))).first()
     n, pair_parts, word_parts = max(1, n), 1 + n_words // part_keys, 1 + n_known // part_keys
 
@@ -290,8 +290,8 @@ def measure(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     tables, temporary = [], [root]
     for k in range(rounds):
         some = range(k * pair_parts // rounds, (k + 1) * pair_parts // rounds)
-        asked = blocks.select("block").repartition(n).mapInArrow(ask_pairs(some), _ASKED).repartition(len(some), "part").sortWithinPartitions("part", "block")
-        table, path = materialise(asked.mapInArrow(_answer(2, True, _pair_totals), _ANSWERED), "pairs")
+        asked = blocks.select("block").repartition(n).mapInArrow(tidy(ask_pairs(some)), _ASKED).repartition(len(some), "part").sortWithinPartitions("part", "block")
+        table, path = materialise(asked.mapInArrow(tidy(_answer(2, True, _pair_totals)), _ANSWERED), "pairs")
         tables.append(table)
         temporary.append(path)
     pairs = reduce(DataFrame.unionByName, tables)
@@ -309,8 +309,8 @@ def measure(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
             yield from _ask(uri, block.hashes, np.column_stack(columns).astype("<i8"), word_parts)
 
     said = pairs.select("block", F.lit(0).alias("kind"), "part", "data")
-    asked = said.repartition(n, "block").sortWithinPartitions("block").mapInArrow(ask_words, _ASKED).repartition(word_parts, "part").sortWithinPartitions("part", "block")
-    words, path = materialise(asked.mapInArrow(_answer(WORD_COUNTS, False, _word_totals), _ANSWERED), "words")
+    asked = said.repartition(n, "block").sortWithinPartitions("block").mapInArrow(tidy(ask_words), _ASKED).repartition(word_parts, "part").sortWithinPartitions("part", "block")
+    words, path = materialise(asked.mapInArrow(tidy(_answer(WORD_COUNTS, False, _word_totals)), _ANSWERED), "words")
     temporary.append(path)
     totals = _summed(words, 6)
 
@@ -323,7 +323,7 @@ def measure(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
     said = said.unionByName(words.select("block", F.lit(1).alias("kind"), "part", "data"))
     said = said.unionByName(blocks.select("block", F.lit(1).alias("kind"), F.lit(0).alias("part"), F.lit(None).cast("binary").alias("data")))
-    weighed = said.repartition(n, "block").sortWithinPartitions("block").mapInArrow(weigh, f"id {kind}, fold long, toxic int, f array<double>")
+    weighed = said.repartition(n, "block").sortWithinPartitions("block").mapInArrow(tidy(weigh), f"id {kind}, fold long, toxic int, f array<double>")
     out = materialise(weighed, "toxicity")[0]
     remove(spark, *temporary)
     return out

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, IsNull, StringStartsWith
 
-from ._work import col, materialise, open_fs, scratch, small_side
+from ._work import col, materialise, open_fs, scratch, small_side, tidy
 
 #: Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -118,7 +118,7 @@ def write_pages(
         cols = list(zip(*done, strict=True)) or [[], [], []]
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], names=["name", "bytes", "records"])
 
-    src.select("id", "url", "payload", "sha1", "refers").mapInArrow(write, "name string, bytes long, records long").write.parquet(f"{path}/_files")
+    src.select("id", "url", "payload", "sha1", "refers").mapInArrow(tidy(write), "name string, bytes long, records long").write.parquet(f"{path}/_files")
     return path
 
 
