@@ -2,7 +2,8 @@
 
 A geometry is a struct of kind, srid and parts; a part is a list of rings or lines, those are lists of points.
 A point is one part of one line of one point. Points against points, segments and polygons are Column
-expressions; predicates between lines and areas are Arrow UDFs behind a test of the bounding boxes.
+expressions; predicates between lines and areas are Arrow UDFs, to which only geometries whose bounding boxes allow
+the answer to be true are sent.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from __future__ import annotations
 import json
 import math
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,10 +167,23 @@ def _cuts(a, b, part: list) -> list[float]:
     return sorted(k for k in out if 0 <= k <= 1)
 
 
+def _inner_point(ring: list) -> tuple[float, float] | None:
+    """A point inside a ring: on a level halfway between two heights of vertices, midway between crossings."""
+    ps = [(p["x"], p["y"]) for p in ring]
+    heights = sorted({y for _, y in ps})
+    if len(heights) < 2:
+        return None
+    low, high = max(zip(heights, heights[1:]), key=lambda h: h[1] - h[0])
+    y = (low + high) / 2
+    xs = sorted(a[0] + (y - a[1]) * (b[0] - a[0]) / (b[1] - a[1]) for a, b in zip(ps, ps[1:]) if (a[1] > y) != (b[1] > y))
+    west, east = max(zip(xs[::2], xs[1::2]), key=lambda x: x[1] - x[0])
+    return (west + east) / 2, y
+
+
 def _part_contains(part: list, g: dict) -> bool:
     inner = False
     for ring_part in g["parts"]:
-        for k, ring in enumerate(ring_part):
+        for ring in ring_part:
             ps = [(p["x"], p["y"]) for p in ring]
             if any(_where(part, p) < 0 for p in ps):
                 return False
@@ -181,19 +196,18 @@ def _part_contains(part: list, g: dict) -> bool:
                     if w < 0:
                         return False
                     inner = inner or w > 0
-            del k
     if g["kind"] in AREAS:
-        holes = [ring for ring in part[1:]]
-        for own in g["parts"]:
-            for hole in holes:
-                if any(_where(own, (p["x"], p["y"])) > 0 for p in hole):
-                    return False
-        return True  # an area within the closed polygon has inner points
+        # its boundary enters no hole, so a hole lies in it as a whole or not at all: one inner point of the hole decides
+        return not any(_where(own, p) > 0 for hole in part[1:] if (p := _inner_point(hole)) for own in g["parts"])
     return inner
 
 
 def contains(a: dict | None, b: dict | None) -> bool | None:
-    """Whether area a contains b: no point of b outside, some inside. False for null, null for an a that is no area."""
+    """Whether area a contains b: no point of b outside, some inside. False for null, null for an a that is no area.
+
+    A MultiPolygon contains what one of its polygons contains: an area across two that touch is not contained. Each
+    member of a Multi geometry b must be contained, by any of a's polygons.
+    """
     if a is None or b is None:
         return False
     if a["kind"] not in AREAS:
@@ -260,6 +274,16 @@ def closest_point(g: dict | None, p: dict | None) -> dict | None:
 
 # Columns ---------------------------------------------------------------------------------------------------------
 
+def of_kind(c: Column, kind: str) -> Column:
+    """The column, known to hold geometries of one kind only, so that plans need not provide for others."""
+    c.__dict__["_kind"] = kind
+    return c
+
+
+def kind_of(c: Column) -> str | None:
+    return c.__dict__.get("_kind")
+
+
 def _c(v) -> Column:
     return v if isinstance(v, Column) else F.lit(float(v)) if isinstance(v, (int, float)) else F.lit(v)
 
@@ -299,7 +323,7 @@ def point(lng, lat, z=None) -> Column:
     """A point geometry; null where a coordinate is."""
     p = F.struct(_c(lng).cast("double").alias("x"), _c(lat).cast("double").alias("y"), (F.lit(None) if z is None else _c(z)).cast("double").alias("z"))
     g = F.struct(F.lit("Point").alias("kind"), F.lit(4326 if z is None else 4979).alias("srid"), F.array(F.array(F.array(p))).alias("parts"))
-    return F.when(_c(lng).isNotNull() & _c(lat).isNotNull(), g)
+    return of_kind(F.when(_c(lng).isNotNull() & _c(lat).isNotNull(), g), "Point")
 
 
 def literal(g: dict | None) -> Column:
@@ -309,7 +333,58 @@ def literal(g: dict | None) -> Column:
         return F.struct(F.lit(q["x"]).alias("x"), F.lit(q["y"]).alias("y"), F.lit(q["z"]).cast("double").alias("z"))
 
     parts = F.array(*[F.array(*[F.array(*[p(q) for q in ring]) for ring in part]) for part in g["parts"]])
-    return F.struct(F.lit(g["kind"]).alias("kind"), F.lit(g["srid"]).alias("srid"), parts.alias("parts"))
+    return of_kind(F.struct(F.lit(g["kind"]).alias("kind"), F.lit(g["srid"]).alias("srid"), parts.alias("parts")), g["kind"])
+
+
+def flat(g: Column) -> Column:
+    """The geometry without heights; null for null."""
+    parts = F.transform(g["parts"], lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), F.lit(None).cast("double").alias("z")))))
+    return F.when(g.isNotNull(), F.struct(g["kind"].alias("kind"), F.lit(4326).alias("srid"), parts.alias("parts")))
+
+
+def geojson(g: Column) -> Column:
+    """RFC 7946 with a bbox, without a crs, in compact form with keys in order; null for null."""
+    def at(p):
+        return F.filter(F.array(p["x"], p["y"], p["z"]), lambda v: v.isNotNull())
+
+    def first(c):
+        return F.get(c, F.lit(0))
+
+    lines = F.transform(g["parts"], lambda part: F.transform(part, lambda ring: F.transform(ring, at)))
+    box = box_columns(g)
+    shapes = {
+        "Point": first(first(first(lines))), "LineString": first(first(lines)), "Polygon": first(lines), "MultiPoint": F.transform(lines, lambda x: first(first(x))),
+        "MultiLineString": F.transform(lines, first), "MultiPolygon": lines,
+    }
+    out = F.lit(None).cast("string")
+    for kind, c in shapes.items():
+        out = F.when(g["kind"] == kind, F.to_json(F.struct(F.array(*box.values()).alias("bbox"), c.alias("coordinates"), g["kind"].alias("type")))).otherwise(out)
+    return out
+
+
+def parse_geojson(text: Column) -> Column:
+    """The geometry of a GeoJSON text; null for null, other types and texts that are none."""
+    kind, c = F.get_json_object(text, "$.type"), F.get_json_object(text, "$.coordinates")
+
+    def nested(n):
+        return F.from_json(c, "array<" * n + "double" + ">" * n)
+
+    def p(a):
+        return F.struct(F.get(a, F.lit(0)).alias("x"), F.get(a, F.lit(1)).alias("y"), F.get(a, F.lit(2)).alias("z"))
+
+    def line(a):
+        return F.transform(a, p)
+
+    shapes = {
+        "Point": F.array(F.array(F.array(p(nested(1))))), "LineString": F.array(F.array(line(nested(2)))), "Polygon": F.array(F.transform(nested(3), line)),
+        "MultiPoint": F.transform(nested(2), lambda q: F.array(F.array(p(q)))), "MultiLineString": F.transform(nested(3), lambda x: F.array(line(x))),
+        "MultiPolygon": F.transform(nested(4), lambda part: F.transform(part, line)),
+    }
+    parts = F.lit(None).cast("array<array<array<struct<x:double,y:double,z:double>>>>")
+    for name, shape in shapes.items():
+        parts = F.when(kind == name, shape).otherwise(parts)
+    v = F.get(F.get(F.get(parts, F.lit(0)), F.lit(0)), F.lit(0))
+    return F.when(v["x"].isNotNull() & v["y"].isNotNull(), F.struct(kind.alias("kind"), F.when(v["z"].isNotNull(), F.lit(4979)).otherwise(F.lit(4326)).alias("srid"), parts.alias("parts")))
 
 
 def vertex(g: Column) -> Column:
@@ -397,28 +472,33 @@ def st_closest_point(g: Column, p: Column) -> Column:
     return F.when(v.isNotNull() & g["kind"].isin("MultiPoint", "LineString", "MultiLineString"), point(ranked["x"], ranked["y"]))
 
 
-def _geometry(row) -> dict | None:
-    if row is None or row.get("kind") is None:
-        return None
-    return {"kind": row["kind"], "srid": row["srid"], "parts": [[list(ring) for ring in part] for part in row["parts"]]}
-
-
 def _pairwise(test):
-    @F.pandas_udf(T.BooleanType())
-    def each(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
-        rows = zip(a.to_dict("records"), b.to_dict("records"), strict=True)
-        return pd.Series([test(_geometry(x), _geometry(y)) for x, y in rows], dtype=object)
+    @F.arrow_udf(T.BooleanType())
+    def each(a: pa.Array, b: pa.Array) -> pa.Array:
+        at = np.flatnonzero(np.asarray(a.is_valid()) & np.asarray(b.is_valid()))
+        out: list = [None] * len(a)
+        for k, x, y in zip(at.tolist(), a.take(pa.array(at)).to_pylist(), b.take(pa.array(at)).to_pylist(), strict=True):
+            out[k] = test(x, y)
+        return pa.array(out, pa.bool_())
 
     return each
 
 
 def st_contains(a: Column, b: Column) -> Column:
-    """Whether area a contains b, both 2D; false for null, null where a is no area. Points never leave the JVM."""
-    p, q = box_columns(a), box_columns(b)
-    boxes = (p["west"] <= q["west"]) & (p["south"] <= q["south"]) & (p["east"] >= q["east"]) & (p["north"] >= q["north"])
+    """Whether area a contains b, both 2D; false for null, null where a is no area.
+
+    Points are tested by expressions. A b that is known to be points (see ``of_kind``) leaves no Python in the plan;
+    of others only pairs whose boxes allow it have their geometries sent, all else is sent as null.
+    """
     v = vertex(b)
-    exact = _pairwise(contains)(F.when(boxes & (b["kind"] != "Point"), a), b)
-    return F.when(a.isNull() | b.isNull(), F.lit(False)).when(~a["kind"].isin(*AREAS), F.lit(None)).when(b["kind"] == "Point", contains_point(a, v["x"], v["y"])).otherwise(F.coalesce(boxes, F.lit(False)) & exact)
+    points = contains_point(a, v["x"], v["y"])
+    areas = F.when(a.isNull() | b.isNull(), F.lit(False)).when(~a["kind"].isin(*AREAS), F.lit(None))
+    if kind_of(b) == "Point":
+        return areas.otherwise(points)
+    p, q = box_columns(a), box_columns(b)
+    boxes = (p["west"] <= q["west"]) & (p["south"] <= q["south"]) & (p["east"] >= q["east"]) & (p["north"] >= q["north"]) & (b["kind"] != "Point")
+    exact = F.coalesce(boxes, F.lit(False)) & _pairwise(contains)(F.when(boxes, a), F.when(boxes, b))
+    return areas.otherwise(exact) if kind_of(b) else areas.when(b["kind"] == "Point", points).otherwise(exact)
 
 
 def st_within(a: Column, b: Column) -> Column:
@@ -426,7 +506,7 @@ def st_within(a: Column, b: Column) -> Column:
 
 
 def st_intersects(a: Column, b: Column) -> Column:
-    """Whether two 2D geometries have a point in common; false for null. Only pairs whose boxes meet leave the JVM."""
+    """Whether two 2D geometries have a point in common; false for null. Geometries whose boxes do not meet are sent as null."""
     p, q = box_columns(a), box_columns(b)
     boxes = F.coalesce((p["west"] <= q["east"]) & (q["west"] <= p["east"]) & (p["south"] <= q["north"]) & (q["south"] <= p["north"]), F.lit(False))
-    return boxes & _pairwise(intersects)(F.when(boxes, a), b)
+    return boxes & _pairwise(intersects)(F.when(boxes, a), F.when(boxes, b))

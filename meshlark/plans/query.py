@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import UnresolvableTraversal
+from ..functions.geo import of_kind
 from ..operators import aggregates, reach
 from ..operators.paths import Path, resolve
-from ..schema import Aggregate
+from ..schema import Aggregate, Attribute, Geometry
 from ..sources.graph import Graph
 from .expr import Attr, Bool, Calc, Expr, attr, column, conjuncts, reaches
 
@@ -26,6 +27,11 @@ ORDERS = {
 }
 
 
+def known(a: Attribute, c: Column) -> Column:
+    """The column of an attribute; of a geometry that may only be points, marked as such."""
+    return of_kind(c, "Point") if isinstance(a.type, Geometry) and a.type.kinds == ("Point",) else c
+
+
 class _Rows:
     """What expressions see of a resource's own rows."""
 
@@ -35,7 +41,7 @@ class _Rows:
     def column(self, name: str) -> Column:
         if self.r.attribute(name) is None or name in self.r.skip:
             raise UnresolvableTraversal("unmapped_property", resource=self.r.name, property=name)
-        return F.col(f"`{self.r.stored(name)}`")
+        return known(self.r.attribute(name), F.col(f"`{self.r.stored(name)}`"))
 
     def is_ci(self, name: str) -> bool:
         a = self.r.attribute(name)
