@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import testgraph
-from .functions import geo, vector
-from .operators import mutate, spatial
+from .errors import MeshError
+from .functions import codec, geo, vector
+from .operators import mutate, spatial, vectors
+from .operators.reach import connected, related_pairs
 from .plans.expr import attr, calc, ci, exists, func, traverse
 from .plans.query import Query, combine, ordered
 from .schema import Aggregate as A
+from .schema import Array, Attribute, Domain, Geometry, Guard, Relationship, Resource, Struct, TensorOf
+from .sources import commit
 from .sources.graph import LABELS, Graph
 from .streaming import windows
 
@@ -112,7 +117,7 @@ R, FWD = "reverse", "forward"
 simple("traverse_field_1hop", "Nation", CUST, lambda x: x.filter(traverse("region").field("name") == "EUROPE"), "nation WHERE EXISTS (SELECT 1 FROM region WHERE r_regionkey = n_regionkey AND r_name = 'EUROPE')")
 simple("traverse_field_2hop", "Customer", CUST, lambda x: x.filter(traverse("orders", "items").field("quantity") >= 50), "customer WHERE EXISTS (SELECT 1 FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_custkey = c_custkey AND l_quantity >= 50)")
 simple("traverse_field_3hop", "Order", ORD, lambda x: x.filter(traverse("customer", "nation", "region").field("name") == "ASIA"), "orders WHERE EXISTS (SELECT 1 FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey WHERE c_custkey = o_custkey AND r_name = 'ASIA')")
-simple("traverse_through_joiner", "Part", CUST, lambda x: x.filter(traverse("items", "supplier").field("balance") < -900), "part WHERE EXISTS (SELECT 1 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_partkey = p_partkey AND s_acctbal < -900)")
+simple("traverse_through_joiner", "Part", CUST, lambda x: x.filter(traverse("items", "supplier").field("balance") < 500), "part WHERE EXISTS (SELECT 1 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_partkey = p_partkey AND s_acctbal < 500)")
 simple("traverse_reverse_edge", "Customer", CUST, lambda x: x.filter(traverse((R, ("PLACED_BY",))).field("total") > 390000), "customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 390000)")
 simple("traverse_typed", "Customer", CUST, lambda x: x.filter(traverse((R, ("PLACED_BY", "Order")), (R, ("PART_OF", "LineItem")), (FWD, ("OF_PART", "Part"))).field("size") == 50), "customer WHERE EXISTS (SELECT 1 FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE o_custkey = c_custkey AND p_size = 50)")
 simple("traverse_reverse_relation", "Region", CUST, lambda x: x.filter(traverse((R, ("IN_REGION", "Nation")), (FWD, "customers")).field("balance") > 9990), "region WHERE EXISTS (SELECT 1 FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE n_regionkey = r_regionkey AND c_acctbal > 9990)")
@@ -128,7 +133,7 @@ simple("traverse_sum_empty", "Order", ID, lambda x: x.filter(traverse("items").s
 simple("traverse_multi", "Customer", ID, lambda x: x.filter((traverse("nation", "region").field("name") == "AMERICA") & (traverse("orders").field("total") > 300000)), "customer WHERE EXISTS (SELECT 1 FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey = c_nationkey AND r_name = 'AMERICA') AND EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)")
 simple("traverse_or", "Customer", ID, lambda x: x.filter((traverse("nation", "region").field("name") == "AFRICA") | (traverse("orders").count() > 15) | (attr("balance") < -900)), "customer WHERE EXISTS (SELECT 1 FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey = c_nationkey AND r_name = 'AFRICA') OR (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) > 15 OR c_acctbal < -900")
 simple("traverse_not", "Customer", ID, lambda x: x.filter(~(traverse("orders").field("status") == "F")), "customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
-simple("traverse_edge_unique", "Order", ID, lambda x: x.filter((attr("id") < 2000) & (traverse("customer", "orders").field("total") > 380000)), "orders o1 WHERE o1.o_orderkey < 2000 AND EXISTS (SELECT 1 FROM orders o2 WHERE o2.o_custkey = o1.o_custkey AND o2.o_orderkey <> o1.o_orderkey AND o2.o_totalprice > 380000)")
+simple("traverse_edge_unique", "Order", ID, lambda x: x.filter(traverse("customer", "orders").field("total") > 380000), "orders o1 WHERE EXISTS (SELECT 1 FROM orders o2 WHERE o2.o_custkey = o1.o_custkey AND o2.o_orderkey <> o1.o_orderkey AND o2.o_totalprice > 380000)")
 simple("exists_rel_pred", "Customer", ID, lambda x: x.filter(exists("orders", (attr("status") == "O") & (attr("total") > 250000))), "customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'O' AND o_totalprice > 250000)")
 simple("not_exists_rel_pred", "Customer", ID, lambda x: x.filter(~exists("orders", attr("total") > 150000)), "customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 150000)")
 simple("self_relation", "Order", ID, lambda x: x.filter(traverse("next").field("status") == "P"), "orders o1 WHERE EXISTS (SELECT 1 FROM orders o2 WHERE o2.o_orderkey = o1.o_orderkey + 1 AND o2.o_orderstatus = 'P')")
@@ -264,11 +269,11 @@ def _(g):
     return df.select("id", F.array_join(F.array_sort("names"), ",").alias("suppliers"))
 
 
-@query("projection_late_bound", "SELECT o_orderkey AS id, 'concrete' AS status, 'Customer' AS resource, c_name AS name FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey < 4000 AND c_custkey % 3 <> 0 UNION ALL SELECT o_orderkey, 'unknown', NULL, c_name FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey < 4000 AND c_custkey % 3 = 0")
+@query("projection_late_bound", "SELECT o_orderkey AS id, 'concrete' AS status, 'Customer' AS resource, c_name AS name FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_custkey % 3 <> 0 UNION ALL SELECT o_orderkey, 'unknown', NULL, c_name FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_custkey % 3 = 0")
 def _(g):
     labels = F.when(F.col("c_custkey") % 3 == 0, F.array(F.lit("Customer"))).otherwise(F.array(F.lit("Trade"), F.lit("Customer")))
     g.frames["Customer"] = g.frame("Customer").withColumn(LABELS, labels)
-    df = q(g, "Order").filter(attr("id") < 4000).project("who", ((FWD, "customer"),)).df()
+    df = q(g, "Order").project("who", ((FWD, "customer"),)).df()
     return df.select("id", F.col("who.status").alias("status"), F.col("who.resource").alias("resource"), F.get_json_object("who.record", "$.c_name").alias("name"))
 
 
@@ -372,16 +377,97 @@ def _box(lng, lat, half):
         return F.struct((lng + dx).alias("x"), (lat + dy).alias("y"), F.lit(None).cast("double").alias("z"))
 
     ring = F.array(p(-half, -half), p(half, -half), p(half, half), p(-half, half), p(-half, -half))
-    return F.struct(F.lit("Polygon").alias("kind"), F.lit(4326).alias("srid"), F.array(F.array(ring)).alias("parts"))
+    return geo.of_kind(F.struct(F.lit("Polygon").alias("kind"), F.lit(4326).alias("srid"), F.array(F.array(ring)).alias("parts")), "Polygon")
 
 
-def _box_test(test):
-    return func(lambda x, y: test(geo.literal(_SQUARE), _box(x, y, 4.001)), calc("lng"), calc("lat"))
+def _box_test(test, area=None):
+    return func(lambda x, y: test(geo.literal(area or _SQUARE), _box(x, y, 4.001)), calc("lng"), calc("lat"))
 
 
 simple("geo_contains_polygon", "Customer", ID, lambda x: x.filter(_box_test(geo.st_contains)), f"customer WHERE {_CX} - 4.001 >= -100.005 AND {_CX} + 4.001 <= 80.005 AND {_CY} - 4.001 >= -40.005 AND {_CY} + 4.001 <= 30.005")
 simple("geo_intersects", "Customer", ID, lambda x: x.filter(_box_test(geo.st_intersects)), f"customer WHERE {_CX} + 4.001 >= -100.005 AND {_CX} - 4.001 <= 80.005 AND {_CY} + 4.001 >= -40.005 AND {_CY} - 4.001 <= 30.005")
 
+
+
+def _holds(west, south, east, north):
+    """SQL: a box of half-width 4.001 around a customer lies in another."""
+    return f"({_CX} - 4.001 >= {west} AND {_CX} + 4.001 <= {east} AND {_CY} - 4.001 >= {south} AND {_CY} + 4.001 <= {north})"
+
+
+def _square(west, south, east, north):
+    return [(west, south), (east, south), (east, north), (west, north), (west, south)]
+
+
+_PARTS = geo.geometry("MultiPolygon", [[_square(-100.005, -40.005, -10.005, 30.005)], [_square(-10.005, -40.005, 80.005, 30.005)]])
+_APART = f"({_CX} + 4.001 <= -50.005 OR {_CX} - 4.001 >= 20.005 OR {_CY} + 4.001 <= -20.005 OR {_CY} - 4.001 >= 10.005)"
+simple("geo_contains_polygon_hole", "Customer", ID, lambda x: x.filter(_box_test(geo.st_contains, _DONUT)), f"customer WHERE {_holds(-100.005, -40.005, 80.005, 30.005)} AND {_APART}")
+simple("geo_contains_polygon_parts", "Customer", ID, lambda x: x.filter(_box_test(geo.st_contains, _PARTS)), f"customer WHERE {_holds(-100.005, -40.005, -10.005, 30.005)} OR {_holds(-10.005, -40.005, 80.005, 30.005)}")
+
+
+@query("geo_hole_is_not_contained", "SELECT * FROM (VALUES ('donut', 'hole', false), ('donut', 'ring', true), ('donut', 'within hole', false), ('donut', 'across hole', false), ('square', 'hole', true), ('square', 'square', true), ('parts', 'across parts', false), ('parts', 'point of either', true), ('nothing', 'hole', false)) t(area, other, held)")
+def _(g):
+    hole, ring = geo.geometry("Polygon", [_square(-50.005, -20.005, 20.005, 10.005)]), geo.geometry("Polygon", [_square(-100.005, -40.005, 80.005, 30.005), _square(-60.0, -30.0, 30.0, 20.0)])
+    inner, across = (geo.geometry("Polygon", [_square(*x)]) for x in ((-40.0, -10.0, 0.0, 0.0), (-60.0, -30.0, 30.0, 20.0)))
+    either = geo.geometry("MultiPoint", [(-50.0, 0.0), (50.0, 0.0)])
+    cases = [("donut", "hole", _DONUT, hole), ("donut", "ring", _DONUT, ring), ("donut", "within hole", _DONUT, inner), ("donut", "across hole", _DONUT, across), ("square", "hole", _SQUARE, hole), ("square", "square", _SQUARE, _SQUARE), ("parts", "across parts", _PARTS, across), ("parts", "point of either", _PARTS, either), ("nothing", "hole", None, hole)]
+    df = g.spark.createDataFrame(cases, f"area string, other string, a {geo.GEOMETRY_DDL}, b {geo.GEOMETRY_DDL}")
+    return df.select("area", "other", geo.st_contains(F.col("a"), F.col("b")).alias("held"))
+
+
+@query("geo_geojson", f"SELECT c_custkey AS id, {_CX} AS x, {_CY} AS y, 'Point' AS kind, {_CX} - 4.001 AS west FROM customer")
+def _(g):
+    text = func(lambda p: geo.geojson(p), calc("place"))
+    box = func(lambda x, y: geo.geojson(_box(x, y, 4.001)), calc("lng"), calc("lat"))
+    df = q(g, "Customer").calculate(text=text, box=box).df()
+    p, b = geo.parse_geojson(F.col("text")), geo.parse_geojson(F.col("box"))
+    return df.select("id", geo.vertex(p)["x"].alias("x"), geo.vertex(p)["y"].alias("y"), F.get_json_object("text", "$.type").alias("kind"), geo.box_columns(b)["west"].alias("west"))
+
+
+@query("geo_force_2d", f"SELECT c_custkey AS id, {_CX} AS x, {_CY} AS y, NULL::DOUBLE AS z, 4326 AS srid FROM customer")
+def _(g):
+    flat = func(lambda x, y, h: geo.flat(geo.point(x, y, h)), calc("lng"), calc("lat"), calc("height"))
+    df = q(g, "Customer").calculate(flat=flat).df()
+    v = geo.vertex(F.col("flat"))
+    return df.select("id", v["x"].alias("x"), v["y"].alias("y"), v["z"].alias("z"), F.col("flat.srid").alias("srid"))
+
+
+@query("geo_nested_dwithin", f"SELECT c_custkey AS id FROM customer WHERE {_D} <= 2000000")
+def _(g):
+    spot = F.struct(geo.point(testgraph.lng(F.col("c_custkey")), testgraph.lat(F.col("c_custkey"))).alias("place"))
+    r = g.resource("Customer")
+    g.resources["Customer"] = replace(r, attributes=(*r.attributes, Attribute("spot", Struct((("place", Geometry(("Point",))),)), "spot")))
+    g.frames["Customer"] = g.frame("Customer").withColumn("spot", spot)
+    return q(g, "Customer").filter(func(lambda p: geo.st_dwithin(p, geo.literal(_there), 2_000_000), attr("spot").get_path("place"))).df().select("id")
+
+
+@query("geo_nested_companions", f"SELECT c_custkey AS id, {_CX} AS x, {_CY} AS south FROM customer WHERE {_CX} BETWEEN 0 AND 90")
+def _(g):
+    spot = F.struct(geo.point(testgraph.lng(F.col("c_custkey")), testgraph.lat(F.col("c_custkey"))).alias("place"))
+    df = spatial.with_companions(g.frame("Customer").withColumn("spot", spot), "spot.place")
+    return df.where("spot_place_x between 0 and 90").select(F.col("c_custkey").alias("id"), F.col("spot_place_x").alias("x"), F.col("spot_place_south").alias("south"))
+
+
+@query("geo_spatial_index", f"SELECT c_custkey AS id, 1 AS planned, 0 AS again, 1 AS dropped FROM customer WHERE {_CX} BETWEEN -20 AND 70 AND {_CY} BETWEEN -30 AND 30")
+def _(g):
+    path = commit.scratch(g.spark, "places")
+    q(g, "Customer").calculate("place").df().select("id", "place").write.parquet(path)
+    planned = spatial.create_index(g.spark, path, "place", 5.0, dry_run=True)
+    spatial.create_index(g.spark, path, "place", 5.0)
+    again, dropped = spatial.create_index(g.spark, path, "place", 5.0, dry_run=True), spatial.drop_index(g.spark, path, "place", dry_run=True)
+    found = spatial.open_index(g.spark, path, "place").where("place_west between -20 and 70 and place_south between -30 and 30")
+    return found.select("id", F.lit(len(planned)).alias("planned"), F.lit(len(again)).alias("again"), F.lit(len(dropped)).alias("dropped"))
+
+
+@query("vector_index_exact", "SELECT vec_id AS id FROM embeddings ORDER BY round(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings ORDER BY vec_id LIMIT 1)), 9) DESC, vec_id LIMIT 10")
+def _(g):
+    path = commit.scratch(g.spark, "vectors")
+    g.frame("Embedding").write.parquet(path)
+    first = g.frame("Embedding").orderBy("vec_id").first()["embedding"]
+    vectors.create_index(g.spark, path, "embedding", "cosine", lists=16)
+    near = vectors.search(g.spark, path, "embedding", first, 50, probes=None)
+    return near.orderBy(F.round("distance", 9), "vec_id").limit(10).select(F.col("vec_id").alias("id"))
+
+
 _LINE = geo.geometry("LineString", [(100.0, -33.0), (152.0, -33.0)])
 _FX = f"least(152.0::DOUBLE, greatest(100.0::DOUBLE, {_CX}))"
 
@@ -494,10 +580,6 @@ def _(g):
 
 @query("mut_delete_guarded", "SELECT c_custkey AS id FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 100000) OR c_nationkey <> 7")
 def _(g):
-    from dataclasses import replace
-
-    from .schema import Guard
-
     s = _snapshot(g, "Customer", "Order")
     big = g.frame("Order").where("o_totalprice > 100000").select(F.col("o_orderkey").cast("string").alias("src"), F.col("o_custkey").cast("string").alias("dst"))
     r = replace(s.resources["Customer"], guards=(Guard("PLACED_BY", "in", "Order"),))
@@ -533,6 +615,190 @@ def _(g):
     return _snapshot(g, "Customer", "Order").unrelate(_E, {"priority": "1-URGENT"}, {"id": 4}).edge(_E)
 
 
+@query("mut_delete_all", "SELECT 0::BIGINT AS nodes, 0::BIGINT AS edges")
+def _(g):
+    s = _snapshot(g, "Customer", "Order").delete_all()
+    return s.node("Customer").agg(F.count(F.lit(1)).alias("nodes")).join(s.edge(_E).agg(F.count(F.lit(1)).alias("edges")))
+
+
+@query("mut_relate_destination_exclusive", "SELECT CAST(o_orderkey AS VARCHAR) AS src, CAST(o_custkey AS VARCHAR) AS dst FROM orders WHERE o_custkey > 20 UNION ALL SELECT CAST(1000000 + c_custkey AS VARCHAR), CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey <= 20")
+def _(g):
+    pairs = g.frame("Customer").where("c_custkey <= 20").select((F.col("c_custkey") + 1000000).alias("src"), F.col("c_custkey").alias("dst"))
+    return _snapshot(g, "Customer", "Order").relate_all(_E, pairs, destination_exclusive=True).edge(_E)
+
+
+@query("mut_relate_each", "SELECT CAST(o_orderkey AS VARCHAR) AS src, CASE o_orderkey WHEN 1 THEN '7' WHEN 2 THEN '8' ELSE CAST(o_custkey AS VARCHAR) END AS dst FROM orders")
+def _(g):
+    return _snapshot(g, "Customer", "Order").relate_each([(_E, {"id": 1}, {"id": 5}), (_E, {"id": 2}, {"id": 8}), (_E, {"id": 1}, {"id": 7})]).edge(_E)
+
+
+@query("mut_manage", "SELECT o_orderkey AS id, CASE WHEN o_orderkey = 1 THEN 9 ELSE o_custkey END AS customer, CASE WHEN o_orderkey = 1 THEN '9' ELSE CAST(o_custkey AS VARCHAR) END AS dst FROM orders")
+def _(g):
+    s = _snapshot(g, "Customer", "Order").manage("Order", {"id": 1}, "customer", "append_and_remove", [{"id": 9}])
+    return s.node("Order").join(s.edge(_E), F.col("src") == F.col("o_orderkey").cast("string")).select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"), "dst")
+
+
+@query("mut_manage_reverse", "SELECT CAST(o_orderkey AS VARCHAR) AS src, CASE WHEN o_orderkey IN (1, 2) THEN '3' ELSE CAST(o_custkey AS VARCHAR) END AS dst FROM orders WHERE o_orderkey IN (1, 2) OR o_custkey <> 3")
+def _(g):
+    return _snapshot(g, "Customer", "Order").manage("Customer", {"id": 3}, "orders", "append_and_remove", [{"id": 1}, {"id": 2}]).edge(_E)
+
+
+@query("mut_transaction", "SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey = 2 THEN 2.0 ELSE c_acctbal END AS balance, 'Rollback,PythonException' AS errors FROM customer")
+def _(g):
+    found = []
+
+    def nested(s):
+        s, error = s.update("Customer", {"id": 1}, {"balance": 1.0}).transaction(lambda t: mutate.rollback("enough"))
+        found.append(type(error).__name__)
+        return s
+
+    def fails_when_run(s):
+        divide = F.udf(lambda x: 1 // (x - x), "long")
+        return replace(s, nodes={"Customer": s.node("Customer").withColumn("c_custkey", divide("c_custkey"))})
+
+    s = _snapshot(g, "Customer")
+    inner, _ = s.transaction(lambda t: nested(t).update("Customer", {"id": 1}, {"balance": 0.0}))
+    assert inner is not s
+    after, error = s.update("Customer", {"id": 2}, {"balance": 2.0}).transaction(fails_when_run)
+    found.append(type(error).__name__)
+    return _customers(after).withColumn("errors", F.lit(",".join(found)))
+
+
+@query("mut_geo_write_checks", "SELECT * FROM (VALUES ('point in 2D', 'ok'), ('tall point in 2D', 'GeoDimensionMismatch'), ('flat point in 3D', 'GeoDimensionMismatch'), ('tall line in 3D', 'Unsupported3DGeometry'), ('nothing', 'ok')) t(given, said)")
+def _(g):
+    tall, flat = geo.geometry("Point", (1, 2, 3)), geo.geometry("Point", (1, 2))
+    cases = [("point in 2D", flat, 2), ("tall point in 2D", tall, 2), ("flat point in 3D", flat, 3), ("tall line in 3D", geo.geometry("LineString", [(1, 2, 3), (2, 3, 4)]), 3), ("nothing", None, 2)]
+    out = []
+    for name, value, dimensions in cases:
+        r = Resource("Spot", (Attribute("id", "string"), Attribute("place", Geometry(dimensions=dimensions))))
+        try:
+            mutate.Snapshot(g.spark, {"Spot": r}).create("Spot", {"id": "1", "place": value})
+            out.append((name, "ok"))
+        except MeshError as error:
+            out.append((name, type(error).__name__))
+    return g.spark.createDataFrame(out, "given string, said string")
+
+
+@query("traverse_errors", "SELECT * FROM (VALUES ('no hops', 'empty_chain'), ('no such hop', 'unresolved_hop'), ('no such node', 'unresolved_reached'), ('no such property', 'unmapped_property')) t(given, reason)")
+def _(g):
+    cases = {"no hops": lambda: traverse().field("x") == 1, "no such hop": lambda: traverse("nowhere").field("x") == 1, "no such node": lambda: traverse((FWD, ("PLACED_BY", "Nobody"))).field("x") == 1, "no such property": lambda: traverse("orders").field("nothing") == 1}
+    out = []
+    for name, test in cases.items():
+        try:
+            q(g, "Customer").filter(test()).df()
+            out.append((name, "none"))
+        except MeshError as error:
+            out.append((name, error.reason))
+    return g.spark.createDataFrame(out, "given string, reason string")
+
+
+# reading in types, related records, paths
+@query("read_typed", "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS total, CASE WHEN o_orderkey % 7 = 0 THEN 'total' ELSE '' END AS errors FROM orders")
+def _(g):
+    g.frames["Order"] = g.frame("Order").withColumn("o_totalprice", F.when(F.col("o_orderkey") % 7 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")))
+    return q(g, "Order").cast().df().select("id", "total", F.array_join("_errors", ",").alias("errors"))
+
+
+@query("read_metadata", "SELECT c_custkey AS id, 'Trade,Customer' AS labels FROM customer")
+def _(g):
+    return q(g, "Customer").metadata().df().select("id", F.array_join("_labels", ",").alias("labels"))
+
+
+@query("read_map_translation", "SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_nationkey = 3 AND c_mktsegment = 'BUILDING'")
+def _(g):
+    wanted = g.resource("Customer").stored_map({"nation_id": 3, "segment": "BUILDING"})
+    df = g.frame("Customer")
+    for k, v in wanted.items():
+        df = df.where(F.col(k) == v)
+    return df.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+
+
+@query("load_records_many_to_many", "WITH d AS (SELECT DISTINCT l_partkey, s_suppkey, s_name FROM lineitem JOIN supplier ON s_suppkey = l_suppkey) SELECT p_partkey AS id, coalesce(string_agg(s_suppkey || ':' || s_name, ',' ORDER BY s_suppkey), '') AS suppliers FROM part LEFT JOIN d ON l_partkey = p_partkey GROUP BY p_partkey")
+def _(g):
+    df = q(g, "Part").load_along("suppliers", "items", "supplier").df()
+    return df.select("id", F.array_join(F.transform("suppliers", lambda s: F.concat_ws(":", s["id"], s["name"])), ",").alias("suppliers"))
+
+
+@query("load_records_filtered", "WITH o AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders WHERE o_totalprice > 150000) SELECT c_custkey AS id, coalesce(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey), '') AS orders FROM customer LEFT JOIN o ON o_custkey = c_custkey AND r <= 2 GROUP BY c_custkey")
+def _(g):
+    df = q(g, "Customer").load_along("big", "orders", where=attr("total") > 150000, limit=2).df()
+    return df.select("id", F.array_join(F.transform("big", lambda o: o["id"].cast("string")), ",").alias("orders"))
+
+
+@query("load_records_pair_edge", "SELECT o1.o_orderkey AS id, coalesce(CAST(o3.o_orderkey AS VARCHAR) || ':' || o3.o_orderstatus, '') AS later FROM orders o1 LEFT JOIN (orders o2 JOIN orders o3 ON o3.o_orderkey = o2.o_orderkey + 1) ON o2.o_orderkey = o1.o_orderkey + 1")
+def _(g):
+    df = q(g, "Order").load_along("later", "next", "next").df()
+    return df.select("id", F.array_join(F.transform("later", lambda o: F.concat_ws(":", o["id"], o["status"])), ",").alias("later"))
+
+
+@query("related_pairs", "SELECT c_custkey AS source, o_orderkey AS id, o_orderstatus AS status FROM customer LEFT JOIN orders ON o_custkey = c_custkey UNION ALL SELECT 900001, NULL, NULL")
+def _(g):
+    ids = g.frame("Customer").select("c_custkey").union(g.spark.createDataFrame([(900001,)], "c_custkey long"))
+    return related_pairs(g, "Customer", ids, ((FWD, "orders"),)).select("source", F.col("node.id").alias("id"), F.col("node.status").alias("status"))
+
+
+@query("path_exists", "SELECT c_custkey AS customer, EXISTS (SELECT 1 FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_custkey = c_custkey AND l_suppkey = 3) AS connected FROM customer WHERE c_custkey IN (1, 2, 4, 5)")
+def _(g):
+    hops = ((R, ("PLACED_BY",)), (R, ("PART_OF",)), (FWD, ("SUPPLIED_BY",)))
+    found = [(k, connected(g, "Customer", {"id": k}, hops, "Supplier", {"id": 3})) for k in (1, 2, 4, 5)]
+    return g.spark.createDataFrame(found, "customer long, connected boolean")
+
+
+def _across(g):
+    """Documents are about customers, of another domain."""
+    about = g.frame("Document").select(F.col("doc_id").alias("src"), (F.col("doc_id") % 97 + 1).alias("dst"))
+    for name, rel in (("Document", Relationship("customer", "Customer", "one", "ABOUT", "out")), ("Customer", Relationship("documents", "Document", "many", "ABOUT", "in"))):
+        g.resources[name] = replace(g.resource(name), relationships=(*g.resource(name).relationships, rel))
+    return g.pair_edge("ABOUT", "Document", "Customer", about)
+
+
+@query("cross_domain_filter", "SELECT doc_id AS id FROM documents WHERE EXISTS (SELECT 1 FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey = doc_id % 97 + 1 AND n_name < 'NATION_2')")
+def _(g):
+    return q(_across(g), "Document").filter(traverse("customer", "nation").field("name") < "NATION_2").df().select("id")
+
+
+@query("cross_domain_aggregate", "SELECT c_custkey AS id, CAST(count(doc_id) AS BIGINT) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM customer LEFT JOIN documents ON doc_id % 97 + 1 = c_custkey GROUP BY c_custkey")
+def _(g):
+    df = q(_across(g), "Customer").aggregate(A("n", "count", ("documents",)), A("chars", "sum", ("documents",), "n_chars")).df()
+    return df.select("id", "n", F.nullif("chars", F.when(F.col("n") == 0, F.lit(0))).cast("long").alias("chars"))
+
+
+# values that other stores keep as text or bytes
+@query("codec_json", """SELECT c_custkey AS id, '{"balance":' || c_acctbal || ',"name":"' || c_name || '"}' AS text FROM customer""")
+def _(g):
+    df = q(g, "Customer").df().withColumn("v", F.struct("name", "balance", F.lit(None).cast("string").alias("absent")))
+    return df.select("id", codec.json_column(F.col("v"), df.schema["v"].dataType).alias("text"))
+
+
+@query("codec_base64", "SELECT c_custkey AS id, to_base64(c_name::BLOB) AS text, replace(replace(to_base64(c_name::BLOB), '+', '-'), '/', '_') AS url, c_name AS back FROM customer")
+def _(g):
+    df, data = q(g, "Customer").df(), F.col("name").cast("binary")
+    return df.select("id", codec.base64_column(data).alias("text"), codec.base64_column(data, url=True).alias("url"), codec.unbase64_column(codec.base64_column(data, url=True), url=True).cast("string").alias("back"))
+
+
+@query("codec_nested_arrays", "SELECT c_custkey AS id, '[1,' || c_custkey || ']' AS first, '[]' AS second, c_custkey AS back FROM customer")
+def _(g):
+    nested = F.array(F.array(F.lit(1).cast("long"), F.col("id")), F.array().cast("array<bigint>"))
+    df = q(g, "Customer").df().withColumn("texts", codec.nested_column(nested))
+    back = codec.unnested_column(F.col("texts"), "array<bigint>")
+    return df.select("id", F.get("texts", F.lit(0)).alias("first"), F.get("texts", F.lit(1)).alias("second"), F.get(F.get(back, F.lit(0)), F.lit(1)).alias("back"))
+
+
+@query("codec_tensor", "SELECT c_custkey AS id, CAST(c_custkey AS VARCHAR) || ',2,3,4' AS flat, 16 AS bytes FROM customer")
+def _(g):
+    nested = F.array(F.array(F.col("id"), F.lit(2).cast("long")), F.array(F.lit(3).cast("long"), F.lit(4).cast("long")))
+    flat = codec.tensor_column(nested, TensorOf((2, 2), "s64"))
+    packed = codec.tensor_column(nested, TensorOf((2, 2), "f32", packed=True))
+    return q(g, "Customer").df().select("id", F.array_join(flat.cast("array<string>"), ",").alias("flat"), F.octet_length(packed).alias("bytes"))
+
+
+@query("naming", "SELECT * FROM (VALUES ('order_items', 'orderItems', 'ORDER_ITEMS'), ('id', 'id', 'ID')) t(name, camel, macro)")
+def _(g):
+    from .functions import naming
+
+    return g.spark.createDataFrame([(n, naming.camel(n), naming.macro(n)) for n in ("order_items", "id")], "name string, camel string, macro string")
+
+
 # extensions: what Spark offers beside the graph
 @query("ext_top_orders_per_customer", "SELECT o_custkey AS customer, o_orderkey AS id, CAST(r AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r <= 3")
 def _(g):

@@ -31,3 +31,19 @@ class UpsertConflict(MeshError):
 
 class MissingNode(MeshError):
     """An edge names a node that does not exist."""
+
+
+class EdgeConflict(MeshError):
+    """New edges contradict each other: an exclusive end has several."""
+
+
+class SaveConflict(MeshError):
+    """Another writer has saved a version since the snapshot was opened."""
+
+
+class Rollback(MeshError):
+    """Ends a transaction on purpose; reason says why."""
+
+    def __init__(self, reason: object = None):
+        super().__init__(str(reason))
+        self.reason = reason

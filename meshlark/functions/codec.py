@@ -8,6 +8,10 @@ import json
 from decimal import Decimal
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import TensorOf
 
@@ -81,3 +85,61 @@ def load_tensor(data: list | bytes | None, kind: TensorOf) -> np.ndarray | None:
         return None
     t = ELEMENTS[kind.element]
     return (np.frombuffer(data, t) if isinstance(data, (bytes, bytearray)) else np.asarray(data, dtype=t)).reshape(kind.shape)
+
+
+# Columns ---------------------------------------------------------------------------------------------------------
+
+def _in_order(c: Column, kind: T.DataType) -> Column:
+    """A value with the fields of its structs and the keys of its maps in order."""
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[_in_order(c[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)]))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _in_order(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.map_from_entries(F.array_sort(F.transform(F.filter(F.map_entries(c), lambda e: e["value"].isNotNull()), lambda e: F.struct(e["key"].cast("string").alias("key"), _in_order(e["value"], kind.valueType).alias("value")))))
+    return c
+
+
+def json_column(c: Column, kind: T.DataType) -> Column:
+    """Compact JSON of a struct, map or array of this type: keys in order, null entries left out; null for null."""
+    return F.to_json(_in_order(c, kind), {"ignoreNullFields": "true"})
+
+
+def base64_column(data: Column, url: bool = False) -> Column:
+    text = F.base64(data)
+    return F.translate(text, "+/", "-_") if url else text
+
+
+def unbase64_column(text: Column, url: bool = False) -> Column:
+    return F.unbase64(F.translate(text, "-_", "+/") if url else text)
+
+
+def nested_column(c: Column) -> Column:
+    """A nested array as an array of JSON texts, one for each inner array."""
+    return F.transform(c, lambda x: F.to_json(x))
+
+
+def unnested_column(texts: Column, inner: str) -> Column:
+    """The nested array; inner: the type of its elements, such as array<bigint>."""
+    return F.transform(texts, lambda x: F.from_json(x, inner))
+
+
+def tensor_column(c: Column, kind: TensorOf) -> Column:
+    """Nested arrays as a flat one, or packed bytes; null for null, an error where the shape is not the type's."""
+    def fits(x: Column, shape: tuple[int, ...]) -> Column:
+        own = F.size(x) == shape[0]
+        return own if len(shape) == 1 else own & F.forall(x, lambda y: fits(y, shape[1:]))
+
+    flat = c
+    for _ in kind.shape[1:]:
+        flat = F.flatten(flat)
+    flat = F.when(c.isNull(), F.lit(None)).when(F.coalesce(fits(c, kind.shape), F.lit(False)), flat).otherwise(F.raise_error(F.lit(f"the tensor does not have shape {tuple(kind.shape)}")))
+    if not kind.packed:
+        return flat
+    element = ELEMENTS[kind.element]
+
+    @F.arrow_udf(T.BinaryType())
+    def packed(x: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else np.array(v, element).tobytes() for v in x.to_pylist()], pa.binary())
+
+    return packed(flat)

@@ -10,18 +10,22 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import GuardViolation, MissingNode, UpsertConflict
+from ..errors import EdgeConflict, GuardViolation, MissingNode, Rollback, SaveConflict, UnresolvableTraversal, UpsertConflict
 from ..functions.geo import check_writable
 from ..schema import Geometry, Guard, Resource, spark_type
+from ..sources import commit
 from ..sources.graph import LABELS, Graph
 
 EDGE = T.StructType([T.StructField("src", T.StringType()), T.StructField("dst", T.StringType())])
 EdgeName = tuple[str, str, str]  # type, source, destination
+#: Edges at most that two sets of properties may stand for in ``relate``; more are given as a table to ``relate_all``.
+RELATE_ROWS = 100_000
 
 
 @dataclass(frozen=True, eq=False)
@@ -30,6 +34,8 @@ class Snapshot:
     resources: dict[str, Resource]
     nodes: dict[str, DataFrame] = field(default_factory=dict)
     edges: dict[EdgeName, DataFrame] = field(default_factory=dict)
+    base: int | None = None  # the number of the saved version that this snapshot comes from
+    sandbox: bool = False  # nothing is ever saved
 
     # reading ---------------------------------------------------------------------------------------------------------
 
@@ -141,12 +147,20 @@ class Snapshot:
         return self.update(name, identity, changed) if n else self.create(name, row)
 
     def upsert_all(self, name: str, df: DataFrame, keys: tuple[str, ...]) -> Snapshot:
-        """Bulk upsert of rows (stored names): one outer join on the identity, new values before old."""
+        """Bulk upsert of rows (stored names): one outer join on the identity. A matching node takes all of the row's
+        columns, nulls included; rows without an identity are created. UpsertConflict where an identity has several rows
+        or several nodes."""
         old, ids = self.node(name), [self.resources[name].stored(k) for k in keys]
-        new = df.select(*[F.col(c).alias(f"_new_{c}") for c in df.columns])
-        on = [F.col(c) == F.col(f"_new_{c}") for c in ids]
-        joined = old.join(new, on, "full")
-        cols = [F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in df.columns else F.coalesce(F.col(c), F.array(*[F.lit(x) for x in self.resources[name].labels])).alias(c) if c == LABELS else F.col(c) for c in old.columns]
+        known = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ids]))
+        held = old.join(known.select(*[F.col(c).alias(f"_new_{c}") for c in ids]), reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_new_{c}") for c in ids]), "left_semi")
+        for rows, what in ((known, "rows"), (held, "nodes")):
+            several = rows.groupBy(*ids).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").limit(1).collect()
+            if several:
+                raise UpsertConflict(f"several {what} of {name} have {several[0].asDict()}")
+        new = df.select(F.lit(True).alias("_there"), *[F.col(c).alias(f"_new_{c}") for c in df.columns])
+        joined = old.join(new, [F.col(c) == F.col(f"_new_{c}") for c in ids], "full")
+        labels = F.coalesce(F.col(LABELS), F.array(*[F.lit(x) for x in self.resources[name].labels])).alias(LABELS)
+        cols = [F.when(F.col("_there"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in df.columns else labels if c == LABELS else F.col(c) for c in old.columns]
         return self._with_nodes(name, joined.select(*cols))
 
     def delete(self, name: str, match: dict) -> Snapshot:
@@ -191,19 +205,26 @@ class Snapshot:
         return self.node(name).where(self._match(name, match)).select(F.col(self.key(name)).cast("string").alias("k"))
 
     def relate(self, e: EdgeName, source: dict, destination: dict, source_exclusive: bool = False, destination_exclusive: bool = False) -> Snapshot:
-        """An edge between the matching nodes, once. An exclusive source first loses its other edges of the type, an
-        exclusive destination those from other sources."""
-        pairs = self.keys_of(e[1], source).withColumnRenamed("k", "src").join(self.keys_of(e[2], destination).withColumnRenamed("k", "dst"))  # a few nodes named by the caller
-        if pairs.isEmpty():
+        """An edge between each two matching nodes, once. An exclusive source first loses its other edges of the type, an
+        exclusive destination those from other sources. Properties that stand for over RELATE_ROWS edges are an error:
+        these are given to ``relate_all``."""
+        here, there = self.keys_of(e[1], source).withColumnRenamed("k", "src"), self.keys_of(e[2], destination).withColumnRenamed("k", "dst")
+        n, m = (df.limit(RELATE_ROWS + 1).count() for df in (here, there))
+        if not n * m:
             raise MissingNode(f"{e}: {source} or {destination} does not exist")
-        return self.relate_all(e, pairs, source_exclusive, destination_exclusive)
+        if n * m > RELATE_ROWS:
+            raise ValueError(f"{source} and {destination} stand for over {RELATE_ROWS} edges; give these to relate_all")
+        return self.relate_all(e, F.broadcast(here).crossJoin(there), source_exclusive, destination_exclusive)  # both sides counted above
 
     def relate_all(self, e: EdgeName, pairs: DataFrame, source_exclusive: bool = False, destination_exclusive: bool = False) -> Snapshot:
-        """Edges from a DataFrame of src and dst."""
-        pairs = pairs.select(F.col("src").cast("string"), F.col("dst").cast("string"))
+        """Edges from a DataFrame of src and dst. EdgeConflict where they give an exclusive end several."""
+        pairs = pairs.select(F.col("src").cast("string"), F.col("dst").cast("string")).distinct()
         df = self.edge(e)
         for exclusive, at in ((source_exclusive, "src"), (destination_exclusive, "dst")):
             if exclusive:
+                several = pairs.groupBy(at).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").limit(1).collect()
+                if several:
+                    raise EdgeConflict(f"{e}: {at} {several[0][0]} is exclusive and would have {several[0][1]} edges")
                 df = df.join(pairs.select(F.col(at).alias("_at")), F.col(at) == F.col("_at"), "left_anti")
         return self._with_edges(e, df.unionByName(pairs).dropDuplicates(["src", "dst"]))
 
@@ -238,42 +259,102 @@ class Snapshot:
         here, there = self.keys_of(e[1], source), self.keys_of(e[2], destination).withColumnRenamed("k", "k2")
         return not self.edge(e).join(here, F.col("src") == F.col("k"), "left_semi").join(there, F.col("dst") == F.col("k2"), "left_semi").isEmpty()
 
+    def manage(self, name: str, match: dict, relationship: str, how: str, others: list[dict]) -> Snapshot:
+        """Changes what the matching nodes are related to, from whichever end the relationship is declared.
+
+        how: append adds edges to the nodes that ``others`` name; remove takes those away; append_and_remove also takes
+        away all edges to nodes that are not named. Ends that the declarations say have one edge are exclusive, and an
+        attribute that holds the destination's key follows the edge.
+        """
+        if how not in ("append", "remove", "append_and_remove"):
+            raise ValueError(f"no way to manage a relationship: {how}")
+        r = self.resources[name]
+        rel = r.relationship(relationship)
+        if rel is None:
+            raise UnresolvableTraversal("unresolved_hop", resource=name, hop=relationship)
+        own, far = r.source_exclusive(rel), r.destination_exclusive(rel, self.resources[rel.destination])
+        outgoing = rel.direction == "out"
+        e = (rel.type, name, rel.destination) if outgoing else (rel.type, rel.destination, name)
+        near_end, far_end = ("src", "dst") if outgoing else ("dst", "src")
+        out = self
+        if how == "append_and_remove":
+            here = self.keys_of(name, match)
+            kept = reduce(DataFrame.unionByName, [self.keys_of(rel.destination, o) for o in others], self.keys_of(rel.destination, {}).limit(0)).withColumnRenamed("k", "_kept")
+            gone = self.edge(e).join(here, F.col(near_end) == F.col("k"), "left_semi").join(kept, F.col(far_end) == F.col("_kept"), "left_anti").withColumnsRenamed({"src": "_s", "dst": "_d"})
+            out = out._with_edges(e, self.edge(e).join(gone, (F.col("src") == F.col("_s")) & (F.col("dst") == F.col("_d")), "left_anti"))
+        for o in others:
+            ends = (match, o) if outgoing else (o, match)
+            exclusive = (own, far) if outgoing else (far, own)
+            out = out.unrelate(e, *ends) if how == "remove" else out.relate(e, *ends, *exclusive)
+        if not rel.attribute:
+            return out
+        column, key = r.stored(rel.attribute), self.key(name)
+        held = out.edge(e).groupBy(F.col(near_end).alias("_held")).agg(F.min(far_end).alias("_far"))
+        df = out.node(name)
+        kind = df.schema[column].dataType
+        df = df.join(held, F.col(key).cast("string") == F.col("_held"), "left")
+        return out._with_nodes(name, df.withColumn(column, F.when(self._match(name, match), F.col("_far").cast(kind)).otherwise(F.col(column))).drop("_held", "_far"))
+
     # transactions and storage ------------------------------------------------------------------------------------------
 
-    def transaction(self, change: Callable[[Snapshot], Snapshot]) -> tuple[Snapshot, Exception | None]:
-        """The changed snapshot; or this one and the error that ended the change."""
+    def transaction(self, change: Callable[[Snapshot], Snapshot], run: bool = True) -> tuple[Snapshot, Exception | None]:
+        """The changed snapshot; or this one and the error that ended the change.
+
+        The tables that the change made are computed once, so that errors which only the data show also end it; ``run``
+        false leaves that to whoever reads them. Transactions may be nested: one that fails within another gives the
+        snapshot that it began with, and the other goes on. ``rollback`` ends one on purpose.
+        """
         try:
-            return change(self), None
+            out = change(self)
+            for new, old in ((out.nodes, self.nodes), (out.edges, self.edges)) if run else ():
+                for k, df in new.items():
+                    if df is not old.get(k):
+                        df.write.format("noop").mode("overwrite").save()
+            return out, None
         except Exception as error:
             return self, error
 
-    def save(self, path: str) -> str:
-        """Writes a version and then makes it the current one, by a rename; returns the version's name."""
-        jvm = self.spark.sparkContext._jvm
+    def sandboxed(self) -> Snapshot:
+        """This snapshot for tests: whatever is made of it, ``save`` writes nothing."""
+        return replace(self, sandbox=True)
+
+    def save(self, path: str) -> str | None:
+        """Writes a version and then makes it the current one; returns the version's name, or None in a sandbox.
+
+        Versions have numbers, and a number is made once: of two writers that go out from the same version the second
+        gets SaveConflict, and what it wrote is removed. A snapshot that was not opened follows the version that is
+        current when saving begins.
+        """
+        if self.sandbox:
+            return None
+        base = Snapshot._current(self.spark, path)[0] if self.base is None else self.base
         version = uuid.uuid4().hex
         for name, df in self.nodes.items():
             df.write.parquet(f"{path}/{version}/nodes/{name}")
         for e, df in self.edges.items():
             df.write.parquet(f"{path}/{version}/edges/{'-'.join(e)}")
-        hadoop = jvm.org.apache.hadoop.fs
-        fs = hadoop.Path(path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        done = [s.getPath().getName() for s in fs.listStatus(hadoop.Path(path)) if s.getPath().getName().startswith("current-")]
-        n = max([0, *(int(x.split("-")[1]) for x in done)]) + 1
-        tmp = hadoop.Path(f"{path}/.{version}")
-        fs.create(tmp, False).close()
-        if not fs.rename(tmp, hadoop.Path(f"{path}/current-{n:010d}-{version}")):
-            raise RuntimeError("the version could not be committed")
+        if not commit.create_once(self.spark, f"{path}/current-{base + 1:010d}", version.encode()):
+            commit.delete(self.spark, f"{path}/{version}")
+            raise SaveConflict(f"version {base + 1} of {path} exists")
         return version
 
     @staticmethod
-    def open(spark: SparkSession, path: str, resources: dict[str, Resource], version: str | None = None) -> Snapshot:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        fs = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-        def names(p: str) -> list[str]:
-            return sorted(s.getPath().getName() for s in fs.listStatus(hadoop.Path(p))) if fs.exists(hadoop.Path(p)) else []
+    def _current(spark: SparkSession, path: str) -> tuple[int, str | None]:
+        found = [n for n in commit.names(spark, path) if n.startswith("current-")]
+        return (int(found[-1][8:]), commit.read(spark, f"{path}/{found[-1]}").decode()) if found else (0, None)
 
-        version = version or max(n for n in names(path) if n.startswith("current-")).split("-")[2]
-        nodes = {n: spark.read.parquet(f"{path}/{version}/nodes/{n}") for n in names(f"{path}/{version}/nodes")}
-        edges = {tuple(n.split("-")): spark.read.parquet(f"{path}/{version}/edges/{n}") for n in names(f"{path}/{version}/edges")}
-        return Snapshot(spark, resources, nodes, edges)
+    @staticmethod
+    def open(spark: SparkSession, path: str, resources: dict[str, Resource], version: str | None = None) -> Snapshot:
+        """The current version, or one by its name; what is saved from it follows the version that is current now."""
+        base, current = Snapshot._current(spark, path)
+        version = version or current
+        if version is None:
+            raise FileNotFoundError(f"{path} has no version")
+        nodes = {n: spark.read.parquet(f"{path}/{version}/nodes/{n}") for n in commit.names(spark, f"{path}/{version}/nodes")}
+        edges = {tuple(n.split("-")): spark.read.parquet(f"{path}/{version}/edges/{n}") for n in commit.names(spark, f"{path}/{version}/edges")}
+        return Snapshot(spark, resources, nodes, edges, base)
+
+
+def rollback(reason: object = None) -> None:
+    """Ends the transaction in which it is called; the reason is in the error that this gives back."""
+    raise Rollback(reason)

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..errors import UnresolvableTraversal
 from ..functions import naming
+from ..functions.geo import of_kind
+from ..schema import Attribute, Geometry
 from ..sources.graph import Edge, Graph
 
 
@@ -25,6 +27,11 @@ class Step:
     destination: str
 
 
+def known(a: Attribute, c: Column) -> Column:
+    """The column of an attribute; of a geometry that may only be points, marked as such."""
+    return of_kind(c, "Point") if isinstance(a.type, Geometry) and a.type.kinds == ("Point",) else c
+
+
 def resolve(graph: Graph, resource: str, hops: tuple) -> list[list[Step]]:
     """The typed chains of a chain of hops: several where an edge type leads to several resources."""
     if not hops:
@@ -150,7 +157,7 @@ class Path:
         r = self.graph.resource(self.at)
         if r.attribute(name) is None or r.stored(name) not in self.load().have:
             raise UnresolvableTraversal("unmapped_property", resource=self.at, property=name)
-        return F.col(f"`{self.have[r.stored(name)]}`").alias(name)
+        return known(r.attribute(name), F.col(f"`{self.have[r.stored(name)]}`").alias(name))
 
     def is_ci(self, name: str) -> bool:
         a = self.graph.resource(self.at).attribute(name)

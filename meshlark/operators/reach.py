@@ -87,6 +87,43 @@ def mark(graph: Graph, resource: str, df: DataFrame, r: Reach, name: str) -> tup
     return _measured(graph, resource, df, r, name), OPS[r.op](F.col(name), column(wrap(r.value), _NoScope()))
 
 
+def connected(graph: Graph, resource: str, source: dict, hops: tuple, destination: str, match: dict) -> bool:
+    """Whether hops lead from a node with these properties to a node with those, whatever lies between.
+
+    A hop may name an edge type alone, so that the nodes it reaches are of any resource.
+    """
+    def having(name: str, properties: dict) -> DataFrame:
+        r, df = graph.resource(graph.check(name)), graph.frame(name)
+        return reduce(lambda d, kv: d.where(F.col(f"`{r.stored(kv[0])}`").eqNullSafe(F.lit(kv[1]))), properties.items(), df)
+
+    for p in paths(graph, resource, hops):
+        if p.at != destination:
+            continue
+        here = having(resource, source).select(*[F.col(f"`{c}`").alias(f"_h{n}") for n, c in enumerate(p.join)])
+        there = having(destination, match).select(*[F.col(f"`{c}`").alias(f"_t{n}") for n, c in enumerate(graph.keys(destination))])
+        found = p.frame.join(here, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_h{n}") for n, c in enumerate(p.entry)]), "left_semi")
+        found = found.join(there, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_t{n}") for n, c in enumerate(p.key)]), "left_semi")
+        if not found.isEmpty():
+            return True
+    return False
+
+
+def related_pairs(graph: Graph, resource: str, ids: DataFrame, hops: tuple) -> DataFrame:
+    """(source, node): each key of ids, a one-column table, with the record of each different node that hops lead to;
+    a key that leads to none, or that no node has, comes once with a null node. Hops end at one resource."""
+    found = paths(graph, resource, hops)
+    if len(found) > 1:
+        raise ValueError("the hops lead to several resources; type them")
+    (p,), (key,) = found, graph.keys(resource)
+    wanted = ids.toDF("source").distinct()
+    here = graph.frame(resource).select(F.col(f"`{key}`").alias("_id"), *[F.col(f"`{c}`").alias(f"_j{n}") for n, c in enumerate(p.join)])
+    r = graph.resource(p.at)
+    record = F.struct(*[F.col(f"`{p.load().have[r.stored(a.name)]}`").alias(a.name) for a in r.attributes if a.name not in r.skip])
+    rows = p.frame.withColumn("node", record).dropDuplicates([*p.entry, *p.key]).select(*p.entry, "node")
+    pairs = wanted.join(here, F.col("source") == F.col("_id")).join(rows, reduce(lambda a, b: a & b, [F.col(f"_j{n}") == F.col(c) for n, c in enumerate(p.entry)]))
+    return wanted.join(pairs.select(F.col("source").alias("_id"), "node"), F.col("source") == F.col("_id"), "left").select("source", "node")
+
+
 class _NoScope:
     def column(self, name):
         raise TypeError(f"a measure is compared with values, not with {Attr(name)}")

@@ -1,31 +1,73 @@
-"""Joins of points with areas, and storage that scans can skip by place."""
+"""Joins of points with areas and with each other, and storage that scans can skip by place."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..sources import commit
+
+
+def _flat_name(geometry: str) -> str:
+    """The name of a geometry, nested ones included, as a prefix of columns and folders."""
+    return geometry.replace(".", "_")
 
 
 def with_companions(df: DataFrame, *geometries: str) -> DataFrame:
-    """Adds <name>_west, _south, _east and _north for each geometry column, and <name>_x, _y (and _z) of points."""
+    """Adds <name>_west, _south, _east and _north for each geometry, and <name>_x, _y (and _z) of points; a nested
+    geometry, by its path, has _ for each dot."""
     cols = {}
     for g in geometries:
-        cols |= {f"{g}_{k}": c for k, c in geo.box_columns(F.col(g)).items()}
-        v = geo.vertex(F.col(g))
-        cols |= {f"{g}_{k}": F.when(F.col(g)["kind"] == "Point", v[k]) for k in "xyz"}
+        name, c = _flat_name(g), F.col(g)
+        cols |= {f"{name}_{k}": x for k, x in geo.box_columns(c).items()}
+        v = geo.vertex(c)
+        cols |= {f"{name}_{k}": F.when(c["kind"] == "Point", v[k]) for k in "xyz"}
     return df.withColumns(cols)
 
 
 def write_spatial(df: DataFrame, path: str, geometry: str, cell: float = 1.0, mode: str = "errorifexists") -> None:
     """Writes with companions, ordered by grid cell, so that row groups cover little ground."""
-    df = with_companions(df, geometry)
-    key = [F.floor(F.col(f"{geometry}_{k}") / cell) for k in ("west", "south")]
+    df, name = with_companions(df, geometry), _flat_name(geometry)
+    key = [F.floor(F.col(f"{name}_{k}") / cell) for k in ("west", "south")]
     df.repartitionByRange(*key).sortWithinPartitions(*key).write.mode(mode).parquet(path)
 
 
-def cells(west: Column, south: Column, east: Column, north: Column, size: float) -> Column:
+# an index is a copy of a table in cell order, in a folder below the table that scans of the table do not see
+
+def _index_path(path: str, geometry: str) -> str:
+    return f"{path}/_spatial/{_flat_name(geometry)}"
+
+
+def create_index(spark: SparkSession, path: str, geometry: str, cell: float = 1.0, recreate: bool = False, dry_run: bool = False) -> list[str]:
+    """Indexes a Parquet table by a geometry, which may be nested; returns what is done, or would be.
+
+    An index that exists is kept, or with ``recreate`` written anew.
+    """
+    at = _index_path(path, geometry)
+    there = commit.exists(spark, at)
+    steps = ([f"drop {at}"] if there and recreate else []) + ([f"write {at} by cells of {cell:g} degrees of {geometry}"] if recreate or not there else [])
+    if not dry_run and steps:
+        write_spatial(spark.read.parquet(path), at, geometry, cell, "overwrite")
+    return steps
+
+
+def drop_index(spark: SparkSession, path: str, geometry: str, dry_run: bool = False) -> list[str]:
+    at = _index_path(path, geometry)
+    steps = [f"drop {at}"] if commit.exists(spark, at) else []
+    if steps and not dry_run:
+        commit.delete(spark, at)
+    return steps
+
+
+def open_index(spark: SparkSession, path: str, geometry: str) -> DataFrame:
+    """The indexed table with its companions: filters on these skip files and row groups."""
+    return spark.read.parquet(_index_path(path, geometry))
+
+
+def cells(west: Column, south: Column, east: Column, north: Column, size: Column | float) -> Column:
     """The grid cells that a box touches, as an array of structs."""
     def span(lo: Column, hi: Column) -> Column:
         return F.sequence(F.floor(lo / size), F.floor(hi / size))
@@ -36,13 +78,22 @@ def cells(west: Column, south: Column, east: Column, north: Column, size: float)
 def points_in_areas(points: DataFrame, areas: DataFrame, lng: str, lat: str, area: str, cell: float = 1.0) -> DataFrame:
     """Each point with each area that holds it: an equi-join on grid cells, then boxes, then exact.
 
-    An area is repeated for each cell it touches; a point is in one cell, so no pair comes twice. Choose cells about
-    as large as the areas. Columns of the two sides must have different names.
+    An area is in the cells of the level at which it spans four of them at most, each level's being twice as wide as those
+    of the level before; so it is repeated at most 25 times however large it is. A point is in one cell of each level that
+    areas have (which is asked for first; there are some twenty), so no pair comes twice. Columns of the two sides must
+    have different names.
     """
-    keyed = points.withColumns({"_i": F.floor(F.col(lng) / cell), "_j": F.floor(F.col(lat) / cell)})
-    spread = with_boxes(areas, area).withColumn("_cell", F.explode(cells(F.col("_west"), F.col("_south"), F.col("_east"), F.col("_north"), cell)))
+    spread = with_boxes(areas, area).where(F.col("_west").isNotNull())
+    span = F.greatest(F.col("_east") - F.col("_west"), F.col("_north") - F.col("_south"))
+    spread = spread.withColumn("_level", F.greatest(F.lit(0), F.ceil(F.coalesce(F.log2(F.nullif(span, F.lit(0.0)) / (4 * cell)), F.lit(0.0))).cast("int")))
+    levels = sorted(r[0] for r in spread.select("_level").distinct().collect()) or [0]
+    size = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("_level"))
+    keyed = points.withColumn("_at", F.explode(F.array(*[F.lit(k) for k in levels])))
+    at = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("_at"))
+    keyed = keyed.withColumns({"_i": F.floor(F.col(lng) / at), "_j": F.floor(F.col(lat) / at)})
+    spread = spread.withColumn("_cell", F.explode(cells(F.col("_west"), F.col("_south"), F.col("_east"), F.col("_north"), size)))
     box = F.col(lng).between(F.col("_west"), F.col("_east")) & F.col(lat).between(F.col("_south"), F.col("_north"))
-    on = (F.col("_i") == F.col("_cell.i")) & (F.col("_j") == F.col("_cell.j")) & box
+    on = (F.col("_at") == F.col("_level")) & (F.col("_i") == F.col("_cell.i")) & (F.col("_j") == F.col("_cell.j")) & box
     out = keyed.join(spread, on).where(geo.contains_point(F.col(area), F.col(lng), F.col(lat)))
     return out.select(*[F.col(f"`{c}`") for c in [*points.columns, *areas.columns]])
 
@@ -54,10 +105,27 @@ def with_boxes(df: DataFrame, geometry: str) -> DataFrame:
 def near_pairs(left: DataFrame, right: DataFrame, lng: tuple[str, str], lat: tuple[str, str], meters: float) -> DataFrame:
     """Pairs of rows of two tables whose points lie within so many metres of each other.
 
-    Bands of latitude as wide as the distance, each right row in its own band and those beside it, then exact.
+    Bands of latitude as wide as the distance are cut into cells about as wide as it at the band's middle, counted around
+    the globe. A right row is in one cell; a left row in those that its reach touches, a few but near a pole; then exact.
     """
-    size = max(meters, 1.0) / geo.RADIUS * 57.29577951308232
-    a = left.withColumn("_band", F.floor(F.col(lat[0]) / size))
-    b = right.withColumn("_band", F.explode(F.array(*[F.floor(F.col(lat[1]) / size) + k for k in (-1, 0, 1)])))
-    out = a.join(b, "_band").where(geo.haversine(F.col(lng[0]), F.col(lat[0]), F.col(lng[1]), F.col(lat[1])) <= meters)
-    return out.drop("_band")
+    size = math.degrees(max(meters, 1.0) / geo.RADIUS) * (1 + 1e-9) + 1e-9
+    last = math.ceil(180 / size) - 1
+
+    def band_of(c: Column) -> Column:
+        return F.least(F.lit(last), F.floor((c + 90) / size)).cast("int")
+
+    def cells_in(band: Column) -> Column:
+        middle = F.least(F.lit(90.0), (band + 0.5) * size - 90)
+        return F.greatest(F.lit(1), F.floor(F.cos(F.radians(middle)) * 360 / size)).cast("long")
+
+    x, y = F.col(lng[0]), F.col(lat[0])
+    reach = F.when(F.abs(y) + size < 90, F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(size))) / F.cos(F.radians(y))))) * (1 + 1e-9) + 1e-9).otherwise(F.lit(180.0))
+    a = left.withColumn("_band", F.explode(F.filter(F.transform(F.array(*[F.lit(k) for k in (-1, 0, 1)]), lambda k: band_of(y) + k), lambda k: k.between(0, last))))
+    n = cells_in(F.col("_band"))
+    low, high = F.floor((x + 180 - reach) / 360 * n), F.floor((x + 180 + reach) / 360 * n)
+    a = a.withColumn("_cell", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.least(high - low, n - 1)), lambda k: F.pmod(low + k, n))))
+    b = right.withColumn("_band", band_of(F.col(lat[1])))
+    n = cells_in(F.col("_band"))
+    b = b.withColumn("_cell", F.least(n - 1, F.floor(F.pmod(F.col(lng[1]) + 180, F.lit(360.0)) / 360 * n)))
+    out = a.join(b, ["_band", "_cell"]).where(geo.haversine(x, y, F.col(lng[1]), F.col(lat[1])) <= meters)
+    return out.drop("_band", "_cell")

@@ -11,12 +11,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import UnresolvableTraversal
-from ..functions.geo import of_kind
 from ..operators import aggregates, reach
-from ..operators.paths import Path, resolve
-from ..schema import Aggregate, Attribute, Geometry
+from ..operators.paths import Path, known, paths, resolve
+from ..schema import Aggregate, spark_type
 from ..sources.graph import Graph
 from .expr import Attr, Bool, Calc, Expr, attr, column, conjuncts, reaches
 
@@ -27,9 +27,15 @@ ORDERS = {
 }
 
 
-def known(a: Attribute, c: Column) -> Column:
-    """The column of an attribute; of a geometry that may only be points, marked as such."""
-    return of_kind(c, "Point") if isinstance(a.type, Geometry) and a.type.kinds == ("Point",) else c
+def typed(c: Column, stored: T.DataType, declared: T.DataType) -> Column:
+    """A stored value in the declared type; null where it does not fit. Nested values kept as text are JSON."""
+    if stored == declared:
+        return c
+    if isinstance(stored, T.StringType) and isinstance(declared, (T.ArrayType, T.MapType, T.StructType)):
+        return F.from_json(c, declared, {"mode": "PERMISSIVE"})
+    if isinstance(stored, T.StringType) and isinstance(declared, T.BinaryType):
+        return F.try_to_binary(c, F.lit("base64"))
+    return c.try_cast(declared)
 
 
 class _Rows:
@@ -67,6 +73,9 @@ class Query:
     loads: tuple[str, ...] = ()
     projections: tuple[tuple[str, tuple], ...] = ()
     computed: tuple[tuple[str, Expr], ...] = ()
+    chains: tuple[tuple[str, tuple, Expr | None, int | None], ...] = ()
+    typed: bool = False
+    labelled: bool = False
     start: DataFrame | None = field(default=None, repr=False)
 
     def filter(self, *tests: Expr) -> Query:
@@ -108,6 +117,20 @@ class Query:
     def load(self, *relationships: str) -> Query:
         return replace(self, loads=(*self.loads, *relationships))
 
+    def load_along(self, name: str, *hops: str | tuple, where: Expr | None = None, limit: int | None = None) -> Query:
+        """A column of the records of the different nodes that hops lead to (relationships' names, or typed hops), many to
+        many included, in order of their keys: those that meet ``where``, and the first ``limit`` of each row."""
+        return replace(self, chains=(*self.chains, (name, tuple(("forward", h) if isinstance(h, str) else h for h in hops), where, limit)))
+
+    def cast(self) -> Query:
+        """Attributes in their declared types, whatever they are stored as. Nil stays nil; the names of the attributes whose
+        values do not fit their types are in a further column, ``_errors``, and their values are null."""
+        return replace(self, typed=True)
+
+    def metadata(self) -> Query:
+        """Each record with its node's labels, as ``_labels``."""
+        return replace(self, labelled=True)
+
     def project(self, name: str, hops: tuple) -> Query:
         """A column of what a chain reaches, of whichever resource it turns out to be."""
         return replace(self, projections=(*self.projections, (name, hops)))
@@ -142,9 +165,19 @@ class Query:
             df = df.offset(self.skip)
         return df if self.most is None else df.limit(self.most)
 
-    def _attributes(self) -> list[Column]:
+    def _attributes(self, df: DataFrame) -> list[Column]:
         r = self.graph.resource(self.resource)
-        return [F.col(f"`{r.stored(a.name)}`").alias(a.name) for a in r.attributes if a.name not in r.skip]
+        stored = {a.name: F.col(f"`{r.stored(a.name)}`") for a in r.attributes if a.name not in r.skip}
+        out = []
+        if self.typed:
+            failed = []
+            for name, c in stored.items():
+                stored[name] = typed(c, df.schema[r.stored(name)].dataType, spark_type(r.attribute(name).type))
+                failed.append(F.when(c.isNotNull() & stored[name].isNull(), F.lit(name)))
+            out = [F.array_compact(F.array(*failed)).alias("_errors")]
+        if self.labelled:
+            out.append(self.graph.labels_of(self.resource, df).alias("_labels"))
+        return [*[c.alias(name) for name, c in stored.items()], *out]
 
     def df(self) -> DataFrame:
         scope = _Rows(self.graph, self.resource)
@@ -159,12 +192,15 @@ class Query:
         for name in self.loads:
             df = self._loaded(df, name)
             extra.append(name)
+        for name, hops, where, limit in self.chains:
+            df = self._along(df, name, hops, where, limit)
+            extra.append(name)
         for name, hops in self.projections:
             df = self._projected(df, name, hops)
             extra.append(name)
         if self.order and extra:  # joins have undone it
             df = df.orderBy(*[ORDERS[o](column(e, scope)) for e, o in self.order])
-        return df.select(*self._attributes(), *[F.col(f"`{x}`") for x in extra], *[F.col(f"`_calc_{n}`").alias(n) for n in wanted])
+        return df.select(*self._attributes(df), *[F.col(f"`{x}`") for x in extra], *[F.col(f"`_calc_{n}`").alias(n) for n in wanted])
 
     def total(self, *aggs: Aggregate) -> DataFrame:
         """One row of aggregates over the whole result."""
@@ -193,6 +229,21 @@ class Query:
         df = df.join(table, reach._on(p, entry), "left").drop(*entry)
         return df if rel.cardinality == "one" else df.withColumn(name, F.coalesce(name, F.array().cast(df.schema[name].dataType)))
 
+    def _along(self, df: DataFrame, name: str, hops: tuple, where: Expr | None, limit: int | None) -> DataFrame:
+        found = paths(self.graph, self.resource, hops)
+        if len(found) > 1:
+            raise UnresolvableTraversal("unresolved_reached", resource=self.resource, hops=hops)
+        (p,) = found
+        p.load()
+        frame = p.frame if where is None else p.frame.where(column(where, p))
+        entry = [f"_a{n}" for n in range(len(p.entry))]
+        rows = frame.withColumn(name, F.struct(F.struct(*p.key).alias("k"), self._record(p).alias("v"))).dropDuplicates([*p.entry, *p.key])
+        rows = rows.select(*[F.col(c).alias(x) for c, x in zip(p.entry, entry, strict=True)], name)
+        in_order = F.array_sort(F.collect_list(name), lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+        table = rows.groupBy(*entry).agg(F.transform(in_order if limit is None else F.slice(in_order, 1, limit), lambda x: x["v"]).alias(name))
+        df = df.join(table, reach._on(p, entry), "left").drop(*entry)
+        return df.withColumn(name, F.coalesce(name, F.array().cast(df.schema[name].dataType)))
+
     def _projected(self, df: DataFrame, name: str, hops: tuple) -> DataFrame:
         """struct<status, domain, resource, record>: of the reached node with the smallest key; record is its JSON.
 
@@ -230,7 +281,8 @@ def combine(*branches: tuple[str, Query], raw: bool = False) -> DataFrame:
             raise ValueError("branches are of one resource")
         if kind in ("union", "union_all"):
             out = out.unionByName(q.df())
-            out = out if kind == "union_all" else out.dropDuplicates(key)
+            if kind == "union" and raw:  # else repeats go once, at the end
+                out = out.dropDuplicates(key)
         elif kind in ("intersect", "except"):
             other = q.df().select(*[F.col(k).alias(f"_c_{k}") for k in key])
             out = out.join(other, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_c_{k}") for k in key]), "left_semi" if kind == "intersect" else "left_anti")

@@ -13,20 +13,20 @@ TRADE = Domain("Trade")
 TEXT = Domain("Text")
 
 
-def _lng(key: Column) -> Column:
+def lng(key: Column) -> Column:
     return F.lit(-180.0) + (key * 7919 % 36000) / 100.0
 
 
-def _lat(key: Column) -> Column:
+def lat(key: Column) -> Column:
     return F.lit(-60.0) + (key * 104729 % 12000) / 100.0
 
 
 #: Places derived from keys, as the tables have none.
 PLACE = (
-    Calculation("lng", lambda c: _lng(c("id"))),
-    Calculation("lat", lambda c: _lat(c("id"))),
+    Calculation("lng", lambda c: lng(c("id"))),
+    Calculation("lat", lambda c: lat(c("id"))),
     Calculation("height", lambda c: (c("id") % 500).cast("double")),
-    Calculation("place", lambda c: geo.point(_lng(c("id")), _lat(c("id")))),
+    Calculation("place", lambda c: geo.point(lng(c("id")), lat(c("id")))),
 )
 
 
