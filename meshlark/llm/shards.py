@@ -2,24 +2,30 @@
 
 Arrivals are appended as they come, in small shards. Compaction groups shards of similar size (tiers, each
 FAN_IN times the one before) and merges a tier that has FAN_IN shards into files of about the target size.
-A version is a manifest, one JSON file that names the shards which make up the table; it is committed by a
-rename that fails if the version exists, so readers see a whole version and of two writers one starts anew.
-Spark and Hadoop's file system do all the work.
+A version is a manifest, one JSON file that names the shards which make up the table. Its name is made once: of
+two writers one gets it, and the other goes on from that one's version or removes what it wrote. Readers see whole
+versions only. Spark and Hadoop's file system do all the work.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..sources import commit
 
 TARGET_BYTES = 256 << 20
 FAN_IN = 4
 #: Shards up to this size are the lowest tier.
 LOWEST = 1 << 20
+#: Times that a writer tries to commit after others, and seconds after which files that no version names are given up.
+TRIES, GIVEN_UP = 20, 24 * 3600.0
 
 
 class Conflict(RuntimeError):
@@ -27,62 +33,70 @@ class Conflict(RuntimeError):
 
 
 class ShardedTable:
-    """``path`` is a folder of any Hadoop file system; it is made if it does not exist."""
+    """``path`` is a folder of any Hadoop file system; it is made when something is appended."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
         self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         self._fs = self._at("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._fs.mkdirs(self._at("_manifests"))
 
     def _at(self, name: str):
         return self._hadoop.Path(f"{self.path}/{name}" if name else self.path)
 
+    def versions(self) -> list[int]:
+        return sorted(int(n[1:-5]) for n in commit.names(self.spark, f"{self.path}/_manifests") if n.startswith("v") and n.endswith(".json"))
+
     def version(self) -> int:
         """The latest version; 0 for a table without any."""
-        found = [s.getPath().getName() for s in self._fs.listStatus(self._at("_manifests"))]
-        return max([0, *(int(n[1:-5]) for n in found if n.startswith("v") and n.endswith(".json"))])
+        return max(self.versions(), default=0)
 
     def manifest(self, version: int | None = None) -> dict:
         v = self.version() if version is None else version
         if not v:
             return {"version": 0, "schema": None, "shards": []}
-        rows = self.spark.read.text(str(self._at(f"_manifests/v{v:010d}.json")), wholetext=True)
-        return json.loads(rows.first()[0])
+        return json.loads(commit.read(self.spark, f"{self.path}/_manifests/v{v:010d}.json"))
 
     def _commit(self, base: dict, shards: list[dict], schema: str, made_by: str) -> dict:
         new = {"version": base["version"] + 1, "made_by": made_by, "schema": schema, "shards": shards}
-        tmp, final = self._at(f"_manifests/.{uuid.uuid4().hex}"), self._at(f"_manifests/v{new['version']:010d}.json")
-        out = self._fs.create(tmp, False)
-        out.write(bytearray(json.dumps(new).encode()))
-        out.close()
-        if self._fs.exists(final) or not self._fs.rename(tmp, final):
-            self._fs.delete(tmp, False)
+        if not commit.create_once(self.spark, f"{self.path}/_manifests/v{new['version']:010d}.json", json.dumps(new).encode()):
             raise Conflict(f"version {new['version']} exists")
         return new
 
-    def _written(self, df: DataFrame, label: str) -> list[dict]:
+    def _written(self, df: DataFrame, label: str) -> tuple[list[dict], str]:
         """Writes df as shards in a new folder; Spark's commit decides which files are in it."""
         folder = f"data/{label}-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{folder}")
         files = [s for s in self._fs.listStatus(self._at(folder)) if s.getPath().getName().endswith(".parquet")]
-        return [{"file": f"{folder}/{s.getPath().getName()}", "bytes": s.getLen()} for s in files]
+        return [{"file": f"{folder}/{s.getPath().getName()}", "bytes": s.getLen()} for s in files], folder
+
+    @staticmethod
+    def _columns(schema: str) -> list[tuple]:
+        return [(f["name"], json.dumps(f["type"], sort_keys=True)) for f in json.loads(schema)["fields"]]
 
     def append(self, df: DataFrame) -> dict:
-        """Commits df as new shards, one for each of its partitions; returns the manifest. Columns must be the table's.
+        """Commits df as new shards, one for each of its partitions; returns the manifest. Columns and types must be the
+        table's. Where others commit meanwhile, their versions come first; no arrival is lost.
 
         Nulls, repeated rows and any texts are kept as they are; an empty df makes a version with at most an empty shard.
         """
-        base = self.manifest()
         schema = df.schema.json()
-        if base["schema"] and [f["name"] for f in json.loads(base["schema"])["fields"]] != df.columns:
-            raise ValueError(f"columns are {df.columns}; the table's are {[f['name'] for f in json.loads(base['schema'])['fields']]}")
-        return self._commit(base, base["shards"] + self._written(df, "arrival"), base["schema"] or schema, "append")
+        base = self.manifest()
+        if base["schema"] and self._columns(schema) != self._columns(base["schema"]):
+            raise ValueError(f"the columns are {self._columns(schema)}; the table's are {self._columns(base['schema'])}")
+        new, folder = self._written(df, "arrival")
+        for _ in range(TRIES):
+            try:
+                return self._commit(base, base["shards"] + new, base["schema"] or schema, "append")
+            except Conflict:
+                base = self.manifest()
+                if base["schema"] and self._columns(schema) != self._columns(base["schema"]):
+                    break
+        self._fs.delete(self._at(folder), True)
+        raise Conflict(f"others went on committing versions of {self.path}, or gave it other columns")
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The table at a version, the latest by default."""
-        from pyspark.sql.types import StructType
-
+        """The table at a version, the latest by default; all rows as they came, none for a version without shards. A table
+        without any version is a ValueError, a version that vacuum has deleted an error of the file system."""
         m = self.manifest(version)
         if not m["schema"]:
             raise ValueError("the table has no version")
@@ -100,10 +114,10 @@ class ShardedTable:
 
         Each round merges all shards of the lowest such tier in one Spark job, without a shuffle, into files of the
         target size, or as many as the tier's bytes fill. Rows are neither changed nor dropped. Merged shards stay on
-        disk for readers of older versions until ``vacuum``.
+        disk for readers of older versions until ``vacuum``. Where others commit meanwhile, a merge whose shards are all
+        still in the table is committed after theirs; otherwise it is removed, and made anew from what is there.
         """
-        from pyspark.sql.types import StructType
-
+        lost = 0
         while True:
             m = self.manifest()
             tiers: dict[int, list[dict]] = {}
@@ -118,21 +132,41 @@ class ShardedTable:
             schema = StructType.fromJson(json.loads(m["schema"]))
             rows = self.spark.read.schema(schema).parquet(*[f"{self.path}/{s['file']}" for s in run]).coalesce(n)
             gone = {s["file"] for s in run}
-            self._commit(m, [s for s in m["shards"] if s["file"] not in gone] + self._written(rows, "merged"), m["schema"], "compact")
-
-    def vacuum(self) -> None:
-        """Deletes shards that the latest version does not name, and older manifests."""
-        m = self.manifest()
-        named = {s["file"] for s in m["shards"]}
-        for folder in self._fs.listStatus(self._at("data")):
-            name = f"data/{folder.getPath().getName()}"
-            files = [f"{name}/{s.getPath().getName()}" for s in self._fs.listStatus(folder.getPath())]
-            keep = [f for f in files if f in named]
-            for f in [name] if not keep else [f for f in files if f.endswith(".parquet") and f not in named]:
-                self._fs.delete(self._at(f), True)
-        for s in self._fs.listStatus(self._at("_manifests")):
-            if s.getPath().getName() != f"v{m['version']:010d}.json":
-                self._fs.delete(s.getPath(), False)
+            merged, folder = self._written(rows, "merged")
+            while gone <= {s["file"] for s in m["shards"]} and lost < TRIES:
+                try:
+                    self._commit(m, [s for s in m["shards"] if s["file"] not in gone] + merged, m["schema"], "compact")
+                    break
+                except Conflict:
+                    lost += 1
+                    m = self.manifest()
+            else:
+                self._fs.delete(self._at(folder), True)
+                lost += 1
+                if lost > TRIES:
+                    raise Conflict(f"others went on committing versions of {self.path}")
+
+    def vacuum(self, given_up: float = GIVEN_UP) -> None:
+        """Deletes shards that older versions name and the latest does not, and then those versions' manifests; of files
+        that no version names, which a writer may be about to commit, only those written over ``given_up`` seconds ago.
+        An empty table, or one without versions, is left as it is."""
+        latest = self.manifest()
+        old = [v for v in self.versions() if v < latest["version"]]
+        named = {s["file"] for s in latest["shards"]}
+        once = {s["file"] for v in old for s in self.manifest(v)["shards"]}
+        for f in once - named:
+            self._fs.delete(self._at(f), False)
+        before = (time.time() - given_up) * 1000
+        for name in commit.names(self.spark, f"{self.path}/data"):
+            files = [s for s in self._fs.listStatus(self._at(f"data/{name}"))]
+            shards = [s for s in files if s.getPath().getName().endswith(".parquet")]
+            for s in shards:
+                if f"data/{name}/{s.getPath().getName()}" not in named | once and s.getModificationTime() < before:
+                    self._fs.delete(s.getPath(), False)
+            if any(s.getPath().getName() == "_SUCCESS" for s in files) and not any(self._fs.exists(s.getPath()) for s in shards):
+                self._fs.delete(self._at(f"data/{name}"), True)
+        for v in old:
+            self._fs.delete(self._at(f"_manifests/v{v:010d}.json"), False)
 
 
 def arrive_in_batches(df: DataFrame, table: ShardedTable, batches: int, key: str) -> dict:

@@ -368,6 +368,30 @@ def test_shards(spark, tmp_path):
         other._commit(stale, [], stale["schema"], "late")
     with pytest.raises(ValueError):
         t.append(df.select("doc_id"))
+    with pytest.raises(ValueError):
+        t.append(df.withColumn("doc_id", F.col("doc_id").cast("string")))
+    written, folder = other._written(df.limit(2).coalesce(1), "arrival")  # a writer that has not committed yet
+    t.vacuum()
+    now = t.manifest()
+    other._commit(now, now["shards"] + written, now["schema"], "append")
+    assert t.read().count() == t.read(now["version"]).count() + 2
+    lost, plain = [], t.manifest
+
+    def behind(version=None):  # another writer comes first, once
+        m = plain(version)
+        if version is None and not lost:
+            lost.append(other.append(df.limit(1)))
+        return m
+
+    t.manifest = behind
+    before = other.read().count()
+    t.append(df.limit(3))
+    assert lost and other.read().count() == before + 4
+    lost.clear()
+    assert t.compact(target_bytes=60_000, fan_in=2)["version"] == t.version() and lost and other.read().count() == before + 5
+    orphan, folder = other._written(df.limit(2), "arrival")
+    t.vacuum(given_up=-60)
+    assert folder.split("/")[1] not in {p.name for p in (tmp_path / "t" / "data").iterdir()} and other.read().count() == before + 5
     e = shards.ShardedTable(spark, f"file://{tmp_path}/e")
     e.append(df.limit(0))
     assert e.compact()["version"] == 1 and e.read().count() == 0
