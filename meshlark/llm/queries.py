@@ -61,7 +61,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", decontam.items_digest().alias("items_sha256"), "contaminated")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", decontam.items_digest().alias("items_sha256"), "contaminated", F.size("near_item_ids").cast("long").alias("n_near_items"))
 
 
 def op10_repair_tokens(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
@@ -130,10 +130,20 @@ bw AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i+n-1], ' ') AS g FROM
 dw AS (SELECT doc_id, i, n, array_to_string(ws[i:i+n-1], ' ') AS g FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(ws) >= n)),
 m AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.g = bw.g),
 h AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM (SELECT DISTINCT doc_id, i, n FROM m)) GROUP BY doc_id),
-t AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id)
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id),
+place AS (SELECT doc_id, unnest(ws) AS term, unnest(range(len(ws))) AS pos FROM d),
+spread AS (SELECT term, count(DISTINCT doc_id) AS n FROM place GROUP BY term),
+win AS (SELECT g, string_split(g, ' ') AS ts, min(len(string_split(g, ' '))) AS n FROM bw GROUP BY g),
+wt AS (SELECT DISTINCT g, unnest(ts) AS term FROM win),
+wn AS (SELECT wt.g, wt.term, spread.n FROM wt JOIN spread ON wt.term = spread.term),
+full_w AS (SELECT g, count(*) AS k, arg_min(term, (n, encode(term))) AS anchor FROM wn GROUP BY g HAVING count(*) = (SELECT count(*) FROM wt WHERE wt.g = wn.g)),
+cand AS (SELECT full_w.g, full_w.k, place.doc_id, place.pos FROM full_w JOIN place ON place.term = full_w.anchor),
+around AS (SELECT cand.g, cand.k, cand.doc_id, cand.pos, count(DISTINCT place.term) AS found FROM cand JOIN wt ON wt.g = cand.g
+  JOIN place ON place.doc_id = cand.doc_id AND place.term = wt.term AND place.pos BETWEEN cand.pos - 26 AND cand.pos + 26 GROUP BY ALL),
+nr AS (SELECT around.doc_id, count(DISTINCT bw.item_id) AS n_near FROM around JOIN bw ON bw.g = around.g WHERE found = k GROUP BY around.doc_id)
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
-FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id""",
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near_items
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id LEFT JOIN nr ON d.doc_id = nr.doc_id""",
     "op5_near_dedup": rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^{_WS}]+') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i+n-1], ' ') AS g FROM

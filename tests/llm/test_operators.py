@@ -423,42 +423,57 @@ def test_toxicity(spark, empty):
     assert toxicity.score(d.limit(5), lab.limit(0)).where("score = 0.5").count() == 5
 
 
+def powerset(names):
+    return [[n for k, n in enumerate(names) if m >> k & 1] for m in range(1 << len(names))]
+
+
 def test_decontamination(docs, empty, spark, monkeypatch):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(low))
     data = corpus()
     items = [(1, " ".join(data[0][1].split()[:20])), (12, data[7][1].upper()), (3, "alpha, BETA"), (4, None), (5, "..."), (6, "never seen words at all"), (10, "alpha BETA")]
     want = []
+    spread = Counter(x for _, t, *_ in data for x in set(cut(t)))
     for i, t, *_ in data:
-        w, hit, found = cut(t), set(), set()
+        w, hit, found, close = cut(t), set(), set(), set()
         for item, text in items:
             x = cut(text)
             n = min(13, len(x))
+            for g in {tuple(x[s : s + n]) for s in range(len(x) - n + 1)} if n else ():
+                if all(spread[y] for y in g):
+                    rarest = min(g, key=lambda y: (spread[y], y.encode()))
+                    if any(y == rarest and set(g) <= set(w[max(0, s - 26) : s + 27]) for s, y in enumerate(w)):
+                        close.add(item)
             for g in {tuple(x[s : s + n]) for s in range(len(x) - n + 1)} if n else ():
                 for s in range(len(w) - n + 1):
                     if tuple(w[s : s + n]) == g:
                         hit.update(range(s, s + n))
                         found.add(item)
         ids = ",".join(sorted(map(str, found)))
-        want.append((i, len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(w)))
+        want.append((i, len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(w), len(close)))
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("term", F.lit("t"))
 
     def run():
-        return rows(decontam.decontaminate(docs, bench).select("doc_id", "n_words", "n_hit", "n_items", decontam.items_digest(), "contaminated"))
+        return rows(decontam.decontaminate(docs, bench).select("doc_id", "n_words", "n_hit", "n_items", decontam.items_digest(), "contaminated", F.size("near_item_ids")))
 
     want = sorted(want, key=repr)
-    assert run() == want and any(w[5] for w in want)
+    assert run() == want and any(w[5] for w in want) and any(w[6] > w[3] for w in want)
     monkeypatch.setattr(decontam, "BLOCK_WORDS", 15)
-    monkeypatch.setattr(decontam, "MAX_TERMS", 3)
+    monkeypatch.setattr(decontam, "CANDIDATES", 2)
     monkeypatch.setattr(decontam, "SEGMENT_WORDS", 200)
     assert run() == want
+    with_12 = {hashlib.sha256(','.join(sorted(x)).encode()).hexdigest() for x in powerset(['1', '12', '3', '10']) if '12' in x}
+    named = decontam.decontaminate(docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")), bench.withColumn("item_id", F.when(F.col("item_id") != 12, F.concat(F.lit("i"), "item_id"))))
+    assert sorted(((r["doc_id"] and int(r["doc_id"][1:])), r["n_hit"], len(r["item_ids"]), None in r["item_ids"]) for r in named.collect() if r["doc_id"]) == sorted((w[0], w[2], w[3], w[4] in with_12) for w in want if w[0] is not None)
     assert decontam.decontaminate(empty, bench).count() == 0
     none = decontam.decontaminate(docs, bench.limit(0))
     assert none.where("n_hit > 0 or contaminated").count() == 0 and none.count() == docs.count()
 
 
-def test_proximity(spark):
+def test_an_index_serves_any_benchmark(spark):
     d = spark.createDataFrame([(1, "the red fox and a brown dog"), (2, "red " + "x " * 50 + "fox"), (3, "fox red"), (None, None)], "doc_id long, text string")
-    index, _ = _work.materialise(decontam.build_index(d), "t")
-    out = decontam.proximity_matches(index, [(7, "Red fox"), (8, "absent")], within=3).collect()
-    assert sorted((r["doc_id"], r["item_id"], r["n_matches"]) for r in out) == [(1, 7, 1), (3, 7, 1)]
+    index = decontam.build_index(d)
+    near = lambda items, n: sorted((r["doc_id"], r["near_item_ids"], r["item_ids"]) for r in decontam.matches(index, spark.createDataFrame(items, "item_id long, text string"), near=n).collect() if r["near_item_ids"])
+    assert near([(7, "Red fox"), (8, "absent")], 3) == [(1, [7], [7]), (3, [7], [])]
+    assert near([(9, "brown fox red")], 4) == [(1, [9], [])] and near([(9, "brown fox red")], 3) == []
+    assert near([(7, "Red fox")], 60) == [(1, [7], [7]), (2, [7], []), (3, [7], [])]
