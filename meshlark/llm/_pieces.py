@@ -1,38 +1,127 @@
-"""Cutting a text where byte-level BPE is sure to cut, without a regular expression in the common case.
+"""Cutting texts where byte-level BPE is sure to cut, whole blocks at a time.
 
-A lone blank between two characters that are not white space always opens a new match of the pattern, and
-what follows is matched as if the text began there. So a text is cut before such blanks, and each distinct
-piece needs the pattern once only.
+A lone blank between two characters that are not white space always opens a new match of the pattern, and what
+follows is matched as if the text began there. So texts are cut before such blanks, and each distinct piece of a block
+needs the pattern once only. Of most pieces, letters with marks or a line's end between them, the matches are plain.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _LONE = re.compile(r"(?<=\S) (?=\S)")
+#: Ranges of letters in any version of Unicode, and the marks of ASCII.
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ԯ", r"!-/:-@\[-`{-~"
+_PLAIN = rf"^(?P<a>[{LETTERS}]+)(?P<b>[{MARKS}]*)(?P<c>\n?)(?P<d>[{LETTERS}]*)(?P<e>[{MARKS}]*)$"
+
+
+@dataclass
+class Cut:
+    """Words (matches of the pattern), each once; pieces, each the words that ``flat`` has up to its place in ``ends``;
+    texts, each the pieces that ``places`` has for it, ``n_places`` of them."""
+
+    words: pa.Array
+    flat: np.ndarray
+    ends: np.ndarray
+    places: np.ndarray
+    n_places: np.ndarray
+
+
+def _odd(piece: str) -> bool:
+    """Whether a piece tells that its text has other blanks than lone ones."""
+    return not piece or piece[0].isspace() or piece[-1].isspace()
+
+
+def cut(texts: pa.Array, split: Callable[[str], list[str]], added: tuple[str, ...] = ()) -> Cut:
+    """split: the matches of the pattern. added: strings that are words wherever they stand, the first of them that fits."""
+    parted = re.compile("(" + "|".join(map(re.escape, added)) + ")").split if added else lambda t: [t]
+    texts = texts.cast(pa.large_string()).fill_null("")
+    lists = pc.split_pattern(texts, " ")
+    n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    begin = np.cumsum(n) - n
+    coded = lists.flatten().dictionary_encode()
+    at, pieces = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+    # plain pieces: the words of all of them at once
+    found = pc.extract_regex(pieces, _PLAIN)
+    parts = [found.field(k).fill_null("") for k in range(5)]
+    has = np.stack([np.asarray(pc.not_equal(x, "")) for x in parts], axis=1) if len(pieces) else np.zeros((0, 5), bool)
+    contraction = np.asarray(pc.equal(parts[1], "'")) & ~has[:, 2] & has[:, 3] if len(pieces) else np.zeros(0, bool)
+    plain = np.asarray(found.is_valid()) & ~contraction & ~(has[:, 2] & ~has[:, 3] & ~has[:, 4])
+    has &= plain[:, None]
+    words = [pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), parts[0], pa.scalar("", pa.large_string())), *parts[1:]]
+
+    # the others one by one, and first pieces and texts with other blanks as wholes
+    others: list[str] = []
+    sizes = has.sum(axis=1)
+    rest = np.flatnonzero(~plain)
+    odd = np.zeros(len(pieces), bool)
+    for k, p in zip(rest.tolist(), pieces.take(pa.array(rest)).to_pylist(), strict=True):
+        if _odd(p):
+            odd[k] = True
+        else:
+            own = split(" " + p)
+            sizes[k] = len(own)
+            others += own
+    wholes: dict[str, int] = {}
+    more: list[int] = []
+
+    def whole(text: str, single: bool = False) -> int:
+        if text not in wholes:
+            wholes[text] = len(pieces) + len(more)
+            own = [text] if single else split(text)
+            more.append(len(own))
+            others.extend(own)
+        return wholes[text]
+
+    first = pieces.take(pa.array(at[begin])).to_pylist()
+    bad = odd[at]
+    bad[begin] = False
+    unusual = set(np.flatnonzero(np.add.reduceat(bad.astype(np.int64), begin) > 0).tolist()) if len(n) else set()
+    for x in added:
+        unusual |= set(np.flatnonzero(pc.match_substring(texts, x)).tolist())
+    replaced: dict[int, list[int]] = {}
+    for k, p in enumerate(first):
+        if k in unusual or n[k] > 1 and (not p or p[-1].isspace()):
+            runs = enumerate(parted(texts[k].as_py()))
+            replaced[k] = [y for j, x in runs for y in ([whole(x, True)] if j % 2 else _wholes(x, whole))]
+        else:
+            at[begin[k]] = whole(p)
+    if replaced:
+        pieces_of = np.split(at, begin[1:])
+        for k, x in replaced.items():
+            pieces_of[k] = np.array(x, np.int64)
+        n = np.array([len(x) for x in pieces_of], np.int64)
+        at = np.concatenate(pieces_of)
+
+    every = pa.concat_arrays([*words, pa.array(others, pa.large_string())]).dictionary_encode()
+    code = every.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    m = len(pieces)
+    all_sizes = np.concatenate([sizes, np.array(more, np.int64)]).astype(np.int64)
+    ends = np.cumsum(all_sizes)
+    flat = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+    mine = np.zeros(len(flat), bool)
+    if m:
+        mine[_ranges((ends - all_sizes)[:m][plain], all_sizes[:m][plain])] = True
+    flat[mine] = code[: 5 * m].reshape(5, m).T[has]
+    flat[~mine] = code[5 * m :]
+    used, flat = np.unique(flat, return_inverse=True)  # words that no piece has are left out
+    return Cut(every.dictionary.take(pa.array(used)), flat.reshape(-1), ends, at, n)
+
+
+def _wholes(text: str, whole: Callable[[str], int]) -> list[int]:
+    if not text:
+        return []
+    first, *rest = _LONE.split(text)
+    return [whole(first), *[whole(" " + p) for p in rest]]
 
 
-class Pieces(dict):
-    """Values of pieces by the piece without its blank; None for a piece that begins or ends in white space, or is
-    empty, and so tells that its text has other blanks than lone ones."""
-
-    def __init__(self, make, limit: int = 300_000):
-        super().__init__()
-        self.make, self.limit = make, limit
-
-    def __missing__(self, piece: str):
-        if len(self) >= self.limit:
-            self.clear()
-        self[piece] = v = None if not piece or piece[0].isspace() or piece[-1].isspace() else self.make(" " + piece)
-        return v
-
-    def of(self, text: str) -> list:
-        """The values of a text's pieces in order."""
-        if not text:
-            return []
-        first, *rest = text.split(" ")
-        values = list(map(self.__getitem__, rest))
-        if None in values or rest and (not first or first[-1].isspace()):
-            first, *rest = _LONE.split(text)
-            values = [self[p] if p and not p[0].isspace() and not p[-1].isspace() else self.make(" " + p) for p in rest]
-        return [self.make(first), *values]
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of ranges, one range after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))

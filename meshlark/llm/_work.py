@@ -120,6 +120,19 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("/") else os.path.abspath(uri))
 
 
+def made_once(key, make):
+    """A value that a Python worker makes once, however many of its tasks need it; only the last few are held."""
+    import sys
+    import types
+
+    box = sys.modules.setdefault("_meshlark_made", types.ModuleType("_meshlark_made")).__dict__.setdefault("held", {})
+    if key not in box:
+        while len(box) >= 3:
+            del box[next(iter(box))]
+        box[key] = make()
+    return box[key]
+
+
 def tidy(run):
     """The function of batches, giving memory back to the system when its task ends: Python workers are used again, by
     other operators too, and what one of them once held would else stay with them."""

@@ -16,16 +16,16 @@ import pickle
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._pieces import Pieces
-from ._work import FileReader, FileWriter, col, materialise, numbered, scratch, squeeze, tidy, unsqueeze
+from ._pieces import _ranges, cut
+from ._work import FileReader, FileWriter, col, made_once, materialise, numbered, scratch, squeeze, tidy, unsqueeze
 
 #: Bytes of text to a block, and words asked for to a part: what a task holds. They set how work is cut, not results.
 BLOCK_BYTES, PART_WORDS = 8_000_000, 500_000
@@ -60,12 +60,12 @@ def word_coder(library: str, data: bytes, pattern: str) -> Callable[[list[bytes]
     return code_all
 
 
-def added_tokens(library: str, data: bytes) -> list[str]:
+def added_tokens(library: str, data: bytes) -> tuple[str, ...]:
     """Strings that the library takes out of a text before the pattern, whatever stands around them."""
     found = json.loads(data).get("added_tokens", []) if library == "tokenizers" else []
     if odd := [x["content"] for x in found if x.get("lstrip") or x.get("rstrip") or x.get("single_word")]:
         raise ValueError(f"added tokens that depend on what stands around them are not supported: {odd}")
-    return sorted((x["content"] for x in found), key=len, reverse=True)
+    return tuple(sorted((x["content"] for x in found), key=len, reverse=True))
 
 
 def pack(items: list[bytes]) -> bytes:
@@ -84,14 +84,6 @@ def unpack(data: bytes) -> list[bytes]:
     return [rest[s:e] for s, e in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
 
 
-class _Numbers(dict):
-    """Words by number, in order of appearance."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self)
-        return n
-
-
 def _dealt(words: list[bytes], parts: int) -> tuple[np.ndarray, np.ndarray]:
     """Words' numbers in order of their parts, and where each part begins."""
     part = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(parts)
@@ -99,68 +91,56 @@ def _dealt(words: list[bytes], parts: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(part[order], np.arange(parts + 1))
 
 
-def _cut(folder: str, pattern: str, added: list[str], place: int, keep: list[int]):
+def _planes(a: np.ndarray) -> bytes:
+    """Numbers below 2^32 by significance of their bytes, compressed."""
+    return squeeze(np.ascontiguousarray(a.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(unsqueeze(data), np.uint8).reshape(4, -1).T).reshape(-1).view("<u4").astype(np.int64)
+
+
+def _cut(folder: str, pattern: str, added: tuple[str, ...], place: int, keep: list[int]):
     """Writes blocks; a row to each: its place, and the number of its words."""
     block_bytes = BLOCK_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        split, number, out = regex.compile(pattern).findall, _Numbers(), FileWriter(folder)
-        special = regex.compile("(" + "|".join(map(regex.escape, added)) + ")").split if added else None
-
-        def numbers(piece: str) -> tuple[int, ...]:
-            bare = piece[1:] if piece[:1] == " " else piece
-            if bare.isascii():  # letters, and letters before one of these marks, are matches by any such pattern
-                if bare.isalpha():
-                    return (number[piece],)
-                if bare[-1:] in (",", ".") and bare[:-1].isalpha():
-                    return number[piece[:-1]], number[bare[-1]]
-            return tuple([number[w] for w in split(piece)])
-
-        pieces = Pieces(numbers, 1 << 20)
-
-        def positions(text: str) -> np.ndarray:
-            if special and any(a in text for a in added):
-                found: list = []
-                for k, part in enumerate(special(text)):
-                    found += [(number[part],)] if k % 2 else pieces.of(part)
-            else:
-                found = pieces.of(text)
-            return np.fromiter(chain.from_iterable(found), np.uint32)
-
-        held: list[pa.RecordBatch] = []
-        places: list[np.ndarray] = []
+        split, out = regex.compile(pattern).findall, FileWriter(folder)
+        kept: list[pa.RecordBatch] = []
+        texts: list[pa.Array] = []
         size = 0
 
         def close():
-            nonlocal held, places, size
+            nonlocal kept, texts, size
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                for x in held:
+            with pa.ipc.new_stream(sink, kept[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                for x in kept:
                     w.write_batch(x)
-            flat = np.concatenate(places)
-            planes = np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 4).T).tobytes()
-            words, rows = out.add(pack([w.encode() for w in number])), out.add(pickle.dumps((sink.getvalue().to_pybytes(), [len(p) for p in places], squeeze(planes)), 5))
-            row = pa.RecordBatch.from_arrays([pa.array([json.dumps([words, rows])]), pa.array([len(number)])], names=["block", "n_words"])
-            held, places, size = [], [], 0
-            number.clear()
-            pieces.clear()
+            block = cut(pa.concat_arrays(texts), split, added)
+            words = out.add(pack(block.words.cast(pa.large_binary()).to_pylist()))
+            table = (np.diff(block.ends, prepend=0), block.flat)
+            rows = out.add(pickle.dumps((sink.getvalue().to_pybytes(), block.n_places.tolist(), *map(_planes, (block.places, *table))), 5))
+            row = pa.RecordBatch.from_arrays([pa.array([json.dumps([words, rows])]), pa.array([len(block.words)])], names=["block", "n_words"])
+            kept, texts, size = [], [], 0
             return row
 
         for b in batches:
-            first, kept = 0, b.select(keep) if keep else pa.RecordBatch.from_arrays([pa.nulls(b.num_rows, pa.bool_())], names=["none"])
-            for k in range(b.num_rows):
-                text = b.column(place)[k].as_py() or ""
-                places.append(positions(text))
-                size += len(text) + 64
+            columns = b.select(keep) if keep else pa.RecordBatch.from_arrays([pa.nulls(b.num_rows, pa.bool_())], names=["none"])
+            long = pc.coalesce(pc.binary_length(b.column(place)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+            ends = np.cumsum(long)
+            first = 0
+            while first < b.num_rows:
+                done = int(ends[first - 1]) if first else 0
+                stop = min(b.num_rows, 1 + int(np.searchsorted(ends, done + block_bytes - size)))
+                kept.append(columns.slice(first, stop - first))
+                texts.append(b.column(place).slice(first, stop - first))
+                size += int(ends[stop - 1]) - done
+                first = stop
                 if size >= block_bytes:
-                    held.append(kept.slice(first, k + 1 - first))
-                    first = k + 1
                     yield close()
-            if first < b.num_rows:
-                held.append(kept.slice(first))
-        if places:
+        if texts:
             yield close()
         out.close()
 
@@ -185,7 +165,8 @@ def _answer(library: str, sent, pattern: str):
     """Rows (part, block, words) in order of part: the ids of each block's words. Within a part a word is encoded once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, known, last = word_coder(library, sent.value, pattern), {}, None
+        code = made_once(("coder", library, pattern, zlib.crc32(sent.value)), lambda: word_coder(library, sent.value, pattern))
+        known, last = {}, None
         for b in batches:
             for part, block, data in zip(*(b.column(k) for k in range(3)), strict=True):
                 if part.as_py() != last:
@@ -206,8 +187,7 @@ def _assemble(folder: str, parts: int, packed: str | None, names: list[str]):
         read = FileReader(folder, 0)
         at_words, at_rows = json.loads(block)
         order, cuts = _dealt(unpack(read.get(*at_words)), parts)
-        stream, n_places, planes = pickle.loads(read.get(*at_rows))
-        at = np.ascontiguousarray(np.frombuffer(unsqueeze(planes), np.uint8).reshape(4, -1).T).reshape(-1).view("<u4")
+        stream, n_places, at, n_words, words = pickle.loads(read.get(*at_rows))
         sizes, starts, flat, begin = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64), [], 0
         for p, data in answers.items():
             n, ids = sizes_and_rest(data)
@@ -215,7 +195,12 @@ def _assemble(folder: str, parts: int, packed: str | None, names: list[str]):
             sizes[own], starts[own] = n, begin + np.cumsum(n) - n
             begin += int(n.sum())
             flat.append(np.frombuffer(ids, "<u4"))
-        ids_of = np.concatenate(flat) if flat else np.zeros(0, "<u4")
+        # ids of words, then of pieces, then of rows
+        at, n_words, words = _numbers(at), _numbers(n_words), _numbers(words)
+        ids_of = (np.concatenate(flat) if flat else np.zeros(0, "<u4"))[_ranges(starts[words], sizes[words])]
+        before = np.concatenate([[0], np.cumsum(sizes[words])])
+        last = np.cumsum(n_words)
+        starts, sizes = before[last - n_words], before[last] - before[last - n_words]
         kept = pa.ipc.open_stream(stream).read_all().combine_chunks()
         columns = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in kept.columns] if names[:-1] else []
         ends = np.cumsum(n_places)
@@ -225,13 +210,13 @@ def _assemble(folder: str, parts: int, packed: str | None, names: list[str]):
             stop = max(first + 1, int(np.searchsorted(ends, done + (1 << 18), "right")))
             some = at[done : int(ends[stop - 1])]
             n = sizes[some]
-            all_ids = ids_of[np.repeat(starts[some] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            all_ids = ids_of[_ranges(starts[some], n)]
             total = np.concatenate([[0], np.cumsum(n)])
-            cut = total[np.concatenate([[0], ends[first:stop] - done])]
+            bounds = total[np.concatenate([[0], ends[first:stop] - done])]
             if packed:
-                coded = pa.array([all_ids[a:b].astype(packed).tobytes() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], pa.binary())
+                coded = pa.array([all_ids[a:b].astype(packed).tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary())
             else:
-                coded = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(all_ids.astype(np.int32)))
+                coded = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(all_ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*(c.slice(first, stop - first) for c in columns), coded], names=names)
             first = stop
 
@@ -274,9 +259,9 @@ def encode(
     schema = T.StructType([*fields]).add("ids", T.BinaryType() if packed else T.ArrayType(T.IntegerType()))
     folder = scratch(spark, "words")
     blocks, _ = materialise(plain.mapInArrow(tidy(_cut(folder, pattern, added_tokens(library, data), place, list(range(len(names))))), "block string, n_words long"), "word-blocks")
-    n_words = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    n_blocks, n_words = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + n_words // PART_WORDS)
-    asked = blocks.select("block").repartition("block").mapInArrow(tidy(_ask(folder, parts)), "part int, block string, data binary")
+    asked = blocks.select("block").repartition(max(1, min(n_blocks, 100_000))).mapInArrow(tidy(_ask(folder, parts)), "part int, block string, data binary")
     answered = asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(tidy(_answer(library, sent, pattern)), "block string, part int, data binary")
     said = answered.unionByName(blocks.select("block", F.lit(-1).alias("part"), F.lit(None).cast("binary").alias("data")))
     coded = said.repartition("block").sortWithinPartitions("block").mapInArrow(tidy(_assemble(folder, parts, packed, schema.names)), schema)
@@ -291,6 +276,7 @@ class TokenBytes:
         self.table: list = [None] * (1 + max(ranks.values()))
         for w, i in ranks.items():
             self.table[i] = w
+        self.written = [str(i) for i in range(len(self.table))]
 
     def join(self, ids: list[int]) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
@@ -312,7 +298,7 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str
     schema = T.StructType([*plain.schema.fields]).add("decoded", T.BinaryType())
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = TokenBytes(sent.value)
+        table = made_once(("bytes", zlib.crc32(sent.value)), lambda: TokenBytes(sent.value))
         for b in batches:
             for s in range(0, b.num_rows, 256):
                 part = b.slice(s, 256)
@@ -334,14 +320,13 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
         sent = spark.sparkContext.broadcast(f.read())
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = TokenBytes(sent.value)
-        written = [str(i) for i in range(len(table.table))]
+        table = made_once(("bytes", zlib.crc32(sent.value)), lambda: TokenBytes(sent.value))
         for b in batches:
             n, x, y = [], [], []
             for ids in b.column(1):
                 ids = ids.values.to_numpy().tolist()
                 n.append(len(ids))
-                x.append(hashlib.sha256(" ".join(map(written.__getitem__, ids)).encode()).hexdigest())
+                x.append(hashlib.sha256(" ".join(map(table.written.__getitem__, ids)).encode()).hexdigest())
                 y.append(hashlib.sha256(table.join(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(x, pa.string()), pa.array(y, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -42,30 +42,42 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
     """
     s = ids.astype(np.uint32)
     rules = np.zeros((0, 2), np.int64)
-    while len(s) > 1 and rounds != 0:
+    may = np.ones(max(0, len(s) - 1), bool)  # places whose pair may be frequent: it was, or it is new
+    while rounds != 0:
         rounds = None if rounds is None else rounds - 1
-        key = s[:-1].astype(np.uint64) << np.uint64(32) | s[1:]
-        free = (s[:-1] != end_id) & (s[1:] != end_id)
+        at = np.flatnonzero(may & (s[:-1] != end_id) & (s[1:] != end_id)) if len(s) > 1 else np.zeros(0, np.int64)
+        key = s[at].astype(np.uint64) << np.uint64(32) | s[at + 1]
         # in a run of one symbol every second place counts
-        again = np.flatnonzero(key[1:] == key[:-1]) + 1
+        again = np.flatnonzero((key[1:] == key[:-1]) & (at[1:] == at[:-1] + 1)) + 1
         if len(again):
             run = np.flatnonzero(np.diff(again, prepend=-2) != 1)
             nth = np.arange(len(again)) - np.repeat(run, np.diff(run, append=len(again)))
-            free[again[nth % 2 == 0]] = False
+            skipped = again[nth % 2 == 0]
+            at_skipped = at[skipped]
+            at, key = np.delete(at, skipped), np.delete(key, skipped)
+        else:
+            at_skipped = again
         bucket = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _BITS)).astype(np.int64)
-        at = np.flatnonzero(free & (np.bincount(bucket[free], minlength=1 << _BITS) >= least)[bucket])
-        found = np.sort(key[at])
+        full = (np.bincount(bucket, minlength=1 << _BITS) >= least)[bucket]
+        at, key, bucket = at[full], key[full], bucket[full]
+        found = np.sort(key)
         edge = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else at
         n = np.diff(edge, append=len(found))
         pairs, n = found[edge][n >= least], n[n >= least]
         if not len(pairs):
             break
-        k = np.minimum(np.searchsorted(pairs, key[at]), len(pairs) - 1)
-        known = pairs[k] == key[at]
+        slot = np.zeros(1 << _BITS, np.int64)
+        slot[(pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _BITS)).astype(np.int64)] = np.arange(len(pairs))
+        k = slot[bucket]
+        missed = np.flatnonzero(pairs[k] != key)  # two pairs in a bucket, or a pair that is not frequent
+        k[missed] = np.minimum(np.searchsorted(pairs, key[missed]), len(pairs) - 1)
+        known = pairs[k] == key
         at, k = at[known], k[known]
-        rank = np.empty(len(pairs), np.int64)
+        may[:] = False
+        may[at] = may[at_skipped] = True
+        rank = np.empty(len(pairs), np.int32)
         rank[np.lexsort((pairs, -n))] = np.arange(len(pairs))
-        ranks = np.full(len(s) + 1, len(pairs), np.int64)  # of the places, with one more at either end
+        ranks = np.full(len(s) + 1, len(pairs), np.int32)  # of the places, with one more at either end
         ranks[at + 1] = rank[k]
         first = (ranks[at + 1] < ranks[at]) & (ranks[at + 1] < ranks[at + 2])
         at, k = at[first], k[first]
@@ -78,7 +90,10 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
         s[at] = base + len(rules) + k
         keep = np.ones(len(s), bool)
         keep[at + 1] = False
-        s = s[keep]
+        may = np.append(may, False)
+        may[at] = True
+        may[at[at > 0] - 1] = True
+        s, may = s[keep], may[keep][:-1]
         rules = np.concatenate([rules, np.stack([pairs[chosen] >> np.uint64(32), pairs[chosen] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.int64)])
     return s.astype(np.int64), rules
 
