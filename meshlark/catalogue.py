@@ -513,6 +513,28 @@ def _(g):
     return spatial.points_in_areas(points, areas, "lng", "lat", "area", 10.0).select("customer", "supplier")
 
 
+_GRID = ("151 + 0.03 * (i % 100)", "-33 + 0.03 * (i // 100)")
+
+
+@query(
+    "geo_grid_containment",
+    f"""WITH a AS (SELECT i AS area, ({_GRID[0]})::DOUBLE AS cx, ({_GRID[1]})::DOUBLE AS cy FROM range(10000) t(i)),
+p AS (SELECT i AS point, ({_GRID[0]})::DOUBLE + (i * 7919 % 260 - 129.5)::DOUBLE / 10000 AS x, ({_GRID[1]})::DOUBLE + (i * 104729 % 260 - 129.5)::DOUBLE / 10000 AS y FROM range(10000) t(i))
+SELECT point, area FROM p JOIN a ON x > cx - 0.01 AND x < cx + 0.01 AND y > cy - 0.01 AND y < cy + 0.01 WHERE NOT (abs(x - cx) < 0.0025 AND abs(y - cy) < 0.0025)""",
+)
+def _(g):
+    """10,000 points against 10,000 squares with holes, in one join."""
+    i = F.col("id")
+    cx, cy = F.lit(151.0) + F.lit(0.03) * (i % 100), F.lit(-33.0) + F.lit(0.03) * F.floor(i / 100)
+    points = g.spark.range(10_000).select(i.alias("point"), (cx + (i * 7919 % 260 - 129.5) / 10000).alias("x"), (cy + (i * 104729 % 260 - 129.5) / 10000).alias("y"))
+
+    def ring(half):
+        return F.flatten(F.flatten(_box(cx, cy, half)["parts"]))
+
+    donut = F.struct(F.lit("Polygon").alias("kind"), F.lit(4326).alias("srid"), F.array(F.array(ring(0.01), ring(0.0025))).alias("parts"))
+    return spatial.points_in_areas(points, g.spark.range(10_000).select(i.alias("area"), donut.alias("shape")), "x", "y", "shape", 0.02).select("point", "area")
+
+
 @query("geo_near_pairs", f"SELECT c_custkey AS customer, s_suppkey AS supplier FROM customer, supplier WHERE {hav(_CX, _CY, _SX, _SY)} <= 150000")
 def _(g):
     left = q(g, "Customer").calculate("lng", "lat").df().select(F.col("id").alias("customer"), "lng", "lat")
