@@ -196,6 +196,9 @@ def _linked_pairs(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFr
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for all nodes of the links but the roots: alternating large and small stars, each round a table.
 
+    links: rows (a, b) in any order; links that repeat, that join a node with itself or that have a null end add nothing,
+    and no links give no rows. A root is its component's smallest node.
+
     Least neighbours are sent to the tasks where they are few. Elsewhere they are a table, so that Spark splits the
     join at a centre which a large part of the nodes has.
     """

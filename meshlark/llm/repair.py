@@ -302,7 +302,11 @@ def files(df_or_spark, path: str) -> DataFrame:
 
 
 def read_documents(spark, path: str) -> DataFrame:
-    """Per document: doc_id, start (ids of all documents before it), n_tokens and ids_crc32 (of its ids as little-endian u32)."""
+    """Per document: doc_id, start (ids of all documents before it), n_tokens and ids_crc32 (of its ids as little-endian u32).
+
+    Null and repeated ids come as ``write_tokens`` has them; files of an empty table, none, give no rows; a file is one
+    task's work, however long its documents.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(path)

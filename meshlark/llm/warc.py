@@ -28,6 +28,8 @@ VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID_PREFIX = "urn:x-page:"
 MAGIC = b"\x1f\x8b\x08"
+#: Bytes between places where a reader may begin, and how much less than a scan's partition, plain, one of an archive is.
+MARK_BYTES, COMPRESSION = 1 << 20, 4
 
 SCHEMA = "record_type string, record_id string, target_uri string, date string, refers_to string, content_type string, content_length long, payload_digest string, payload_bytes long, payload binary"
 #: Named fields of a record's header, by column.
@@ -44,10 +46,13 @@ def record(fields: list[tuple[str, str]], block: bytes) -> bytes:
 
 
 def member(data: bytes, level: int = 3) -> bytes:
-    """A gzip member with its compressed and plain lengths in the extra field ``sl``."""
+    """A gzip member with its compressed and plain lengths in the extra field ``sl``; from 4 GiB on, where that is too
+    narrow, without."""
     z = zlib.compressobj(level, zlib.DEFLATED, -15)
     body = z.compress(data) + z.flush()
     total = 10 + 2 + 12 + len(body) + 8
+    if total >= 1 << 32:
+        return MAGIC + b"\0\0\0\0\0\0\xff" + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
     extra = b"sl" + struct.pack("<HII", 8, total, len(data) & 0xFFFFFFFF)
     return MAGIC + b"\x04\0\0\0\0\0\xff" + struct.pack("<H", len(extra)) + extra + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
 
@@ -75,8 +80,9 @@ def write_pages(
     without id is never referred to; rows that repeat the smallest id are each a response. Other columns are
     ignored; an empty table makes an archive without records.
 
-    Tasks write under names of their own and report them; the report is a Parquet table which Spark commits,
-    and readers open only the files it lists, so what a lost or repeated task leaves is never read.
+    Tasks write under names of their own and report them, with a place where a record begins every MARK_BYTES; the
+    report is a Parquet table which Spark commits. Readers open only the files it lists, so what a lost or repeated task
+    leaves is never read, and begin at those places, so that a file is many tasks' work.
     """
     spark = pages.sparkSession
     path = path or scratch(spark, "warc")
@@ -92,46 +98,53 @@ def write_pages(
     else:
         src = src.withColumn("refers", F.lit(None).cast("long"))
 
+    mark_bytes = MARK_BYTES
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(path)
         fs.create_dir(root, recursive=True)
         out, name, size, n = None, "", 0, 0
+        marks: list[int] = []
         done = []
         for b in batches:
             for page_id, url, payload, sha1, refers in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if out is None:
-                    name, size, n = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+                    name, size, n, marks = f"{uuid.uuid4().hex}.warc.gz", 0, 0, []
                     out = fs.open_output_stream(f"{root}/{name}", compression=None)
                     info = member(record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", date), ("WARC-Filename", name), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n"))
                     out.write(info)
                     size += len(info)
+                if size - (marks[-1] if marks else 0) >= mark_bytes:
+                    marks.append(size)
                 m = member(page_record(page_id, url, payload, base64.b32encode(bytes.fromhex(sha1)).decode(), refers, date))
                 out.write(m)
                 size, n = size + len(m), n + 1
                 if size >= max_file_bytes:
                     out.close()
-                    done.append((name, size, n))
+                    done.append((name, size, n, marks))
                     out = None
         if out is not None:
             out.close()
-            done.append((name, size, n))
-        cols = list(zip(*done, strict=True)) or [[], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], names=["name", "bytes", "records"])
+            done.append((name, size, n, marks))
+        cols = list(zip(*done, strict=True)) or [[], [], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.list_(pa.int64()))], names=["name", "bytes", "records", "marks"])
 
-    src.select("id", "url", "payload", "sha1", "refers").mapInArrow(tidy(write), "name string, bytes long, records long").write.parquet(f"{path}/_files")
+    src.select("id", "url", "payload", "sha1", "refers").mapInArrow(tidy(write), "name string, bytes long, records long, marks array<long>").write.parquet(f"{path}/_files")
     return path
 
 
 @dataclass
 class Files(InputPartition):
-    paths: list[str]
+    """Ranges of files: path, first byte, and the byte before which records begin (None: to the end)."""
+
+    ranges: list[tuple[str, int, int | None]]
 
 
 class _Source:
-    """Sequential reader of one archive file; knows where the next record starts."""
+    """Sequential reader of a range of an archive file; knows where the next record starts."""
 
-    def __init__(self, stream):
-        self.f, self.size, self.at = stream, stream.size(), 0
+    def __init__(self, stream, start: int = 0, stop: int | None = None):
+        self.f, self.size, self.at = stream, stream.size() if stop is None else stop, start
 
     def records(self, wanted, payload: bool) -> Iterator[tuple[dict, bytes | None]]:
         """(headers, block) of records whose headers are wanted; the block is None unless payload is asked for."""
@@ -269,19 +282,24 @@ class WarcReader(DataSourceReader):
         fs, root = open_fs(self.path)
         listed = fs.get_file_info(f"{root}/_files").type == FileType.Directory
         if fs.get_file_info(root).type == FileType.File:
-            files = [(root, 0)]
+            ranges = [(root, 0, None, 0)]
         elif listed:
-            t = ds.dataset(f"{root}/_files", filesystem=fs, format="parquet", schema=pa.schema([("name", pa.string()), ("bytes", pa.int64())])).to_table()
-            files = [(f"{root}/{n}", b) for n, b in zip(t["name"].to_pylist(), t["bytes"].to_pylist(), strict=True)]
+            schema = pa.schema([("name", pa.string()), ("bytes", pa.int64()), ("marks", pa.list_(pa.int64()))])
+            t = ds.dataset(f"{root}/_files", filesystem=fs, format="parquet", schema=schema).to_table()
+            ranges = [(f"{root}/{n}", x, y, y - x) for n, b, m in zip(*(t[c].to_pylist() for c in schema.names), strict=True) for x, y in zip([0, *(m or [])], [*(m or []), b], strict=True)]
         else:
-            files = [(i.path, i.size) for i in fs.get_file_info(FileSelector(root)) if re.search(r"\.warc(\.gz)?$", i.path)]
+            ranges = [(i.path, 0, None, i.size) for i in fs.get_file_info(FileSelector(root)) if re.search(r"\.warc(\.gz)?$", i.path)]
         out: list[Files] = []
         room = 0
-        for p, size in sorted(files):
+        for path, start, stop, size in sorted(ranges, key=lambda r: r[:2]):
             if not out or size > room:
                 out.append(Files([]))
                 room = self.target
-            out[-1].paths.append(p)
+            last = out[-1].ranges[-1] if out[-1].ranges else None
+            if last and last[0] == path and last[2] == start:
+                out[-1].ranges[-1] = (path, last[1], stop)
+            else:
+                out[-1].ranges.append((path, start, stop))
             room -= size
         return out or [Files([])]
 
@@ -290,9 +308,9 @@ class WarcReader(DataSourceReader):
         schema = pa.schema([(n, {"long": pa.int64(), "binary": pa.binary()}.get(t, pa.string())) for n, t in (x.split() for x in SCHEMA.split(", "))])
         rows: list[tuple] = []
         held = 0
-        for p in partition.paths:
-            with fs.open_input_file(p) as f:
-                for headers, block in _Source(f).records(self.wanted, self.payload or self.verify):
+        for path, start, stop in partition.ranges:
+            with fs.open_input_file(path) as f:
+                for headers, block in _Source(f, start, stop).records(self.wanted, self.payload or self.verify):
                     rows.append(self.row(headers, block))
                     held += len(block or b"") + 200
                     if held > 8 << 20:
@@ -323,7 +341,7 @@ class WarcReader(DataSourceReader):
 
 class WarcDataSource(DataSource):
     """``spark.read.format("warc")``. Options: payload=false leaves payloads out (and undecoded unless verify=true);
-    verify=true recomputes payload digests; partitionBytes packs small files. Predicates on the header columns are
+    verify=true recomputes payload digests; partitionBytes is how much of an archive a task reads. Predicates on the header columns are
     pushed down: records that fail them are skipped after their headers."""
 
     @classmethod
@@ -338,8 +356,19 @@ class WarcDataSource(DataSource):
 
 
 def read_archive(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """The records of an archive that ``write_pages`` wrote, of a WARC file, or of a folder of such files, gzipped or plain;
+    options are those of ``WarcDataSource``.
+
+    An archive without records gives no rows; a field that a header lacks is null; records that repeat each get a row; a
+    payload of any length is one value; bytes that are no record, or a record that is cut short, are an error, as is with
+    verify=true a payload that differs from its digest. A task reads a quarter of what a scan's partition may have.
+    """
     spark.dataSource.register(WarcDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    if "partitionBytes" not in options:
+        m = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", spark.conf.get("spark.sql.files.maxPartitionBytes").lower())
+        if m:
+            options["partitionBytes"] = str(max(1, (int(m[1]) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[m[2]]) // COMPRESSION))
     return spark.read.format("warc").options(**options).load(path)
 
 

@@ -247,6 +247,12 @@ def test_warc(spark, tmp_path):
     small = warc.read_archive(spark, warc.write_pages(df, dedup_min_bytes=5), payload="false")
     assert small.where("record_type = 'revisit'").count() == 0
     assert warc.read_archive(spark, warc.write_pages(df.limit(0))).where("record_type = 'response'").count() == 0
+    marked = warc.MARK_BYTES
+    warc.MARK_BYTES = 150
+    many = spark.createDataFrame([(k, None, f"page {k} " * (k % 7)) for k in range(40)], "page_id long, url string, html string").coalesce(1)
+    parts = warc.read_archive(spark, warc.write_pages(many), partitionBytes="400")
+    assert parts.rdd.getNumPartitions() > 10 and parts.where("record_type in ('response', 'revisit')").select("record_id").distinct().count() == 40 == parts.where("record_type <> 'warcinfo'").count()
+    warc.MARK_BYTES = marked
     plain = b"".join(warc.record([("WARC-Type", "response"), ("WARC-Record-ID", f"<r{k}>")], b"x" * k) for k in (0, 5000, 3))
     (tmp_path / "a.warc").write_bytes(plain)
     import gzip
