@@ -357,7 +357,7 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group_rows: int = 5000) -> DataFrame:
-    """One row per page: id (long), url, text and n_chars.
+    """One row per page: id (long), url, text and n_chars. Ids are integers or null; others stop the job at Spark's cast.
 
     A null or empty html gives an empty text; pages without a URL are one host with one path; repeated rows each
     get a row and count as copies of each other; other columns are not read. Hosts of over ``group_rows`` pages are

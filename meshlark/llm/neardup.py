@@ -379,7 +379,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of at least PERCENT; a text of fewer words is one shingle; null and empty texts have none and are linked with
     nothing. component_id is the smallest id reachable over links, the row's own included; kept tells whether it is
     the row's own. Rows that repeat an id go by their own text each; rows without id join the component of their
-    class but never name one (they stay if nobody else can name it). Other columns are not read.
+    class but never name one (they stay if nobody else can name it). Ids are integers; others stop the job at Spark's cast.
+    Texts of any length count whole; an empty table gives no rows; other columns are not read.
     """
     src = df.select(col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(col(text_col).cast("string"), F.lit(""))).alias("text_hash"), col(text_col).cast("string").alias("text"))
     signed, signed_path = materialise(src.mapInArrow(tidy(_sign), "id long, text_hash long, n_shingles long, digest binary, sig binary"), "signed")

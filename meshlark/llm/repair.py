@@ -210,18 +210,26 @@ class Shard:
         return expand(self.array("symbols", lo, hi).astype(np.int64), self.rules, self.lengths, self.base)
 
 
+#: Rows to a range of ids.
+RANGE_ROWS = 20_000
+
+
 def range_buckets(df: DataFrame, id_col: str):
-    """A function that gives a column's range of ids, in order; null ids are range -1.
+    """A function that gives the range of an id and a tie (a 64-bit hash), in order of both; null ids come first, in ranges
+    by tie, as many as their number asks for.
 
     The limits are quantiles of the ids alone, so that the rest of the rows' plan does not run twice as it would for
     Spark's own range partitioning. They only decide how evenly work is dealt, not what is written.
     """
-    n = min(10_000, max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.select(id_col).count() // 20_000))
+    rows, known = df.agg(F.count(F.lit(1)), F.count(id_col)).first()
+    n = min(10_000, max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), known // RANGE_ROWS))
     limits = np.array(sorted(set(df.select(id_col).approxQuantile(id_col, [k / n for k in range(1, n)], 0.1 / n))))
+    without = 1 + (rows - known) // RANGE_ROWS
 
     @F.pandas_udf("int")
-    def bucket(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.where(ids.isna(), -1, np.searchsorted(limits, ids.fillna(0).to_numpy(), "right")))
+    def bucket(ids: pd.Series, ties: pd.Series) -> pd.Series:
+        of_null = np.minimum(without - 1, ((ties.to_numpy().astype(float) + 2.0**63) / 2.0**64 * without).astype(int)) - without
+        return pd.Series(np.where(ids.isna(), of_null, np.searchsorted(limits, ids.fillna(0).to_numpy(), "right")))
 
     return bucket
 
@@ -234,7 +242,7 @@ def write_tokens(
 
     The tokenizer is a byte-level BPE file of the tokenizers library that splits texts by ``pattern``; each distinct
     match of the corpus is encoded once (see ``bpe.encode``). In a file, pairs are replaced until none has ``least`` places;
-    ``rounds`` and ``rules_a_round`` may bound that. A null or empty text is its end id alone; rows without
+    ``rounds`` and ``rules_a_round`` may bound that. A null or empty text is its end id alone; ids are integers, others stop the job at Spark's cast; rows without
     id come first; rows that repeat an id are in order of a hash of their texts; other columns are not read; an empty
     table makes no files.
 
@@ -288,7 +296,7 @@ def write_tokens(
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
     src = df.select(col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
     coded = bpe.encode(src, tokenizer_path, pattern, library="tokenizers", packed=kind, keep=["id", "tie"])
-    order = coded.withColumn("bucket", range_buckets(src, "id")("id")).repartition("bucket").sortWithinPartitions("bucket", "id", "tie").select("id", "ids", "bucket")
+    order = coded.withColumn("bucket", range_buckets(src, "id")("id", "tie")).repartition("bucket").sortWithinPartitions("bucket", "id", "tie").select("id", "ids", "bucket")
     order.mapInArrow(tidy(write), "part int, k int, name string, bytes long, n_docs long, n_ids long").write.parquet(f"{path}/_files")
     return path
 

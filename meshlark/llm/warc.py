@@ -77,7 +77,7 @@ def write_pages(
 
     Of rows with equal payloads (by SHA-1) of at least ``dedup_min_bytes``, that with the smallest id is the
     response; the others revisit it. A null html is an empty payload; a null url leaves the target out; a row
-    without id is never referred to; rows that repeat the smallest id are each a response. Other columns are
+    without id is never referred to; ids are integers, others stop the job at Spark's cast; rows that repeat the smallest id are each a response. Other columns are
     ignored; an empty table makes an archive without records.
 
     Tasks write under names of their own and report them, with a place where a record begins every MARK_BYTES; the

@@ -344,6 +344,13 @@ def test_repair(docs, empty, spark):
         start += len(ids)
     folder = repair.write_tokens(docs, path, P.PATTERN, shard_ids=300)
     assert rows(repair.read_documents(spark, folder)) == sorted(want, key=repr)
+    bare = spark.createDataFrame([(None, f"text {k}") for k in range(40)], "doc_id long, text string")
+    few, repair.RANGE_ROWS = repair.RANGE_ROWS, 5
+    many = repair.write_tokens(bare, path, P.PATTERN)
+    repair.RANGE_ROWS = few
+    assert repair.files(spark, many).count() > 4
+    starts = sorted((r["start"], r["n_tokens"]) for r in repair.read_documents(spark, many).collect())
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:])) and starts[0][0] == 0 and len(starts) == 40
     assert repair.files(spark, folder).count() > 3
     assert repair.read_documents(spark, repair.write_tokens(empty, path, P.PATTERN)).count() == 0
 

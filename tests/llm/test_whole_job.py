@@ -137,3 +137,64 @@ def test_repair_stops_only_when_no_pair_is_frequent():
     data = repair.write_file(list(range(8)), [501] * 8, np.array([i for d in docs for i in d]), 2, 80_000)
     shard = repair.Shard(io.BytesIO(data))
     assert shard.head["arrays"]["symbols"][2] == "u3" and [shard.document(k).tolist() for k in range(8)] == docs and shard.ids(495, 1100).tolist() == [i for d in docs for i in d][495:1100]
+
+
+def test_html_text_against_brute_force(spark):
+    """Every page's nearest other page by sorted path, a plain table of common subsequences, and what is left of plain lines."""
+    r = random.Random(11)
+    template = [f"line {c} of the site" for c in "abcdefghij"]
+    pages = []
+    for k in range(90):
+        own = [f"page {k} says {m}" for m in range(r.randint(0, 4))]
+        shared = sorted(r.sample(template, r.randint(0, 8)))
+        lines = sorted(shared[: len(shared) // 2]) + own + sorted(shared[len(shared) // 2 :])
+        nav = "<nav>menu</nav>" if r.random() < 0.5 else ""
+        main = f"<article><p>story {k % 9}</p></article>" if r.random() < 0.2 else ""
+        pages.append((k, f"http://h{k % 2}/{r.choice('pq')}/{r.choice('xyz')}{r.randrange(12)}", nav + main + "".join(f"<p>{x}</p>" for x in lines)))
+    pages += [(200, None, None), (201, "http://h0/p/x3", pages[0][2]), (202, "http://h0/p/x3", pages[0][2])]
+    cut = {k: htmltext.blocks(h) for k, _, h in pages}
+    plain = lambda k: [t for z, t in cut[k] if z != htmltext.OUT]
+
+    def common(a, b):
+        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                t[i + 1][j + 1] = t[i][j] + 1 if a[i] == b[j] else max(t[i][j + 1], t[i + 1][j])
+        out, i, j = set(), len(a), len(b)
+        while i and j:
+            if a[i - 1] == b[j - 1]:
+                out.add(i - 1)
+                i, j = i - 1, j - 1
+            elif t[i - 1][j] >= t[i][j - 1]:
+                i -= 1
+            else:
+                j -= 1
+        return out
+
+    def prefix(a, b):
+        return next((n for n, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+    want = {}
+    for host in ("h0", "h1", ""):
+        own = sorted(((u or "http:///").split(host, 1)[1] if host else "/", k) for k, u, _ in pages if (u.split("/")[2] if u else "") == host)
+        for at, (path, k) in enumerate(own):
+            before = next((own[j] for j in range(at - 1, -1, -1) if plain(own[j][1]) != plain(k)), None)
+            after = next((own[j] for j in range(at + 1, len(own)) if plain(own[j][1]) != plain(k)), None)
+            near = max((p for p in (before, after) if p), key=lambda p: prefix(p[0], path), default=None)
+            gone = common([t for _, t in cut[k]], [t for _, t in cut[near[1]]]) if near else set()
+            want[k] = "\n".join(t for n, (z, t) in enumerate(cut[k]) if z == htmltext.MAIN or z != htmltext.OUT and n not in gone)
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    for rows in (5000, 7):
+        got = {x["page_id"]: x["text"] for x in htmltext.extract(df, group_rows=rows).collect()}
+        assert got == want
+    assert sum(want[k] != "\n".join(plain(k)) for k in want) > 30  # differencing decides
+
+
+def test_toxicity_of_long_repeated_and_twice_labelled_documents(spark):
+    docs = [(k, "calm words here " * 5 if k % 2 else "vile words here " * 5) for k in range(60)] + [(7, "vile"), (7, None), (None, "calm"), (99, "calm words " * 150_000), (100, "")]
+    labels = [(k, int(k % 2 == 0)) for k in range(50)] + [(1, 0), (2, 0), (2, 1), (None, 1), (3, None)]
+    out = toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert len(out) == len(docs) and all(0 <= r["score"] <= 1 for r in out) and sum(r["doc_id"] == 7 for r in out) == 3
+    by = {r["doc_id"]: r["score"] for r in out if r["doc_id"] != 7}
+    assert by[50] > by[51] and by[52] > by[99]
+    assert {r["held_out"] for r in out if r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2} == {True}
