@@ -600,14 +600,13 @@ def _(g):
     return n.join(s.edge(("PLACED_BY", "Order", "Customer")).agg(F.count(F.lit(1)).alias("edges")))
 
 
-@query("mut_delete_guarded", "SELECT c_custkey AS id FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 100000) OR c_nationkey <> 7")
+@query("mut_delete_guarded", "SELECT c_custkey AS id FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 380000) OR c_nationkey <> 7")
 def _(g):
     s = _snapshot(g, "Customer", "Order")
-    big = g.frame("Order").where("o_totalprice > 100000").select(F.col("o_orderkey").cast("string").alias("src"), F.col("o_custkey").cast("string").alias("dst"))
+    big = g.frame("Order").where("o_totalprice > 380000").select(F.col("o_orderkey").cast("string").alias("src"), F.col("o_custkey").cast("string").alias("dst"))
     r = replace(s.resources["Customer"], guards=(Guard("PLACED_BY", "in", "Order"),))
     s = replace(s, resources={**s.resources, "Customer": r}, edges={("PLACED_BY", "Order", "Customer"): big})
-    gone = s.unguarded("Customer", {"nation_id": 7}).select(F.col("c_custkey").cast("string").alias("_gone"))
-    return s._drop("Customer", gone).node("Customer").select(F.col("c_custkey").alias("id"))
+    return s.delete_guarded("Customer", {"nation_id": 7}).node("Customer").select(F.col("c_custkey").alias("id"))
 
 
 _E = ("PLACED_BY", "Order", "Customer")
@@ -753,6 +752,29 @@ def _(g):
     return df.select("id", F.array_join(F.transform("later", lambda o: F.concat_ws(":", o["id"], o["status"])), ",").alias("later"))
 
 
+@query("load_all_related", "SELECT n_nationkey AS id, r_name AS region, (SELECT CAST(count(*) AS INTEGER) FROM customer WHERE c_nationkey = n_nationkey) AS customers FROM nation JOIN region ON r_regionkey = n_regionkey")
+def _(g):
+    return q(g, "Nation").load_all().df().select("id", F.col("region.name").alias("region"), F.size("customers").alias("customers"))
+
+
+@query("agg_json_field_related", "SELECT c_custkey AS id, sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS k, max(CAST(json_extract(props, '$.k') AS BIGINT)) AS most FROM customer LEFT JOIN events ON user_id = c_custkey GROUP BY c_custkey")
+def _(g):
+    r = g.resource("Customer")
+    g.resources["Customer"] = replace(r, relationships=(*r.relationships, Relationship("events", "Event", "many", "DONE_BY", "in")))
+    g.key_edge("DONE_BY", "Event", "Customer", "user_id")
+    k = func(lambda c: F.from_json(c, "k bigint"), attr("props")).get_path("k")
+    return q(g, "Customer").aggregate(A("k", "sum", ("events",), expr=k), A("most", "max", ("events",), expr=k)).df().select("id", "k", "most")
+
+
+@query("read_geometry", f"SELECT c_custkey AS id, {_CX} AS x, {_CY} AS y, 'Point' AS kind FROM customer")
+def _(g):
+    r = g.resource("Customer")
+    g.resources["Customer"] = replace(r, attributes=(*r.attributes, Attribute("spot", Geometry(("Point",)), "spot")))
+    g.frames["Customer"] = g.frame("Customer").withColumn("spot", geo.point(testgraph.lng(F.col("c_custkey")), testgraph.lat(F.col("c_custkey"))))
+    v = geo.vertex(F.col("spot"))
+    return q(g, "Customer").df().select("id", v["x"].alias("x"), v["y"].alias("y"), F.col("spot.kind").alias("kind"))
+
+
 @query("related_pairs", "SELECT c_custkey AS source, o_orderkey AS id, o_orderstatus AS status FROM customer LEFT JOIN orders ON o_custkey = c_custkey UNION ALL SELECT 900001, NULL, NULL")
 def _(g):
     ids = g.frame("Customer").select("c_custkey").union(g.spark.createDataFrame([(900001,)], "c_custkey long"))

@@ -117,6 +117,10 @@ class Query:
     def load(self, *relationships: str) -> Query:
         return replace(self, loads=(*self.loads, *relationships))
 
+    def load_all(self) -> Query:
+        """Loads all relationships of the resource."""
+        return self.load(*[r.name for r in self.graph.resource(self.resource).relationships])
+
     def load_along(self, name: str, *hops: str | tuple, where: Expr | None = None, limit: int | None = None) -> Query:
         """A column of the records of the different nodes that hops lead to (relationships' names, or typed hops), many to
         many included, in order of their keys: those that meet ``where``, and the first ``limit`` of each row."""
