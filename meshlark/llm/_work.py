@@ -36,10 +36,9 @@ def scratch(spark: SparkSession, label: str) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialise(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """Writes df as Parquet in the shared folder; returns the table read back, and its path."""
+def write_table(df: DataFrame, path: str) -> None:
+    """Writes df as Parquet; the shuffle files of its query go when that is done."""
     spark = df.sparkSession
-    path = scratch(spark, label)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
@@ -49,6 +48,13 @@ def materialise(df: DataFrame, label: str) -> tuple[DataFrame, str]:
             spark.conf.unset(_CLEANUP)
         else:
             spark.conf.set(_CLEANUP, before)
+
+
+def materialise(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Writes df as Parquet in the shared folder; returns the table read back, and its path."""
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    write_table(df, path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -142,11 +148,9 @@ def tidy(run):
             yield from run(batches)
         finally:
             import ctypes
-            import gc
 
             import pyarrow as pa
 
-            gc.collect()
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
             if trim:

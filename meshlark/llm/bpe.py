@@ -180,10 +180,10 @@ def _answer(library: str, sent, pattern: str):
     return run
 
 
-def _assemble(folder: str, parts: int, packed: str | None, names: list[str]):
-    """Rows (block, part, ids of words) in order of block: the block's rows with their ids by position."""
+def _assemble(folder: str, parts: int, packed: str | None, names: list[str], ids_folder: str | None):
+    """Rows (block, part, ids of words) in order of block: the block's rows with their ids by position, or these ids' places."""
 
-    def rows(block: str, answers: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+    def rows(block: str, answers: dict[int, bytes], out: FileWriter | None) -> Iterator[pa.RecordBatch]:
         read = FileReader(folder, 0)
         at_words, at_rows = json.loads(block)
         order, cuts = _dealt(unpack(read.get(*at_words)), parts)
@@ -213,7 +213,12 @@ def _assemble(folder: str, parts: int, packed: str | None, names: list[str]):
             all_ids = ids_of[_ranges(starts[some], n)]
             total = np.concatenate([[0], np.cumsum(n)])
             bounds = total[np.concatenate([[0], ends[first:stop] - done])]
-            if packed:
+            if out:
+                own = [_put(all_ids[a:b].astype(packed)) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                name, start, _ = out.add(b"".join(own))
+                long = np.array([len(x) for x in own], np.int64)
+                coded = pa.array([f"{name}:{a}:{x}" for a, x in zip((start + np.cumsum(long) - long).tolist(), long.tolist(), strict=True)], pa.string())
+            elif packed:
                 coded = pa.array([all_ids[a:b].astype(packed).tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary())
             else:
                 coded = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(all_ids.astype(np.int32)))
@@ -221,32 +226,50 @@ def _assemble(folder: str, parts: int, packed: str | None, names: list[str]):
             first = stop
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = FileWriter(ids_folder) if ids_folder else None
         last, held = None, {}
         for b in batches:
             for block, part, data in zip(*(b.column(k) for k in range(3)), strict=True):
                 if block.as_py() != last:
                     if last is not None:
-                        yield from rows(last, held)
+                        yield from rows(last, held, out)
                     last, held = block.as_py(), {}
                 if data.is_valid:
                     held[part.as_py()] = data.as_py()
         if last is not None:
-            yield from rows(last, held)
+            yield from rows(last, held, out)
+        if out:
+            out.close()
 
     return run
 
 
+def _put(ids: np.ndarray) -> bytes:
+    """Ids by significance of their bytes, compressed."""
+    return squeeze(np.ascontiguousarray(ids.view(np.uint8).reshape(-1, ids.itemsize).T).tobytes())
+
+
+def stored_ids(read: FileReader, place: str, packed: str) -> np.ndarray:
+    """The ids at a place that ``encode`` gave."""
+    name, at, size = place.split(":")
+    data = np.frombuffer(unsqueeze(read.get(name, int(at), int(size))), np.uint8)
+    return np.ascontiguousarray(data.reshape(np.dtype(packed).itemsize, -1).T).reshape(-1).view(packed)
+
+
 def encode(
     df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", library: str = "tiktoken", packed: str | None = None, keep: list[str] | None = None,
+    ids_folder: str | None = None, made: list[str] | None = None,
 ) -> DataFrame:
     """df with a column of token ids for each whole text, as the library (tiktoken or tokenizers, with a file of its
     own and byte-level BPE by this pattern) would encode it by default, without special tokens that stand for no text.
-    The ids are an array of int, or, ``packed``, the bytes of an array of that numpy type.
+    The ids are an array of int, or, ``packed``, the bytes of an array of that numpy type, or, with ``ids_folder`` too, the
+    place in that folder where ``stored_ids`` finds them: for callers that deal rows anew and need not shuffle ids.
 
     A null or empty text has no ids; repeated rows are encoded alike; the columns of ``keep`` stay, all by default, one
     called ``ids_col`` is replaced; an empty table gives no rows. A tokenizers file's added tokens are taken out of texts
     whole, as the library does. A text of any length is one row of a block. The vocabulary file is read on the driver and
-    sent to the tasks; its size does not depend on the data. Blocks and their list stay in the shared folder for the result.
+    sent to the tasks; its size does not depend on the data. Blocks and their list stay in the shared folder for the result;
+    their paths are added to ``made``.
     """
     spark = df.sparkSession
     with open(ranks_path, "rb") as f:
@@ -256,15 +279,18 @@ def encode(
     columns = names if text_col in names else [*names, text_col]
     plain = numbered(df.select(*map(col, columns)))
     fields, place = plain.schema.fields[: len(names)], columns.index(text_col)
-    schema = T.StructType([*fields]).add("ids", T.BinaryType() if packed else T.ArrayType(T.IntegerType()))
+    schema = T.StructType([*fields]).add("ids", T.StringType() if ids_folder else T.BinaryType() if packed else T.ArrayType(T.IntegerType()))
     folder = scratch(spark, "words")
-    blocks, _ = materialise(plain.mapInArrow(tidy(_cut(folder, pattern, added_tokens(library, data), place, list(range(len(names))))), "block string, n_words long"), "word-blocks")
+    blocks, path = materialise(plain.mapInArrow(tidy(_cut(folder, pattern, added_tokens(library, data), place, list(range(len(names))))), "block string, n_words long"), "word-blocks")
+    if made is not None:
+        made += [folder, path]
     n_blocks, n_words = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + n_words // PART_WORDS)
-    asked = blocks.select("block").repartition(max(1, min(n_blocks, 100_000))).mapInArrow(tidy(_ask(folder, parts)), "part int, block string, data binary")
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(session, 1 + n_words // PART_WORDS)
+    asked = blocks.select("block").repartition(max(1, min(n_blocks, session))).mapInArrow(tidy(_ask(folder, parts)), "part int, block string, data binary")
     answered = asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(tidy(_answer(library, sent, pattern)), "block string, part int, data binary")
     said = answered.unionByName(blocks.select("block", F.lit(-1).alias("part"), F.lit(None).cast("binary").alias("data")))
-    coded = said.repartition("block").sortWithinPartitions("block").mapInArrow(tidy(_assemble(folder, parts, packed, schema.names)), schema)
+    coded = said.repartition("block").sortWithinPartitions("block").mapInArrow(tidy(_assemble(folder, parts, packed, schema.names, ids_folder)), schema)
     return coded.toDF(*names, ids_col)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from ._work import col, open_fs, scratch, tidy
+from ._work import FileReader, col, open_fs, remove, scratch, tidy, write_table
 
 MAGIC = b"RPR1"
 STEP = 1024
@@ -33,6 +33,12 @@ SHARD_IDS, LEAST = 4 << 20, 16
 _BITS = 22
 
 
+def _bucket(keys: np.ndarray) -> np.ndarray:
+    if keys.dtype == np.uint32:
+        return (keys * np.uint32(0x9E3779B1) >> np.uint32(32 - _BITS)).astype(np.int64)
+    return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _BITS)).astype(np.int64)
+
+
 def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds: int | None = None, rules_a_round: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules): rules has a row (left, right) for each symbol from ``base`` on.
 
@@ -46,7 +52,8 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
     while rounds != 0:
         rounds = None if rounds is None else rounds - 1
         at = np.flatnonzero(may & (s[:-1] != end_id) & (s[1:] != end_id)) if len(s) > 1 else np.zeros(0, np.int64)
-        key = s[at].astype(np.uint64) << np.uint64(32) | s[at + 1]
+        half = 16 if base + len(rules) <= 1 << 16 else 32  # narrow keys sort faster
+        key = s[at].astype(np.uint32 if half == 16 else np.uint64) << half | s[at + 1]
         # in a run of one symbol every second place counts
         again = np.flatnonzero((key[1:] == key[:-1]) & (at[1:] == at[:-1] + 1)) + 1
         if len(again):
@@ -57,7 +64,7 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
             at, key = np.delete(at, skipped), np.delete(key, skipped)
         else:
             at_skipped = again
-        bucket = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _BITS)).astype(np.int64)
+        bucket = _bucket(key)
         full = (np.bincount(bucket, minlength=1 << _BITS) >= least)[bucket]
         at, key, bucket = at[full], key[full], bucket[full]
         found = np.sort(key)
@@ -67,7 +74,7 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
         if not len(pairs):
             break
         slot = np.zeros(1 << _BITS, np.int64)
-        slot[(pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _BITS)).astype(np.int64)] = np.arange(len(pairs))
+        slot[_bucket(pairs)] = np.arange(len(pairs))
         k = slot[bucket]
         missed = np.flatnonzero(pairs[k] != key)  # two pairs in a bucket, or a pair that is not frequent
         k[missed] = np.minimum(np.searchsorted(pairs, key[missed]), len(pairs) - 1)
@@ -94,7 +101,7 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
         may[at] = True
         may[at[at > 0] - 1] = True
         s, may = s[keep], may[keep][:-1]
-        rules = np.concatenate([rules, np.stack([pairs[chosen] >> np.uint64(32), pairs[chosen] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.int64)])
+        rules = np.concatenate([rules, np.stack([pairs[chosen] >> half, pairs[chosen] & ((1 << half) - 1)], axis=1).astype(np.int64)])
     return s.astype(np.int64), rules
 
 
@@ -246,8 +253,8 @@ def write_tokens(
     id come first; rows that repeat an id are in order of a hash of their texts; other columns are not read; an empty
     table makes no files.
 
-    Ids, which are smaller than texts, are dealt to tasks by ranges of document id, and a range is written in files of
-    about ``shard_ids`` ids; a long document is never parted. Files have names of their own; Spark commits the list of those
+    Documents' ids are written once, compressed, and their places are dealt to tasks by ranges of document id; a range is
+    written in files of about ``shard_ids`` ids; a long document is never parted. Files have names of their own; Spark commits the list of those
     that count, with their order.
     """
     from tokenizers import Tokenizer
@@ -256,12 +263,14 @@ def write_tokens(
     path = path or scratch(spark, "tokens")
     size = Tokenizer.from_file(tokenizer_path).get_vocab_size()
     kind = "<u2" if size <= 1 << 16 else "<u4"
+    folder = scratch(spark, "ids")
+    made = [folder]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(path)
         fs.create_dir(root, recursive=True)
         end = np.array([end_id], kind).tobytes()
-        part, k = None, 0
+        part, k, read = None, 0, FileReader(folder, 0)
         ids: list = []
         counts: list[int] = []
         coded: list[bytes] = []
@@ -281,7 +290,7 @@ def write_tokens(
                     if ids:
                         yield shard()
                     part, k, ids, counts, coded, held = bucket, 0, [], [], [], 0
-                data = t.as_py() + end
+                data = bpe.stored_ids(read, t.as_py(), kind).tobytes() + end
                 ids.append(i)
                 counts.append(len(data) // np.dtype(kind).itemsize)
                 coded.append(data)
@@ -295,9 +304,10 @@ def write_tokens(
 
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
     src = df.select(col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
-    coded = bpe.encode(src, tokenizer_path, pattern, library="tokenizers", packed=kind, keep=["id", "tie"])
+    coded = bpe.encode(src, tokenizer_path, pattern, library="tokenizers", packed=kind, keep=["id", "tie"], ids_folder=folder, made=made)
     order = coded.withColumn("bucket", range_buckets(src, "id")("id", "tie")).repartition("bucket").sortWithinPartitions("bucket", "id", "tie").select("id", "ids", "bucket")
-    order.mapInArrow(tidy(write), "part int, k int, name string, bytes long, n_docs long, n_ids long").write.parquet(f"{path}/_files")
+    write_table(order.mapInArrow(tidy(write), "part int, k int, name string, bytes long, n_docs long, n_ids long"), f"{path}/_files")
+    remove(spark, *made)
     return path
 
 
@@ -328,5 +338,5 @@ def read_documents(spark, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(first[:-1] + start), pa.array(np.diff(first)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     listed = files(spark, path).select("name", "start")
-    n = max(1, min(listed.count(), 100_000))
+    n = max(1, min(listed.count(), int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     return listed.repartition(n, "name").mapInArrow(tidy(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
