@@ -5,7 +5,7 @@ labelled or not. So an expression that neither class has seen enough of is judge
 the comparison little. A document's words get log-likelihoods under both models; the differences, normalised
 by length over the whole text and over its most toxic stretches, give the score.
 
-Counts are kept by word and by word pair (64-bit hashes), as many as the corpus has, and never gathered in one place.
+Counts are kept by word (56-bit hashes) and by word pair (64-bit hashes), as many as the corpus has, and never gathered in one place.
 Documents are numbered in blocks, whose files stay in the shared folder. Each block asks for its distinct pairs, and
 then for its distinct words, in parts by hash; a part sums what all blocks sent and answers each of them. All rows and
 pairs count, none is sampled; only the last step, a regression of the label on four numbers, takes a bounded number
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ._work import col, materialise, open_fs, remove, scratch, small_side, squeeze, tidy, unsqueeze
 
 #: Words to a block, and pairs or words asked for to a part: what a task holds. They set how work is cut, not results.
-BLOCK_WORDS, PART_KEYS = 1_000_000, 1_000_000
+BLOCK_WORDS, PART_KEYS = 2_000_000, 1_000_000
 #: Pairs are counted by ranges of their hash, one range after the other, so that requests for one of them are on disk at a time.
 ROUNDS = 3
 #: Words to a stretch, for the features besides the whole text.
@@ -64,7 +64,8 @@ def word_numbers(text: str | None, known: dict[bytes, int]) -> np.ndarray:
 
 
 def word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    """56 bits of a hash, above a byte of zeros."""
+    return int.from_bytes(hashlib.blake2b(word, digest_size=7).digest(), "little") << 8
 
 
 def pair_hashes(v: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -96,7 +97,8 @@ class Block:
     def __init__(self, uri: str):
         fs, path = open_fs(uri)
         with fs.open_input_stream(path) as f:
-            self.ids, self.folds, self.toxic, self.sizes, words, self.hashes = pickle.loads(f.read())
+            self.ids, self.folds, self.toxic, self.sizes, words, hashes = pickle.loads(f.read())
+        self.hashes = _numbers(unsqueeze(hashes), "<u8")
         self.w = _numbers(unsqueeze(words), "<u4").astype(np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         v = np.concatenate([[0], self.w[:-1]]) if len(self.w) else self.w
@@ -254,7 +256,7 @@ def measure(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
             ids, folds, toxic, words = zip(*held, strict=True)
             sizes = np.array([len(w) for w in words], np.int64)
             hashes = np.fromiter(map(word_hash, known), np.uint64, len(known))
-            data = pickle.dumps((pa.array([x.as_py() for x in ids], ids[0].type), folds, toxic, sizes, squeeze(_planes(np.concatenate(words).astype("<u4"))), hashes), 5)
+            data = pickle.dumps((pa.array([x.as_py() for x in ids], ids[0].type), folds, toxic, sizes, squeeze(_planes(np.concatenate(words).astype("<u4"))), squeeze(_planes(hashes))), 5)
             uri = f"{root}/{uuid.uuid4().hex}"
             fs, path = open_fs(uri)
             fs.create_dir(path.rpartition("/")[0], recursive=True)
