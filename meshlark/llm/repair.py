@@ -17,13 +17,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from ._work import FileReader, col, open_fs, remove, scratch, tidy, write_table
+from ._work import FileReader, col, materialise, open_fs, remove, scratch, tidy, write_table
 
 MAGIC = b"RPR1"
 STEP = 1024
@@ -221,26 +221,6 @@ class Shard:
 RANGE_ROWS = 20_000
 
 
-def range_buckets(df: DataFrame, id_col: str):
-    """A function that gives the range of an id and a tie (a 64-bit hash), in order of both; null ids come first, in ranges
-    by tie, as many as their number asks for.
-
-    The limits are quantiles of the ids alone, so that the rest of the rows' plan does not run twice as it would for
-    Spark's own range partitioning. They only decide how evenly work is dealt, not what is written.
-    """
-    rows, known = df.agg(F.count(F.lit(1)), F.count(id_col)).first()
-    n = min(10_000, max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), known // RANGE_ROWS))
-    limits = np.array(sorted(set(df.select(id_col).approxQuantile(id_col, [k / n for k in range(1, n)], 0.1 / n))))
-    without = 1 + (rows - known) // RANGE_ROWS
-
-    @F.pandas_udf("int")
-    def bucket(ids: pd.Series, ties: pd.Series) -> pd.Series:
-        of_null = np.minimum(without - 1, ((ties.to_numpy().astype(float) + 2.0**63) / 2.0**64 * without).astype(int)) - without
-        return pd.Series(np.where(ids.isna(), of_null, np.searchsorted(limits, ids.fillna(0).to_numpy(), "right")))
-
-    return bucket
-
-
 def write_tokens(
     df: DataFrame, tokenizer_path: str, pattern: str, path: str | None = None, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, shard_ids: int = SHARD_IDS,
     least: int = LEAST, rounds: int | None = None, rules_a_round: int | None = None,
@@ -253,7 +233,8 @@ def write_tokens(
     id come first; rows that repeat an id are in order of a hash of their texts; other columns are not read; an empty
     table makes no files.
 
-    Documents' ids are written once, compressed, and their places are dealt to tasks by ranges of document id; a range is
+    Documents' ids are written once, compressed, and their places are dealt to tasks by ranges of document id and of a hash
+    of the text, so that rows without an id are many tasks' work; a range is
     written in files of about ``shard_ids`` ids; a long document is never parted. Files have names of their own; Spark commits the list of those
     that count, with their order.
     """
@@ -264,13 +245,13 @@ def write_tokens(
     size = Tokenizer.from_file(tokenizer_path).get_vocab_size()
     kind = "<u2" if size <= 1 << 16 else "<u4"
     folder = scratch(spark, "ids")
-    made = [folder]
+    made: list[str] = []
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(path)
         fs.create_dir(root, recursive=True)
         end = np.array([end_id], kind).tobytes()
-        part, k, read = None, 0, FileReader(folder, 0)
+        part, k, read = TaskContext.get().partitionId(), 0, FileReader(folder, 0)
         ids: list = []
         counts: list[int] = []
         coded: list[bytes] = []
@@ -285,11 +266,7 @@ def write_tokens(
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()], strict=True)], names=["part", "k", "name", "bytes", "n_docs", "n_ids"])
 
         for b in batches:
-            for i, t, bucket in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
-                if bucket != part:
-                    if ids:
-                        yield shard()
-                    part, k, ids, counts, coded, held = bucket, 0, [], [], [], 0
+            for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 data = bpe.stored_ids(read, t.as_py(), kind).tobytes() + end
                 ids.append(i)
                 counts.append(len(data) // np.dtype(kind).itemsize)
@@ -304,10 +281,12 @@ def write_tokens(
 
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
     src = df.select(col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
-    coded = bpe.encode(src, tokenizer_path, pattern, library="tokenizers", packed=kind, keep=["id", "tie"], ids_folder=folder, made=made)
-    order = coded.withColumn("bucket", range_buckets(src, "id")("id", "tie")).repartition("bucket").sortWithinPartitions("bucket", "id", "tie").select("id", "ids", "bucket")
-    write_table(order.mapInArrow(tidy(write), "part int, k int, name string, bytes long, n_docs long, n_ids long"), f"{path}/_files")
+    coded, path_of_coded = materialise(bpe.encode(src, tokenizer_path, pattern, library="tokenizers", packed=kind, keep=["id", "tie"], ids_folder=folder, made=made), "id-places")
     remove(spark, *made)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, 1 + coded.count() // RANGE_ROWS))
+    order = coded.repartitionByRange(n, F.asc_nulls_first("id"), "tie").sortWithinPartitions(F.asc_nulls_first("id"), "tie").select("id", "ids")
+    write_table(order.mapInArrow(tidy(write), "part int, k int, name string, bytes long, n_docs long, n_ids long"), f"{path}/_files")
+    remove(spark, folder, path_of_coded)
     return path
 
 
