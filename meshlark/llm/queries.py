@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import _work, bpe, decontam, htmltext, linededup, neardup, quality, repair, shards, toxicity, warc
+from . import _work, bpe, decontam, hardneg, htmltext, linededup, neardup, periodic, quality, repair, shards, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,23 @@ def op10_repair_tokens(spark: SparkSession, sf_dir: str, vocabulary: str = "byte
     return repair.read_documents(spark, repair.write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(vocabulary), public_tokenizers.PATTERN, end_id=2))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(periodic.planted(_table(spark, sf_dir, "documents"))).withColumn("best", periodic.longest())
+    best = [F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")]
+    exponent = F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *best, exponent, periodic.runs_digest().alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
@@ -81,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_repair_tokens": op10_repair_tokens,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_simhash": op13_simhash,
 }
 
 _WS = r"\x20\x09-\x0D"
@@ -156,4 +176,29 @@ m AS (SELECT a, min(b) AS root FROM r GROUP BY a)
 SELECT d.doc_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_shingles, root AS component_id, d.doc_id = root AS kept
 FROM d LEFT JOIN c ON d.doc_id = c.doc_id JOIN m ON d.doc_id = m.a""",
     "op7_sharding": "SELECT doc_id, lang, source, n_chars, sha256(text) AS text_sha256 FROM documents",
+    # A run has six words in a row that come again a period later: consecutive places of equal six words, a distance apart, are a run.
+    "op11_periodic_runs": rf"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^{_WS}]+') AS ws, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))) AS r FROM documents),
+h AS (SELECT doc_id, ws, CAST(len(ws) AS BIGINT) AS n, xor(r, 4294967295) % 10 AS last, xor(r, 4294967295) // 10 AS g FROM t),
+a AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM h),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+w AS (SELECT doc_id, CASE WHEN last = 0 AND n > 0 THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN ws[i + 1] ELSE ws[a + (i - a) % p + 1] END) ELSE ws END AS ws FROM p),
+grams AS (SELECT doc_id, i, array_to_string(ws[i + 1:i + 6], ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(CAST(len(ws) AS BIGINT) - 5)) AS i FROM w)),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS p FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i),
+islands AS (SELECT doc_id, p, min(i) AS s, max(i) + p + 6 AS e FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS k FROM pairs) GROUP BY doc_id, p, k),
+runs AS (SELECT doc_id, s, e, min(p) AS p FROM islands WHERE e - s >= greatest(12, 2 * p) GROUP BY doc_id, s, e),
+best AS (SELECT doc_id, count(*) AS n_runs, arg_max(s, (e - s, -s, -p)) AS start, arg_max(e - s, (e - s, -s, -p)) AS length, arg_max(p, (e - s, -s, -p)) AS period,
+  string_agg(s || ',' || (e - s) || ',' || p || chr(10), '' ORDER BY s, p) AS said FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + p, e)) AS i FROM runs),
+kept AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS text FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM w) x ANTI JOIN gone ON x.doc_id = gone.doc_id AND x.i = gone.i GROUP BY x.doc_id)
+SELECT w.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(said, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256 FROM w LEFT JOIN best ON w.doc_id = best.doc_id LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+    "op12_hard_negatives": """
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS a, a.label AS al, b.id AS b, b.label AS bl, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM v a JOIN v b ON a.id <> b.id AND len(a.q) = len(b.q) WHERE a.id % 100 = 0),
+p AS (SELECT a, b, score FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS k FROM s WHERE al = bl) WHERE k <= 5),
+n AS (SELECT p.a, p.b, p.score AS ps, s.b AS nb, s.score AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS k FROM p JOIN s ON p.a = s.a AND al <> bl AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT a AS anchor_id, b AS positive_id, CAST(k AS INTEGER) AS rank, nb AS negative_id, ps AS positive_score, ns AS negative_score FROM n WHERE k <= 10""",
 }
