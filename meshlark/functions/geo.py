@@ -484,6 +484,17 @@ def _pairwise(test):
     return each
 
 
+@F.arrow_udf(T.BooleanType())
+def _intersecting(a: pa.Array, b: pa.Array) -> pa.Array:
+    from . import shapes
+
+    at = np.flatnonzero(np.asarray(a.is_valid()) & np.asarray(b.is_valid()))
+    out, rows = np.zeros(len(a), bool), pa.array(at)
+    if len(at):
+        out[at] = shapes.intersect(a.take(rows), b.take(rows))
+    return pa.array(out)
+
+
 def st_contains(a: Column, b: Column) -> Column:
     """Whether area a contains b, both 2D; false for null, null where a is no area.
 
@@ -509,4 +520,4 @@ def st_intersects(a: Column, b: Column) -> Column:
     """Whether two 2D geometries have a point in common; false for null. Geometries whose boxes do not meet are sent as null."""
     p, q = box_columns(a), box_columns(b)
     boxes = F.coalesce((p["west"] <= q["east"]) & (q["west"] <= p["east"]) & (p["south"] <= q["north"]) & (q["south"] <= p["north"]), F.lit(False))
-    return boxes & _pairwise(intersects)(F.when(boxes, a), F.when(boxes, b))
+    return boxes & _intersecting(F.when(boxes, a), F.when(boxes, b))

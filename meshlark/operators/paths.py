@@ -7,6 +7,7 @@ source starts at the node which that key names, so the source's table is not rea
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -172,3 +173,27 @@ class Path:
 
 def paths(graph: Graph, resource: str, hops: tuple) -> list[Path]:
     return [Path(graph, resource, steps) for steps in resolve(graph, resource, hops)]
+
+
+#: For columns of a resource's table, their values in the rows that count.
+Keys = Callable[[list[str]], DataFrame]
+
+
+def only(p: Path, keys: Keys | None, frame: DataFrame | None = None) -> DataFrame:
+    """The path's rows, or those of ``frame``, that begin at the sources that count; all without keys."""
+    frame = p.frame if frame is None else frame
+    if keys is None:
+        return frame
+    wanted = [f"_w{n}" for n in range(len(p.join))]
+    return frame.join(keys(p.join).toDF(*wanted), match(p.entry, wanted), "left_semi")
+
+
+def repeats(steps: list[Step]) -> bool:
+    """Whether several paths of the chain may lead from a source to the same node: not if it goes to owners of keys first
+    and then only to what holds a key."""
+    down = False
+    for s in steps:
+        if s.edge.pairs is not None or s.outgoing and down:
+            return True
+        down = down or not s.outgoing
+    return False

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.expr import OPS, Attr, Reach, column, wrap
 from ..sources.graph import Graph
+from . import factored
 from .paths import Path, paths
 
 
@@ -49,6 +50,8 @@ def _measured(graph: Graph, resource: str, df: DataFrame, r: Reach, name: str) -
     found = paths(graph, resource, r.hops)
     if len({tuple(p.join) for p in found}) > 1:
         raise ValueError("the chain starts with several kinds of edges; type its hops")
+    if len(found) == 1 and factored.applies(found[0].steps):
+        return _carried(graph, resource, df, r, name, found[0].steps)
     entry = [f"{name}_{n}" for n in range(len(found[0].entry))]
     tables = []
     for p in found:
@@ -61,6 +64,29 @@ def _measured(graph: Graph, resource: str, df: DataFrame, r: Reach, name: str) -
     return df.withColumn(name, F.coalesce(F.col(name), F.lit(0))) if r.kind in ("count", "sum") else df
 
 
+def _carried(graph: Graph, resource: str, df: DataFrame, r: Reach, name: str, steps: list) -> DataFrame:
+    """The same of a chain whose partial results move hop by hop."""
+    v, n = "_carried", "_carried_n"
+    if r.kind == "count":
+        t = factored.distinct(graph, resource, steps, {v: factored.reached})
+        value = F.col(v)
+    else:
+        how = {"min": factored.MIN, "max": factored.MAX}.get(r.kind, factored.SUM)
+
+        def start(p: Path) -> dict:
+            c = p.column(r.field)
+            parts = {v: (factored.summable(c, p.frame) if r.kind == "avg" else c, how)}
+            return parts | ({n: (F.when(c.isNotNull(), 1).otherwise(0).cast("long"), factored.SUM)} if r.kind == "avg" else {})
+
+        t = factored.carry(graph, resource, steps, start)
+        value = F.col(v) / F.nullif(F.col(n), F.lit(0)) if r.kind == "avg" else F.col(v)
+    entry = [f"{name}_{k}" for k in range(len(t.entry))]
+    table = t.frame.select(*[F.col(c).alias(x) for c, x in zip(t.entry, entry, strict=True)], value.alias(name))
+    on = reduce(lambda a, b: a & b, [F.col(f"`{c}`") == F.col(x) for c, x in zip(t.join, entry, strict=True)])
+    df = df.join(table, on, "left").drop(*entry)
+    return df.withColumn(name, F.coalesce(F.col(name), F.lit(0))) if r.kind in ("count", "sum") else df
+
+
 def keep(graph: Graph, resource: str, df: DataFrame, r: Reach) -> DataFrame:
     """df's rows that meet the test."""
     wanted = _existential(r)

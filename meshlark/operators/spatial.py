@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..sources import commit
+from .dealt import dealt_join
 
 
 def _flat_name(geometry: str) -> str:
@@ -102,6 +103,42 @@ def with_boxes(df: DataFrame, geometry: str) -> DataFrame:
     return df.withColumns({f"_{k}": c for k, c in geo.box_columns(F.col(geometry)).items()})
 
 
+def areas_meeting(left: DataFrame, right: DataFrame, areas: tuple[str, str], name: tuple[str, str] = ("left", "right"), cell: float = 1 / 64, test=geo.st_intersects) -> DataFrame:
+    """Pairs (two columns, named ``name``, of records) of a left and a right row whose geometries meet, once each; or for
+    which another ``test`` of two geometries holds that only those whose boxes meet can pass.
+
+    Geometries are in the one to four cells that they touch at the level at which a cell is as wide as they are, each
+    level's being twice as wide as those of the level before. There the smaller ones of the other side look for them, in
+    their one to four cells of that level, and a pair is reported in the cell of the south-western corner of what their
+    boxes share. Rows without a geometry meet nothing; rows that repeat are rows of their own.
+    """
+    def laid(df: DataFrame, area: str, own: str) -> DataFrame:
+        boxes = geo.box_columns(F.col(f"`{area}`"))
+        out = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(own), *[c.alias(f"_{own}_{k}") for k, c in boxes.items()]).where(F.col(f"_{own}_west").isNotNull())
+        span = F.greatest(F.col(f"_{own}_east") - F.col(f"_{own}_west"), F.col(f"_{own}_north") - F.col(f"_{own}_south"))
+        return out.withColumn(f"_{own}_level", F.greatest(F.lit(0), F.ceil(F.coalesce(F.log2(F.nullif(span, F.lit(0.0)) / cell), F.lit(0.0))).cast("int")))
+
+    def put(df: DataFrame, own: str, level: Column) -> DataFrame:
+        df = df.withColumn("_level", level)
+        size = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("_level"))
+        return df.withColumn("_cell", F.explode(cells(*[F.col(f"_{own}_{k}") for k in ("west", "south", "east", "north")], size)))
+
+    def looking(df: DataFrame, own: str, levels: list[int], higher: bool) -> DataFrame:
+        mine = F.col(f"_{own}_level")
+        return put(df, own, F.explode(F.filter(F.array(*[F.lit(x) for x in levels]).cast("array<int>"), lambda x: (x > mine) if higher else (x >= mine))))
+
+    a, b = laid(left, areas[0], "x"), laid(right, areas[1], "y")
+    of_a, of_b = (sorted(r[0] for r in df.select(c).distinct().collect()) for df, c in ((a, "_x_level"), (b, "_y_level")))  # some thirty at most
+    size = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("_level"))
+    corner = (F.floor(F.greatest("_x_west", "_y_west") / size) == F.col("_cell.i")) & (F.floor(F.greatest("_x_south", "_y_south") / size) == F.col("_cell.j"))
+    meet = (F.col("_x_west") <= F.col("_y_east")) & (F.col("_y_west") <= F.col("_x_east")) & (F.col("_x_south") <= F.col("_y_north")) & (F.col("_y_south") <= F.col("_x_north"))
+    on = ["_level", "_cell"]
+    larger_a = dealt_join(put(a, "x", F.col("_x_level")), looking(b, "y", of_a, False), on).where(corner & meet)
+    larger_b = dealt_join(put(b, "y", F.col("_y_level")), looking(a, "x", of_b, True), on).where(corner & meet)
+    pairs = larger_a.select("x", "y").unionByName(larger_b.select("x", "y"))
+    return pairs.where(test(F.col("x")[areas[0]], F.col("y")[areas[1]])).select(F.col("x").alias(name[0]), F.col("y").alias(name[1]))
+
+
 def near_pairs(left: DataFrame, right: DataFrame, lng: tuple[str, str], lat: tuple[str, str], meters: float) -> DataFrame:
     """Pairs of rows of two tables whose points lie within so many metres of each other.
 

@@ -9,13 +9,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import UnresolvableTraversal
 from ..operators import aggregates, reach
-from ..operators.paths import Path, known, paths, resolve
+from ..operators.paths import Keys, Path, known, only, paths, repeats, resolve
 from ..schema import Aggregate, spark_type
 from ..sources.graph import Graph
 from .expr import Attr, Bool, Calc, Expr, attr, column, conjuncts, reaches
@@ -38,6 +38,10 @@ def typed(c: Column, stored: T.DataType, declared: T.DataType) -> Column:
     return c.try_cast(declared)
 
 
+#: Rows of a limited result whose keys are sent to every task at most.
+FEW = 20_000
+
+
 class _Rows:
     """What expressions see of a resource's own rows."""
 
@@ -144,8 +148,9 @@ class Query:
     def _source(self) -> DataFrame:
         return self.graph.frame(self.resource) if self.start is None else self.start
 
-    def rows(self) -> DataFrame:
-        """Rows after filter, sort, offset and limit, in stored columns."""
+    def rows(self, settled: bool = False) -> DataFrame:
+        """Rows after filter, sort, offset and limit, in stored columns. ``settled``: which of equal rows a limit leaves is
+        decided by their keys, so that they can be asked for twice."""
         scope = _Rows(self.graph, self.resource)
         df = self._source()
         for test in [c for t in self.tests for c in conjuncts(t)]:
@@ -163,8 +168,11 @@ class Query:
                     df, marks[id(r)] = reach.mark(self.graph, self.resource, df, r, name)
                     names.append(name)
                 df = df.where(column(test, scope, marks)).drop(*names)
-        if self.order:
-            df = df.orderBy(*[ORDERS[o](column(e, scope)) for e, o in self.order])
+        order = [ORDERS[o](column(e, scope)) for e, o in self.order]
+        if settled and (self.skip or self.most is not None):
+            order += [F.col(f"`{k}`").asc() for k in self.graph.keys(self.resource)]
+        if order:
+            df = df.orderBy(*order)
         if self.skip:
             df = df.offset(self.skip)
         return df if self.most is None else df.limit(self.most)
@@ -185,22 +193,29 @@ class Query:
 
     def df(self) -> DataFrame:
         scope = _Rows(self.graph, self.resource)
-        df = self.rows()
+        left = df = self.rows(settled=bool(self.aggs or self.loads or self.chains or self.projections))
+        few = self.most is not None and self.most <= FEW
+
+        def asked(cols: list[str]) -> DataFrame:
+            keys = left.select(*[F.col(f"`{c}`") for c in cols])
+            return F.broadcast(keys) if few else keys
+
+        keys = asked if self.tests or self.skip or self.most is not None or self.start is not None else None
         extra: list[str] = []
         if self.aggs:
-            df = aggregates.per_record(self.graph, self.resource, df, list(self.aggs))
+            df = aggregates.per_record(self.graph, self.resource, df, list(self.aggs), keys, few)
             extra += [a.name for a in self.aggs]
         wanted = {**{n: Calc(n) for n in self.calcs}, **dict(self.computed)}
         made = {f"_calc_{n}": column(e, scope) for n, e in wanted.items()}
         df = df.withColumns(made) if made else df
         for name in self.loads:
-            df = self._loaded(df, name)
+            df = self._loaded(df, name, keys)
             extra.append(name)
         for name, hops, where, limit in self.chains:
-            df = self._along(df, name, hops, where, limit)
+            df = self._along(df, name, hops, where, limit, keys)
             extra.append(name)
         for name, hops in self.projections:
-            df = self._projected(df, name, hops)
+            df = self._projected(df, name, hops, keys)
             extra.append(name)
         if self.order and extra:  # joins have undone it
             df = df.orderBy(*[ORDERS[o](column(e, scope)) for e, o in self.order])
@@ -208,13 +223,13 @@ class Query:
 
     def total(self, *aggs: Aggregate) -> DataFrame:
         """One row of aggregates over the whole result."""
-        return aggregates.total(self.graph, self.resource, self.rows(), list(aggs), _Rows(self.graph, self.resource))
+        return aggregates.total(self.graph, self.resource, self.rows(), list(aggs), _Rows(self.graph, self.resource), self.most is not None)
 
     def _record(self, p: Path) -> Column:
         r = self.graph.resource(p.at)
         return F.struct(*[F.col(f"`{p.load().have[r.stored(a.name)]}`").alias(a.name) for a in r.attributes if a.name not in r.skip])
 
-    def _loaded(self, df: DataFrame, name: str) -> DataFrame:
+    def _loaded(self, df: DataFrame, name: str, keys: Keys | None) -> DataFrame:
         """df with a relationship's record (cardinality one) or records, in order of their keys."""
         rel = self.graph.resource(self.resource).relationship(name)
         if rel is None:
@@ -223,7 +238,7 @@ class Query:
         p = Path(self.graph, self.resource, steps)
         record = self._record(p)
         entry = [f"_l{n}" for n in range(len(p.entry))]
-        rows = p.frame.select(*[F.col(c).alias(x) for c, x in zip(p.entry, entry, strict=True)], F.struct(F.struct(*p.key).alias("k"), record.alias("v")).alias(name))
+        rows = only(p, keys).select(*[F.col(c).alias(x) for c, x in zip(p.entry, entry, strict=True)], F.struct(F.struct(*p.key).alias("k"), record.alias("v")).alias(name))
         if rel.cardinality == "one":
             unique = steps[0].edge.columns and steps[0].outgoing  # the key names one node
             table = rows if unique else rows.groupBy(*entry).agg(F.min_by(name, F.col(name)["k"]).alias(name))
@@ -233,22 +248,34 @@ class Query:
         df = df.join(table, reach._on(p, entry), "left").drop(*entry)
         return df if rel.cardinality == "one" else df.withColumn(name, F.coalesce(name, F.array().cast(df.schema[name].dataType)))
 
-    def _along(self, df: DataFrame, name: str, hops: tuple, where: Expr | None, limit: int | None) -> DataFrame:
+    def _along(self, df: DataFrame, name: str, hops: tuple, where: Expr | None, limit: int | None, keys: Keys | None) -> DataFrame:
         found = paths(self.graph, self.resource, hops)
         if len(found) > 1:
             raise UnresolvableTraversal("unresolved_reached", resource=self.resource, hops=hops)
         (p,) = found
-        p.load()
-        frame = p.frame if where is None else p.frame.where(column(where, p))
-        entry = [f"_a{n}" for n in range(len(p.entry))]
-        rows = frame.withColumn(name, F.struct(F.struct(*p.key).alias("k"), self._record(p).alias("v"))).dropDuplicates([*p.entry, *p.key])
-        rows = rows.select(*[F.col(c).alias(x) for c, x in zip(p.entry, entry, strict=True)], name)
-        in_order = F.array_sort(F.collect_list(name), lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
-        table = rows.groupBy(*entry).agg(F.transform(in_order if limit is None else F.slice(in_order, 1, limit), lambda x: x["v"]).alias(name))
+        test = None if where is None else column(where, p)
+        rows = only(p, keys) if test is None else only(p, keys).where(test)
+        entry, key = [f"_a{n}" for n in range(len(p.entry))], [f"_n{n}" for n in range(len(p.key))]
+        ends = [F.col(c).alias(x) for c, x in zip([*p.entry, *p.key], [*entry, *key], strict=True)]
+        many = repeats(p.steps)
+        # Nodes that come several times are told apart by their keys alone; their records follow.
+        late = many or p.have is None
+        rows = rows.select(*ends).distinct() if many else rows.select(*ends) if late else rows.select(*ends, self._record(p).alias("_v"))
+        if limit is not None:
+            nth = F.row_number().over(Window.partitionBy(*entry).orderBy(*key))
+            rows = rows.withColumn("_nth", nth).where(F.col("_nth") <= limit).drop("_nth")
+        if late:
+            r = self.graph.resource(p.at)
+            record = F.struct(*[F.col(f"`{r.stored(a.name)}`").alias(a.name) for a in r.attributes if a.name not in r.skip])
+            own = [f"_o{n}" for n in range(len(key))]
+            nodes = self.graph.frame(p.at).select(*[F.col(f"`{c}`").alias(x) for c, x in zip(self.graph.keys(p.at), own, strict=True)], record.alias("_v"))
+            rows = rows.join(nodes, reduce(lambda a, b: a & b, [F.col(k) == F.col(x) for k, x in zip(key, own, strict=True)]))
+        in_order = F.array_sort(F.collect_list(F.struct(F.struct(*key).alias("k"), F.col("_v").alias("v"))), lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+        table = rows.groupBy(*entry).agg(F.transform(in_order, lambda x: x["v"]).alias(name))
         df = df.join(table, reach._on(p, entry), "left").drop(*entry)
         return df.withColumn(name, F.coalesce(name, F.array().cast(df.schema[name].dataType)))
 
-    def _projected(self, df: DataFrame, name: str, hops: tuple) -> DataFrame:
+    def _projected(self, df: DataFrame, name: str, hops: tuple, keys: Keys | None) -> DataFrame:
         """struct<status, domain, resource, record>: of the reached node with the smallest key; record is its JSON.
 
         status is concrete where the node's labels have a world, unknown where not (labels are then kept in record),
@@ -262,7 +289,7 @@ class Query:
             record = F.to_json(F.struct(*[F.col(c).alias(n) for n, c in p.have.items()]))
             labels = F.col(p.have["_labels"]) if "_labels" in p.have else F.array(*[F.lit(x) for x in self.graph.resource(p.at).labels])
             key = F.to_json(F.struct(*[F.col(c).alias(f"k{n}") for n, c in enumerate(p.key)]))
-            tables.append(p.frame.select(*[F.col(c).alias(x) for c, x in zip(p.entry, entry, strict=True)], labels.alias("_labels"), record.alias("_record"), F.struct(F.lit(p.at).alias("at"), F.struct(*p.key).cast("string").alias("k"), key.alias("j")).alias("_key")))
+            tables.append(only(p, keys).select(*[F.col(c).alias(x) for c, x in zip(p.entry, entry, strict=True)], labels.alias("_labels"), record.alias("_record"), F.struct(F.lit(p.at).alias("at"), F.struct(*p.key).cast("string").alias("k"), key.alias("j")).alias("_key")))
         rows = reduce(lambda a, b: a.unionByName(b), tables).groupBy(*entry).agg(F.min_by(F.struct("_labels", "_record"), "_key").alias("_r"))
         world = F.get(self.graph.worlds(F.col("_r")["_labels"]), F.lit(0))
         value = F.struct(F.when(world.isNull(), "unknown").otherwise("concrete").alias("status"), world["domain"].alias("domain"), world["resource"].alias("resource"), F.col("_r")["_record"].alias("record"))

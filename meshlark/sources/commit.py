@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _fs(spark: SparkSession, path: str):
@@ -26,6 +26,15 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/meshlark/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """df as a table in a new folder of the shared one: what is read from it twice is the same, and no lost task goes back
+    behind it."""
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)
