@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .catalogue import _CX, _CY, _SX, _SY, hav, money, q, query
 from .operators.asof import as_of
+from .operators.depth import edges_of, hops_from
 from .operators.intervals import overlapping
 from .operators.nearest import nearest
 from .operators.spatial import areas_meeting
@@ -153,3 +154,24 @@ def _(g):
     r = 2.0001
     right = q(g, "Supplier").calculate("lng", "lat").df().select(F.col("id").alias("supplier"), _polygon(_ring(x, y, (-r, 0), (0, -r), (r, 0), (0, r))).alias("area"))
     return areas_meeting(left, right, ("area", "area"), ("c", "s")).select(F.col("c.customer").alias("customer"), F.col("s.supplier").alias("supplier"))
+
+
+# chains of any length
+@query("hops_next", "WITH RECURSIVE r(source, node, hops) AS (SELECT o_orderkey, o_orderkey, 0 FROM orders UNION SELECT source, o_orderkey, hops + 1 FROM r JOIN orders ON o_orderkey = node + 1 WHERE hops < 4) SELECT source, node, CAST(min(hops) AS INTEGER) AS hops FROM r GROUP BY ALL")
+def _(g):
+    return hops_from(edges_of(g, "Order", "next"), q(g, "Order").df().select("id"), 4, apart=True)
+
+
+_TRADE = "e(src, dst) AS (SELECT 'c' || o_custkey, 'o' || o_orderkey FROM orders UNION SELECT 'o' || l_orderkey, 'p' || l_partkey FROM lineitem), b(src, dst) AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e)"
+
+
+@query(
+    "hops_trade",
+    f"WITH RECURSIVE {_TRADE}, r(node, hops) AS (SELECT 'c' || c_custkey, 0 FROM (SELECT c_custkey FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 3) UNION SELECT dst, hops + 1 FROM r JOIN b ON src = node WHERE hops < 12) "
+    "SELECT node, CAST(min(hops) AS INTEGER) AS hops FROM r GROUP BY node",
+)
+def _(g):
+    named = lambda df, src, dst: df.select(F.concat(F.lit(src), F.col("src")).alias("src"), F.concat(F.lit(dst), F.col("dst")).alias("dst"))
+    there = named(edges_of(g, "Customer", "orders"), "c", "o").unionByName(named(edges_of(g, "Order", "items", "part"), "o", "p"))
+    rich = q(g, "Customer").sort(("balance", "desc"), "id").limit(3).df().select(F.concat(F.lit("c"), F.col("id")).alias("node"))
+    return hops_from(there.unionByName(there.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), rich)
