@@ -1,8 +1,9 @@
 """Cutting texts where byte-level BPE is sure to cut, whole blocks at a time.
 
-A lone blank between two characters that are not white space always opens a new match of the pattern, and what
+With the patterns of LONE, a lone blank between two characters that are not white space always opens a new match, and what
 follows is matched as if the text began there. So texts are cut before such blanks, and each distinct piece of a block
-needs the pattern once only. Of most pieces, letters with marks or a line's end between them, the matches are plain.
+needs the pattern once only. With PLAIN, of most pieces, letters with marks or a line's end between them, the matches need
+no pattern. With any other pattern whole texts are matched.
 """
 
 from __future__ import annotations
@@ -15,6 +16,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: The pattern whose plain pieces are known, and others in which a lone blank opens a match: digits in threes
+#: with a mark glued to letters, and that with words parted where small letters are followed by capitals.
+PLAIN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+THREES = r"""(?i:'s|'t|'re|'ve|'m|'ll|'d)|[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"""
+CASED = (
+    r"""[^\r\n\p{L}\p{N}]?[\p{Lu}\p{Lt}\p{Lm}\p{Lo}\p{M}]*[\p{Ll}\p{Lm}\p{Lo}\p{M}]+(?i:'s|'t|'re|'ve|'m|'ll|'d)?|[^\r\n\p{L}\p{N}]?[\p{Lu}\p{Lt}\p{Lm}\p{Lo}\p{M}]+[\p{Ll}\p{Lm}\p{Lo}\p{M}]*(?i:'s|'t|'re|'ve|'m|'ll|'d)?"""
+    r"""|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n/]*|\s*[\r\n]+|\s+(?!\S)|\s+"""
+)
+LONE = (PLAIN, THREES, CASED)
 _LONE = re.compile(r"(?<=\S) (?=\S)")
 #: Ranges of letters in any version of Unicode, and the marks of ASCII.
 LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ԯ", r"!-/:-@\[-`{-~"
@@ -38,8 +48,16 @@ def _odd(piece: str) -> bool:
     return not piece or piece[0].isspace() or piece[-1].isspace()
 
 
-def cut(texts: pa.Array, split: Callable[[str], list[str]], added: tuple[str, ...] = ()) -> Cut:
-    """split: the matches of the pattern. added: strings that are words wherever they stand, the first of them that fits."""
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """The matches of a pattern, as wholes whatever groups it has."""
+    import regex
+
+    found = regex.compile(pattern)
+    return (lambda text: [m.group() for m in found.finditer(text)]) if found.groups else found.findall
+
+
+def cut(texts: pa.Array, split: Callable[[str], list[str]], added: tuple[str, ...] = (), pattern: str = PLAIN) -> Cut:
+    """split: the matches of ``pattern``. added: strings that are words wherever they stand, the first of them that fits."""
     parted = re.compile("(" + "|".join(map(re.escape, added)) + ")").split if added else lambda t: [t]
     texts = texts.cast(pa.large_string()).fill_null("")
     lists = pc.split_pattern(texts, " ")
@@ -48,12 +66,16 @@ def cut(texts: pa.Array, split: Callable[[str], list[str]], added: tuple[str, ..
     coded = lists.flatten().dictionary_encode()
     at, pieces = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
+    if pattern not in LONE:  # no place in a text is known to be a cut
+        return _whole_texts(texts, split, parted)
+
     # plain pieces: the words of all of them at once
     found = pc.extract_regex(pieces, _PLAIN)
     parts = [found.field(k).fill_null("") for k in range(5)]
     has = np.stack([np.asarray(pc.not_equal(x, "")) for x in parts], axis=1) if len(pieces) else np.zeros((0, 5), bool)
     contraction = np.asarray(pc.equal(parts[1], "'")) & ~has[:, 2] & has[:, 3] if len(pieces) else np.zeros(0, bool)
     plain = np.asarray(found.is_valid()) & ~contraction & ~(has[:, 2] & ~has[:, 3] & ~has[:, 4])
+    plain &= pattern == PLAIN
     has &= plain[:, None]
     words = [pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), parts[0], pa.scalar("", pa.large_string())), *parts[1:]]
 
@@ -115,6 +137,18 @@ def cut(texts: pa.Array, split: Callable[[str], list[str]], added: tuple[str, ..
     return Cut(every.dictionary.take(pa.array(used)), flat.reshape(-1), ends, at, n)
 
 
+def _whole_texts(texts: pa.Array, split: Callable[[str], list[str]], parted: Callable[[str], list[str]]) -> Cut:
+    """Each different text is a piece."""
+    coded = texts.dictionary_encode()
+    known: dict[str, int] = {}
+    flat, ends = [], []
+    for t in coded.dictionary.to_pylist():
+        for j, x in enumerate(parted(t)):
+            flat += [known.setdefault(w, len(known)) for w in ([x] if j % 2 else split(x))]
+        ends.append(len(flat))
+    return Cut(pa.array(list(known), pa.large_string()), np.array(flat, np.int64), np.array(ends, np.int64), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.ones(len(texts), np.int64))
+
+
 def _wholes(text: str, whole: Callable[[str], int]) -> list[int]:
     if not text:
         return []

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._pieces import _ranges, cut
+from ._pieces import _ranges, cut, splitter
 from ._work import FileReader, FileWriter, col, made_once, materialise, numbered, scratch, squeeze, tidy, unsqueeze
 
 #: Bytes of text to a block, and words asked for to a part: what a task holds. They set how work is cut, not results.
@@ -105,9 +105,7 @@ def _cut(folder: str, pattern: str, added: tuple[str, ...], place: int, keep: li
     block_bytes = BLOCK_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        split, out = regex.compile(pattern).findall, FileWriter(folder)
+        split, out = splitter(pattern), FileWriter(folder)
         kept: list[pa.RecordBatch] = []
         texts: list[pa.Array] = []
         size = 0
@@ -118,7 +116,7 @@ def _cut(folder: str, pattern: str, added: tuple[str, ...], place: int, keep: li
             with pa.ipc.new_stream(sink, kept[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
                 for x in kept:
                     w.write_batch(x)
-            block = cut(pa.concat_arrays(texts), split, added)
+            block = cut(pa.concat_arrays(texts), split, added, pattern)
             words = out.add(pack(block.words.cast(pa.large_binary()).to_pylist()))
             table = (np.diff(block.ends, prepend=0), block.flat)
             rows = out.add(pickle.dumps((sink.getvalue().to_pybytes(), block.n_places.tolist(), *map(_planes, (block.places, *table))), 5))

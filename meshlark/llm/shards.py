@@ -2,9 +2,10 @@
 
 Arrivals are appended as they come, in small shards. Compaction groups shards of similar size (tiers, each
 FAN_IN times the one before) and merges a tier that has FAN_IN shards into files of about the target size.
-A version is a manifest, one JSON file that names the shards which make up the table. Its name is made once: of
-two writers one gets it, and the other goes on from that one's version or removes what it wrote. Readers see whole
-versions only. Spark and Hadoop's file system do all the work.
+A version is a manifest, one JSON file that names the shards which make up the table. Its name is made once and is never
+free again, also after ``vacuum``, which deletes shards only: of two writers one gets it, and the other, however late it
+comes, goes on from the latest version or removes what it wrote. Readers see whole versions only. Spark and Hadoop's file
+system do all the work.
 """
 
 from __future__ import annotations
@@ -96,7 +97,7 @@ class ShardedTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table at a version, the latest by default; all rows as they came, none for a version without shards. A table
-        without any version is a ValueError, a version that vacuum has deleted an error of the file system."""
+        without any version is a ValueError, one whose shards vacuum has deleted an error of the file system."""
         m = self.manifest(version)
         if not m["schema"]:
             raise ValueError("the table has no version")
@@ -130,9 +131,14 @@ class ShardedTable:
             run = tiers[ready[0]]
             n = max(1, round(sum(s["bytes"] for s in run) / target_bytes))
             schema = StructType.fromJson(json.loads(m["schema"]))
-            rows = self.spark.read.schema(schema).parquet(*[f"{self.path}/{s['file']}" for s in run]).coalesce(n)
             gone = {s["file"] for s in run}
-            merged, folder = self._written(rows, "merged")
+            try:
+                merged, folder = self._written(self.spark.read.schema(schema).parquet(*[f"{self.path}/{s['file']}" for s in run]).coalesce(n), "merged")
+            except Exception:
+                lost += 1
+                if lost > TRIES or gone <= {s["file"] for s in self.manifest()["shards"]}:
+                    raise
+                continue  # others have merged these shards, and vacuum has deleted them
             while gone <= {s["file"] for s in m["shards"]} and lost < TRIES:
                 try:
                     self._commit(m, [s for s in m["shards"] if s["file"] not in gone] + merged, m["schema"], "compact")
@@ -146,31 +152,37 @@ class ShardedTable:
                 if lost > TRIES:
                     raise Conflict(f"others went on committing versions of {self.path}")
 
+    def _vacuumed(self) -> int:
+        """The version that was the latest when shards were last deleted; 0 for never."""
+        return max((int(n[9:]) for n in commit.names(self.spark, f"{self.path}/_manifests") if n.startswith("vacuumed-")), default=0)
+
     def vacuum(self, given_up: float = GIVEN_UP) -> None:
-        """Deletes shards that older versions name and the latest does not, and then those versions' manifests; of files
-        that no version names, which a writer may be about to commit, only those written over ``given_up`` seconds ago.
-        An empty table, or one without versions, is left as it is."""
-        latest = self.manifest()
-        old = [v for v in self.versions() if v < latest["version"]]
+        """Deletes shards that older versions name and the latest does not; of files that no version names, which a writer
+        may be about to commit, only those written over ``given_up`` seconds ago. Manifests stay, so that no writer can
+        take an old version's name; reading a version whose shards are gone is an error of the file system. An empty
+        table, or one without versions, is left as it is."""
+        latest, before = self.manifest(), self._vacuumed()
+        old = [v for v in self.versions() if before <= v < latest["version"]]
         named = {s["file"] for s in latest["shards"]}
         once = {s["file"] for v in old for s in self.manifest(v)["shards"]}
         for f in once - named:
             self._fs.delete(self._at(f), False)
-        before = (time.time() - given_up) * 1000
+        since = (time.time() - given_up) * 1000
         for name in commit.names(self.spark, f"{self.path}/data"):
             files = [s for s in self._fs.listStatus(self._at(f"data/{name}"))]
             shards = [s for s in files if s.getPath().getName().endswith(".parquet")]
             for s in shards:
-                if f"data/{name}/{s.getPath().getName()}" not in named | once and s.getModificationTime() < before:
+                if f"data/{name}/{s.getPath().getName()}" not in named | once and s.getModificationTime() < since:
                     self._fs.delete(s.getPath(), False)
             if any(s.getPath().getName() == "_SUCCESS" for s in files) and not any(self._fs.exists(s.getPath()) for s in shards):
                 self._fs.delete(self._at(f"data/{name}"), True)
-        for v in old:
-            self._fs.delete(self._at(f"_manifests/v{v:010d}.json"), False)
+        if latest["version"]:
+            commit.create_once(self.spark, f"{self.path}/_manifests/vacuumed-{latest['version']:010d}", b"")
 
 
 def arrive_in_batches(df: DataFrame, table: ShardedTable, batches: int, key: str) -> dict:
-    """Appends df in so many arrivals, dealt by a hash of the key; null keys are an arrival's as well."""
+    """Appends df in so many arrivals, dealt by a hash of the key; null keys are an arrival's as well. df is read once for each
+    arrival and must not change between."""
     m = table.manifest()
     for k in range(batches):
         m = table.append(df.where(F.pmod(F.xxhash64(F.col(key)), F.lit(batches)) == k))

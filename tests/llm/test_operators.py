@@ -499,3 +499,47 @@ def test_an_index_serves_any_benchmark(spark):
     assert near([(7, "Red fox"), (8, "absent")], 3) == [(1, [7], [7]), (3, [7], [])]
     assert near([(9, "brown fox red")], 4) == [(1, [9], [])] and near([(9, "brown fox red")], 3) == []
     assert near([(7, "Red fox")], 60) == [(1, [7], [7]), (2, [7], []), (3, [7], [])]
+
+
+@pytest.mark.parametrize("compacting", [False, True])
+def test_an_old_versions_name_is_never_taken_again(spark, tmp_path, monkeypatch, compacting):
+    """A writer reads the table, others commit, one vacuums, and then the writer commits."""
+    t = shards.ShardedTable(spark, f"file://{tmp_path}/t")
+    part = lambda k: spark.createDataFrame([(k, str(k))], "a int, b string")
+    for k in range(3 if compacting else 1):
+        t.append(part(k))
+    late, stale = shards.ShardedTable(spark, t.path), t.manifest()
+    for k in (10, 11, 12):
+        t.append(part(k))
+    t.compact(fan_in=2)
+    t.vacuum()
+    seen = []
+    real = late.manifest
+    monkeypatch.setattr(late, "manifest", lambda v=None: seen.append(1) or (stale if len(seen) == 1 else real(v)))
+    if compacting:
+        late.compact(fan_in=2)
+        want = [0, 1, 2, 10, 11, 12]
+    else:
+        assert late.append(part(50))["version"] > t.manifest(6)["version"] - 1
+        want = [0, 10, 11, 12, 50]
+    assert sorted(r["a"] for r in t.read().collect()) == want
+    assert t.versions() == list(range(1, t.version() + 1))
+    t.vacuum()
+    assert sorted(r["a"] for r in t.read().collect()) == want and t._vacuumed() == t.version()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aB1 2'\n\tsé.!/Zß中 " + "xY", max_size=60), st.sampled_from([*_pieces.LONE, r"\w+(?: \w+)?|\s|[^\w\s]+", r"(a|b)+|."]))
+def test_pieces_are_cut_as_any_pattern_does(text, pattern):
+    import pyarrow as pa
+    import regex
+
+    want = [m.group() for m in regex.compile(pattern).finditer(text)]
+    block = _pieces.cut(pa.array([text, None, text + " b1", text]), _pieces.splitter(pattern), (), pattern)
+    names, stops = block.words.to_pylist(), block.n_places.cumsum().tolist()
+    own = [[names[w] for p in block.places[a:b].tolist() for w in block.flat[(block.ends[p - 1] if p else 0) : block.ends[p]]] for a, b in zip([0, *stops], stops)]
+    assert own[0] == own[3] == want and own[1] == [] and own[2] == [m.group() for m in regex.compile(pattern).finditer(text + " b1")]
+
+
+def test_the_known_pattern_is_the_given_one():
+    assert _pieces.PLAIN == P.PATTERN
