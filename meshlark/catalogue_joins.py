@@ -3,9 +3,12 @@ with the SQL that says the same."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from .catalogue import _CX, _CY, _SX, _SY, hav, money, q, query
+from .catalogue import _CX, _CY, _SX, _SY, _customers, _snapshot, hav, money, q, query
+from .errors import UpsertConflict
 from .operators.asof import as_of
 from .operators.depth import edges_of, hops_from
 from .operators.intervals import overlapping
@@ -13,6 +16,7 @@ from .operators.nearest import nearest
 from .operators.spatial import areas_meeting
 from .plans.expr import attr, traverse
 from .schema import Aggregate as A
+from .schema import Struct
 
 # partial results along chains
 PER_NATION = "SELECT c_nationkey AS nation, count(*) AS n, sum(l_quantity) AS quantity, avg(l_discount) AS discount, min(l_extendedprice) AS low, max(o_totalprice) AS top FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey GROUP BY c_nationkey"
@@ -175,3 +179,29 @@ def _(g):
     there = named(edges_of(g, "Customer", "orders"), "c", "o").unionByName(named(edges_of(g, "Order", "items", "part"), "o", "p"))
     rich = q(g, "Customer").sort(("balance", "desc"), "id").limit(3).df().select(F.concat(F.lit("c"), F.col("id")).alias("node"))
     return hops_from(there.unionByName(there.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), rich)
+
+
+# values that do not fit, and bulk updates
+@query(
+    "read_typed_struct",
+    "SELECT event_id AS id, CASE WHEN event_id % 5 > 1 THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS k, CASE WHEN event_id % 5 < 2 THEN 'props' ELSE '' END AS errors FROM events",
+)
+def _(g):
+    r = g.resource("Event")
+    g.resources["Event"] = replace(r, attributes=tuple(replace(a, type=Struct((("k", "integer"),))) if a.name == "props" else a for a in r.attributes))
+    bad = F.when(F.col("event_id") % 5 == 0, F.lit("garbage")).when(F.col("event_id") % 5 == 1, F.lit('{"k": "many"}')).otherwise(F.col("props"))
+    g.frames["Event"] = g.frame("Event").withColumn("props", bad)
+    return q(g, "Event").cast().df().select("id", F.col("props.k").cast("int").alias("k"), F.array_join("_errors", ",").alias("errors"))
+
+
+@query("mut_update_all", "SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_name END AS name, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN 1.0 ELSE c_acctbal END AS balance FROM customer")
+def _(g):
+    changes = g.frame("Customer").where("c_custkey % 3 = 0").select("c_custkey", F.lit(None).cast("string").alias("c_name"), F.when(F.col("c_custkey") % 2 == 0, 1.0).alias("c_acctbal"))
+    return _customers(_snapshot(g, "Customer").update_all("Customer", changes, clear=("c_name",)))
+
+
+@query("mut_update_all_repeated", "SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, true AS refused FROM customer")
+def _(g):
+    changes = g.frame("Order").select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"))  # several orders of a customer
+    after, error = _snapshot(g, "Customer").transaction(lambda s: s.update_all("Customer", changes))
+    return _customers(after).withColumn("refused", F.lit(isinstance(error, UpsertConflict)))

@@ -121,13 +121,21 @@ class Snapshot:
         cols = {r.stored(k): F.when(hit, F.lit(v).cast(kinds[r.stored(k)])).otherwise(F.col(r.stored(k))) for k, v in values.items()}
         return self._with_nodes(name, df.withColumns(cols) if cols else df)
 
-    def update_all(self, name: str, changes: DataFrame) -> Snapshot:
-        """Bulk update by key: non-null columns of changes (stored names) replace the nodes' values."""
+    def update_all(self, name: str, changes: DataFrame, clear: tuple[str, ...] = ()) -> Snapshot:
+        """Bulk update by key: columns of changes (stored names) replace the nodes' values; a null leaves the value as it is,
+        but for the columns of ``clear``, where it takes it away. UpsertConflict where a key has several changes; those of
+        no node, or without a key, change nothing."""
         key = self.key(name)
+        if missing := [x for x in clear if x not in changes.columns]:
+            raise ValueError(f"changes have no {missing}")
+        several = changes.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").limit(1).collect()
+        if several:
+            raise UpsertConflict(f"{several[0]['_n']} changes of {name} have the key {several[0][key]}")
         new = [c for c in changes.columns if c != key]
-        c = changes.select(F.col(key).alias("_key"), *[F.col(x).alias(f"_new_{x}") for x in new])
+        c = changes.select(F.col(key).alias("_key"), F.lit(True).alias("_there"), *[F.col(x).alias(f"_new_{x}") for x in new])
         df = self.node(name).join(c, F.col(key) == F.col("_key"), "left")
-        return self._with_nodes(name, df.withColumns({x: F.coalesce(f"_new_{x}", x) for x in new}).drop("_key", *[f"_new_{x}" for x in new]))
+        values = {x: F.when(F.col("_there"), F.col(f"_new_{x}")).otherwise(F.col(x)) if x in clear else F.coalesce(f"_new_{x}", x) for x in new}
+        return self._with_nodes(name, df.withColumns(values).drop("_key", "_there", *[f"_new_{x}" for x in new]))
 
     def update_labels(self, name: str, match: dict, add: tuple[str, ...] = (), remove: tuple[str, ...] = ()) -> Snapshot:
         labels = F.array_except(F.array_union(F.col(LABELS), F.array(*[F.lit(x) for x in add]).cast("array<string>")), F.array(*[F.lit(x) for x in remove]).cast("array<string>"))
@@ -300,16 +308,15 @@ class Snapshot:
     def transaction(self, change: Callable[[Snapshot], Snapshot], run: bool = True) -> tuple[Snapshot, Exception | None]:
         """The changed snapshot; or this one and the error that ended the change.
 
-        The tables that the change made are computed once, so that errors which only the data show also end it; ``run``
-        false leaves that to whoever reads them. Transactions may be nested: one that fails within another gives the
+        The tables that the change made are written once, in the shared folder, so that errors which only the data show
+        also end it, and the changed snapshot reads what was written; ``run`` false leaves that to whoever reads them. Transactions may be nested: one that fails within another gives the
         snapshot that it began with, and the other goes on. ``rollback`` ends one on purpose.
         """
         try:
             out = change(self)
-            for new, old in ((out.nodes, self.nodes), (out.edges, self.edges)) if run else ():
-                for k, df in new.items():
-                    if df is not old.get(k):
-                        df.write.format("noop").mode("overwrite").save()
+            if run:
+                put = lambda new, old: {k: df if df is old.get(k) else commit.written(df, "transaction") for k, df in new.items()}
+                out = replace(out, nodes=put(out.nodes, self.nodes), edges=put(out.edges, self.edges))
             return out, None
         except Exception as error:
             return self, error

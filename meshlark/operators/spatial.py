@@ -48,7 +48,7 @@ def create_index(spark: SparkSession, path: str, geometry: str, cell: float = 1.
     An index that exists is kept, or with ``recreate`` written anew.
     """
     at = _index_path(path, geometry)
-    there = commit.exists(spark, at)
+    there = commit.exists(spark, f"{at}/_SUCCESS")  # what has none is the rest of one that was never finished
     steps = ([f"drop {at}"] if there and recreate else []) + ([f"write {at} by cells of {cell:g} degrees of {geometry}"] if recreate or not there else [])
     if not dry_run and steps:
         write_spatial(spark.read.parquet(path), at, geometry, cell, "overwrite")

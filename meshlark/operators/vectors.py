@@ -20,6 +20,8 @@ from ..sources import commit
 KINDS = ("cosine", "euclidean")
 #: Rows at most that centres are fitted on; every row is put into a list.
 SAMPLE_ROWS = 50_000
+#: Rows of a list that one task writes, about.
+FILE_ROWS = 200_000
 
 
 def _index_path(path: str, column: str) -> str:
@@ -64,7 +66,7 @@ def create_index(
     if kind not in KINDS:
         raise ValueError(f"an index is by one of {KINDS}")
     at = _index_path(path, column)
-    there = commit.exists(spark, at)
+    there = commit.exists(spark, f"{at}/index.json")  # written last: what has none is the rest of one that was never finished
     steps = ([f"drop {at}"] if there and recreate else []) + ([f"write {at} in {lists} lists by {kind} distance of {column}"] if recreate or not there else [])
     if dry_run or not steps:
         return steps
@@ -86,12 +88,15 @@ def create_index(
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found)], names=[*names, "_list"])
 
     schema = T.StructType([*df.schema.fields, T.StructField("_list", T.IntegerType())])
-    df.mapInArrow(assign, schema).repartition("_list").write.partitionBy("_list").parquet(f"{at}/rows")
+    parts = max(1, -(-df.count() // (lists * FILE_ROWS)))  # a list may be in several files, written by as many tasks
+    dealt = df.mapInArrow(assign, schema).repartition("_list", F.pmod(F.xxhash64(column), F.lit(parts)))
+    dealt.write.partitionBy("_list").parquet(f"{at}/rows")
     commit.create_once(spark, f"{at}/index.json", json.dumps({"kind": kind, "column": column, "centres": centres.tolist()}).encode())
     return steps
 
 
 def drop_index(spark: SparkSession, path: str, column: str, dry_run: bool = False) -> list[str]:
+    """Drops an index, or what is left of one that was never finished."""
     at = _index_path(path, column)
     steps = [f"drop {at}"] if commit.exists(spark, at) else []
     if steps and not dry_run:

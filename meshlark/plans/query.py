@@ -31,7 +31,13 @@ def typed(c: Column, stored: T.DataType, declared: T.DataType) -> Column:
     """A stored value in the declared type; null where it does not fit. Nested values kept as text are JSON."""
     if stored == declared:
         return c
-    if isinstance(stored, T.StringType) and isinstance(declared, (T.ArrayType, T.MapType, T.StructType)):
+    if isinstance(stored, T.StringType) and isinstance(declared, T.StructType):
+        bad = "_unfit"
+        while bad in declared.fieldNames():
+            bad = "_" + bad
+        read = F.from_json(c, T.StructType([*declared.fields, T.StructField(bad, T.StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+        return F.when(read.isNotNull() & read[bad].isNull(), F.struct(*[read[f.name].alias(f.name) for f in declared.fields])).cast(declared)
+    if isinstance(stored, T.StringType) and isinstance(declared, (T.ArrayType, T.MapType)):
         return F.from_json(c, declared, {"mode": "PERMISSIVE"})
     if isinstance(stored, T.StringType) and isinstance(declared, T.BinaryType):
         return F.try_to_binary(c, F.lit("base64"))

@@ -172,3 +172,36 @@ def test_chains_load_records_once(spark):
     for r in df.where(F.size("suppliers") > 1).limit(5).collect():
         ids = [s["id"] for s in r["suppliers"]]
         assert ids == sorted(set(ids))
+
+
+def test_bulk_updates_clear_and_refuse_repeated_keys(spark, snap):
+    kinds = "id string, name string, size long"
+    df = snap.node("Thing")
+    key, size = snap.key("Thing"), THING.stored("size")
+    change = lambda *rows: spark.createDataFrame(rows, f"`{key}` string, name string, `{size}` long")
+    read = lambda s: sorted((r[key], r["name"], r[size]) for r in s.node("Thing").collect())
+    assert kinds and df.count() == 3
+    assert read(snap.update_all("Thing", change(("1", None, 7), (None, "x", 1), ("9", "y", 2)))) == [("1", "a", 7), ("2", "b", 2), ("3", "c", 3)]
+    assert read(snap.update_all("Thing", change(("1", None, None), ("2", "z", None)), clear=("name",))) == [("1", None, 1), ("2", "z", 2), ("3", "c", 3)]
+    with pytest.raises(UpsertConflict):
+        snap.update_all("Thing", change(("1", "x", 1), ("1", "y", 2)))
+    with pytest.raises(ValueError):
+        snap.update_all("Thing", change(("1", "x", 1)), clear=("other",))
+
+
+def test_an_index_that_was_never_finished_is_built_again(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/v"
+    spark.createDataFrame([(k, [float(k % 7), 1.0, float(k)]) for k in range(60)], "id long, v array<double>").write.parquet(path)
+    real = commit.create_once
+    monkeypatch.setattr(commit, "create_once", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        vectors.create_index(spark, path, "v", "euclidean", lists=4)
+    monkeypatch.setattr(commit, "create_once", real)
+    monkeypatch.setattr(vectors, "FILE_ROWS", 5)
+    assert vectors.create_index(spark, path, "v", "euclidean", lists=4) and not vectors.create_index(spark, path, "v", "euclidean", lists=4)
+    assert [r["id"] for r in vectors.search(spark, path, "v", [3.0, 1.0, 3.0], 1).collect()] == [3]
+    places = f"file://{tmp_path}/p"
+    spark.range(20).select("id", geo.point(F.col("id").cast("double"), F.lit(1.0)).alias("g")).write.parquet(places)
+    (tmp_path / "p" / "_spatial" / "g").mkdir(parents=True)
+    assert spatial.create_index(spark, places, "g") and not spatial.create_index(spark, places, "g")
+    assert spatial.open_index(spark, places, "g").count() == 20
