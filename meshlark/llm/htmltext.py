@@ -12,18 +12,18 @@ from __future__ import annotations
 
 import pickle
 import re
-from bisect import bisect_right
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from html import unescape
 from itertools import accumulate, chain
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._work import col, tidy
+from ._work import col, materialise, squeeze, tidy, unsqueeze
 
 #: Element names by kind.
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -40,8 +40,8 @@ STORY = frozenset("article story post entry content main".split())
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 OUT, BODY, MAIN, GUESS = 0, 1, 2, 3
-#: Bits at most that an alignment holds at once, and keys taken to a group to find where to split a host. They set how work is cut, not results.
-ROW_BITS, SAMPLES = 1 << 31, 20
+#: Bits at most that an alignment holds at once: how work is cut, not what it gives.
+ROW_BITS = 1 << 31
 _TAG = re.compile(r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']+|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTR = re.compile(r"(?i)\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
@@ -229,162 +229,175 @@ def _plain(page: list[tuple[int, str]]) -> list[str]:
     return [t for z, t in page if z != OUT]
 
 
-def _key(path: str, page_id: int | None, seen: int) -> tuple:
-    """A page's place on its host, as Spark sorts it."""
-    return path, page_id is not None, page_id or 0, seen
+def _digest(page: list[tuple[int, str]]) -> bytes:
+    return blake2b("\n".join(_plain(page)).encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def _cut(splits: dict[str, list[tuple]], extra: dict[tuple, list[int]]):
-    """Blocks of pages, and the group each belongs to; pages that other groups need go there too, not as their own."""
+def _packed(page: list[tuple[int, str]]) -> bytes:
+    return squeeze(pickle.dumps(page, 5))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(0, b.num_rows, 512):
-                out = []
-                for i, u, host, path, h, html in zip(*(c.to_pylist() for c in b.slice(k, 512).columns), strict=True):
-                    found, part, more = blocks(html), 0, ()
-                    if host in splits:
-                        key = _key(path, i, h)
-                        part, more = bisect_right(splits[host], key), extra.get((host, key), ())
-                    row = (i, u, host, path, h, [z for z, _ in found], [t for _, t in found])
-                    out += [(*row, part, True), *((*row, p, False) for p in more)]
-                kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.string()), pa.int32(), pa.bool_())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["id", "url", "host", "path", "h", "zones", "lines", "part", "own"])
 
-    return run
+def _page(data: bytes) -> list[tuple[int, str]]:
+    return pickle.loads(unsqueeze(data))
 
 
-def _digests(splits: dict[str, list[tuple]]):
-    """Group and digest of the lines of each page."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, url, host, path, h, n, html) with the page's blocks in place of its html."""
+    for b in batches:
+        for k in range(0, b.num_rows, 512):
+            part = b.slice(k, 512)
+            yield pa.RecordBatch.from_arrays([*part.columns[:6], pa.array([_packed(blocks(x)) for x in part.column(6).to_pylist()], pa.binary())], names=["id", "url", "host", "path", "h", "n", "page"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(0, b.num_rows, 512):
-                i, _, host, path, h, html = (c.to_pylist() for c in b.slice(k, 512).columns)
-                part = [bisect_right(splits[x], _key(*key)) for x, key in zip(host, zip(path, i, h), strict=True)]
-                digest = [blake2b("\n".join(_plain(blocks(x))).encode("utf-8", "surrogatepass"), digest_size=16).digest() for x in html]
-                yield pa.RecordBatch.from_arrays([pa.array(host), pa.array(part, pa.int32()), pa.array(path), pa.array(i, pa.int64()), pa.array(h, pa.int64()), pa.array(digest, pa.binary())], names=["host", "part", "path", "id", "h", "digest"])
 
-    return run
+#: What a range gives: texts of its own pages; pages of its first and last run, which need what lies beyond its ends; the
+#: pages at its ends that other ranges may need; and a row that says what its ends are.
+_OUT = "kind string, part int, id long, url string, path string, page binary, text string, state binary"
 
 
-def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each group the first and last page, and the first and last that are no copies of those; rows come in order."""
+def _rows_out(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["kind", "part", "id", "url", "path", "page", "text", "state"])
 
-    def close(group, ends):
-        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((*group, pickle.dumps(ends)), (pa.string(), pa.int32(), pa.binary()), strict=True)], names=["host", "part", "ends"])
 
-    group, ends = None, None
-    for b in batches:
-        for host, part, path, i, h, digest in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            page = (_key(path, i, h), digest)
-            if (host, part) != group:
-                if group:
-                    yield close(group, ends)
-                group, ends = (host, part), [page, None, None, page]  # first, first other, last other, last
-                continue
-            if ends[1] is None and digest != ends[0][1]:
-                ends[1] = page
-            if digest != ends[3][1]:
-                ends[2] = ends[3]
-            ends[3] = page
-    if group:
-        yield close(group, ends)
-
-
-def _handed(ends: dict[str, dict[int, list]]) -> dict[tuple, list[int]]:
-    """By host and page the groups that need it: the nearest page before and after a group that is no copy of its first and last."""
-    out = defaultdict(list)
-    for host, groups in ends.items():
-        order = sorted(groups)
-        for at, part in enumerate(order):
-            for others, edge, near, far in ((order[:at][::-1], groups[part][0], 3, 2), (order[at + 1 :], groups[part][3], 0, 1)):
-                for x in others:
-                    page = next((p for p in (groups[x][near], groups[x][far]) if p and p[1] != edge[1]), None)
-                    if page:
-                        out[host, page[0]].append(part)
-                        break
-    return dict(out)
+def _own_text(path: str, page: list, before: tuple | None, after: tuple | None) -> str:
+    """The page's text by the nearer of two neighbours (path, page)."""
+    near = max((p for p in (before, after) if p), key=lambda p: _shared_start(p[0], path), default=None)
+    return main_text(page, near[1] if near else None)
 
 
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come in order of group and path. Copies that follow each other are one run, of which the lines are held once;
-    a page's neighbour is the nearer of the pages next to its run."""
+    """Rows (id, url, host, path, page) in order of host and path. Copies that follow each other are one run, of which the
+    lines are held once; a page's neighbour is the nearer of the pages next to its run."""
+    part = TaskContext.get().partitionId()
 
     def runs():
         members, last, where = [], None, None
         for b in batches:
-            for k in range(b.num_rows):
-                i, u, host, part, path, zones, lines, own = (c[k].as_py() for c in b.columns)
-                page = list(zip(zones, lines, strict=True))
-                if members and (where != (host, part) or _plain(page) != last):
+            for i, u, host, path, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                page = _page(data)
+                if members and (where != host or _plain(page) != last):
                     yield where, members
                     members = []
                 if members and page == members[-1][3]:
                     page = members[-1][3]
-                where, last = (host, part), _plain(page)
-                members.append((i, u, path, page, own))
+                where, last = host, _plain(page)
+                members.append((i, u, path, page))
         if members:
             yield where, members
 
+    def end(kind: str, member: tuple) -> tuple:
+        return kind, part, member[0], member[1], member[2], _packed(member[3]), None, None
+
     def rows():
-        prev = cur = None
+        first = prev = cur = None
+        beside = {}  # whether the pages next to the first and the last run are on the same host
         for nxt in chain(runs(), [None]):
             if cur is not None:
                 before = prev[1][-1] if prev and prev[0] == cur[0] else None
                 after = nxt[1][0] if nxt and nxt[0] == cur[0] else None
-                for i, u, path, page, own in cur[1]:
-                    if own:
-                        near = max((p for p in (before, after) if p), key=lambda p: _shared_start(p[2], path), default=None)
-                        yield i, u, main_text(page, near[3] if near else None)
+                kind = ("only" if nxt is None else "first") if prev is None else "last" if nxt is None else None
+                if prev is None:
+                    first = cur[0], _digest(cur[1][0][3])
+                    yield end("F", cur[1][0])
+                    if after:
+                        beside["A"] = True
+                        yield end("A", after)
+                if nxt is None:
+                    yield end("L", cur[1][-1])
+                    if before:
+                        beside["B"] = True
+                        yield end("B", before)
+                    state = (part, *first, cur[0], _digest(cur[1][-1][3]), prev is None, beside)
+                    yield "state", part, None, None, None, None, None, pickle.dumps(state)
+                near = [(p[2], p[3]) if p else None for p in (before, after)]
+                for m in cur[1]:
+                    yield end(kind, m) if kind else ("text", part, m[0], m[1], None, None, _own_text(m[2], m[3], *near), None)
             prev, cur = cur, nxt
 
-    held: list[tuple] = []
-    size = 0
-
-    def batch():
-        ids, urls, texts = zip(*held, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string())], names=["id", "url", "text"])
-
+    held, size = [], 0
     for r in rows():
         held.append(r)
-        size += len(r[2])
+        size += len(r[5] or r[6] or "")
         if size > 4 << 20 or len(held) >= 4096:
-            yield batch()
+            yield _rows_out(held)
             held, size = [], 0
     if held:
-        yield batch()
+        yield _rows_out(held)
+
+
+def _beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (state), one to a range: where the page before and the page after each range's first and last run is."""
+    states = sorted(pickle.loads(x) for b in batches for x in b.column(0).to_pylist())
+    if not states:
+        return
+    before: list[tuple | None] = [None]
+    for (q, host, digest, host_2, digest_2, only, beside), nxt in zip(states, states[1:], strict=False):
+        if host_2 != nxt[1]:
+            before.append(None)
+        elif digest_2 != nxt[2]:
+            before.append((q, "L"))
+        else:  # the run goes on
+            before.append(before[-1] if only else (q, "B") if "B" in beside else None)
+    after: list[tuple | None] = [None]
+    for (q, host, digest, host_2, digest_2, only, beside), prev in zip(states[::-1], states[-2::-1], strict=False):
+        if host != prev[3]:
+            after.append(None)
+        elif digest != prev[4]:
+            after.append((q, "F"))
+        else:
+            after.append(after[-1] if only else (q, "A") if "A" in beside else None)
+    out = []
+    for s, b, a in zip(states, before, after[::-1], strict=True):
+        if s[5]:
+            out.append((s[0], "only", b, a))
+        else:
+            out += [(s[0], "first", b, (s[0], "A") if "A" in s[6] else None), (s[0], "last", (s[0], "B") if "B" in s[6] else None, a)]
+    flat = [(p, k, *(b or (None, None)), *(a or (None, None))) for p, k, b, a in out]
+    kinds = (pa.int32(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.string())
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*flat, strict=True), kinds, strict=True)], names=["part", "kind", "b_part", "b_kind", "a_part", "a_kind"])
+
+
+def _open_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, url, path, page, path and page before, path and page after): texts of pages at the ends of ranges."""
+    for b in batches:
+        for k in range(0, b.num_rows, 512):
+            i, u, *cols = (c.to_pylist() for c in b.slice(k, 512).columns)
+            texts = []
+            for path, page, b_path, b_page, a_path, a_page in zip(*cols, strict=True):
+                near = [(x, _page(y)) if y is not None else None for x, y in ((b_path, b_page), (a_path, a_page))]
+                texts.append(_own_text(path, _page(page), *near))
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(u, pa.string()), pa.array(texts, pa.string())], names=["id", "url", "text"])
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group_rows: int = 5000) -> DataFrame:
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group_rows: int | None = None) -> DataFrame:
     """One row per page: id (long), url, text and n_chars. Ids are integers or null; others stop the job at Spark's cast.
 
     A null or empty html gives an empty text; pages without a URL are one host with one path; repeated rows each
-    get a row and count as copies of each other; other columns are not read. Hosts of over ``group_rows`` pages are
-    split into groups of about that many by ranges of path, id and content, and each group gets the nearest pages
-    beyond its ends: no host, however large, meets in one task, and texts do not depend on the split.
+    get a row and count as copies of each other; other columns are not read. Pages are dealt by ranges of host, path, id
+    and content (as many as the session shuffles to, or of about ``group_rows`` pages), so that no host, however large,
+    meets in one task. What lies beyond a range's ends is joined to the pages that need it; texts do not depend on where
+    ranges end.
     """
     src = pages.select(col(id_col).cast("long").alias("id"), col(url_col).cast("string").alias("url"), col(html_col).cast("string").alias("html"))
     rest = F.regexp_replace(F.coalesce("url", F.lit("")), "^[a-zA-Z][a-zA-Z0-9+.-]*://|^//", "")
     host = F.lower(F.regexp_extract(rest, "^(?:[^/]*@)?([^/]*)", 1))
     path = F.concat(F.lit("/"), F.regexp_extract(rest, "^[^/]*/([^?#]*)", 1))
-    large = [r["host"] for r in src.groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group_rows).select("host").collect()]
-    src = src.select("id", "url", host.alias("host"), path.alias("path"), F.xxhash64("html").alias("h"), "html")
-    splits: dict[str, list[tuple]] = {}
-    extra: dict[tuple, list[int]] = {}
-    if large:
-        hot = src.where(F.col("host").isin(large))
-        sample = defaultdict(list)
-        for r in hot.where(F.pmod(F.xxhash64("path", "id", "h"), F.lit(max(1, group_rows // SAMPLES))) == 0).select("host", "path", "id", "h").collect():
-            sample[r["host"]].append(_key(*r[1:]))
-        each = min(SAMPLES, group_rows)
-        splits = {x: sorted(set(sorted(sample[x])[each::each])) for x in large}
-        placed = hot.mapInArrow(tidy(_digests(splits)), "host string, part int, path string, id long, h long, digest binary")
-        ends = defaultdict(dict)
-        for r in placed.repartition("host", "part").sortWithinPartitions("host", "part", "path", "id", "h").mapInArrow(tidy(_ends), "host string, part int, ends binary").collect():
-            ends[r["host"]][r["part"]] = pickle.loads(r["ends"])
-        extra = _handed(ends)
-    cut = src.mapInArrow(tidy(_cut(splits, extra)), "id long, url string, host string, path string, h long, zones array<tinyint>, lines array<string>, part int, own boolean")
-    order = cut.repartition("host", "part").sortWithinPartitions("host", "part", "path", "id", "h").select("id", "url", "host", "part", "path", "zones", "lines", "own")
-    out = order.mapInArrow(tidy(_difference), "id long, url string, text string")
+    n = F.monotonically_increasing_id().alias("n")  # rows that are alike in all else need not be in one range
+    src = src.select("id", "url", host.alias("host"), path.alias("path"), F.xxhash64("html").alias("h"), n, "html")
+    cut = src.mapInArrow(tidy(_blocks), "id long, url string, host string, path string, h long, n long, page binary")
+    order = ["host", "path", "id", "h", "n"]
+    dealt = cut.repartitionByRange(*order) if group_rows is None else cut.repartitionByRange(max(1, -(-pages.count() // group_rows)), *order)
+    found = dealt.sortWithinPartitions(*order).select("id", "url", "host", "path", "page").mapInArrow(tidy(_difference), _OUT)
+    found, _ = materialise(found, "page-texts")
+
+    # A row to each range: so few that one task looks through them. Pages come by joins.
+    beyond = found.where("kind = 'state'").select("state").repartition(1).mapInArrow(tidy(_beyond), "part int, kind string, b_part int, b_kind string, a_part int, a_kind string")
+    ends = found.where(F.col("kind").isin("F", "L", "A", "B")).select("part", "kind", "path", "page")
+    for side in "ba":
+        named = ends.select(F.col("part").alias(f"{side}_part"), F.col("kind").alias(f"{side}_kind"), F.col("path").alias(f"{side}_path"), F.col("page").alias(f"{side}_page"))
+        beyond = beyond.join(named, [f"{side}_part", f"{side}_kind"], "left")
+    beyond, _ = materialise(beyond.select("part", "kind", "b_path", "b_page", "a_path", "a_page"), "page-neighbours")
+    opened = found.where(F.col("kind").isin("first", "last", "only")).select("part", "kind", "id", "url", "path", "page")
+    opened = opened.join(beyond, ["part", "kind"]).select("id", "url", "path", "page", "b_path", "b_page", "a_path", "a_page")
+    out = found.where("kind = 'text'").select("id", "url", "text").unionByName(opened.mapInArrow(tidy(_open_texts), "id long, url string, text string"))
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))
