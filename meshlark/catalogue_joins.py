@@ -8,7 +8,9 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from .catalogue import _CX, _CY, _SX, _SY, _customers, _snapshot, hav, money, q, query
+from . import testgraph
 from .errors import UpsertConflict
+from .operators import mutate
 from .operators.asof import as_of
 from .operators.depth import edges_of, hops_from
 from .operators.intervals import overlapping
@@ -17,6 +19,8 @@ from .operators.spatial import areas_meeting
 from .plans.expr import attr, traverse
 from .schema import Aggregate as A
 from .schema import Struct
+from .sources import commit
+from .sources.delta import Change, Store
 
 # partial results along chains
 PER_NATION = "SELECT c_nationkey AS nation, count(*) AS n, sum(l_quantity) AS quantity, avg(l_discount) AS discount, min(l_extendedprice) AS low, max(o_totalprice) AS top FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey GROUP BY c_nationkey"
@@ -205,3 +209,45 @@ def _(g):
     changes = g.frame("Order").select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"))  # several orders of a customer
     after, error = _snapshot(g, "Customer").transaction(lambda s: s.update_all("Customer", changes))
     return _customers(after).withColumn("refused", F.lit(isinstance(error, UpsertConflict)))
+
+
+# versions that are kept as changes
+def _versions(g):
+    """Three versions of the customers: all; a hundredth updated, a hundredth gone and a hundredth new; one gone."""
+    store = Store(g.spark, commit.scratch(g.spark, "store"))
+    snap = _snapshot(g, "Customer")
+    snap.save_changes(store)
+    snap = mutate.Snapshot.open_store(store, snap.resources)
+    df = snap.node("Customer")
+    new = df.where("c_custkey % 100 = 9").withColumn("c_custkey", F.col("c_custkey") + 10_000_000)
+    updated = df.where("c_custkey % 100 = 7").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    store.commit({"nodes/Customer": Change(("c_custkey",), updated.unionByName(new), df.where("c_custkey % 100 = 8"))}, snap.base)
+    snap = mutate.Snapshot.open_store(store, snap.resources)
+    snap.delete("Customer", {"id": 1}).update("Customer", {"id": 2}, {"name": "Two"}).save_changes(store)
+    return store
+
+
+_AFTER = "SELECT c_custkey AS id, CASE WHEN c_custkey = 2 THEN 'Two' ELSE c_name END AS name, c_acctbal + CASE WHEN c_custkey % 100 = 7 THEN 1 ELSE 0 END AS balance FROM customer WHERE c_custkey % 100 <> 8 AND c_custkey <> 1 UNION ALL SELECT c_custkey + 10000000, c_name, c_acctbal FROM customer WHERE c_custkey % 100 = 9"
+
+
+@query("delta_read", _AFTER)
+def _(g):
+    store = _versions(g)
+    return _customers(mutate.Snapshot.open_store(store, {r.name: r for r in testgraph.RESOURCES}))
+
+
+@query("delta_compacted", _AFTER)
+def _(g):
+    store = _versions(g)
+    store.compact(folders=2)
+    return _customers(mutate.Snapshot.open_store(store, {r.name: r for r in testgraph.RESOURCES}))
+
+
+@query(
+    "delta_changes",
+    f"WITH a AS ({_AFTER}) SELECT coalesce(a.id, c_custkey) AS id, CASE WHEN c_custkey IS NULL THEN 'insert' WHEN a.id IS NULL THEN 'delete' ELSE 'update' END AS change, c_acctbal AS balance, a.balance AS balance_after, a.name AS name_after "
+    "FROM a FULL JOIN customer ON a.id = c_custkey WHERE c_custkey IS NULL OR a.id IS NULL OR a.balance <> c_acctbal OR a.name <> c_name",
+)
+def _(g):
+    df = _versions(g).changes("nodes/Customer", 1)
+    return df.select(F.col("c_custkey").alias("id"), "change", F.col("before.c_acctbal").alias("balance"), F.col("after.c_acctbal").alias("balance_after"), F.col("after.c_name").alias("name_after"))

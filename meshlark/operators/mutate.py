@@ -20,6 +20,7 @@ from ..errors import EdgeConflict, GuardViolation, MissingNode, Rollback, SaveCo
 from ..functions.geo import check_writable
 from ..schema import Geometry, Guard, Resource, spark_type
 from ..sources import commit
+from ..sources.delta import Change, Store, difference
 from ..sources.graph import LABELS, Graph
 
 EDGE = T.StructType([T.StructField("src", T.StringType()), T.StructField("dst", T.StringType())])
@@ -36,6 +37,7 @@ class Snapshot:
     edges: dict[EdgeName, DataFrame] = field(default_factory=dict)
     base: int | None = None  # the number of the saved version that this snapshot comes from
     sandbox: bool = False  # nothing is ever saved
+    origin: dict[str, DataFrame] = field(default_factory=dict)  # the tables of the store that this snapshot comes from
 
     # reading ---------------------------------------------------------------------------------------------------------
 
@@ -345,6 +347,35 @@ class Snapshot:
             raise SaveConflict(f"version {base + 1} of {path} exists")
         return version
 
+    def _tables(self) -> dict[str, tuple[tuple[str, ...], DataFrame]]:
+        """Key and rows of each table, under its name in a store."""
+        nodes = {f"nodes/{n}": ((self.key(n),), df) for n, df in self.nodes.items()}
+        return nodes | {f"edges/{'-'.join(e)}": (("src", "dst"), df) for e, df in self.edges.items()}
+
+    def save_changes(self, store: Store) -> int | None:
+        """Writes what the snapshot's tables have and those of its version in the store have not, and the keys that they no
+        longer have, as the version after it; returns that one's number, or None in a sandbox. Tables that no change has
+        touched are neither read nor written. SaveConflict if others have saved since; nothing to save makes no version."""
+        if self.sandbox:
+            return None
+        changes = {}
+        for name, (key, df) in self._tables().items():
+            old = self.origin.get(name)
+            if old is None:
+                changes[name] = Change(key, df)
+            elif df is not old:
+                changes[name] = difference(key, old, df)
+        return store.commit(changes, self.base) if changes else self.base or store.version()
+
+    @staticmethod
+    def open_store(store: Store, resources: dict[str, Resource], version: int | None = None) -> Snapshot:
+        """A store's latest version, or an older one, whose changes then conflict with those that followed it."""
+        m = store.manifest(version)
+        origin = {name: store.read(name, m["version"]) for name in m["tables"]}
+        nodes = {n[6:]: df for n, df in origin.items() if n.startswith("nodes/")}
+        edges = {tuple(n[6:].split("-")): df for n, df in origin.items() if n.startswith("edges/")}
+        return Snapshot(store.spark, resources, nodes, edges, m["version"], origin=origin)
+
     @staticmethod
     def _current(spark: SparkSession, path: str) -> tuple[int, str | None]:
         found = [n for n in commit.names(spark, path) if n.startswith("current-")]
