@@ -37,9 +37,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go, by their text: ids may be null or repeated."""
+    """Contaminated documents go, by 128 bits of their text: ids may be null or repeated."""
     h, gone_h = fresh(docs, "own_hash", "gone_hash")
-    own = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    own = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
     found = decontam.decontaminate(docs.select("text", own.alias(h)), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=h)
     gone, _ = materialise(found.where("contaminated").select(F.col("doc_id").alias(gone_h)).distinct(), "contaminated")
     return docs.join(small_side(gone, gone.count()), own == F.col(gone_h), "left_anti")
