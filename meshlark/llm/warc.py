@@ -342,7 +342,8 @@ class WarcReader(DataSourceReader):
 class WarcDataSource(DataSource):
     """``spark.read.format("warc")``. Options: payload=false leaves payloads out (and undecoded unless verify=true);
     verify=true recomputes payload digests; partitionBytes is how much of an archive a task reads. Predicates on the header columns are
-    pushed down: records that fail them are skipped after their headers."""
+    pushed down: records that fail them are skipped after their headers. Spark (4.1) keeps the predicates of the first query over
+    a loaded DataFrame for all later ones: load it again for each query that has other predicates."""
 
     @classmethod
     def name(cls) -> str:
