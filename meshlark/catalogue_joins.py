@@ -19,7 +19,7 @@ from .operators.spatial import areas_meeting
 from .plans.expr import attr, traverse
 from .schema import Aggregate as A
 from .schema import Struct
-from .sources import commit
+from .sources import changes, commit
 from .sources.delta import Change, Store
 
 # partial results along chains
@@ -251,3 +251,10 @@ def _(g):
 def _(g):
     df = _versions(g).changes("nodes/Customer", 1)
     return df.select(F.col("c_custkey").alias("id"), "change", F.col("before.c_acctbal").alias("balance"), F.col("after.c_acctbal").alias("balance_after"), F.col("after.c_name").alias("name_after"))
+
+
+@query("source_changes", "SELECT c_custkey AS id, 2 AS version, 'row' AS change, c_acctbal + 1 AS balance FROM customer WHERE c_custkey % 100 = 7 UNION ALL SELECT c_custkey + 10000000, 2, 'row', c_acctbal FROM customer WHERE c_custkey % 100 = 9 UNION ALL SELECT c_custkey, 2, 'gone', NULL FROM customer WHERE c_custkey % 100 = 8")
+def _(g):
+    changes.register(g.spark)
+    df = changes.read_changes(g.spark, _versions(g).path, "_version = 2", "nodes/Customer")
+    return df.select(F.col("c_custkey").alias("id"), F.col("_version").cast("int").alias("version"), F.col("_change").alias("change"), F.col("c_acctbal").alias("balance"))

@@ -98,3 +98,68 @@ def test_a_snapshot_saves_only_what_changed(spark, store):
     assert after.node("Thing").count() == 19_999 and after.edge(E).count() == 498
     assert sorted(x.change for x in store.changes("edges/HAS-Thing-Thing", 2).collect()) == ["delete", "delete"]
     assert store.changes("nodes/Thing", 1).groupBy("change").count().orderBy("change").collect() == [("delete", 1), ("update", 200)]
+
+
+def test_changes_as_a_source(spark, store, tmp_path):
+    from meshlark.sources import changes
+
+    changes.register(spark)
+    path = store.path
+    write = lambda rows, **more: spark.createDataFrame(rows, ROWS + ", at timestamp").write.format("graph_changes").options(path=path, table="t", key="id", **more).mode("append").save()
+    from datetime import datetime
+
+    day = datetime(2024, 2, 3, 4, 5, 6)
+    write([(k, "a", k, day) for k in range(50)])
+    write([(1, "b", None, None), (2, "b", 2, day)])
+    store.commit({"t": delta.Change(("id",), None, spark.createDataFrame([(3,)], "id long")), "u": delta.Change(("x",), spark.createDataFrame([("k", [1, 2])], "x string, y array<int>"))})
+    assert store.version() == 3 and store.read("t").count() == 49 and {r["name"] for r in store.read("t").where("id < 3").collect()} == {"a", "b"}
+    read = lambda **o: spark.read.format("graph_changes").options(path=path, **o).load()
+    t = read(table="t")
+    where = lambda test, table="t": changes.read_changes(spark, path, test, table)
+    assert t.groupBy("_version", "_change").count().orderBy("_version").collect() == [(1, "row", 50), (2, "row", 2), (3, "gone", 1)]
+    assert t.where("_version = 2 and id = 1").collect() == [(1, "b", None, None, 2, "row")] and t.where("_change = 'gone'").select("id", "name").collect() == [(3, None)]
+    assert read().where("_table = 'u'").select("_version", "record").collect() == [(3, '{"x": "k", "y": [1, 2]}')]
+    # Files of other versions are not opened: they need not be there.
+    for f in store.manifest(1)["changed"]["t"]["rows"]:
+        for x in (tmp_path / "store" / f["folder"]).iterdir():
+            x.write_bytes(b"broken")
+    assert where("_version > 1").count() == 3 and where("_version in (2, 3) and _change = 'row'").count() == 2
+    assert where("_table = 'u' and _version >= 3", None).count() == 1 and where("_version < 3 and _version >= 2 and id = 2").count() == 1
+    with pytest.raises(Exception):  # noqa: B017
+        t.collect()
+
+
+def test_a_write_that_fails_leaves_nothing(spark, store, tmp_path):
+    from meshlark.sources import changes
+
+    changes.register(spark)
+    out = lambda df, **o: df.write.format("graph_changes").options(path=store.path, table="t", key="id", **o).mode("append").save()
+    out(spark.range(10))
+    before = sorted(p.name for p in (tmp_path / "store").rglob("*"))
+    with pytest.raises(Exception, match="broken"):
+        out(spark.range(100).repartition(4).select(F.when(F.col("id") == 77, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long").alias("id")))
+    with pytest.raises(Exception, match="exists"):
+        out(spark.range(10), base="0")
+    with pytest.raises(Exception, match="other columns"):
+        out(spark.range(10).withColumn("more", F.lit(1)))
+    assert sorted(p.name for p in (tmp_path / "store").rglob("*")) == before and store.version() == 1
+
+
+def test_changes_as_a_stream(spark, store, tmp_path):
+    from meshlark.sources import changes
+
+    changes.register(spark)
+    store.commit(change(spark, [(1, "a", 1)]))
+    store.commit(change(spark, [(2, "b", 2)], [1]))
+    seen = []
+
+    def run():
+        stream = spark.readStream.format("graph_changes").options(path=store.path, table="t").load()
+        started = stream.writeStream.option("checkpointLocation", f"file://{tmp_path}/checkpoint").trigger(availableNow=True).foreachBatch(lambda df, n: seen.append(sorted((r["_version"], r["_change"], r["id"]) for r in df.collect()))).start()
+        started.awaitTermination(120)
+
+    run()
+    assert sorted(x for b in seen for x in b) == [(1, "row", 1), (2, "gone", 1), (2, "row", 2)]
+    store.commit(change(spark, [(9, "z", 9)]))
+    run()
+    assert seen[-1] == [(3, "row", 9)]
