@@ -29,14 +29,15 @@ MAGIC = b"RPR1"
 STEP = 1024
 #: Ids to a file, and the fewest places that a pair must have for a rule.
 SHARD_IDS, LEAST = 4 << 20, 16
-#: Buckets that rule out most rare pairs before pairs are sorted.
+#: Buckets, two to so many at most, that rule out most rare pairs before pairs are sorted.
 _BITS = 22
+_NONE = np.iinfo(np.int32).max
 
 
-def _bucket(keys: np.ndarray) -> np.ndarray:
+def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
     if keys.dtype == np.uint32:
-        return (keys * np.uint32(0x9E3779B1) >> np.uint32(32 - _BITS)).astype(np.int64)
-    return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _BITS)).astype(np.int64)
+        return (keys * np.uint32(0x9E3779B1) >> np.uint32(32 - bits)).astype(np.int64)
+    return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds: int | None = None, rules_a_round: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -48,10 +49,12 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
     """
     s = ids.astype(np.uint32)
     rules = np.zeros((0, 2), np.int64)
-    may = np.ones(max(0, len(s) - 1), bool)  # places whose pair may be frequent: it was, or it is new
+    may = (s[:-1] != end_id) & (s[1:] != end_id)  # places whose pair may be frequent: it was, or it is new
+    ranks = np.full(len(s) + 2, _NONE, np.int32)  # of the places, with one more at either end; none between rounds
     while rounds != 0:
         rounds = None if rounds is None else rounds - 1
-        at = np.flatnonzero(may & (s[:-1] != end_id) & (s[1:] != end_id)) if len(s) > 1 else np.zeros(0, np.int64)
+        at = np.flatnonzero(may)
+        at = at[(s[at] != end_id) & (s[at + 1] != end_id)]
         half = 16 if base + len(rules) <= 1 << 16 else 32  # narrow keys sort faster
         key = s[at].astype(np.uint32 if half == 16 else np.uint64) << half | s[at + 1]
         # in a run of one symbol every second place counts
@@ -64,8 +67,9 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
             at, key = np.delete(at, skipped), np.delete(key, skipped)
         else:
             at_skipped = again
-        bucket = _bucket(key)
-        full = (np.bincount(bucket, minlength=1 << _BITS) >= least)[bucket]
+        bits = min(_BITS, max(10, len(key).bit_length() + 1))
+        bucket = _bucket(key, bits)
+        full = (np.bincount(bucket, minlength=1 << bits) >= least)[bucket]
         at, key, bucket = at[full], key[full], bucket[full]
         found = np.sort(key)
         edge = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else at
@@ -73,8 +77,8 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
         pairs, n = found[edge][n >= least], n[n >= least]
         if not len(pairs):
             break
-        slot = np.zeros(1 << _BITS, np.int64)
-        slot[_bucket(pairs)] = np.arange(len(pairs))
+        slot = np.zeros(1 << bits, np.int64)
+        slot[_bucket(pairs, bits)] = np.arange(len(pairs))
         k = slot[bucket]
         missed = np.flatnonzero(pairs[k] != key)  # two pairs in a bucket, or a pair that is not frequent
         k[missed] = np.minimum(np.searchsorted(pairs, key[missed]), len(pairs) - 1)
@@ -84,9 +88,9 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
         may[at] = may[at_skipped] = True
         rank = np.empty(len(pairs), np.int32)
         rank[np.lexsort((pairs, -n))] = np.arange(len(pairs))
-        ranks = np.full(len(s) + 1, len(pairs), np.int32)  # of the places, with one more at either end
-        ranks[at + 1] = rank[k]
-        first = (ranks[at + 1] < ranks[at]) & (ranks[at + 1] < ranks[at + 2])
+        own = ranks[at + 1] = rank[k]
+        first = (own < ranks[at]) & (own < ranks[at + 2])
+        ranks[at + 1] = _NONE
         at, k = at[first], k[first]
         n = np.bincount(k, minlength=len(pairs))
         chosen = np.flatnonzero(n >= least)
