@@ -36,13 +36,13 @@ def scratch(spark: SparkSession, label: str) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Writes df as Parquet; the shuffle files of its query go when that is done."""
+def write_table(df: DataFrame, path: str, codec: str | None = None) -> None:
+    """Writes df as Parquet, by the session's codec unless one is named; the shuffle files of its query go when that is done."""
     spark = df.sparkSession
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     finally:
         if before is None:
             spark.conf.unset(_CLEANUP)
@@ -50,11 +50,11 @@ def write_table(df: DataFrame, path: str) -> None:
             spark.conf.set(_CLEANUP, before)
 
 
-def materialise(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+def materialise(df: DataFrame, label: str, codec: str | None = None) -> tuple[DataFrame, str]:
     """Writes df as Parquet in the shared folder; returns the table read back, and its path."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    write_table(df, path)
+    write_table(df, path, codec)
     return spark.read.schema(df.schema).parquet(path), path
 
 

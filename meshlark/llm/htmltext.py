@@ -388,7 +388,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     order = ["host", "path", "id", "h", "n"]
     dealt = cut.repartitionByRange(*order) if group_rows is None else cut.repartitionByRange(max(1, -(-pages.count() // group_rows)), *order)
     found = dealt.sortWithinPartitions(*order).select("id", "url", "host", "path", "page").mapInArrow(tidy(_difference), _OUT)
-    found, _ = materialise(found, "page-texts")
+    found, _ = materialise(found, "page-texts", "zstd")  # most of it texts
 
     # A row to each range: so few that one task looks through them. Pages come by joins.
     beyond = found.where("kind = 'state'").select("state").repartition(1).mapInArrow(tidy(_beyond), "part int, kind string, b_part int, b_kind string, a_part int, a_kind string")
