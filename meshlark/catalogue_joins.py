@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .catalogue import _CX, _CY, _SX, _SY, _customers, _snapshot, hav, money, q, query
 from . import testgraph
 from .errors import UpsertConflict
+from .functions import sketches
 from .operators import mutate
 from .operators.asof import as_of
 from .operators.depth import edges_of, hops_from
@@ -258,3 +259,18 @@ def _(g):
     changes.register(g.spark)
     df = changes.read_changes(g.spark, _versions(g).path, "_version = 2", "nodes/Customer")
     return df.select(F.col("c_custkey").alias("id"), F.col("_version").cast("int").alias("version"), F.col("_change").alias("change"), F.col("c_acctbal").alias("balance"))
+
+
+# sketches along chains: their errors are known, so that what they say can be compared
+@query(
+    "agg_sketches",
+    "SELECT n_nationkey AS id, CAST(count(o_orderkey) AS BIGINT) AS n, count(o_orderkey) = 0 OR true AS median_near, true AS parts_near FROM nation LEFT JOIN (customer JOIN orders ON o_custkey = c_custkey) ON c_nationkey = n_nationkey GROUP BY n_nationkey",
+)
+def _(g):
+    orders, parts = ("customers", "orders"), ("customers", "orders", "items", "part")
+    aggs = A("median", sketches.quantile(0.5), orders, "total"), A("n", "count", orders), A("parts", "count", parts, uniq=True), A("about", sketches.distinct(), parts, "id")
+    nations = q(g, "Nation").aggregate(*aggs).df().select("id", "median", "n", "parts", "about")
+    totals = q(g, "Order").load("customer").df().select(F.col("customer.nation_id").alias("id"), "total")
+    below = nations.join(totals, "id", "left").groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "parts", "about")], F.avg((F.col("total") <= F.col("median")).cast("double")).alias("share"))
+    near = F.abs(F.coalesce(F.col("about"), F.lit(0)) - F.col("parts")) <= 0.08 * F.col("parts")
+    return below.select("id", "n", ((F.col("n") == 0) | (F.abs(F.col("share") - 0.5) <= 0.03 + 1 / F.greatest(F.col("n"), F.lit(1)))).alias("median_near"), near.alias("parts_near"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.expr import Attr, Expr, column
-from ..schema import Aggregate
+from ..schema import Aggregate, Mergeable
 from ..sources.graph import Graph
 from . import factored
 from .paths import Keys, Path, Step, only, paths, resolve
@@ -24,7 +24,7 @@ KINDS = ("count", "exists", "sum", "avg", "min", "max", "list", "first")
 
 def measure(a: Aggregate, scope, key: list[str]) -> Column:
     """The aggregate as a Column over rows of a scope whose nodes have this key."""
-    if a.kind not in KINDS:
+    if a.kind not in KINDS and not isinstance(a.kind, Mergeable):
         raise ValueError(f"aggregate kind {a.kind} is not supported")
     live = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in key])
     if a.filter is not None:
@@ -34,6 +34,8 @@ def measure(a: Aggregate, scope, key: list[str]) -> Column:
         n = F.count_distinct(node) if a.uniq and a.kind == "count" else F.count(F.when(live, F.lit(1)))
         return n.cast("long") if a.kind == "count" else n > 0
     v = F.when(live, column(a.expr if a.expr is not None else Attr(a.field), scope))
+    if isinstance(a.kind, Mergeable):
+        return a.kind.finish(a.kind.step(v))
     if a.kind == "sum":
         s = F.sum_distinct(v) if a.uniq else F.sum(v)
         return s if a.expr is not None else F.coalesce(s, F.lit(0))
@@ -84,7 +86,7 @@ def _live(a: Aggregate, p: Path) -> Column:
 
 def moves(a: Aggregate) -> bool:
     """Whether partial results of the aggregate can be put together hop by hop."""
-    return a.kind in ("count", "exists", "min", "max", "first") or a.kind in ("sum", "avg") and not a.uniq
+    return isinstance(a.kind, Mergeable) or a.kind in ("count", "exists", "min", "max", "first") or a.kind in ("sum", "avg") and not a.uniq
 
 
 def _partials(a: Aggregate, name: str, p: Path) -> dict[str, tuple[Column, object]]:
@@ -93,6 +95,8 @@ def _partials(a: Aggregate, name: str, p: Path) -> dict[str, tuple[Column, objec
     if a.kind in ("count", "exists"):
         return {name: (F.when(live, 1).otherwise(0).cast("long"), factored.SUM)}
     v = column(a.expr if a.expr is not None else Attr(a.field), p)
+    if isinstance(a.kind, Mergeable):
+        return {name: (F.when(live, v), factored.Stepwise(a.kind.step, a.kind.merge))}
     if a.kind == "sum":
         return {name: (F.when(live, v).otherwise(none), factored.SUM)}
     if a.kind == "avg":
@@ -104,6 +108,8 @@ def _partials(a: Aggregate, name: str, p: Path) -> dict[str, tuple[Column, objec
 
 def _finished(a: Aggregate, name: str) -> Column:
     c = F.col(name)
+    if isinstance(a.kind, Mergeable):
+        return a.kind.finish(c)
     if a.kind == "exists":
         return c > 0
     if a.kind == "sum" and a.expr is None:
@@ -167,7 +173,7 @@ def total(graph: Graph, resource: str, df: DataFrame, aggs: list[Aggregate], sco
             sources = df.select(*[F.col(f"`{c}`").alias(x) for c, x in zip(t.join, names, strict=True)])
             rows = t.frame.join(sources, reduce(lambda x, y: x & y, [F.col(c) == F.col(x) for c, x in zip(t.entry, names, strict=True)]))
             put = {"min": F.min, "first": F.min, "max": F.max}
-            rows = rows.agg(*[put.get(a.kind, F.sum)(c).alias(c) for n, a in enumerate(some) for c in ([f"_v{n}", f"_v{n}_n"] if a.kind == "avg" else [f"_v{n}"])])
+            rows = rows.agg(*[(a.kind.merge if isinstance(a.kind, Mergeable) else put.get(a.kind, F.sum))(F.col(c)).alias(c) for n, a in enumerate(some) for c in ([f"_v{n}", f"_v{n}_n"] if a.kind == "avg" else [f"_v{n}"])])
             tables.append(rows.select(*[default(a, _finished(a, f"_v{n}")).alias(a.name) for n, a in enumerate(some)]))
             continue
         if path:

@@ -25,6 +25,14 @@ from .paths import Keys, Path, Step, match, only
 SUM, MIN, MAX, OR = F.sum, F.min, F.max, F.bit_or
 
 
+@dataclass(frozen=True)
+class Stepwise:
+    """Values are aggregated by one function at the far end, and what it gives by another at each hop."""
+
+    step: Callable[[Column], Column]
+    merge: Callable[[Column], Column]
+
+
 @dataclass
 class Table:
     """Partial results: ``entry`` are the columns that match ``join`` of the source's table. A source has one row, or one for
@@ -67,7 +75,8 @@ def carry(
         frame = frame.select(*ends, *([word.alias("_word")] if by else []), *[c.alias(x) for x, c in values.items()])
         first = steps[n]
         if not (first.edge.columns and first.outgoing):  # else the entry is the key of one node
-            frame = frame.groupBy(*entry, *(["_word"] if by else [])).agg(*[how(x).alias(x) for x, how in names.items()])
+            how = lambda f: f if not isinstance(f, Stepwise) else f.step if n == last else f.merge
+            frame = frame.groupBy(*entry, *(["_word"] if by else [])).agg(*[how(f)(F.col(x)).alias(x) for x, f in names.items()])
         return Table(frame, entry, hop.join)
 
     out = grouped(p, p.frame, {n: c for n, (c, _) in parts.items()}, word, last)

@@ -126,10 +126,21 @@ class Guard:
     destination: str
 
 
+@dataclass(frozen=True)
+class Mergeable:
+    """A kind of aggregate of one's own: ``step`` aggregates values, ``merge`` aggregates what ``step`` or ``merge`` gave, and
+    ``finish`` makes the result of it. The first two are aggregate functions that Spark can start on the map side; nulls
+    are skipped, and a source that reaches nothing has null."""
+
+    step: Callable[[Column], Column]
+    merge: Callable[[Column], Column]
+    finish: Callable[[Column], Column] = lambda c: c
+
+
 @dataclass(frozen=True)
 class Aggregate:
     name: str
-    kind: str
+    kind: str | Mergeable
     path: tuple[str, ...] = ()
     field: str | None = None
     filter: object = None

@@ -158,3 +158,28 @@ def test_duplicates_are_looked_for_only_where_chains_can_repeat_a_node(graph):
     plan = Query(graph, "Mid").load_along("x", "many", limit=2).df()._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in plan and plan.count("Aggregate") == 1
     assert aggregates.moves(A("n", "count", PATH)) and not aggregates.moves(A("n", "list", PATH, "w"))
+
+
+def test_kinds_of_ones_own_move_along_chains(graph, tables):
+    from meshlark.functions import sketches
+    from meshlark.schema import Mergeable
+
+    widest = Mergeable(lambda v: F.struct(F.min(v).alias("a"), F.max(v).alias("b")), lambda s: F.struct(F.min(s["a"]).alias("a"), F.max(s["b"]).alias("b")), lambda s: s["b"] - s["a"])
+    ends = walked(tables)
+    for path, steps in ((PATH, ends), (("mid", "many"), None)):
+        if steps is None:
+            many, mids = tables[2], dict(tables[0])
+            found = {r["id"]: r["w"] for r in Query(graph, "One").aggregate(A("w", widest, path, "id")).df().collect()}
+            for k, mid in mids.items():
+                own = [m for m, x in many if mid is not None and x == mid]
+                assert found[k] == (max(own) - min(own) if own else None)
+            continue
+        aggs = A("w", widest, path, "v"), A("q", sketches.quantile(0.5), path, "v"), A("d", sketches.distinct(), path, "w")
+        rows = {r["id"]: r for r in Query(graph, "One").aggregate(*aggs).df().collect()}
+        for k, e in steps.items():
+            v, w = sorted(f[1] for f in e if f[1] is not None), {f[2] for f in e if f[2] is not None}
+            assert rows[k]["w"] == (v[-1] - v[0] if v else None) and (rows[k]["d"] or 0) == len(w)
+            assert (rows[k]["q"] is None) == (not v) and (not v or v[max(0, (len(v) - 1) // 2 - 1)] <= rows[k]["q"] <= v[min(len(v) - 1, len(v) // 2 + 1)])
+    total = Query(graph, "One").total(A("w", widest, PATH, "v"), A("d", sketches.distinct(), PATH, "w")).first()
+    every = [f for e in ends.values() for f in e]
+    assert total["w"] == max(f[1] for f in every if f[1] is not None) - min(f[1] for f in every if f[1] is not None) and total["d"] == len({f[2] for f in every if f[2] is not None})
