@@ -76,6 +76,19 @@ def cells(west: Column, south: Column, east: Column, north: Column, size: Column
     return F.flatten(F.transform(span(west, east), lambda i: F.transform(span(south, north), lambda j: F.struct(i.alias("i"), j.alias("j")))))
 
 
+def _shape_key(geometry: Column) -> Column:
+    """What equal geometries share and others do not: 256 bits of their JSON, which has every digit."""
+    return F.unhex(F.sha2(F.to_json(geometry), 256))
+
+
+def _shapes(df: DataFrame, geometry: str, key: str, shape: str) -> DataFrame:
+    """Each different geometry once, with its key, a written table; in as many parts as the session shuffles into, however
+    few bytes these have, as tests of geometries take time."""
+    own, n = F.col(f"`{geometry}`"), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = df.select(_shape_key(own).alias(key), own.alias(shape)).where(F.col(shape).isNotNull()).groupBy(key).agg(F.first(shape).alias(shape))
+    return commit.written(each, "shapes").repartition(n, key)
+
+
 def points_in_areas(points: DataFrame, areas: DataFrame, lng: str, lat: str, area: str, cell: float = 1.0) -> DataFrame:
     """Each point with each area that holds it: an equi-join on grid cells, then boxes, then exact.
 
@@ -110,11 +123,12 @@ def areas_meeting(left: DataFrame, right: DataFrame, areas: tuple[str, str], nam
     Geometries are in the one to four cells that they touch at the level at which a cell is as wide as they are, each
     level's being twice as wide as those of the level before. There the smaller ones of the other side look for them, in
     their one to four cells of that level, and a pair is reported in the cell of the south-western corner of what their
-    boxes share. Rows without a geometry meet nothing; rows that repeat are rows of their own.
+    boxes share. Each different geometry is looked for and tested once; the rows of those that meet come by equi-joins, in
+    which geometries of very many rows are dealt. Rows without a geometry meet nothing; rows that repeat are rows of their own.
     """
     def laid(df: DataFrame, area: str, own: str) -> DataFrame:
-        boxes = geo.box_columns(F.col(f"`{area}`"))
-        out = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(own), *[c.alias(f"_{own}_{k}") for k, c in boxes.items()]).where(F.col(f"_{own}_west").isNotNull())
+        boxes = geo.box_columns(F.col(own))
+        out = _shapes(df, area, f"_{own}_key", own).select("*", *[c.alias(f"_{own}_{k}") for k, c in boxes.items()]).where(F.col(f"_{own}_west").isNotNull())
         span = F.greatest(F.col(f"_{own}_east") - F.col(f"_{own}_west"), F.col(f"_{own}_north") - F.col(f"_{own}_south"))
         return out.withColumn(f"_{own}_level", F.greatest(F.lit(0), F.ceil(F.coalesce(F.log2(F.nullif(span, F.lit(0.0)) / cell), F.lit(0.0))).cast("int")))
 
@@ -135,8 +149,11 @@ def areas_meeting(left: DataFrame, right: DataFrame, areas: tuple[str, str], nam
     on = ["_level", "_cell"]
     larger_a = dealt_join(put(a, "x", F.col("_x_level")), looking(b, "y", of_a, False), on).where(corner & meet)
     larger_b = dealt_join(put(b, "y", F.col("_y_level")), looking(a, "x", of_b, True), on).where(corner & meet)
-    pairs = larger_a.select("x", "y").unionByName(larger_b.select("x", "y"))
-    return pairs.where(test(F.col("x")[areas[0]], F.col("y")[areas[1]])).select(F.col("x").alias(name[0]), F.col("y").alias(name[1]))
+    kept = ["_x_key", "_y_key", "x", "y"]
+    pairs = larger_a.select(*kept).unionByName(larger_b.select(*kept)).where(test(F.col("x"), F.col("y"))).select("_x_key", "_y_key")
+    rows = lambda df, area, key, own: df.select(_shape_key(F.col(f"`{area}`")).alias(key), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(own))
+    pairs = dealt_join(pairs, rows(right, areas[1], "_y_key", "y"), ["_y_key"])
+    return dealt_join(pairs, rows(left, areas[0], "_x_key", "x"), ["_x_key"]).select(F.col("x").alias(name[0]), F.col("y").alias(name[1]))
 
 
 def near_pairs(left: DataFrame, right: DataFrame, lng: tuple[str, str], lat: tuple[str, str], meters: float) -> DataFrame:

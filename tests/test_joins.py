@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meshlark.functions import geo, shapes
-from meshlark.operators import dealt
+from meshlark.operators import dealt, spatial
 from meshlark.operators.asof import as_of
 from meshlark.operators.intervals import overlapping
 from meshlark.operators.nearest import nearest
@@ -145,6 +145,31 @@ def test_areas_that_meet(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == sorted((i, j) for i, g in left for j, h in right if geo.intersects(g, h))
 
 
+def _counted(spark, test):
+    """A test of two columns that counts its calls."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def run(*given):
+        calls.add(1)
+        return test(*given)
+
+    return F.udf(run, "boolean"), calls
+
+
+@pytest.mark.parametrize("rows", [4, 100_000])
+def test_equal_geometries_are_tested_once(spark, monkeypatch, rows):
+    monkeypatch.setattr(dealt.dealt_join, "__defaults__", (rows,))
+    square = lambda x, y, h: ("Polygon", 4326, [[[(x + i * h, y + j * h, None) for i, j in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))]]])
+    here, there = [square(0.0, 0.0, 1.0), square(1.5, 0.0, 1.0), square(9.0, 9.0, 0.5)], [square(0.5, 0.5, 0.25), square(-0.0, 0.0, 1.0)]
+    left, right = [(k, here[k % 3]) for k in range(30)] + [(99, None)], [(k, there[k % 2]) for k in range(20)] + [(98, None)]
+    a, b = spark.createDataFrame(left, f"i long, area {geo.GEOMETRY_DDL}"), spark.createDataFrame(right, f"k long, shape {geo.GEOMETRY_DDL}")
+    test, calls = _counted(spark, lambda g, h: True)  # of boxes that meet
+    found = areas_meeting(a, b, ("area", "shape"), ("x", "y"), test=lambda g, h: test(g["kind"], h["kind"])).select("x.i", "y.k").collect()
+    meet = {(0, 0), (0, 1), (1, 0), (1, 1)}
+    assert sorted(map(tuple, found)) == sorted((i, k) for i in range(30) for k in range(20) if (i % 3, k % 2) in meet)
+    assert calls.value <= 4
+
+
 @pytest.mark.parametrize("rows", [3, 100_000])
 def test_hops_of_any_number(spark, rows):
     from meshlark.operators.depth import hops_from
