@@ -90,25 +90,30 @@ def _shapes(df: DataFrame, geometry: str, key: str, shape: str) -> DataFrame:
 
 
 def points_in_areas(points: DataFrame, areas: DataFrame, lng: str, lat: str, area: str, cell: float = 1.0) -> DataFrame:
-    """Each point with each area that holds it: an equi-join on grid cells, then boxes, then exact.
+    """Each point with each area that holds it: an equi-join on grid cells, then boxes, then exact, of each different place
+    with each different area once; then each pair's rows by equi-joins, in which places and areas of very many rows are dealt.
 
     An area is in the cells of the level at which it spans four of them at most, each level's being twice as wide as those
-    of the level before; so it is repeated at most 25 times however large it is. A point is in one cell of each level that
+    of the level before; so it is repeated at most 25 times however large it is. A place is in one cell of each level that
     areas have (which is asked for first; there are some twenty), so no pair comes twice. Columns of the two sides must
     have different names.
     """
-    spread = with_boxes(areas, area).where(F.col("_west").isNotNull())
+    spread = with_boxes(_shapes(areas, area, "_key", "_area"), "_area").where(F.col("_west").isNotNull())
     span = F.greatest(F.col("_east") - F.col("_west"), F.col("_north") - F.col("_south"))
     spread = spread.withColumn("_level", F.greatest(F.lit(0), F.ceil(F.coalesce(F.log2(F.nullif(span, F.lit(0.0)) / (4 * cell)), F.lit(0.0))).cast("int")))
     levels = sorted(r[0] for r in spread.select("_level").distinct().collect()) or [0]
     size = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("_level"))
-    keyed = points.withColumn("_at", F.explode(F.array(*[F.lit(k) for k in levels])))
+    x, y = F.col("_x"), F.col("_y")
+    places = points.select(F.col(lng).alias("_x"), F.col(lat).alias("_y")).where(x.isNotNull() & y.isNotNull()).distinct()
+    keyed = places.withColumn("_at", F.explode(F.array(*[F.lit(k) for k in levels])))
     at = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("_at"))
-    keyed = keyed.withColumns({"_i": F.floor(F.col(lng) / at), "_j": F.floor(F.col(lat) / at)})
+    keyed = keyed.withColumns({"_i": F.floor(x / at), "_j": F.floor(y / at)})
     spread = spread.withColumn("_cell", F.explode(cells(F.col("_west"), F.col("_south"), F.col("_east"), F.col("_north"), size)))
-    box = F.col(lng).between(F.col("_west"), F.col("_east")) & F.col(lat).between(F.col("_south"), F.col("_north"))
+    box = x.between(F.col("_west"), F.col("_east")) & y.between(F.col("_south"), F.col("_north"))
     on = (F.col("_at") == F.col("_level")) & (F.col("_i") == F.col("_cell.i")) & (F.col("_j") == F.col("_cell.j")) & box
-    out = keyed.join(spread, on).where(geo.contains_point(F.col(area), F.col(lng), F.col(lat)))
+    pairs = keyed.join(spread, on).where(geo.contains_point(F.col("_area"), x, y)).select("_x", "_y", "_key")
+    out = dealt_join(pairs, areas.withColumn("_key", _shape_key(F.col(area))), ["_key"])
+    out = dealt_join(out, points.withColumns({"_x": F.col(lng), "_y": F.col(lat)}), ["_x", "_y"])
     return out.select(*[F.col(f"`{c}`") for c in [*points.columns, *areas.columns]])
 
 

@@ -169,6 +169,15 @@ def test_equal_geometries_are_tested_once(spark, monkeypatch, rows):
     assert sorted(map(tuple, found)) == sorted((i, k) for i in range(30) for k in range(20) if (i % 3, k % 2) in meet)
     assert calls.value <= 4
 
+    holds, calls = _counted(spark, lambda kind, x, y: True)  # of places in the box
+    monkeypatch.setattr(spatial.geo, "contains_point", lambda area, x, y: holds(area["kind"], x, y))
+    spots = [(0.5, 0.5), (1.25, 0.0), (-0.0, 0.0), (0.0, 0.0), (None, 0.0), (7.0, float("nan"))]
+    points = spark.createDataFrame([(k, *spots[k % 6]) for k in range(60)], "p long, lng double, lat double")
+    found = spatial.points_in_areas(points, a, "lng", "lat", "area").select("p", "i").collect()
+    inside = {(0, 0), (0, 1), (1, 1), (2, 0), (3, 0)}
+    assert sorted(map(tuple, found)) == sorted((p, i) for p in range(60) for i in range(30) if (p % 6, i % 3) in inside)
+    assert calls.value <= 4
+
 
 @pytest.mark.parametrize("rows", [3, 100_000])
 def test_hops_of_any_number(spark, rows):
