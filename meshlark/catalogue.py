@@ -588,9 +588,14 @@ def _(g):
 
 @query("mut_upsert_bulk", "SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 0 THEN 'again' ELSE c_name END AS name FROM customer UNION ALL SELECT c_custkey + 800000, 'again' FROM customer WHERE c_custkey % 10 = 0")
 def _(g):
-    some = g.frame("Customer").where("c_custkey % 10 = 0").select("c_custkey", F.lit("again").alias("c_name"))
-    more = some.unionByName(some.withColumn("c_custkey", F.col("c_custkey") + 800000))
-    return _customers(_snapshot(g, "Customer").upsert_all("Customer", more, ("id",))).select("id", "name")
+    """Nodes are told apart by their origin and id: what is new comes from elsewhere, and is new even where its id is taken."""
+    own, other = F.lit("own").alias("origin"), F.lit("other").alias("origin")
+    some = g.frame("Customer").where("c_custkey % 10 = 0").select("c_custkey", F.lit("again").alias("c_name"), own)
+    more = some.unionByName(some.withColumns({"c_custkey": F.col("c_custkey") + 800000, "origin": other}))
+    s = _snapshot(g, "Customer")
+    r = s.resources["Customer"]
+    s = replace(s, resources={**s.resources, "Customer": replace(r, attributes=(*r.attributes, Attribute("origin", "string", "origin")))}, nodes={"Customer": s.node("Customer").withColumn("origin", own)})
+    return _customers(s.upsert_all("Customer", more, ("origin", "id"))).select("id", "name")
 
 
 @query("mut_delete", "SELECT (SELECT CAST(count(*) AS BIGINT) FROM customer WHERE c_mktsegment <> 'BUILDING') AS nodes, (SELECT CAST(count(*) AS BIGINT) FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment <> 'BUILDING') AS edges")

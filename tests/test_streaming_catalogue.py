@@ -36,3 +36,13 @@ def test_windows_over_a_stream(spark, tmp_path):
     job.awaitTermination(120)
     assert spark.table("w").groupBy().sum("n").first()[0] == table.count()
     assert sorted(map(tuple, spark.table("w").collect())) == sorted(map(tuple, windows.tumbling(table, "ts", "1 hour", ["event_type"]).collect()))
+
+
+def test_bulk_upsert_where_new_ids_are_taken(spark, duck, tmp_path):
+    for t in TABLES.values():
+        (tmp_path / f"{t}.parquet").symlink_to(f"{SF}/{t}.parquet")
+    (tmp_path / "customer.parquet").unlink()
+    duckdb.sql(f"COPY (SELECT * FROM '{SF}/customer.parquet' UNION ALL SELECT * REPLACE (c_custkey + 800000 AS c_custkey) FROM '{SF}/customer.parquet') TO '{tmp_path}/customer.parquet'")
+    found = duckdb.sql(catalogue.ORACLE_SQL["mut_upsert_bulk"].replace("FROM customer", f"FROM '{tmp_path}/customer.parquet'")).fetchall()
+    df = catalogue.QUERIES["mut_upsert_bulk"](spark, str(tmp_path)).select("id", "name")
+    assert sorted(map(tuple, df.collect())) == sorted(found) and len(found) > len(set(found))
