@@ -49,12 +49,11 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
     """
     s = ids.astype(np.uint32)
     rules = np.zeros((0, 2), np.int64)
-    may = (s[:-1] != end_id) & (s[1:] != end_id)  # places whose pair may be frequent: it was, or it is new
+    may = (s[:-1] != end_id) & (s[1:] != end_id)  # places whose pair may be frequent: it was, or it is new; none has an end
     ranks = np.full(len(s) + 2, _NONE, np.int32)  # of the places, with one more at either end; none between rounds
     while rounds != 0:
         rounds = None if rounds is None else rounds - 1
         at = np.flatnonzero(may)
-        at = at[(s[at] != end_id) & (s[at + 1] != end_id)]
         half = 16 if base + len(rules) <= 1 << 16 else 32  # narrow keys sort faster
         key = s[at].astype(np.uint32 if half == 16 else np.uint64) << half | s[at + 1]
         # in a run of one symbol every second place counts
@@ -69,7 +68,7 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
             at_skipped = again
         bits = min(_BITS, max(10, len(key).bit_length() + 1))
         bucket = _bucket(key, bits)
-        full = (np.bincount(bucket, minlength=1 << bits) >= least)[bucket]
+        full = np.flatnonzero((np.bincount(bucket, minlength=1 << bits) >= least)[bucket])
         at, key, bucket = at[full], key[full], bucket[full]
         found = np.sort(key)
         edge = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else at
@@ -82,14 +81,14 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
         k = slot[bucket]
         missed = np.flatnonzero(pairs[k] != key)  # two pairs in a bucket, or a pair that is not frequent
         k[missed] = np.minimum(np.searchsorted(pairs, key[missed]), len(pairs) - 1)
-        known = pairs[k] == key
+        known = np.flatnonzero(pairs[k] == key)
         at, k = at[known], k[known]
         may[:] = False
         may[at] = may[at_skipped] = True
         rank = np.empty(len(pairs), np.int32)
         rank[np.lexsort((pairs, -n))] = np.arange(len(pairs))
         own = ranks[at + 1] = rank[k]
-        first = (own < ranks[at]) & (own < ranks[at + 2])
+        first = np.flatnonzero((own < ranks[at]) & (own < ranks[at + 2]))
         ranks[at + 1] = _NONE
         at, k = at[first], k[first]
         n = np.bincount(k, minlength=len(pairs))
@@ -102,9 +101,11 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
         keep = np.ones(len(s), bool)
         keep[at + 1] = False
         may = np.append(may, False)
-        may[at] = True
-        may[at[at > 0] - 1] = True
-        s, may = s[keep], may[keep][:-1]
+        before = at[at > 0] - 1
+        may[before] = s[before] != end_id
+        may[at] = s[np.minimum(at + 2, len(s) - 1)] != end_id
+        kept = np.flatnonzero(keep)
+        s, may = s[kept], may[kept][:-1]
         rules = np.concatenate([rules, np.stack([pairs[chosen] >> half, pairs[chosen] & ((1 << half) - 1)], axis=1).astype(np.int64)])
     return s.astype(np.int64), rules
 
