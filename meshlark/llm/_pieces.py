@@ -70,14 +70,27 @@ def cut(texts: pa.Array, split: Callable[[str], list[str]], added: tuple[str, ..
         return _whole_texts(texts, split, parted)
 
     # plain pieces: the words of all of them at once
-    found = pc.extract_regex(pieces, _PLAIN)
+    letters = _ascii_letters(pieces) & (pattern == PLAIN)  # these need no pattern
+    rare = np.flatnonzero(~letters)
+    found = pc.extract_regex(pieces.take(pa.array(rare)), _PLAIN)
     parts = [found.field(k).fill_null("") for k in range(5)]
-    has = np.stack([np.asarray(pc.not_equal(x, "")) for x in parts], axis=1) if len(pieces) else np.zeros((0, 5), bool)
-    contraction = np.asarray(pc.equal(parts[1], "'")) & ~has[:, 2] & has[:, 3] if len(pieces) else np.zeros(0, bool)
-    plain = np.asarray(found.is_valid()) & ~contraction & ~(has[:, 2] & ~has[:, 3] & ~has[:, 4])
-    plain &= pattern == PLAIN
-    has &= plain[:, None]
-    words = [pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), parts[0], pa.scalar("", pa.large_string())), *parts[1:]]
+    own = np.stack([np.asarray(pc.not_equal(x, "")) for x in parts], axis=1) if len(rare) else np.zeros((0, 5), bool)
+    contraction = np.asarray(pc.equal(parts[1], "'")) & ~own[:, 2] & own[:, 3] if len(rare) else np.zeros(0, bool)
+    fits = np.asarray(found.is_valid()) & ~contraction & ~(own[:, 2] & ~own[:, 3] & ~own[:, 4])
+    fits &= pattern == PLAIN
+    own &= fits[:, None]
+    plain = letters.copy()
+    plain[rare] = fits
+    has = np.zeros((len(pieces), 5), bool)
+    has[:, 0], has[rare] = letters, own
+    words = [pieces.filter(pa.array(letters)), *(x.filter(pa.array(h)) for x, h in zip(parts, own.T, strict=True))]
+    nth = np.zeros(has.shape, np.int64)  # of the words, each that a plain piece has
+    n_letters = len(pieces) - len(rare)
+    nth[letters, 0] = np.arange(n_letters)
+    of_rare = np.zeros((5, len(rare)), np.int64)
+    of_rare[own.T] = n_letters + np.arange(int(own.sum()))
+    nth[rare] = of_rare.T
+    words[:2] = [pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), x, pa.scalar("", pa.large_string())) for x in words[:2]]
 
     # the others one by one, and first pieces and texts with other blanks as wholes
     others: list[str] = []
@@ -131,10 +144,19 @@ def cut(texts: pa.Array, split: Callable[[str], list[str]], added: tuple[str, ..
     mine = np.zeros(len(flat), bool)
     if m:
         mine[_ranges((ends - all_sizes)[:m][plain], all_sizes[:m][plain])] = True
-    flat[mine] = code[: 5 * m].reshape(5, m).T[has]
-    flat[~mine] = code[5 * m :]
-    used, flat = np.unique(flat, return_inverse=True)  # words that no piece has are left out
-    return Cut(every.dictionary.take(pa.array(used)), flat.reshape(-1), ends, at, n)
+    flat[mine] = code[nth[has]]
+    flat[~mine] = code[len(code) - len(others) :]
+    return Cut(every.dictionary, flat, ends, at, n)
+
+
+def _ascii_letters(pieces: pa.Array) -> np.ndarray:
+    """Which strings, none of them null, have letters of ASCII only, and at least one."""
+    if not len(pieces):
+        return np.zeros(0, bool)
+    ends = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1, 8 * pieces.offset)
+    data = np.frombuffer(pieces.buffers()[2], np.uint8, int(ends[-1] - ends[0]), int(ends[0])) if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+    other = np.concatenate([[0], np.cumsum(((data | 32) - np.uint8(97)) > 25)])[ends - ends[0]]
+    return (np.diff(other) == 0) & (np.diff(ends) > 0)
 
 
 def _whole_texts(texts: pa.Array, split: Callable[[str], list[str]], parted: Callable[[str], list[str]]) -> Cut:

@@ -1,9 +1,10 @@
 """Byte-level BPE over distinct words: each distinct pre-token of the corpus is encoded once.
 
-Texts are cut into pre-tokens in blocks of rows. A block's file in the shared folder has its distinct words and, row by
-row, its positions: the word that stands at each. Words are dealt by hash to parts, as many as the session's shuffle
-partitions or as the number of words asks for. A part encodes each word once, however many blocks have it, and its
-answers are joined back to the blocks, where ids take the words' positions. Texts are read once and never shuffled.
+Texts are cut into pre-tokens in blocks of rows. A block's file in the shared folder has its distinct words in order of
+their hashes and, row by row, its positions: the word that stands at each. Words are dealt by ranges of hash to parts, as
+many as the session's shuffle partitions or as the number of words asks for. A part encodes each word once, however many
+blocks have it, and its answers are joined back to the blocks, in the words' order, where ids take the words' positions.
+Texts are read once and never shuffled.
 """
 
 from __future__ import annotations
@@ -27,35 +28,56 @@ from pyspark.sql import types as T
 from ._pieces import _ranges, cut, splitter
 from ._work import FileReader, FileWriter, col, made_once, materialise, numbered, scratch, squeeze, tidy, unsqueeze
 
-#: Bytes of text to a block, and words asked for to a part: what a task holds. They set how work is cut, not results.
-BLOCK_BYTES, PART_WORDS = 8_000_000, 500_000
+#: Bytes of text to a block, words asked for to a part, and bytes of words answered at once: what a task holds. They set
+#: how work is cut, not results.
+BLOCK_BYTES, PART_WORDS, PART_BYTES = 8_000_000, 500_000, 16_000_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
-def word_coder(library: str, data: bytes, pattern: str) -> Callable[[list[bytes]], list[bytes]]:
-    """A function from matches of the pattern to their ids, as bytes of unsigned 32-bit numbers. data: the vocabulary file of the library."""
+def word_coder(library: str, data: bytes, pattern: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """A function from matches of the pattern to their ids, one after the other, and how many each has. data: the vocabulary file of the library."""
     if library == "tiktoken":
         import tiktoken
 
         code = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(data), special_tokens={})._encode_single_piece
-        return lambda words: [array("I", code(w)).tobytes() for w in words]
+
+        def code_each(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            ids, n = array("I"), []
+            for w in words.to_pylist():
+                own = code(w)
+                ids.extend(own)
+                n.append(len(own))
+            return np.array(ids, "<u4"), np.array(n, np.int64)
+
+        return code_each
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_str(data.decode())
-
-    def code_all(words: list[bytes]) -> list[bytes]:
-        out = []
-        for k in range(0, len(words), 1024):
-            some = words[k : k + 1024]
-            found = coder.encode([w.decode() for w in some], is_pretokenized=True, add_special_tokens=False)
-            n = np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)) * 4
-            ids, ends = array("I", found.ids).tobytes(), np.cumsum(n)
-            out += [ids[a:b] for a, b in zip((ends - n).tolist(), ends.tolist(), strict=True)]
-        return out
+    added = set(added_tokens(library, data))
+    long = np.zeros(1 + max(coder.get_vocab().values()), np.int64)  # bytes that each id stands for: a letter of its name to each
+    for name, i in coder.get_vocab().items():
+        long[i] = len(name.encode()) if name in added else len(name)
+
+    def code_all(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids, n = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for k in range(0, len(words), 4096):
+            some = words[k : k + 4096].cast(pa.large_string())
+            (found,) = coder.encode_batch_fast([some.to_pylist()], is_pretokenized=True, add_special_tokens=False)
+            own = np.array(found.ids, "<u4")
+            sizes, ends = np.asarray(pc.binary_length(some)).astype(np.int64), np.cumsum(long[own])
+            last = np.searchsorted(ends, np.cumsum(sizes))
+            if coder.normalizer is None and sizes.all() and last[-1] == len(ends) - 1 and (ends[last] == np.cumsum(sizes)).all():
+                n.append(np.diff(last, prepend=-1))
+            else:  # ids that do not stand for the words' bytes: some are left out or put in, which the sums tell
+                found = coder.encode(some.to_pylist(), is_pretokenized=True, add_special_tokens=False)
+                own = np.array(found.ids, "<u4")
+                n.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+            ids.append(own)
+        return np.concatenate(ids), np.concatenate(n)
 
     return code_all
 
@@ -68,8 +90,9 @@ def added_tokens(library: str, data: bytes) -> tuple[str, ...]:
     return tuple(sorted((x["content"] for x in found), key=len, reverse=True))
 
 
-def pack(items: list[bytes]) -> bytes:
-    return squeeze(np.array([len(items), *map(len, items)], "<u4").tobytes() + b"".join(items))
+def pack(sizes: np.ndarray, rest: bytes) -> bytes:
+    """Byte strings that stand one after the other, and their sizes, compressed."""
+    return squeeze(np.concatenate([[len(sizes)], sizes]).astype("<u4").tobytes() + rest)
 
 
 def sizes_and_rest(data: bytes) -> tuple[np.ndarray, bytes]:
@@ -78,17 +101,37 @@ def sizes_and_rest(data: bytes) -> tuple[np.ndarray, bytes]:
     return np.frombuffer(data, "<u4", n, 4).astype(np.int64), data[4 * (n + 1) :]
 
 
-def unpack(data: bytes) -> list[bytes]:
-    sizes, rest = sizes_and_rest(data)
-    ends = np.cumsum(sizes)
-    return [rest[s:e] for s, e in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+def _parted(words: pa.Array) -> tuple[np.ndarray, bytes]:
+    """Sizes of strings, none of them null, and their bytes one after the other."""
+    words = words.cast(pa.large_binary())
+    ends = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, 8 * words.offset) if len(words) else np.zeros(1, np.int64)
+    return np.diff(ends), words.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes() if ends[-1] > ends[0] else b""
+
 
+def _joined(sizes: np.ndarray, rest: bytes) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(rest)])
 
-def _dealt(words: list[bytes], parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words' numbers in order of their parts, and where each part begins."""
-    part = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(parts)
-    order = np.argsort(part, kind="stable")
-    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+def _hashes(sizes: np.ndarray, rest: bytes) -> np.ndarray:
+    """32 bits of each byte string: a sum of its bytes times powers of an odd number, mixed."""
+    if not len(sizes):
+        return np.zeros(0, np.uint32)
+    starts = np.cumsum(sizes) - sizes
+    powers = np.cumprod(np.full(int(sizes.max()) + 1, 0x01000193, np.uint32), dtype=np.uint32)
+    inside = np.arange(len(rest)) - np.repeat(starts, sizes)
+    terms = np.append((np.frombuffer(rest, np.uint8) + np.uint32(1)) * powers[inside], np.uint32(0))
+    h = np.add.reduceat(terms, starts, dtype=np.uint32)
+    h[sizes == 0] = 0
+    for by, times in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        h = (h ^ h >> np.uint32(by)) * np.uint32(times)
+    return h
+
+
+def _dealt(sizes: np.ndarray, rest: bytes, parts: int) -> np.ndarray:
+    """Where each part begins among words in order of their hashes."""
+    part = _hashes(sizes, rest).astype(np.uint64) * np.uint64(parts) >> np.uint64(32)
+    return np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
 
 
 def _planes(a: np.ndarray) -> bytes:
@@ -117,8 +160,11 @@ def _cut(folder: str, pattern: str, added: tuple[str, ...], place: int, keep: li
                 for x in kept:
                     w.write_batch(x)
             block = cut(pa.concat_arrays(texts), split, added, pattern)
-            words = out.add(pack(block.words.cast(pa.large_binary()).to_pylist()))
-            table = (np.diff(block.ends, prepend=0), block.flat)
+            order = np.argsort(_hashes(*_parted(block.words)), kind="stable")
+            place_of = np.empty(len(order), np.int64)
+            place_of[order] = np.arange(len(order))
+            words = out.add(pack(*_parted(block.words.take(pa.array(order)))))
+            table = (np.diff(block.ends, prepend=0), place_of[block.flat])
             rows = out.add(pickle.dumps((sink.getvalue().to_pybytes(), block.n_places.tolist(), *map(_planes, (block.places, *table))), 5))
             row = pa.RecordBatch.from_arrays([pa.array([json.dumps([words, rows])]), pa.array([len(block.words)])], names=["block", "n_words"])
             kept, texts, size = [], [], 0
@@ -150,49 +196,61 @@ def _ask(folder: str, parts: int):
         read = FileReader(folder, 0)
         for b in batches:
             for block in b.column(0).to_pylist():
-                words = unpack(read.get(*json.loads(block)[0]))
-                order, cuts = _dealt(words, parts)
+                sizes, rest = sizes_and_rest(read.get(*json.loads(block)[0]))
+                cuts = _dealt(sizes, rest, parts)
+                ends = np.concatenate([[0], np.cumsum(sizes)])[cuts].tolist()
                 full = np.flatnonzero(np.diff(cuts)).tolist()
-                data = [pack([words[k] for k in order[cuts[p] : cuts[p + 1]].tolist()]) for p in full]
+                data = [pack(sizes[cuts[p] : cuts[p + 1]], rest[ends[p] : ends[p + 1]]) for p in full]
                 yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([block] * len(full), pa.string()), pa.array(data, pa.binary())], names=["part", "block", "data"])
 
     return run
 
 
 def _answer(library: str, sent, pattern: str):
-    """Rows (part, block, words) in order of part: the ids of each block's words. Within a part a word is encoded once."""
+    """Rows (part, block, words) in order of part: the ids of each block's words. Within a part a word is encoded once, or
+    once for so many bytes of words."""
+    part_bytes = PART_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = made_once(("coder", library, pattern, zlib.crc32(sent.value)), lambda: word_coder(library, sent.value, pattern))
-        known, last = {}, None
+        blocks: list[str] = []
+        words: list[pa.Array] = []
+        size, last = 0, None
+
+        def answers() -> Iterator[pa.RecordBatch]:
+            each = pa.concat_arrays(words).dictionary_encode()
+            ids, n = code(each.dictionary)
+            starts, at = np.cumsum(n) - n, each.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.cumsum([len(w) for w in words])
+            for block, own in zip(blocks, np.split(at, ends[:-1]), strict=True):
+                data = pack(4 * n[own], ids[_ranges(starts[own], n[own])].tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([last], pa.int32()), pa.array([data], pa.binary())], names=["block", "part", "data"])
+
         for b in batches:
             for part, block, data in zip(*(b.column(k) for k in range(3)), strict=True):
-                if part.as_py() != last:
-                    known.clear()
-                    last = part.as_py()
-                words = unpack(data.as_py())
-                new = [w for w in words if w not in known]
-                known.update(zip(new, code(new), strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array([block.as_py()]), pa.array([last], pa.int32()), pa.array([pack([known[w] for w in words])], pa.binary())], names=["block", "part", "data"])
+                if blocks and (part.as_py() != last or size >= part_bytes):
+                    yield from answers()
+                    blocks, words, size = [], [], 0
+                last = part.as_py()
+                sizes, rest = sizes_and_rest(data.as_py())
+                blocks.append(block.as_py())
+                words.append(_joined(sizes, rest))
+                size += len(rest)
+        if blocks:
+            yield from answers()
 
     return run
 
 
-def _assemble(folder: str, parts: int, packed: str | None, names: list[str], ids_folder: str | None):
+def _assemble(folder: str, packed: str | None, names: list[str], ids_folder: str | None):
     """Rows (block, part, ids of words) in order of block: the block's rows with their ids by position, or these ids' places."""
 
     def rows(block: str, answers: dict[int, bytes], out: FileWriter | None) -> Iterator[pa.RecordBatch]:
         read = FileReader(folder, 0)
-        at_words, at_rows = json.loads(block)
-        order, cuts = _dealt(unpack(read.get(*at_words)), parts)
-        stream, n_places, at, n_words, words = pickle.loads(read.get(*at_rows))
-        sizes, starts, flat, begin = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64), [], 0
-        for p, data in answers.items():
-            n, ids = sizes_and_rest(data)
-            own, n = order[cuts[p] : cuts[p + 1]], n // 4
-            sizes[own], starts[own] = n, begin + np.cumsum(n) - n
-            begin += int(n.sum())
-            flat.append(np.frombuffer(ids, "<u4"))
+        stream, n_places, at, n_words, words = pickle.loads(read.get(*json.loads(block)[1]))
+        found = [sizes_and_rest(answers[p]) for p in sorted(answers)]
+        sizes = np.concatenate([np.zeros(0, np.int64), *(n for n, _ in found)]) // 4
+        starts, flat = np.cumsum(sizes) - sizes, [np.frombuffer(ids, "<u4") for _, ids in found]
         # ids of words, then of pieces, then of rows
         at, n_words, words = _numbers(at), _numbers(n_words), _numbers(words)
         ids_of = (np.concatenate(flat) if flat else np.zeros(0, "<u4"))[_ranges(starts[words], sizes[words])]
@@ -288,7 +346,7 @@ def encode(
     asked = blocks.select("block").repartition(max(1, min(n_blocks, session))).mapInArrow(tidy(_ask(folder, parts)), "part int, block string, data binary")
     answered = asked.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(tidy(_answer(library, sent, pattern)), "block string, part int, data binary")
     said = answered.unionByName(blocks.select("block", F.lit(-1).alias("part"), F.lit(None).cast("binary").alias("data")))
-    coded = said.repartition("block").sortWithinPartitions("block").mapInArrow(tidy(_assemble(folder, parts, packed, schema.names, ids_folder)), schema)
+    coded = said.repartition("block").sortWithinPartitions("block").mapInArrow(tidy(_assemble(folder, packed, schema.names, ids_folder)), schema)
     return coded.toDF(*names, ids_col)
 
 

@@ -29,8 +29,8 @@ MAGIC = b"RPR1"
 STEP = 1024
 #: Ids to a file, and the fewest places that a pair must have for a rule.
 SHARD_IDS, LEAST = 4 << 20, 16
-#: Buckets, two to so many at most, that rule out most rare pairs before pairs are sorted.
-_BITS = 22
+#: Buckets, two to so many at most, in which frequent pairs are looked up.
+_BITS = 20
 _NONE = np.iinfo(np.int32).max
 
 
@@ -50,53 +50,55 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
     s = ids.astype(np.uint32)
     rules = np.zeros((0, 2), np.int64)
     may = (s[:-1] != end_id) & (s[1:] != end_id)  # places whose pair may be frequent: it was, or it is new; none has an end
-    ranks = np.full(len(s) + 2, _NONE, np.int32)  # of the places, with one more at either end; none between rounds
+    ranks = np.full(len(s) + 1, _NONE, np.int32)  # of the places, with one more at either end; none between rounds
     while rounds != 0:
         rounds = None if rounds is None else rounds - 1
-        at = np.flatnonzero(may)
-        half = 16 if base + len(rules) <= 1 << 16 else 32  # narrow keys sort faster
-        key = s[at].astype(np.uint32 if half == 16 else np.uint64) << half | s[at + 1]
-        # in a run of one symbol every second place counts
-        again = np.flatnonzero((key[1:] == key[:-1]) & (at[1:] == at[:-1] + 1)) + 1
-        if len(again):
-            run = np.flatnonzero(np.diff(again, prepend=-2) != 1)
-            nth = np.arange(len(again)) - np.repeat(run, np.diff(run, append=len(again)))
-            skipped = again[nth % 2 == 0]
-            at_skipped = at[skipped]
-            at, key = np.delete(at, skipped), np.delete(key, skipped)
+        half, kind = (16, np.uint32) if base + len(rules) < 1 << 16 else (32, np.uint64)  # narrow keys sort faster
+        none = np.iinfo(kind).max  # no pair's key: the largest symbol is below that
+        if dense := 4 * np.count_nonzero(may) > len(may):  # all places are looked at, the others without a key
+            key = s[:-1].astype(kind) << kind(half) | s[1:] | may.astype(kind) - kind(1)
+            again = np.flatnonzero((key[1:] == key[:-1]) & may[1:]) + 1
+            before, here, after = slice(0, -2), slice(1, -1), slice(2, None)
         else:
-            at_skipped = again
-        bits = min(_BITS, max(10, len(key).bit_length() + 1))
-        bucket = _bucket(key, bits)
-        full = np.flatnonzero((np.bincount(bucket, minlength=1 << bits) >= least)[bucket])
-        at, key, bucket = at[full], key[full], bucket[full]
+            at = np.flatnonzero(may)
+            key = s[at].astype(kind) << kind(half) | s[at + 1]
+            again = np.flatnonzero(key[1:] == key[:-1]) + 1
+            again = again[at[again] == at[again - 1] + 1]
+            before, here, after = at, at + 1, at + 2
+        # in a run of one symbol every second place counts
+        run = np.flatnonzero(np.diff(again, prepend=-2) != 1)
+        nth = np.arange(len(again)) - np.repeat(run, np.diff(run, append=len(again)))
+        skipped = again[nth % 2 == 0]
+        key[skipped] = none
         found = np.sort(key)
-        edge = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else at
+        edge = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else again
         n = np.diff(edge, append=len(found))
-        pairs, n = found[edge][n >= least], n[n >= least]
+        often = (n >= least) & (found[edge] != none)
+        pairs, n = found[edge][often], n[often]
         if not len(pairs):
             break
-        slot = np.zeros(1 << bits, np.int64)
-        slot[_bucket(pairs, bits)] = np.arange(len(pairs))
-        k = slot[bucket]
-        missed = np.flatnonzero(pairs[k] != key)  # two pairs in a bucket, or a pair that is not frequent
-        k[missed] = np.minimum(np.searchsorted(pairs, key[missed]), len(pairs) - 1)
-        known = np.flatnonzero(pairs[k] == key)
-        at, k = at[known], k[known]
-        may[:] = False
-        may[at] = may[at_skipped] = True
-        rank = np.empty(len(pairs), np.int32)
+        rank = np.append(np.empty(len(pairs), np.int32), np.int32(_NONE))
         rank[np.lexsort((pairs, -n))] = np.arange(len(pairs))
-        own = ranks[at + 1] = rank[k]
-        first = np.flatnonzero((own < ranks[at]) & (own < ranks[at + 2]))
-        ranks[at + 1] = _NONE
-        at, k = at[first], k[first]
+        k = _places(key, pairs, none)
+        own = rank[k]
+        ranks[here] = own
+        if dense:
+            np.less(own, _NONE, out=may)
+            may[skipped] = True
+        else:
+            may[:] = False
+            may[at] = own < _NONE
+            may[at[skipped]] = True
+        first = np.flatnonzero((own < ranks[before]) & (own < ranks[after]))
+        ranks[here] = _NONE
+        at, k = first if dense else at[first], k[first]
         n = np.bincount(k, minlength=len(pairs))
         chosen = np.flatnonzero(n >= least)
         chosen = np.sort(chosen[np.lexsort((chosen, -n[chosen]))][:rules_a_round])
         new = np.full(len(pairs), -1, np.int64)
         new[chosen] = np.arange(len(chosen))
-        at, k = at[new[k] >= 0], new[k[new[k] >= 0]]
+        k = new[k]
+        at, k = at[k >= 0], k[k >= 0]
         s[at] = base + len(rules) + k
         keep = np.ones(len(s), bool)
         keep[at + 1] = False
@@ -104,12 +106,32 @@ def compress(ids: np.ndarray, end_id: int, base: int, least: int = LEAST, rounds
         before = at[at > 0] - 1
         may[before] = s[before] != end_id
         may[at] = s[np.minimum(at + 2, len(s) - 1)] != end_id
-        kept = np.flatnonzero(keep)
-        s, may = s[kept], may[kept][:-1]
-        rules = np.concatenate([rules, np.stack([pairs[chosen] >> half, pairs[chosen] & ((1 << half) - 1)], axis=1).astype(np.int64)])
+        s |= may.astype(np.uint32) << np.uint32(31)  # both are cut at once
+        s = s[keep]
+        may = (s >> np.uint32(31)).astype(bool)[:-1]
+        s &= np.uint32((1 << 31) - 1)
+        ranks = ranks[: len(s) + 1]
+        rules = np.concatenate([rules, np.stack([pairs[chosen] >> kind(half), pairs[chosen] & kind((1 << half) - 1)], axis=1).astype(np.int64)])
     return s.astype(np.int64), rules
 
 
+def _places(keys: np.ndarray, pairs: np.ndarray, none: int) -> np.ndarray:
+    """For each key its place among the sorted pairs, or their number where it is not there."""
+    bits = min(_BITS, max(10, len(pairs).bit_length() + 4))
+    bucket, nth = _bucket(pairs, bits), np.arange(len(pairs))
+    slot = np.full(1 << bits, len(pairs), np.int32)
+    slot[bucket] = nth
+    shared = np.zeros(len(pairs) + 1, bool)  # pairs whose bucket others have too; these are searched for
+    shared[slot[bucket[slot[bucket] != nth]]] = True
+    k = slot[_bucket(keys, bits)]
+    wrong = np.flatnonzero(np.append(pairs, pairs.dtype.type(none))[k] != keys)
+    search = wrong[shared[k[wrong]]]
+    k[wrong] = len(pairs)
+    place = np.minimum(np.searchsorted(pairs, keys[search]), len(pairs) - 1)
+    k[search] = np.where(pairs[place] == keys[search], place, len(pairs))
+    return k
+
+
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """Ids that each rule stands for. A rule only names symbols before it."""
     out = np.ones(base + len(rules), np.int64)
